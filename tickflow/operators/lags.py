@@ -50,6 +50,33 @@ def with_partition_key(df: DataFrame, ts: str, partition: str, name: str = PART_
     return df.withColumn(name, F.window(F.col(ts), partition).start)
 
 
+def halo_chunks(df: DataFrame, *, back: int, fwd: int = 0, keys=("symbol",),
+                order: Sequence[str] = ("timestamp",), chunk_rows: int = 100_000):
+    """Rows cut into chunks of consecutive positions per series, each chunk
+    extended by a halo: the ``back`` rows before it and the ``fwd`` rows after
+    it (copies flagged ``_halo``). A window over (series, ``_chunk``) ordered
+    by ``_idx`` then sees every neighbour within ``back``/``fwd`` rows, and
+    one partition never holds more than ``chunk_rows + back + fwd`` rows.
+    Returns (union, window spec)."""
+    k = _keys(keys)
+    size = max(chunk_rows, back, fwd, 1)
+    idx = dense_index(df, list(order), keys=k, out="_idx")
+    pos = F.col("_idx") % size
+    chunk = F.floor(F.col("_idx") / size)
+    u = idx.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
+    if back:
+        u = u.unionByName(idx.filter(pos >= size - back)
+                          .withColumn("_chunk", chunk + 1).withColumn("_halo", F.lit(True)))
+    if fwd:
+        u = u.unionByName(idx.filter(pos < fwd)
+                          .withColumn("_chunk", chunk - 1).withColumn("_halo", F.lit(True)))
+    return u, Window.partitionBy(*k, "_chunk").orderBy("_idx")
+
+
+def drop_halo(df: DataFrame) -> DataFrame:
+    return df.filter(~F.col("_halo")).drop("_idx", "_chunk", "_halo")
+
+
 def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("symbol",),
                ts: str = "timestamp", partition: str | None = "1 week",
                chunk_rows: int = 100_000, keep_partition: bool = False,
@@ -63,27 +90,28 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("symb
                 for out, (src, n) in shifts.items()]
         out = d.select("*", *cols)
         return out if keep_partition else out.drop(PART_COL)
-
     back = max([n for _, n in shifts.values() if n > 0], default=0)
     fwd = max([-n for _, n in shifts.values() if n < 0], default=0)
-    size = max(chunk_rows, back, fwd, 1)
-    idx = dense_index(df, [ts, *tiebreak], keys=k, out="_idx")
-    pos = F.col("_idx") % size
-    chunk = F.floor(F.col("_idx") / size)
-    parts = [idx.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))]
-    if back:
-        parts.append(idx.filter(pos >= size - back)
-                     .withColumn("_chunk", chunk + 1).withColumn("_halo", F.lit(True)))
-    if fwd:
-        parts.append(idx.filter(pos < fwd)
-                     .withColumn("_chunk", chunk - 1).withColumn("_halo", F.lit(True)))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    w = Window.partitionBy(*k, "_chunk").orderBy("_idx")
+    u, w = halo_chunks(df, back=back, fwd=fwd, keys=k, order=[ts, *tiebreak],
+                       chunk_rows=chunk_rows)
     cols = [(F.lag(src, n) if n > 0 else F.lead(src, -n)).over(w).alias(out)
             for out, (src, n) in shifts.items()]
-    return u.select("*", *cols).filter(~F.col("_halo")).drop("_idx", "_chunk", "_halo")
+    return drop_halo(u.select("*", *cols))
+
+
+def moving_average(df: DataFrame, value: str, rows: int = 20, *, keys=("symbol",),
+                   ts: str = "timestamp", out: str | None = None,
+                   chunk_rows: int = 100_000) -> DataFrame:
+    """WIN-7: mean of the last ``rows`` rows (current included); null until
+    ``rows`` rows have been seen, like a pandas ``rolling(rows).mean()``.
+    The sum is exact (decimal), so the result does not depend on the frame
+    evaluation order."""
+    u, w = halo_chunks(df, back=rows - 1, keys=keys, order=[ts], chunk_rows=chunk_rows)
+    f = w.rowsBetween(-(rows - 1), 0)
+    mean = F.when(F.count(F.col(value)).over(f) == rows,
+                  F.sum(F.col(value).cast("decimal(28,8)")).over(f).cast("double")
+                  / F.lit(float(rows)))
+    return drop_halo(u.select("*", mean.alias(out or f"ma_{rows}")))
 
 
 def time_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("symbol",),
