@@ -58,7 +58,8 @@ def epoch_micros(ts: Column) -> Column:
 
 def parse_ts(text: Column, fmt: str | None = None) -> Column:
     """SCL-3: text -> timestamp (ISO 8601 when no format is given)."""
-    return (F.to_timestamp(text, fmt) if fmt else F.to_timestamp(text)).cast("timestamp_ntz")
+    parsed = F.try_to_timestamp(text, F.lit(fmt)) if fmt else F.try_to_timestamp(text)
+    return parsed.cast("timestamp_ntz")
 
 
 def year_of(ts: Column) -> Column:

@@ -26,3 +26,47 @@ def ticks_from_events(events: DataFrame, single_series: bool = False) -> DataFra
 def read_ticks(spark: SparkSession, sf_dir: str, single_series: bool = False) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"])
     return ticks_from_events(ev, single_series)
+
+
+# --------------------------------------------------------------------------- payloads
+# Stand-in message payloads in the feed's JSON shapes, one per event row.
+# Variants follow the event type so that the invalid cases the parser must
+# handle are present: 'error' events carry the text ``null`` (the producer's
+# failed poll), 'signup' events lack the event time, 'click' events carry a
+# fractional market_cap. The parsers never look at the event type.
+
+def _iso(ts: str = "ts"):
+    return F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def tick_documents(events: DataFrame, out: str = "json_string") -> DataFrame:
+    """events -> (event_id, F3 tick JSON text)."""
+    base = [F.col("value").alias("price"), F.col("value").alias("volume_24h")]
+    full = F.to_json(F.struct(*base, F.col("user_id").alias("market_cap"),
+                              F.col("event_type").alias("symbol"), _iso().alias("timestamp")))
+    no_time = F.to_json(F.struct(*base, F.col("user_id").alias("market_cap"),
+                                 F.col("event_type").alias("symbol")))
+    frac_cap = F.to_json(F.struct(*base, (F.col("user_id") + F.lit(0.5)).alias("market_cap"),
+                                  F.col("event_type").alias("symbol"), _iso().alias("timestamp")))
+    et = F.col("event_type")
+    text = (F.when(et == "error", F.lit("null")).when(et == "signup", no_time)
+            .when(et == "click", frac_cap).otherwise(full))
+    return events.select("event_id", text.alias(out))
+
+
+def ticker_documents(events: DataFrame, out: str = "json_string") -> DataFrame:
+    """events -> (event_id, F4 raw ticker document JSON text)."""
+    usd = F.struct(F.col("value").alias("price"), F.col("value").alias("volume_24h"),
+                   F.col("user_id").alias("market_cap"),
+                   (F.col("value") * F.lit(2.0)).alias("ath_price"),
+                   _iso().alias("ath_date"), F.lit(-50.0).alias("percent_from_price_ath"))
+    doc = F.struct(F.col("event_type").alias("symbol"), _iso().alias("last_updated"),
+                   F.struct(usd.alias("USD")).alias("quotes"))
+    return events.select("event_id", F.to_json(doc).alias(out))
+
+
+def array_payloads(events: DataFrame, out: str = "json_string") -> DataFrame:
+    """events -> (event_id, F4b ``{"data": [...]}`` JSON text, one element)."""
+    item = F.struct(F.col("value").alias("price"), F.col("value").alias("volume_24h"),
+                    F.col("user_id").alias("market_cap"), F.col("event_type").alias("BTC"))
+    return events.select("event_id", F.to_json(F.struct(F.array(item).alias("data"))).alias(out))
