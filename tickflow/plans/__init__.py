@@ -1,4 +1,4 @@
 """Named queries. Importing this package registers every plan module."""
 
-from tickflow.plans import evaluation, payloads, series, signals, tables  # noqa: F401
+from tickflow.plans import evaluation, models, payloads, series, signals, tables  # noqa: F401
 from tickflow.plans.registry import QUERIES  # noqa: F401
