@@ -1 +1 @@
-
+from tickflow.streaming import stream  # noqa: F401
