@@ -1,4 +1,5 @@
 """Named queries. Importing this package registers every plan module."""
 
-from tickflow.plans import evaluation, models, payloads, series, signals, streams, tables  # noqa: F401
+from tickflow.plans import (evaluation, files, models, payloads, series, signals,  # noqa: F401
+                            streams, tables)
 from tickflow.plans.registry import QUERIES  # noqa: F401
