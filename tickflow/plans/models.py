@@ -6,6 +6,7 @@ folds by week (ML-6)."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tickflow.ml import model as ML
@@ -35,7 +36,11 @@ def fitted(spark, sf_dir):
     if key not in _CACHE:
         train, test = training_sets(spark, sf_dir)
         names = ML.feature_columns(train)
-        model = ML.fit(ML.gbt_pipeline(names, max_iter=GBT_ITER, max_depth=4), train)
+        data = train.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = ML.fit(ML.gbt_pipeline(names, max_iter=GBT_ITER, max_depth=4), data)
+        finally:
+            data.unpersist()
         _CACHE.clear()
         _CACHE[key] = (model, names)
     return _CACHE[key]
@@ -58,7 +63,11 @@ def cv_best(spark, sf_dir):
     names = ML.feature_columns(train)
     pipe = ML.gbt_pipeline(names, max_iter=8, validation_col=None)
     grid = ML.small_grid(ML.gbt_of(pipe))
-    cv = ML.tune(pipe, grid, train.drop("isVal"), fold_col="fold", parallelism=2)
+    data = train.drop("isVal").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cv = ML.tune(pipe, grid, data, fold_col="fold", parallelism=2)
+    finally:
+        data.unpersist()
     return ML.cv_table(spark, cv, grid)
 
 
