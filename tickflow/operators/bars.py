@@ -61,7 +61,8 @@ def slot_grid(bars_df: DataFrame, width: str, *, keys=("symbol",),
     chunks = span.select(*k, "_lo", "_hi", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.col("_hi") - F.col("_lo")) / c).cast("long")
     )).alias("_c"))
-    chunks = chunks.repartition(*k, "_c") if k else chunks.repartition("_c")
+    n = int(bars_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(n, *k, "_c")
     slots = chunks.select(*k, F.explode(F.sequence(
         F.col("_lo") + F.col("_c") * c,
         F.least(F.col("_hi"), F.col("_lo") + F.col("_c") * c + (c - w)),

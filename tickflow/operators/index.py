@@ -84,7 +84,9 @@ def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx
     r = df.withColumn("_pid", slice_of(df, o[0], n)).withColumn("_series", series)
     local = r.withColumn("_local", F.row_number().over(
         Window.partitionBy("_pid", "_series").orderBy(*o)) - F.lit(1))
-    counts = r.groupBy("_pid", "_series").agg(F.count(F.lit(1)).alias("_n"))
+    # Counts come from the windowed frame itself: it is already clustered by
+    # (slice, series), so the count needs no shuffle and shares its exchange.
+    counts = local.groupBy("_pid", "_series").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_series").orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", "_series", F.coalesce(
@@ -105,7 +107,8 @@ def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str], *
     w = Window.partitionBy("_pid").orderBy(*o).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = r.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in v])
-    totals = r.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in v])
+    # Totals from the windowed frame: already clustered by slice, no shuffle.
+    totals = local.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in v])
     prior = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *[
         F.coalesce(F.sum(f"_t_{c}").over(prior), F.lit(0)).alias(f"_o_{c}") for c in v])

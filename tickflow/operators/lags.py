@@ -63,13 +63,15 @@ def halo_chunks(df: DataFrame, *, back: int, fwd: int = 0, keys=("symbol",),
     idx = dense_index(df, list(order), keys=k, out="_idx")
     pos = F.col("_idx") % size
     chunk = F.floor(F.col("_idx") / size)
-    u = idx.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
+    copies = [F.struct(chunk.alias("c"), F.lit(False).alias("h"))]
     if back:
-        u = u.unionByName(idx.filter(pos >= size - back)
-                          .withColumn("_chunk", chunk + 1).withColumn("_halo", F.lit(True)))
+        copies.append(F.when(pos >= size - back, F.struct((chunk + 1).alias("c"),
+                                                           F.lit(True).alias("h"))))
     if fwd:
-        u = u.unionByName(idx.filter(pos < fwd)
-                          .withColumn("_chunk", chunk - 1).withColumn("_halo", F.lit(True)))
+        copies.append(F.when(pos < fwd, F.struct((chunk - 1).alias("c"), F.lit(True).alias("h"))))
+    # One pass: each row emits itself and at most one halo copy.
+    u = (idx.select("*", F.explode(F.filter(F.array(*copies), lambda x: x.isNotNull())).alias("_x"))
+         .select("*", F.col("_x.c").alias("_chunk"), F.col("_x.h").alias("_halo")).drop("_x"))
     return u, Window.partitionBy(*k, "_chunk").orderBy("_idx")
 
 
@@ -120,10 +122,11 @@ def time_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("sym
     k = _keys(keys)
     span = max(s for _, s in shifts.values())
     micros = epoch_micros(F.col(ts))
-    d = df.withColumn("_us", micros).withColumn(
-        "_b", F.floor(F.col("_us") / F.lit(span * 1_000_000)))
-    u = (d.withColumn("_halo", F.lit(False))
-         .unionByName(d.withColumn("_b", F.col("_b") + 1).withColumn("_halo", F.lit(True))))
+    b = F.floor(micros / F.lit(span * 1_000_000))
+    u = df.select("*", micros.alias("_us"), F.explode(F.array(
+        F.struct(b.alias("b"), F.lit(False).alias("h")),
+        F.struct((b + 1).alias("b"), F.lit(True).alias("h")))).alias("_x"))
+    u = u.select("*", F.col("_x.b").alias("_b"), F.col("_x.h").alias("_halo")).drop("_x")
     w = Window.partitionBy(*k, "_b").orderBy("_us")
     cols = [F.max(src).over(w.rangeBetween(-s * 1_000_000, -s * 1_000_000)).alias(out)
             for out, (src, s) in shifts.items()]
