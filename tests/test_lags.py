@@ -57,12 +57,13 @@ def _random_bars(spark, n=700, symbols=("A", "B", "C")):
                                        "volume double")
 
 
-@pytest.mark.parametrize("parts", [1, 4, 13])
-def test_global_lags_match_single_window_any_partitioning(spark, parts):
+@pytest.mark.parametrize("parts,limit", [(1, None), (4, None), (13, None), (4, 10_000)])
+def test_global_lags_match_single_window_any_partitioning(spark, parts, limit):
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
         b = _random_bars(spark)
-        got = G.pct_change_features(b, [1, 7, 50], "5 minutes", partition=None, chunk_rows=64)
+        got = G.pct_change_features(b, [1, 7, 50], "5 minutes", partition=None, chunk_rows=64,
+                                    max_group_rows=limit)
         w = Window.partitionBy("symbol").orderBy("timestamp")
         exp = b.select("*", *[F.try_divide(F.col("price") - F.lag("price", k).over(w),
                                            F.lag("price", k).over(w)).alias(f"e{k}")
@@ -75,10 +76,10 @@ def test_global_lags_match_single_window_any_partitioning(spark, parts):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-@pytest.mark.parametrize("parts", [1, 3, 13])
-def test_dense_index_is_row_number(spark, parts):
+@pytest.mark.parametrize("parts,limit", [(1, None), (3, None), (13, None), (4, 10_000)])
+def test_dense_index_is_row_number(spark, parts, limit):
     b = _random_bars(spark, n=300)
-    got = dense_index(b, ["timestamp"], keys=["symbol"], partitions=parts)
+    got = dense_index(b, ["timestamp"], keys=["symbol"], partitions=parts, max_group_rows=limit)
     exp = got.withColumn("rn", F.row_number().over(
         Window.partitionBy("symbol").orderBy("timestamp")) - 1)
     assert exp.filter("idx != rn").count() == 0
@@ -87,16 +88,20 @@ def test_dense_index_is_row_number(spark, parts):
 
 def test_leads_in_global_mode(spark):
     b = _random_bars(spark, n=200, symbols=("A",))
-    got = G.row_shifts(b, {"nxt": ("price", -3)}, partition=None, chunk_rows=16)
+    got = G.row_shifts(b, {"nxt": ("price", -3)}, partition=None, chunk_rows=16,
+                       max_group_rows=None)
     exp = got.withColumn("e", F.lead("price", 3).over(Window.partitionBy("symbol").orderBy("timestamp")))
     assert exp.filter(~F.col("nxt").eqNullSafe(F.col("e"))).count() == 0
 
 
 def test_moving_average_null_until_full(spark):
     b = bars_df(spark, [("A", f"2024-01-01 00:{m:02d}:00", m) for m in range(0, 50, 2)])
-    r = G.moving_average(b, "price", 20, chunk_rows=4).orderBy("timestamp").collect()
-    assert all(x["ma_20"] is None for x in r[:19])
-    assert r[19]["ma_20"] == pytest.approx(sum(range(0, 40, 2)) / 20)
+    for limit in (None, 1000):
+        r = G.moving_average(b, "price", 20, chunk_rows=4,
+                             max_group_rows=limit).orderBy("timestamp").collect()
+        assert all(x["ma_20"] is None for x in r[:19])
+        assert r[19]["ma_20"] == pytest.approx(sum(range(0, 40, 2)) / 20)
+        assert r[-1]["ma_20"] == pytest.approx(sum(range(10, 50, 2)) / 20)
 
 
 def test_inverse_change_recovers_prior_price(spark):

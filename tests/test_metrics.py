@@ -16,10 +16,11 @@ def _brute_auc(rows):
     return tot / (len(pos) * len(neg))
 
 
-def test_auc_matches_pairwise_count_with_ties(spark):
+@pytest.mark.parametrize("limit", [None, 1000])
+def test_auc_matches_pairwise_count_with_ties(spark, limit):
     rnd = random.Random(11)
-    rows = [(rnd.randint(0, 1), 0, round(rnd.random(), 1)) for _ in range(400)]
-    got = M.auc_roc(_scored(spark, rows)).first()
+    rows = [(rnd.randint(0, 1), 0, round(rnd.random(), 2)) for _ in range(400)]
+    got = M.auc_roc(_scored(spark, rows), max_group_rows=limit).first()
     assert got["auc"] == pytest.approx(_brute_auc(rows), abs=1e-12)
     assert got["n_pos"] + got["n_neg"] == 400
 

@@ -10,6 +10,10 @@ slice's offset to a local rank / running total computed inside the slice.
 
 A slice holds about 1/n of the rows whatever the key skew, because the bounds
 come from the data's own distribution.
+
+When one aggregate job measures every group at or under ``MAX_GROUP_ROWS``
+rows, the plain window is used instead: its task size is then proven by the
+measurement, and it needs one shuffle instead of three.
 """
 
 from __future__ import annotations
@@ -27,6 +31,26 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+# Largest group one window task may hold when that size has been measured.
+# Above it (or unmeasured) the slice/halo plans run; both give equal results.
+MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows in the largest group of ``keys`` (one partial+final aggregate job;
+    only a single number reaches the driver)."""
+    if keys:
+        g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"))
+    else:
+        g = df.agg(F.count(F.lit(1)))
+    return int(g.first()[0] or 0)
+
+
+def fits_one_task(df: DataFrame, keys: Sequence[str], limit: int | None) -> bool:
+    """True when every group is measured to hold at most ``limit`` rows."""
+    return limit is not None and limit > 0 and largest_group(df, keys) <= limit
+
+
 def _partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
         return partitions
@@ -65,7 +89,8 @@ def slice_of(df: DataFrame, col: str, n: int, rel_err: float = 0.001) -> Column:
 
 
 def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None,
+                max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """WIN-8: dense 0-based position of each row within its series by ``order``.
 
     Replaces ``monotonically_increasing_id`` (not dense, partition-dependent)
@@ -79,6 +104,9 @@ def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx
     partitioning, so the big side is shuffled once.
     """
     k, o = _keys(keys), list(order)
+    if fits_one_task(df, k, max_group_rows):
+        w = Window.partitionBy(*k).orderBy(*o)
+        return df.withColumn(out, (F.row_number().over(w) - F.lit(1)).cast("long"))
     n = _partitions(df, partitions)
     series = F.struct(*[F.col(c) for c in k]) if k else F.lit(0)
     r = df.withColumn("_pid", slice_of(df, o[0], n)).withColumn("_series", series)
@@ -96,12 +124,16 @@ def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx
 
 
 def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str], *,
-                   suffix: str = "_cum", partitions: int | None = None) -> DataFrame:
+                   suffix: str = "_cum", partitions: int | None = None,
+                   max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Global running sums of ``values`` in ``order`` (inclusive of the row).
 
     The offset table has one row per slice, a size fixed by ``partitions``,
     so broadcasting it is bounded by construction."""
     o, v = list(order), list(values)
+    if fits_one_task(df, [], max_group_rows):
+        w = Window.orderBy(*o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select(*df.columns, *[F.sum(c).over(w).alias(f"{c}{suffix}") for c in v])
     n = _partitions(df, partitions)
     r = df.withColumn("_pid", slice_of(df, o[0], n))
     w = Window.partitionBy("_pid").orderBy(*o).rowsBetween(

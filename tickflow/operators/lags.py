@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tickflow.functions.change import pct_change
 from tickflow.functions.temporal import duration_label, duration_seconds, epoch_micros
-from tickflow.operators.index import dense_index
+from tickflow.operators.index import MAX_GROUP_ROWS, dense_index, fits_one_task
 
 # The reference's six training horizons over 5-minute bars
 # (3, 6, 12, 72, 144 and 288 bars).
@@ -51,16 +51,23 @@ def with_partition_key(df: DataFrame, ts: str, partition: str, name: str = PART_
 
 
 def halo_chunks(df: DataFrame, *, back: int, fwd: int = 0, keys=("symbol",),
-                order: Sequence[str] = ("timestamp",), chunk_rows: int = 100_000):
+                order: Sequence[str] = ("timestamp",), chunk_rows: int = 100_000,
+                max_group_rows: int | None = MAX_GROUP_ROWS):
     """Rows cut into chunks of consecutive positions per series, each chunk
     extended by a halo: the ``back`` rows before it and the ``fwd`` rows after
     it (copies flagged ``_halo``). A window over (series, ``_chunk``) ordered
     by ``_idx`` then sees every neighbour within ``back``/``fwd`` rows, and
     one partition never holds more than ``chunk_rows + back + fwd`` rows.
-    Returns (union, window spec)."""
+    Returns (frame, window spec). When every series is measured to fit one
+    task (``max_group_rows``), the frame is the input and the spec a plain
+    per-series window."""
     k = _keys(keys)
+    if fits_one_task(df, k, max_group_rows):
+        plain = (df.withColumn("_idx", F.lit(None).cast("long"))
+                 .withColumn("_chunk", F.lit(0).cast("long")).withColumn("_halo", F.lit(False)))
+        return plain, Window.partitionBy(*k).orderBy(*order)
     size = max(chunk_rows, back, fwd, 1)
-    idx = dense_index(df, list(order), keys=k, out="_idx")
+    idx = dense_index(df, list(order), keys=k, out="_idx", max_group_rows=None)
     pos = F.col("_idx") % size
     chunk = F.floor(F.col("_idx") / size)
     copies = [F.struct(chunk.alias("c"), F.lit(False).alias("h"))]
@@ -82,7 +89,8 @@ def drop_halo(df: DataFrame) -> DataFrame:
 def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("symbol",),
                ts: str = "timestamp", partition: str | None = "1 week",
                chunk_rows: int = 100_000, keep_partition: bool = False,
-               tiebreak: Sequence[str] = ()) -> DataFrame:
+               tiebreak: Sequence[str] = (),
+               max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Add ``out = value of src k rows earlier`` (k > 0) or later (k < 0)."""
     k = _keys(keys)
     if partition is not None:
@@ -95,7 +103,7 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("symb
     back = max([n for _, n in shifts.values() if n > 0], default=0)
     fwd = max([-n for _, n in shifts.values() if n < 0], default=0)
     u, w = halo_chunks(df, back=back, fwd=fwd, keys=k, order=[ts, *tiebreak],
-                       chunk_rows=chunk_rows)
+                       chunk_rows=chunk_rows, max_group_rows=max_group_rows)
     cols = [(F.lag(src, n) if n > 0 else F.lead(src, -n)).over(w).alias(out)
             for out, (src, n) in shifts.items()]
     return drop_halo(u.select("*", *cols))
@@ -103,12 +111,14 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("symb
 
 def moving_average(df: DataFrame, value: str, rows: int = 20, *, keys=("symbol",),
                    ts: str = "timestamp", out: str | None = None,
-                   chunk_rows: int = 100_000) -> DataFrame:
+                   chunk_rows: int = 100_000,
+                   max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """WIN-7: mean of the last ``rows`` rows (current included); null until
     ``rows`` rows have been seen, like a pandas ``rolling(rows).mean()``.
     The sum is exact (decimal), so the result does not depend on the frame
     evaluation order."""
-    u, w = halo_chunks(df, back=rows - 1, keys=keys, order=[ts], chunk_rows=chunk_rows)
+    u, w = halo_chunks(df, back=rows - 1, keys=keys, order=[ts], chunk_rows=chunk_rows,
+                       max_group_rows=max_group_rows)
     f = w.rowsBetween(-(rows - 1), 0)
     mean = F.when(F.count(F.col(value)).over(f) == rows,
                   F.sum(F.col(value).cast("decimal(28,8)")).over(f).cast("double")
@@ -138,7 +148,8 @@ def pct_change_features(bars: DataFrame, horizons: Sequence[str | int] = tuple(R
                         price: str = "price", partition: str | None = "1 week",
                         mode: str = "rows", scale: float = 1.0, round_to: int | None = None,
                         prefix: str = "percent_change_", chunk_rows: int = 100_000,
-                        keep_partition: bool = False) -> DataFrame:
+                        keep_partition: bool = False,
+                        max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """WIN-1 / WIN-2: ``(p - p_h) / p_h`` per horizon, named by duration
     (``percent_change_15m`` ...). ``scale=100`` and ``round_to=2`` give the
     exploratory percent form. Horizons are durations (converted to rows with
@@ -151,7 +162,8 @@ def pct_change_features(bars: DataFrame, horizons: Sequence[str | int] = tuple(R
     if mode == "rows":
         shifts = {f"_lag_{sec // wsec}": (price, sec // wsec) for _, sec in specs}
         out = row_shifts(bars, shifts, keys=keys, ts=ts, partition=partition,
-                         chunk_rows=chunk_rows, keep_partition=keep_partition)
+                         chunk_rows=chunk_rows, keep_partition=keep_partition,
+                         max_group_rows=max_group_rows)
         lag_of = {name: f"_lag_{sec // wsec}" for name, sec in specs}
     elif mode == "time":
         shifts = {f"_lag_{sec}s": (price, sec) for _, sec in specs}
@@ -173,11 +185,13 @@ def pct_change_features(bars: DataFrame, horizons: Sequence[str | int] = tuple(R
 def lag_change(df: DataFrame, value: str, *, rows: int = 1, keys=("symbol",),
                ts: str = "timestamp", partition: str | None = None, out: str | None = None,
                prev_name: str | None = None, scale: float = 100.0,
-               round_to: int | None = None) -> DataFrame:
+               round_to: int | None = None,
+               max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """WIN-5 / WIN-6: change of ``value`` against ``rows`` rows earlier, in
     percent by default (``(v - prev) / prev * 100``)."""
     prev = prev_name or f"prev_{value}"
-    d = row_shifts(df, {prev: (value, rows)}, keys=keys, ts=ts, partition=partition)
+    d = row_shifts(df, {prev: (value, rows)}, keys=keys, ts=ts, partition=partition,
+                   max_group_rows=max_group_rows)
     c = pct_change(F.col(value), F.col(prev)) * F.lit(float(scale))
     if round_to is not None:
         c = F.round(c, round_to)

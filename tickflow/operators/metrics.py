@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.change import class_name
-from tickflow.operators.index import running_totals
+from tickflow.operators.index import MAX_GROUP_ROWS, running_totals
 
 
 def confusion_matrix(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
@@ -50,7 +50,8 @@ def score_counts(df: DataFrame, label: str = "target", score: str = "score") ->
         F.sum(F.when(y == 1, 0).otherwise(1)).cast("long").alias("neg"))
 
 
-def auc_roc(df: DataFrame, label: str = "target", score: str = "score") -> DataFrame:
+def auc_roc(df: DataFrame, label: str = "target", score: str = "score",
+            max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """AGG-9, exact: Mann-Whitney U with average ranks for tied scores.
 
     AUC = sum over distinct scores s of pos(s) * (neg_below(s) + neg(s)/2)
@@ -58,7 +59,8 @@ def auc_roc(df: DataFrame, label: str = "target", score: str = "score") -> DataF
     distinct scores, computed by range slices (no single-task sort). The
     numerator is kept in integers (twice the value) so the result is exact.
     Null when one class is absent."""
-    cum = running_totals(score_counts(df, label, score), ["score"], ["neg"])
+    cum = running_totals(score_counts(df, label, score), ["score"], ["neg"],
+                         max_group_rows=max_group_rows)
     twice = F.col("pos") * (2 * (F.col("neg_cum") - F.col("neg")) + F.col("neg"))
     agg = cum.agg(F.sum(twice).cast("long").alias("_u2"), F.sum("pos").cast("long").alias("n_pos"),
                   F.sum("neg").cast("long").alias("n_neg"))

@@ -93,13 +93,26 @@ def _global_oracle():
 @query("pct_change_global", ("WIN-2", "WIN-8", "SCL-8", "SCL-11"), oracle=_global_oracle())
 def pct_change_global(spark, sf_dir):
     """One series, lags of 1 bar up to one year, percent units rounded to 2
-    places, over the whole series (no week partition). Runs through the
-    dense index and chunk-with-halo windows, never one global partition."""
+    places, over the whole series (no week partition). A series measured to
+    fit one task gets a plain per-series window; a larger one goes through
+    the dense index and chunk-with-halo windows."""
     return G.pct_change_features(_bars(spark, sf_dir, single=True), G.GLOBAL_HORIZONS,
                                  "5 minutes", partition=None, scale=100.0, round_to=2,
                                  chunk_rows=2048)
 
 
+@query("pct_change_global_halo", ("WIN-2", "WIN-8"), oracle=_global_oracle())
+def pct_change_global_halo(spark, sf_dir):
+    """As pct_change_global, always through the large-series plan: dense
+    index by quantile slices, then chunks extended by a halo as long as the
+    longest lag, one window per chunk. A chunk is never shorter than the
+    longest lag, so with the one-year lag each chunk spans at least 105,120
+    bars (one chunk at the test scales; multi-chunk halos are unit-tested)."""
+    return G.pct_change_features(_bars(spark, sf_dir, single=True), G.GLOBAL_HORIZONS,
+                                 "5 minutes", partition=None, scale=100.0, round_to=2,
+                                 chunk_rows=2048, max_group_rows=None)
+
+
 @query("pct_inverse", ("SCL-10", "WIN-1"), oracle=f"""
 SELECT symbol, timestamp, price, percent_change_15m,
        price / NULLIF(1 + percent_change_15m, 0) AS prior_price_15m,
@@ -171,6 +184,9 @@ SELECT event_id, event_type, ts,
        row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS idx
 FROM events""")
 def dense_row_index(spark, sf_dir):
-    """Dense 0-based position of every event within its type, by time."""
+    """Dense 0-based position of every event within its type, by time,
+    always through the quantile-slice plan (no size shortcut), so this check
+    covers the path used for series too large for one task."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "event_type", "ts"])
-    return dense_index(ev, ["ts", "event_id"], keys=["event_type"], out="idx")
+    return dense_index(ev, ["ts", "event_id"], keys=["event_type"], out="idx",
+                       max_group_rows=None)
