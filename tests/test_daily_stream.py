@@ -46,3 +46,26 @@ def test_stream_parse_equals_batch(spark):
     exp = K.parse_ticks(E.tick_documents(spark.read.parquet(path)), keep=["event_id"]).drop(
         "json_string")
     assert got.count() == exp.count() and got.exceptAll(exp).count() == 0
+
+
+def test_stream_lags_across_batches_and_late_rows(spark):
+    import datetime as dt
+
+    from tickflow.streaming.stateful import stream_lag_features
+    from tickflow.session import scratch_path
+    base = dt.datetime(2024, 1, 4)  # Thursday: one week partition
+    drops = [[0, 1, 2], [3, 4], [1, 5]]  # the last drop repeats an old slot -> late
+    landing = scratch_path(spark, "test_lag_landing")
+    for d in drops:
+        rows = [("A", base + dt.timedelta(minutes=5 * i), float(100 + i), 1.0) for i in d]
+        spark.createDataFrame(rows, "symbol string, timestamp timestamp, price double, "
+                                    "volume double").coalesce(1).write.mode("append").parquet(landing)
+    s = ST.file_stream(spark, landing, spark.read.parquet(landing).schema, max_files_per_trigger=1)
+    out = ST.run_available(stream_lag_features(s, ["5 minutes", "10 minutes"], "5 minutes"),
+                           spark, "test_lags")
+    got = sorted(((r["timestamp"].minute, r["percent_change_5m"], r["late"]) for r in out.collect()),
+                 key=lambda g: (g[2], g[0]))
+    assert [g for g in got if not g[2]] == [
+        (0, None, False), (5, 1 / 100, False), (10, 1 / 101, False), (15, 1 / 102, False),
+        (20, 1 / 103, False), (25, 1 / 104, False)]
+    assert [g for g in got if g[2]] == [(5, None, True)]

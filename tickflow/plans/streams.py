@@ -12,6 +12,8 @@ from tickflow.plans.registry import query
 from tickflow.session import scratch_path, table_path
 from tickflow.sources import events as E
 from tickflow.sources import ticks as K
+from tickflow.plans.series import REF, _bars
+from tickflow.streaming import stateful as SF
 from tickflow.streaming import stream as ST
 
 DELAY = "10 minutes"
@@ -67,3 +69,25 @@ def stream_score(spark, sf_dir):
     s = ST.file_stream(spark, landing, spark.read.parquet(landing).schema)
     scored = ML.predict(model, s).select("symbol", "timestamp", "price", "prediction", "prob_1")
     return ST.run_available(scored, spark, "stream_score")
+
+
+@query("stream_lags", ("WIN-1", "STR-2", "EXT"), oracle=f"""
+SELECT * EXCLUDE (wk), false AS late FROM ({O.week_lags(O.bars('5 minutes'), REF, '5 minutes')}) x""")
+def stream_lags(spark, sf_dir):
+    """Week-partitioned lagged changes computed on a stream: 5-minute bars
+    land as files in time order (six 5-day drops), a file per micro-batch,
+    lags carried across batches in per-(symbol, week) state."""
+    bars = _bars(spark, sf_dir)
+    landing = scratch_path(spark, "bars_landing")
+    edges = ["2023-12-27", "2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21",
+             "2024-01-26", "2024-02-01"]
+    lo = F.col("timestamp")
+    for a, b in zip(edges[:-1], edges[1:]):
+        part = bars.filter((lo > F.lit(a).cast("timestamp_ntz")) & (lo <= F.lit(b).cast("timestamp_ntz")))
+        part.coalesce(1).write.mode("append").parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    s = ST.file_stream(spark, landing, schema, max_files_per_trigger=1)
+    s = s.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    out = SF.stream_lag_features(s, REF, "5 minutes")
+    out = out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return ST.run_available(out, spark, "stream_lags")
