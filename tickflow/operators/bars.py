@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from tickflow.functions.change import exact_sum
 from tickflow.functions.temporal import duration_seconds
@@ -22,12 +23,32 @@ def _keys(keys: Sequence[str] | str | None) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def last_by_time(value: str, ts: str, tiebreak: str | None) -> Column:
+# Packing (event time, integer tiebreak) into one decimal(38,0) keeps the
+# ordering fixed-width, so Spark can use a hash aggregate; a struct ordering
+# forces a sort-based aggregate. micros * 10^20 + (tiebreak + 2^63) orders
+# exactly like (micros, tiebreak) for any long tiebreak and any year < 5000.
+_SHIFT = "CAST('100000000000000000000' AS DECIMAL(38,0))"
+_OFFSET = "CAST('9223372036854775808' AS DECIMAL(20,0))"
+_INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
+
+
+def time_order_key(ts: str, tiebreak: str | None, integral_tiebreak: bool = True) -> Column:
+    """Ordering of rows by (ts, tiebreak) as one comparable value."""
+    if not tiebreak:
+        return F.col(ts)
+    if not integral_tiebreak:
+        return F.struct(F.col(ts), F.col(tiebreak))
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(38,0)")
+    tb = F.col(tiebreak).cast("decimal(20,0)") + F.expr(_OFFSET)
+    return (micros * F.expr(_SHIFT) + tb).cast("decimal(38,0)")
+
+
+def last_by_time(value: str, ts: str, tiebreak: str | None,
+                 integral_tiebreak: bool = True) -> Column:
     """Deterministic 'last' value: the value of the latest row, ties broken by
     a unique column (replaces ``last()`` after a sort, which depends on the
     order rows reach the aggregate)."""
-    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
-    return F.max_by(F.col(value), order)
+    return F.max_by(F.col(value), time_order_key(ts, tiebreak, integral_tiebreak))
 
 
 def bars(ticks: DataFrame, width: str = "5 minutes", *, keys=("symbol",),
@@ -39,8 +60,9 @@ def bars(ticks: DataFrame, width: str = "5 minutes", *, keys=("symbol",),
     reference). Output: keys, timestamp, price, <volume_name>."""
     k = _keys(keys)
     vol = exact_sum(F.col(volume)) if exact else F.sum(volume)
+    integral = bool(tiebreak) and isinstance(ticks.schema[tiebreak].dataType, _INTEGRAL)
     agg = (ticks.groupBy(*k, F.window(F.col(ts), width).alias("_w"))
-           .agg(last_by_time(price, ts, tiebreak).alias("price"),
+           .agg(last_by_time(price, ts, tiebreak, integral).alias("price"),
                 vol.alias(volume_name)))
     return agg.select(*k, F.col("_w.end").alias("timestamp"), "price", volume_name)
 
