@@ -32,3 +32,37 @@ def predictions_csv(spark, sf_dir):
     preds = rule_predictions(spark, sf_dir).select("label", "prob", "price", "time")
     path = FS.write_predictions_csv(preds, scratch_path(spark, "preds_csv"))
     return FS.read_predictions_csv(spark, path)
+
+
+@query("minute_csv_roundtrip", ("SRC-2", "PRJ-8", "PRJ-9", "PRJ-11", "SCL-2", "FLT-4", "SNK-4",
+                                "SRC-1"), oracle="""
+SELECT DISTINCT CAST(floor(epoch(ts)) AS BIGINT) AS unix, ts AS date, 'BTC/USD' AS symbol,
+       value AS open, value AS high, value AS low, value AS close,
+       value AS "Volume BTC", value AS "Volume USD", CAST(year(ts) AS INTEGER) AS year
+FROM events""")
+def minute_csv_roundtrip(spark, sf_dir):
+    """The historical-file preparation end to end: raw minute rows land as a
+    CSV (events in the raw minute layout: a rename only), are read back with
+    the raw schema, normalised (renamed volumes, unix seconds, literal
+    symbol, nine columns, duplicates dropped), written one CSV folder per
+    year and read back through the year-file scan."""
+    from tickflow.operators import columns as C
+    from tickflow.functions import temporal as T
+    from tickflow import schemas as S
+    ev = read_table(spark, sf_dir, "events", ["ts", "value"])
+    raw = ev.select(F.col("ts").cast("timestamp").alias("timestamp"), *[
+        F.col("value").alias(c) for c in ("open", "high", "low", "close", "volume",
+                                          "quote_asset_volume")])
+    raw_path = FS.write_csv(raw, scratch_path(spark, "raw_minutes_csv"))
+    r = FS.read_raw_csv(spark, raw_path, S.RAW_MINUTE_CSV)
+    d = C.rename(r, {"timestamp": "date", "volume": "Volume BTC",
+                     "quote_asset_volume": "Volume USD"})
+    d = d.withColumn("date", F.col("date").cast("timestamp_ntz"))
+    d = d.withColumn("unix", T.ts_to_seconds(F.col("date")))
+    d = C.dedup(C.subset(C.with_literal(d, "symbol", "BTC/USD"),
+                         ["unix", "date", "symbol", "open", "high", "low", "close",
+                          "Volume BTC", "Volume USD"]))
+    year_path = FS.write_year_csvs(d, "date", scratch_path(spark, "minutes_by_year"))
+    schema = StructType([f if f.name != "date" else f.__class__("date", d.schema["date"].dataType)
+                         for f in S.MINUTE_CSV.fields])
+    return FS.read_year_csvs(spark, year_path, schema)

@@ -11,6 +11,20 @@ from tickflow import schemas as S
 
 # Fixed value: a year-file is any entry whose name holds four consecutive digits.
 YEAR_GLOB = "*[0-9][0-9][0-9][0-9]*"
+# Microsecond timestamp layouts for writing (the CSV writer's
+# defaults keep milliseconds only). Reads keep Spark's lenient default
+# parser, which accepts these as well as plain 'yyyy-MM-dd HH:mm:ss' text.
+CSV_WRITE_OPTIONS = {
+    "header": "true",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+CSV_READ_OPTIONS = {"header": "true"}
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+    return path
 
 
 def read_year_csvs(spark: SparkSession, directory: str, schema: StructType = S.MINUTE_CSV,
@@ -20,20 +34,20 @@ def read_year_csvs(spark: SparkSession, directory: str, schema: StructType = S.M
     ``year=2022/`` folders ``write_year_csvs`` produces (the year then comes
     back as a partition column)."""
     base = directory.rstrip("/")
-    return (spark.read.schema(schema).option("header", header).option("basePath", base)
-            .csv(f"{base}/{YEAR_GLOB}"))
+    return (spark.read.schema(schema).options(**CSV_READ_OPTIONS).option("header", header)
+            .option("basePath", base).csv(f"{base}/{YEAR_GLOB}"))
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: StructType = S.RAW_MINUTE_CSV) -> DataFrame:
     """SRC-2: the raw historical minute file."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
 
 
 def write_year_csvs(df: DataFrame, ts: str, path: str, mode: str = "overwrite") -> str:
     """SNK-4: one header CSV folder per year. The writer sorts rows by year
     inside each task, so no extra shuffle is added."""
     (df.withColumn("year", F.year(F.col(ts))).write.mode(mode).partitionBy("year")
-     .option("header", True).csv(path))
+     .options(**CSV_WRITE_OPTIONS).csv(path))
     return path
 
 
@@ -46,13 +60,13 @@ def write_predictions_csv(preds: DataFrame, path: str) -> str:
     0..3 (label, prob, price, time)."""
     cols = [F.col(f.name).alias(str(i)) for i, f in enumerate(S.PREDICTIONS_CSV.fields)]
     (preds.select(F.monotonically_increasing_id().alias("index"), *cols)
-     .write.mode("overwrite").option("header", True).csv(path))
+     .write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path))
     return path
 
 
 def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
     """SRC-3: index dropped, columns named label, prob, price, time, sorted
     by time."""
-    df = spark.read.schema(PREDICTIONS_FILE).option("header", True).csv(path)
+    df = spark.read.schema(PREDICTIONS_FILE).options(**CSV_READ_OPTIONS).csv(path)
     named = df.select(*[F.col(str(i)).alias(f.name) for i, f in enumerate(S.PREDICTIONS_CSV.fields)])
     return named.orderBy("time")
