@@ -50,19 +50,16 @@ def minute_csv_roundtrip(spark, sf_dir):
     from tickflow.functions import temporal as T
     from tickflow import schemas as S
     ev = read_table(spark, sf_dir, "events", ["ts", "value"])
-    raw = ev.select(F.col("ts").cast("timestamp").alias("timestamp"), *[
+    raw = ev.select(F.col("ts").alias("timestamp"), *[
         F.col("value").alias(c) for c in ("open", "high", "low", "close", "volume",
                                           "quote_asset_volume")])
     raw_path = FS.write_csv(raw, scratch_path(spark, "raw_minutes_csv"))
     r = FS.read_raw_csv(spark, raw_path, S.RAW_MINUTE_CSV)
     d = C.rename(r, {"timestamp": "date", "volume": "Volume BTC",
                      "quote_asset_volume": "Volume USD"})
-    d = d.withColumn("date", F.col("date").cast("timestamp_ntz"))
     d = d.withColumn("unix", T.ts_to_seconds(F.col("date")))
     d = C.dedup(C.subset(C.with_literal(d, "symbol", "BTC/USD"),
                          ["unix", "date", "symbol", "open", "high", "low", "close",
                           "Volume BTC", "Volume USD"]))
     year_path = FS.write_year_csvs(d, "date", scratch_path(spark, "minutes_by_year"))
-    schema = StructType([f if f.name != "date" else f.__class__("date", d.schema["date"].dataType)
-                         for f in S.MINUTE_CSV.fields])
-    return FS.read_year_csvs(spark, year_path, schema)
+    return FS.read_year_csvs(spark, year_path, S.MINUTE_CSV)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (ArrayType, DoubleType, FloatType, LongType,
                                StringType, StructField, StructType,
-                               TimestampType)
+                               TimestampNTZType, TimestampType)
 
 # The numeric fields of a ticker quote, in the order the
 # ticker feed publishes them.
@@ -64,9 +64,9 @@ ARRAY_ITEM = StructType(
        StructField("beta_value", FloatType(), True)])
 ARRAY_PAYLOAD = StructType([StructField("data", ArrayType(ARRAY_ITEM), True)])
 
-# raw historical minute bars.
+# raw historical minute bars (times are zone-free UTC wall clock).
 RAW_MINUTE_CSV = StructType([
-    StructField("timestamp", TimestampType(), True),
+    StructField("timestamp", TimestampNTZType(), True),
     StructField("open", DoubleType(), True),
     StructField("high", DoubleType(), True),
     StructField("low", DoubleType(), True),
@@ -78,7 +78,7 @@ RAW_MINUTE_CSV = StructType([
 # normalised minute bars, one CSV per year.
 MINUTE_CSV = StructType([
     StructField("unix", LongType(), True),
-    StructField("date", TimestampType(), True),
+    StructField("date", TimestampNTZType(), True),
     StructField("symbol", StringType(), True),
     StructField("open", DoubleType(), True),
     StructField("high", DoubleType(), True),
@@ -88,12 +88,13 @@ MINUTE_CSV = StructType([
     StructField("Volume USD", DoubleType(), True),
 ])
 
-# stored predictions (label, P(class 1), price, time).
+# stored predictions (label, P(class 1), price, time). Times are UTC
+# wall-clock values without a zone, like every bar time in the engine.
 PREDICTIONS_CSV = StructType([
     StructField("label", DoubleType(), True),
     StructField("prob", DoubleType(), True),
     StructField("price", DoubleType(), True),
-    StructField("time", TimestampType(), True),
+    StructField("time", TimestampNTZType(), True),
 ])
 
 # Canonical tick row used by every bar/feature transform.
