@@ -62,3 +62,14 @@ def test_roc_curve_ends_at_one(spark):
 def test_log_loss_clips(spark):
     ll = M.log_loss(_scored(spark, [(1, 1, 1.0), (0, 0, 0.0)])).first()["log_loss"]
     assert ll == pytest.approx(0.0, abs=1e-12)
+
+
+def test_binned_roc_area_close_to_exact_auc(spark):
+    rnd = random.Random(9)
+    rows = [(y, 0, min(max(rnd.gauss(0.4 + 0.2 * y, 0.15), 0.0), 0.999)) for y in
+            (rnd.randint(0, 1) for _ in range(2000))]
+    df = _scored(spark, rows)
+    exact = M.auc_roc(df).first()["auc"]
+    pts = M.roc_points(df, bins=1000)
+    area = M.auc_from_curve(pts, "fpr", "tpr").first()["area"]
+    assert area == pytest.approx(exact, abs=2e-3)

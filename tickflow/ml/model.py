@@ -16,7 +16,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow.functions.temporal import ts_to_seconds
@@ -154,14 +154,16 @@ def fitted_params(model: PipelineModel) -> dict[str, str]:
 
 def score_report(spark: SparkSession, model: PipelineModel, train_pred: DataFrame,
                  test_pred: DataFrame, label: str = "target") -> DataFrame:
-    """ML-8: one row: train/test AUC, test accuracy, precision, recall and the
-    fitted parameters. Counts come from one distributed aggregate."""
+    """ML-8: one row: train/test AUC, test area under PR, test accuracy,
+    precision, recall, F1 and the fitted parameters. Counts come from one
+    distributed aggregate."""
     from tickflow.operators.metrics import binary_metrics
     m = binary_metrics(test_pred, label=label, prediction="prediction")
     params = F.create_map(*[x for k, v in sorted(fitted_params(model).items())
                             for x in (F.lit(k), F.lit(v))])
     return m.select(F.lit(auc(train_pred, label)).alias("train_auc"),
                     F.lit(auc(test_pred, label)).alias("test_auc"),
+                    F.lit(auc(test_pred, label, "areaUnderPR")).alias("test_aupr"),
                     "accuracy", "precision", "recall", "f1", params.alias("params"))
 
 
@@ -182,8 +184,3 @@ def save_model(model: PipelineModel | None, path: str, stamp: bool = True) -> st
 def load_model(path: str) -> PipelineModel:
     """SNK-6: load a saved pipeline (the session stays up)."""
     return PipelineModel.load(path)
-
-
-def key_split(key: Column, buckets: int = 5) -> Column:
-    from tickflow.operators.split import hash_bucket
-    return hash_bucket(key, buckets)

@@ -114,9 +114,13 @@ def pr_points(df: DataFrame, label: str = "target", score: str = "score",
                     F.try_divide(F.col("tp").cast("double"), F.col("p")).alias("recall"))
 
 
-def auc_from_curve(points: DataFrame, x: str = "fpr", y: str = "tpr") -> DataFrame:
-    """Trapezoid area under a small curve table (binned AUC / AUPR)."""
-    w = Window.orderBy(x, y)
-    seg = points.select((F.col(x) - F.lag(x, 1, 0.0).over(w))
-                        * (F.col(y) + F.lag(y, 1, 0.0).over(w)) / 2)
-    return seg.agg(F.sum(seg.columns[0]).alias("area"))
+def auc_from_curve(points: DataFrame, x: str = "fpr", y: str = "tpr",
+                   start: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
+    """Trapezoid area under a curve table of at most bins + 1 points (binned
+    AUC, or area under PR with x = recall, y = precision), starting from the
+    point ``start``."""
+    w = Window.orderBy(x, F.desc(y))
+    seg = points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        ((F.col(x) - F.lag(x, 1, start[0]).over(w))
+         * (F.col(y) + F.lag(y, 1, start[1]).over(w)) / 2).alias("_a"))
+    return seg.agg(F.sum("_a").alias("area"))

@@ -113,3 +113,18 @@ FROM c""")
 def pr_points(spark, sf_dir):
     """Precision-recall curve over 100 score bins."""
     return M.pr_points(scored_rows(spark, sf_dir), bins=BINS)
+
+
+@query("auc_pr_binned", ("AGG-10", "AGG-11"), oracle=_CURVE + """,
+pr AS (SELECT CAST(tp AS DOUBLE) / NULLIF(p, 0) AS recall,
+              CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0) AS precision FROM c),
+s AS (SELECT (recall - lag(recall, 1, 0.0) OVER w) * (precision + lag(precision, 1, 1.0) OVER w) / 2 AS a
+      FROM pr WHERE recall IS NOT NULL AND precision IS NOT NULL
+      WINDOW w AS (ORDER BY recall, precision DESC))
+SELECT round(SUM(a), 12) AS area FROM s""")
+def auc_pr_binned(spark, sf_dir):
+    """Area under the precision-recall curve (trapezoids over 100 score
+    bins, starting at recall 0 / precision 1), reported to 12 decimals."""
+    pts = M.pr_points(scored_rows(spark, sf_dir), bins=BINS)
+    area = M.auc_from_curve(pts, x="recall", y="precision", start=(0.0, 1.0))
+    return area.select(F.round("area", 12).alias("area"))

@@ -125,9 +125,6 @@ def _split_key():
     return T.ts_to_seconds(F.col("timestamp"))
 
 
-_LABEL_SQL = None  # filled lazily from series oracles
-
-
 def _hash_sql(col="CAST(floor(epoch(timestamp)) AS BIGINT)"):
     return f"(CAST('0x' || substr(md5(CAST({col} AS VARCHAR)), 1, 8) AS BIGINT) % 5)"
 
