@@ -112,3 +112,17 @@ def test_inverse_change_recovers_prior_price(spark):
     f = f.withColumn("back", prior_from_change(F.col("price"), F.col("percent_change_15m")))
     for r in f.filter("lagp is not null").collect():
         assert r["back"] == pytest.approx(r["lagp"], rel=1e-12)
+
+
+def test_dense_index_with_many_slices_uses_bucketizer(spark):
+    from tickflow.operators import index as I
+    b = _random_bars(spark, n=700)
+    old = I.CASE_LIMIT
+    I.CASE_LIMIT = 8
+    try:
+        got = dense_index(b, ["timestamp"], keys=["symbol"], partitions=40, max_group_rows=None)
+        exp = got.withColumn("rn", F.row_number().over(
+            Window.partitionBy("symbol").orderBy("timestamp")) - 1)
+        assert exp.filter("idx != rn").count() == 0 and got.count() == b.count()
+    finally:
+        I.CASE_LIMIT = old

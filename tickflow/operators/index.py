@@ -4,7 +4,8 @@
 Both helpers here cut the order into ``n`` slices instead: the slice bounds
 are ``n - 1`` approximate quantiles of the leading order column (a list whose
 size is fixed by ``n``), each row's slice is a pure function of its own value
-(a binary-search CASE), so every branch of the plan that recomputes it agrees.
+(a binary search: a nested CASE for small ``n``, MLlib's Bucketizer for large),
+so every branch of the plan that recomputes it agrees.
 Only per-slice counts/totals are combined across slices; each row adds its
 slice's offset to a local rank / running total computed inside the slice.
 
@@ -75,17 +76,34 @@ def _search(c: Column, bounds: list[float], base: int) -> Column:
         _search(c, bounds[mid + 1:], base + mid + 1))
 
 
-def slice_of(df: DataFrame, col: str, n: int, rel_err: float = 0.001) -> Column:
-    """Deterministic slice id (0..n-1, nulls -1) from quantile bounds of ``col``.
+# Above this many bounds the slice lookup uses MLlib's Bucketizer (a JVM
+# binary search over a splits array) instead of a nested CASE expression,
+# whose size grows with the bound count.
+CASE_LIMIT = 512
 
-    Runs one approximate-quantile job now; the bounds are ``n - 1`` numbers."""
+
+def with_slice(df: DataFrame, col: str, n: int, out: str = "_pid",
+               rel_err: float = 0.001) -> DataFrame:
+    """Adds a deterministic slice id (0..n-1, nulls -1) from quantile bounds
+    of ``col``. Runs one approximate-quantile job now; the bounds are at most
+    ``n - 1`` numbers."""
     num = _numeric(df, col)
     if n <= 1:
-        return F.when(num.isNull(), F.lit(-1)).otherwise(F.lit(0))
+        return df.withColumn(out, F.when(num.isNull(), F.lit(-1)).otherwise(F.lit(0)))
     probe = df.select(num.alias("_o"))
-    qs = probe.approxQuantile("_o", [i / n for i in range(1, n)], rel_err)
-    bounds = sorted(set(qs))
-    return F.when(num.isNull(), F.lit(-1)).otherwise(_search(num, bounds, 0))
+    bounds = sorted(set(probe.approxQuantile("_o", [i / n for i in range(1, n)], rel_err)))
+    if len(bounds) <= CASE_LIMIT:
+        return df.withColumn(out, F.when(num.isNull(), F.lit(-1)).otherwise(
+            _search(num, bounds, 0)))
+    from pyspark.ml.feature import Bucketizer
+    splits = [float("-inf"), *bounds, float("inf")]
+    # Nulls go first (-1) and NaN last (Bucketizer's extra bucket), matching
+    # Spark's ascending sort order, as the CASE form does.
+    b = Bucketizer(splits=splits, inputCol="_num", outputCol="_bkt", handleInvalid="keep")
+    return (b.transform(df.withColumn("_num", num))
+            .withColumn(out, F.when(F.col("_num").isNull(), F.lit(-1))
+                        .otherwise(F.col("_bkt").cast("int")))
+            .drop("_num", "_bkt"))
 
 
 def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx",
@@ -109,7 +127,7 @@ def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx
         return df.withColumn(out, (F.row_number().over(w) - F.lit(1)).cast("long"))
     n = _partitions(df, partitions)
     series = F.struct(*[F.col(c) for c in k]) if k else F.lit(0)
-    r = df.withColumn("_pid", slice_of(df, o[0], n)).withColumn("_series", series)
+    r = with_slice(df, o[0], n).withColumn("_series", series)
     local = r.withColumn("_local", F.row_number().over(
         Window.partitionBy("_pid", "_series").orderBy(*o)) - F.lit(1))
     # Counts come from the windowed frame itself: it is already clustered by
@@ -135,7 +153,7 @@ def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str], *
         w = Window.orderBy(*o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.select(*df.columns, *[F.sum(c).over(w).alias(f"{c}{suffix}") for c in v])
     n = _partitions(df, partitions)
-    r = df.withColumn("_pid", slice_of(df, o[0], n))
+    r = with_slice(df, o[0], n)
     w = Window.partitionBy("_pid").orderBy(*o).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = r.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in v])
