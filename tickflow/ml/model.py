@@ -65,6 +65,25 @@ def logistic_pipeline(features: list[str], *, label: str = "target", reg: float
     return Pipeline(stages=[assembler(features), lr])
 
 
+# Rows per partition for iterative fitting: each boosting round runs jobs over
+# every partition, so tiny partitions cost scheduling time, not compute.
+ROWS_PER_FIT_PARTITION = 20_000
+
+
+def training_frame(train: DataFrame) -> DataFrame:
+    """Persist the training rows (boosting and cross-validation read them many
+    times) in about ``ROWS_PER_FIT_PARTITION`` rows per partition, at most the
+    cluster's parallelism. Lost blocks are recomputed from lineage."""
+    from pyspark import StorageLevel
+    data = train.persist(StorageLevel.MEMORY_AND_DISK)
+    n = data.count()
+    sc = train.sparkSession.sparkContext
+    parts = max(1, min(sc.defaultParallelism, -(-n // ROWS_PER_FIT_PARTITION)))
+    if parts < data.rdd.getNumPartitions():
+        data = data.coalesce(parts)
+    return data
+
+
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     return pipeline.fit(train)
 

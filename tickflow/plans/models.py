@@ -6,7 +6,6 @@ folds by week (ML-6)."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tickflow.ml import model as ML
@@ -36,11 +35,11 @@ def fitted(spark, sf_dir):
     if key not in _CACHE:
         train, test = training_sets(spark, sf_dir)
         names = ML.feature_columns(train)
-        data = train.persist(StorageLevel.MEMORY_AND_DISK)
+        data = ML.training_frame(train)
         try:
             model = ML.fit(ML.gbt_pipeline(names, max_iter=GBT_ITER, max_depth=4), data)
         finally:
-            data.unpersist()
+            train.unpersist()
         _CACHE.clear()
         _CACHE[key] = (model, names)
     return _CACHE[key]
@@ -64,11 +63,12 @@ def cv_best(spark, sf_dir):
     names = ML.feature_columns(train)
     pipe = ML.gbt_pipeline(names, max_iter=6, validation_col=None)
     grid = ML.small_grid(ML.gbt_of(pipe))
-    data = train.drop("isVal").persist(StorageLevel.MEMORY_AND_DISK)
+    base = train.drop("isVal")
+    data = ML.training_frame(base)
     try:
         cv = ML.tune(pipe, grid, data, fold_col="fold", parallelism=4)
     finally:
-        data.unpersist()
+        base.unpersist()
     return ML.cv_table(spark, cv, grid)
 
 

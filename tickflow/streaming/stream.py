@@ -83,23 +83,33 @@ def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str, cols=None
             .option("topic", topic).option("checkpointLocation", checkpoint).start())
 
 
-def run_available(df: DataFrame, spark: SparkSession, name: str, mode: str = "append") -> DataFrame:
+def run_available(df: DataFrame, spark: SparkSession, name: str, mode: str = "append",
+                  state_partitions: int | None = None) -> DataFrame:
     """STR-2 / STR-3 / STR-4 / SNK-2: process everything available now with a
     checkpoint under the shared checkpoint root, then read the result back.
 
     Append mode writes a Parquet file sink (exactly once via its log);
-    complete mode rewrites the whole result table per micro-batch."""
+    complete mode rewrites the whole result table per micro-batch.
+    A stateful query fixes its state-store partition count when it first
+    starts; it is set to ``state_partitions`` (default: the cluster's
+    parallelism) rather than inherited from the batch shuffle setting."""
     root = scratch_path(spark, name)
     out, ckpt = f"{root}/out", f"{root}/checkpoint"
     w = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-    if mode == "append":
-        q = w.format("parquet").option("path", out).outputMode("append").start()
-    elif mode == "complete":
-        def write(batch: DataFrame, _epoch: int):
-            batch.write.mode("overwrite").parquet(out)
-        q = w.outputMode("complete").foreachBatch(write).start()
-    else:
-        raise ValueError("mode must be 'append' or 'complete'")
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        if mode == "append":
+            q = w.format("parquet").option("path", out).outputMode("append").start()
+        elif mode == "complete":
+            def write(batch: DataFrame, _epoch: int):
+                batch.write.mode("overwrite").parquet(out)
+            q = w.outputMode("complete").foreachBatch(write).start()
+        else:
+            raise ValueError("mode must be 'append' or 'complete'")
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
