@@ -69,3 +69,17 @@ def test_stream_lags_across_batches_and_late_rows(spark):
         (0, None, False), (5, 1 / 100, False), (10, 1 / 101, False), (15, 1 / 102, False),
         (20, 1 / 103, False), (25, 1 / 104, False)]
     assert [g for g in got if g[2]] == [(5, None, True)]
+
+
+def test_console_sink_runs(spark, capsys):
+    path = f"{SF001}/events.parquet"
+    s = ST.file_stream(spark, path, spark.read.parquet(path).schema)
+    q = ST.console(s.select("event_id"), available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+def test_kafka_connector_coordinates(spark):
+    coord = ST.kafka_package(spark)
+    assert coord.startswith("org.apache.spark:spark-sql-kafka-0-10_2.") and coord.endswith(
+        spark.version)

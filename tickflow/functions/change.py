@@ -54,6 +54,11 @@ def clip_below(value: Column, threshold: float = 0.5) -> Column:
     return F.when(value < threshold, F.lit(0.0)).otherwise(value)
 
 
+def whole_units(value: Column) -> Column:
+    """SCL-17: round to the whole currency unit (half away from zero)."""
+    return F.round(value, 0)
+
+
 def element(arr: Column, i: int) -> Column:
     """SCL-15: 0-based array element."""
     return arr[i]

@@ -89,8 +89,9 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """ML-4 + PRJ-13 + PRJ-14: adds prediction, probability, rawPrediction
-    and the class probabilities as plain doubles ``prob_0`` / ``prob_1``."""
+    """ML-4 + PRJ-13 + PRJ-14 + SCL-15: adds prediction, probability,
+    rawPrediction and the class probabilities as plain doubles ``prob_0`` /
+    ``prob_1`` (array elements of the probability vector)."""
     out = model.transform(df)
     arr = vector_to_array(F.col("probability"))
     return out.withColumn("prob_0", arr[0]).withColumn("prob_1", arr[1])

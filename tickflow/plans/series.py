@@ -46,6 +46,16 @@ def bars_1h_gap_filled(spark, sf_dir):
     return B.gap_fill(_bars(spark, sf_dir, "1 hour"), "1 hour")
 
 
+@query("bars_1h_whole_dollar", ("AGG-1", "SCL-17"), oracle=f"""
+SELECT symbol, timestamp, round(price, 0) AS price_whole, volume FROM ({O.bars('1 hour')}) b""")
+def bars_1h_whole_dollar(spark, sf_dir):
+    """Hourly bars per symbol with the last price rounded to a whole unit."""
+    from tickflow.functions.change import whole_units
+    b = _bars(spark, sf_dir, "1 hour")
+    return b.select("symbol", "timestamp", whole_units(F.col("price")).alias("price_whole"),
+                    "volume")
+
+
 # --------------------------------------------------------------------------- lags
 _WEEK_LAGS = O.week_lags(O.bars("5 minutes"), REF, "5 minutes")
 _REF_NAMES = [n for n, _, _ in O.lag_names(REF, "5 minutes")]

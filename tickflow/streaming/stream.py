@@ -71,9 +71,10 @@ def streaming_bars(ticks: DataFrame, width: str = "1 hour", delay: str = "10 min
 
 
 # --------------------------------------------------------------------------- sinks
-def console(df: DataFrame, mode: str = "append"):
-    """SNK-1 (debugging)."""
-    return df.writeStream.outputMode(mode).format("console").start()
+def console(df: DataFrame, mode: str = "append", available_now: bool = False):
+    """SNK-1 (debugging): print each micro-batch."""
+    w = df.writeStream.outputMode(mode).format("console")
+    return (w.trigger(availableNow=True) if available_now else w).start()
 
 
 def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str, cols=None):
