@@ -45,7 +45,8 @@ def exact_sum(value: Column, scale: int = 8) -> Column:
 
     A double sum depends on the order rows arrive in, so its last bits change
     with partitioning. Summing in decimal makes bars and rolling volumes
-    identical for any partitioning (8 places = the smallest crypto unit)."""
+    identical for any partitioning (8 places = the smallest crypto unit).
+    Values must stay below 10^20 in magnitude."""
     return F.sum(value.cast(f"decimal({38 - 10},{scale})")).cast("double")
 
 

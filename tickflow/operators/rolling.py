@@ -80,7 +80,9 @@ def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sy
     Buckets are span/``buckets_per_span`` wide; each right row is copied into
     its own and the next ``buckets_per_span`` buckets, so the equi-join
     offers each left row about (1 + 1/buckets_per_span) x the frame as
-    candidates before the range predicate, instead of all pairs.
+    candidates before the range predicate, instead of all pairs. Meant for
+    bars, where a frame holds at most span/width rows; for raw ticks use
+    ``rolling_sum``, whose cost does not grow with the frame size.
     Output: keys, ts, carried left columns, the summed right ``value``."""
     k = _keys(keys)
     span_us = duration_seconds(span) * 1_000_000
