@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from tickflow.session import stage
+
 
 def _keys(keys) -> list[str]:
     if keys is None:
@@ -108,7 +110,8 @@ def with_slice(df: DataFrame, col: str, n: int, out: str = "_pid",
 
 def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx",
                 partitions: int | None = None,
-                max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                max_group_rows: int | None = MAX_GROUP_ROWS,
+                stage_input: bool = True) -> DataFrame:
     """WIN-8: dense 0-based position of each row within its series by ``order``.
 
     Replaces ``monotonically_increasing_id`` (not dense, partition-dependent)
@@ -120,8 +123,14 @@ def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx
     (one row per slice and series) -> per-series running offsets -> join on
     (slice, series). The local window and the join share one hash
     partitioning, so the big side is shuffled once.
+
+    The input is read by up to three jobs (size check, quantiles, main
+    pass); with ``stage_input`` it is checkpointed first so upstream work
+    (scan, bar aggregation) runs once.
     """
     k, o = _keys(keys), list(order)
+    if stage_input:
+        df = stage(df)
     if fits_one_task(df, k, max_group_rows):
         w = Window.partitionBy(*k).orderBy(*o)
         return df.withColumn(out, (F.row_number().over(w) - F.lit(1)).cast("long"))
@@ -143,12 +152,16 @@ def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx
 
 def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str], *,
                    suffix: str = "_cum", partitions: int | None = None,
-                   max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                   max_group_rows: int | None = MAX_GROUP_ROWS,
+                   stage_input: bool = True) -> DataFrame:
     """Global running sums of ``values`` in ``order`` (inclusive of the row).
 
     The offset table has one row per slice, a size fixed by ``partitions``,
-    so broadcasting it is bounded by construction."""
+    so broadcasting it is bounded by construction. The input is checkpointed
+    first (``stage_input``) since several jobs read it."""
     o, v = list(order), list(values)
+    if stage_input:
+        df = stage(df)
     if fits_one_task(df, [], max_group_rows):
         w = Window.orderBy(*o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.select(*df.columns, *[F.sum(c).over(w).alias(f"{c}{suffix}") for c in v])

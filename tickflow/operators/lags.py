@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tickflow.functions.change import pct_change
 from tickflow.functions.temporal import duration_label, duration_seconds, epoch_micros
 from tickflow.operators.index import MAX_GROUP_ROWS, dense_index, fits_one_task
+from tickflow.session import stage
 
 # The reference's six training horizons over 5-minute bars
 # (3, 6, 12, 72, 144 and 288 bars).
@@ -52,7 +53,7 @@ def with_partition_key(df: DataFrame, ts: str, partition: str, name: str = PART_
 
 def halo_chunks(df: DataFrame, *, back: int, fwd: int = 0, keys=("symbol",),
                 order: Sequence[str] = ("timestamp",), chunk_rows: int = 100_000,
-                max_group_rows: int | None = MAX_GROUP_ROWS):
+                max_group_rows: int | None = MAX_GROUP_ROWS, stage_input: bool = True):
     """Rows cut into chunks of consecutive positions per series, each chunk
     extended by a halo: the ``back`` rows before it and the ``fwd`` rows after
     it (copies flagged ``_halo``). A window over (series, ``_chunk``) ordered
@@ -60,14 +61,18 @@ def halo_chunks(df: DataFrame, *, back: int, fwd: int = 0, keys=("symbol",),
     one partition never holds more than ``chunk_rows + back + fwd`` rows.
     Returns (frame, window spec). When every series is measured to fit one
     task (``max_group_rows``), the frame is the input and the spec a plain
-    per-series window."""
+    per-series window. The input is checkpointed first (``stage_input``):
+    the size check and the indexing jobs all read it."""
     k = _keys(keys)
+    if stage_input:
+        df = stage(df)
     if fits_one_task(df, k, max_group_rows):
         plain = (df.withColumn("_idx", F.lit(None).cast("long"))
                  .withColumn("_chunk", F.lit(0).cast("long")).withColumn("_halo", F.lit(False)))
         return plain, Window.partitionBy(*k).orderBy(*order)
     size = max(chunk_rows, back, fwd, 1)
-    idx = dense_index(df, list(order), keys=k, out="_idx", max_group_rows=None)
+    idx = dense_index(df, list(order), keys=k, out="_idx", max_group_rows=None,
+                      stage_input=False)
     pos = F.col("_idx") % size
     chunk = F.floor(F.col("_idx") / size)
     copies = [F.struct(chunk.alias("c"), F.lit(False).alias("h"))]

@@ -13,6 +13,7 @@ from tickflow.operators.joins import keyed_outer_join
 from tickflow.plans import oracle_sql as O
 from tickflow.plans.registry import query
 from tickflow.plans.series import REF, _bars
+from tickflow.session import stage
 from tickflow.sources.tables import read_table
 
 _B5 = O.bars("5 minutes")
@@ -52,7 +53,8 @@ SELECT symbol, timestamp, price, volume_24h,
 FROM ({_RANGE_SQL}) r WINDOW w AS (PARTITION BY symbol ORDER BY timestamp)""")
 def volume_change_rolling(spark, sf_dir):
     """Change of the rolling 24h volume against the previous bar, in percent,
-    over each whole series (dense index + chunk halo)."""
+    over each whole series (plain per-series window when every series is
+    measured to fit one task, else dense index + chunk halo)."""
     r = R.rolling_sum(_bars(spark, sf_dir), "volume", "24 hours", out="volume_24h")
     c = G.lag_change(r, "volume_24h", rows=1, partition=None, out="volume_24h_change_24h")
     return c.select("symbol", "timestamp", "price", "volume_24h", "volume_24h_change_24h")
@@ -79,11 +81,12 @@ def moving_avg_20(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- predictions
-def rule_predictions(spark, sf_dir):
+def rule_predictions(spark, sf_dir, bars=None):
     """Prediction-shaped rows (F5 + symbol) from a transparent momentum rule
     over the 5-minute feature table: predict 'buy' when the last 15-minute
     change is positive; prob = 0.5 + change, clipped to [0, 1]."""
-    f = G.drop_incomplete(G.pct_change_features(_bars(spark, sf_dir), REF, "5 minutes"))
+    b = bars if bars is not None else _bars(spark, sf_dir)
+    f = G.drop_incomplete(G.pct_change_features(b, REF, "5 minutes"))
     pc = F.col("percent_change_15m")
     return f.select("symbol", F.col("timestamp").alias("time"), "price",
                     direction(pc).cast("double").alias("label"),
@@ -135,11 +138,13 @@ SELECT coalesce(b.symbol, p.symbol) AS symbol, coalesce(b.timestamp, p.time) AS
        b.price, p.label AS prediction, p.prob
 FROM ({_B5}) b FULL OUTER JOIN ({_PREDS_SQL}) p ON b.symbol = p.symbol AND b.timestamp = p.time""")
 def keyed_outer_join_q(spark, sf_dir):
-    """Predictions aligned with the original bars by (symbol, timestamp)."""
-    preds = rule_predictions(spark, sf_dir).select(
+    """Predictions aligned with the original bars by (symbol, timestamp). The
+    bars feed both sides, so they are staged once (checkpoint)."""
+    bars = stage(_bars(spark, sf_dir))
+    preds = rule_predictions(spark, sf_dir, bars).select(
         "symbol", F.col("time").alias("timestamp"), F.col("label").alias("prediction"), "prob")
-    bars = _bars(spark, sf_dir).select("symbol", "timestamp", "price")
-    return keyed_outer_join(bars, preds, ["symbol", "timestamp"])
+    return keyed_outer_join(bars.select("symbol", "timestamp", "price"), preds,
+                            ["symbol", "timestamp"])
 
 
 # --------------------------------------------------------------------------- events

@@ -13,6 +13,7 @@ from tickflow.operators.labels import feature_table
 from tickflow.plans import oracle_sql as O
 from tickflow.plans.registry import query
 from tickflow.plans.series import _bars
+from tickflow.session import stage
 from tickflow.sources.tables import read_table
 
 TEST_YEAR = 2000   # last complete year of the orders table
@@ -145,6 +146,7 @@ def split_hash_counts(spark, sf_dir):
 @query("train_val_union", ("ML-1", "SET-1", "PRJ-11"), oracle=f"""
 SELECT *, {_hash_sql()} = 0 AS isVal FROM ({_labelled_sql()}) l""")
 def train_val_union(spark, sf_dir):
-    """Train and validation frames flagged with a literal and unioned back."""
-    train, val = S.split_hash(_labelled(spark, sf_dir), _split_key())
+    """Train and validation frames flagged with a literal and unioned back.
+    The feature table feeds both frames, so it is staged once (checkpoint)."""
+    train, val = S.split_hash(stage(_labelled(spark, sf_dir)), _split_key())
     return S.union_flagged(train, val)

@@ -84,3 +84,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def stage(df):
+    """Materialise a frame that several branches of a plan consume (bars,
+    feature tables) with a reliable checkpoint in the shared checkpoint
+    directory: the upstream scan and aggregation run once, and a lost
+    executor re-reads the checkpoint instead of recomputing from raw input.
+    (Column pruning makes each branch's copy of the upstream plan different,
+    so Spark cannot reuse the exchange between them.)"""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
