@@ -15,6 +15,7 @@ from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from tickflow.functions.change import exact_sum
 from tickflow.functions.temporal import duration_seconds
+from tickflow.session import stage
 
 
 def _keys(keys: Sequence[str] | str | None) -> list[str]:
@@ -94,8 +95,12 @@ def slot_grid(bars_df: DataFrame, width: str, *, keys=("symbol",),
 
 
 def gap_fill(bars_df: DataFrame, width: str, *, keys=("symbol",),
-             ts: str = "timestamp", fill: dict | None = None) -> DataFrame:
-    """AGG-4: keep empty slots as rows (null measures, or ``fill`` values)."""
+             ts: str = "timestamp", fill: dict | None = None,
+             stage_input: bool = True) -> DataFrame:
+    """AGG-4: keep empty slots as rows (null measures, or ``fill`` values).
+    The bars are read twice (series extents, join), so they are staged."""
     k = _keys(keys)
+    if stage_input:
+        bars_df = stage(bars_df)
     out = slot_grid(bars_df, width, keys=k, ts=ts).join(bars_df, [*k, ts], "left")
     return out.fillna(fill) if fill else out

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.temporal import duration_seconds, epoch_micros
+from tickflow.session import stage
 
 
 def _keys(keys) -> list[str]:
@@ -74,7 +75,8 @@ def rolling_sum(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sym
 
 def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("symbol",),
                  ts: str = "timestamp", carry=("price",), out: str | None = None,
-                 closed: str = "right", buckets_per_span: int = 8) -> DataFrame:
+                 closed: str = "right", buckets_per_span: int = 8,
+                 stage_input: bool = True) -> DataFrame:
     """JON-1 + AGG-2: left-outer range self-join, then one group per left row.
 
     Buckets are span/``buckets_per_span`` wide; each right row is copied into
@@ -83,8 +85,11 @@ def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sy
     candidates before the range predicate, instead of all pairs. Meant for
     bars, where a frame holds at most span/width rows; for raw ticks use
     ``rolling_sum``, whose cost does not grow with the frame size.
+    Both join sides read the input, so it is staged first (``stage_input``).
     Output: keys, ts, carried left columns, the summed right ``value``."""
     k = _keys(keys)
+    if stage_input:
+        df = stage(df)
     span_us = duration_seconds(span) * 1_000_000
     width = max(span_us // buckets_per_span, 1)
     copies = -(-span_us // width)

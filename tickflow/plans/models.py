@@ -15,7 +15,7 @@ from tickflow.operators.lags import REFERENCE_HORIZONS
 from tickflow.operators.labels import feature_table
 from tickflow.plans.registry import query
 from tickflow.plans.series import _bars
-from tickflow.session import scratch_path
+from tickflow.session import scratch_path, stage
 
 TEST_FROM = "2024-01-25 00:00:00"
 GBT_ITER = 15
@@ -23,7 +23,9 @@ _CACHE: dict = {}
 
 
 def training_sets(spark, sf_dir):
-    f = feature_table(_bars(spark, sf_dir), "5 minutes", REFERENCE_HORIZONS)
+    """(train, test) from one staged feature table: fitting, scoring and the
+    evaluators all read it, so it is computed once."""
+    f = stage(feature_table(_bars(spark, sf_dir), "5 minutes", REFERENCE_HORIZONS))
     f = S.with_validation_flag(f, ML.ts_to_seconds(F.col("timestamp")))
     f = ML.week_folds(f, "timestamp", 3)
     cut = F.lit(TEST_FROM).cast("timestamp_ntz")
