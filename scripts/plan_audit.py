@@ -21,6 +21,7 @@ FEATURES = {
     "nested_loop": r"BroadcastNestedLoopJoin|CartesianProduct",
     "sort_aggregate": r"SortAggregate",
     "python": r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|MapInPandas",
+    "staged_reads": r"Scan ExistingRDD|ExistingRDD",
 }
 
 
