@@ -6,10 +6,13 @@ Three partitioning regimes, all without a window over a whole series:
   (series, epoch-aligned week). Partitions are bounded by one week of bars.
   The week key is computed once and kept, so every window that follows
   (lags, lead label) reuses one exchange and one sort.
-* ``partition=None`` (global, WIN-2): rows get a dense per-series index
-  (``index.dense_index``), the index is cut into chunks of ``chunk_rows`` and
-  each chunk receives a halo of the neighbouring rows it needs; one window
-  per (series, chunk) then computes every lag/lead at once.
+* ``partition=None`` (global, WIN-2): when one aggregate job measures every
+  series at or under ``max_group_rows`` rows, a plain per-series window is
+  used (its task size is proven by the measurement). Otherwise rows get a
+  dense per-series index (``index.dense_index``), the index is cut into
+  chunks of ``chunk_rows`` and each chunk receives a halo of the neighbouring
+  rows it needs; one window per (series, chunk) then computes every lag/lead
+  at once. The input is staged (checkpointed) because several jobs read it.
 * ``mode="time"``: the value exactly ``h`` earlier in time (null when that
   bar is missing) instead of ``k`` rows earlier: a RANGE frame
   ``[-h, -h]`` inside (series, time bucket) partitions with a one-bucket halo.

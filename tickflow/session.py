@@ -36,6 +36,8 @@ def build_session(master: str | None = None, app: str = "tickflow",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stopGracefullyOnShutdown": "true",
+        # staged frames (reliable checkpoints) are deleted once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     })
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
