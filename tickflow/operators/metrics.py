@@ -56,9 +56,10 @@ def auc_roc(df: DataFrame, label: str = "target", score: str = "score",
 
     AUC = sum over distinct scores s of pos(s) * (neg_below(s) + neg(s)/2)
     divided by P*N. ``neg_below`` is a global running total over the sorted
-    distinct scores, computed by range slices (no single-task sort). The
-    numerator is kept in integers (twice the value) so the result is exact.
-    Null when one class is absent."""
+    distinct scores (``index.running_totals``: one window when the
+    distinct-score table is measured to fit a task, quantile slices
+    otherwise). The numerator is kept in integers (twice the value) so the
+    result is exact. Null when one class is absent."""
     cum = running_totals(score_counts(df, label, score), ["score"], ["neg"],
                          max_group_rows=max_group_rows)
     twice = F.col("pos") * (2 * (F.col("neg_cum") - F.col("neg")) + F.col("neg"))

@@ -41,8 +41,9 @@ FROM ({_B5}) b"""
 
 @query("rolling_24h_range", ("WIN-4",), oracle=_RANGE_SQL)
 def rolling_24h_range(spark, sf_dir):
-    """Per bar, volume over the closed frame [t - 24h, t] (time-bucket halo
-    partitions, RANGE frame on epoch micros)."""
+    """Per bar, volume over the closed frame [t - 24h, t]: time-bucket halo
+    partitions, the difference of two running RANGE-frame totals on epoch
+    micros."""
     return R.rolling_sum(_bars(spark, sf_dir), "volume", "24 hours", out="volume_24h")
 
 

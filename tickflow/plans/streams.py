@@ -75,8 +75,9 @@ def stream_score(spark, sf_dir):
 SELECT * EXCLUDE (wk), false AS late FROM ({O.week_lags(O.bars('5 minutes'), REF, '5 minutes')}) x""")
 def stream_lags(spark, sf_dir):
     """Week-partitioned lagged changes computed on a stream: 5-minute bars
-    land as files in time order (six 5-day drops), a file per micro-batch,
-    lags carried across batches in per-(symbol, week) state."""
+    land as six files in time order (the first through 6 January, then
+    five-day drops), one file per micro-batch, lags carried across batches
+    in per-(symbol, week) state."""
     bars = _bars(spark, sf_dir)
     landing = scratch_path(spark, "bars_landing")
     edges = ["2023-12-27", "2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21",
