@@ -36,14 +36,23 @@ def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def _time(fn, repeat: int) -> float:
-    fn()
-    times = []
-    for _ in range(repeat):
-        t0 = time.perf_counter()
+ERRORS: dict[str, str] = {}
+
+
+def _time(fn, repeat: int, name: str = "") -> float | None:
+    """Median wall time of ``repeat`` warm runs; None (and the error noted)
+    if the query fails, so the JSON line is always printed."""
+    try:
         fn()
-        times.append(time.perf_counter() - t0)
-    return round(statistics.median(times), 4)
+        times = []
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            fn()
+            times.append(time.perf_counter() - t0)
+        return round(statistics.median(times), 4)
+    except Exception as e:  # noqa: BLE001
+        ERRORS[name] = f"{type(e).__name__}: {str(e)[:300]}"
+        return None
 
 
 # --------------------------------------------------------------------------- reference-shaped plans
@@ -141,7 +150,7 @@ def main() -> None:
     out: dict[str, float] = {}
     for name in HEADLINE:
         fn = QUERIES[name].fn
-        out[name] = _time(lambda fn=fn: _run(fn(spark, SF_DIR)), REPEAT)
+        out[name] = _time(lambda fn=fn: _run(fn(spark, SF_DIR)), REPEAT, name)
         print(f"{name}: {out[name]}s", file=sys.stderr)
 
     base: dict[str, float] = {}
@@ -149,24 +158,32 @@ def main() -> None:
                      ("ref_nested_loop_rolling", ref_nested_loop_rolling),
                      ("ref_nested_loop_rolling_nokey", ref_nested_loop_rolling_nokey),
                      ("ref_global_window_lags", ref_global_window_lags)]:
-        base[name] = _time(lambda fn=fn: _run(fn(spark, SF_DIR)), REPEAT)
+        base[name] = _time(lambda fn=fn: _run(fn(spark, SF_DIR)), REPEAT, name)
         print(f"{name}: {base[name]}s", file=sys.stderr)
-    base["ref_collected_metrics"] = _time(lambda: ref_collected_metrics(spark, SF_DIR), REPEAT)
+    base["ref_collected_metrics"] = _time(lambda: ref_collected_metrics(spark, SF_DIR), REPEAT,
+                                          "ref_collected_metrics")
 
     # Stream throughput: parse every event as a tick message, availableNow.
-    t0 = time.perf_counter()
-    n = QUERIES["stream_parse"].fn(spark, SF_DIR).count()
-    stream_sec = time.perf_counter() - t0
-    out["stream_parse"] = round(stream_sec, 4)
+    rate = None
+    try:
+        t0 = time.perf_counter()
+        n = QUERIES["stream_parse"].fn(spark, SF_DIR).count()
+        stream_sec = time.perf_counter() - t0
+        out["stream_parse"] = round(stream_sec, 4)
+        rate = round(n / stream_sec, 1)
+    except Exception as e:  # noqa: BLE001
+        ERRORS["stream_parse"] = f"{type(e).__name__}: {str(e)[:300]}"
 
     pairs = {"label_up": "ref_chained_lags", "rolling_24h_join": "ref_nested_loop_rolling",
              "pct_change_global": "ref_global_window_lags", "auc_roc": "ref_collected_metrics"}
-    speedup = {k: round(base[v] / out[k], 3) for k, v in pairs.items() if out.get(k)}
-    total = round(sum(v for k, v in out.items()), 4)
+    speedup = {k: round(base[v] / out[k], 3) for k, v in pairs.items()
+               if out.get(k) and base.get(v)}
+    total = round(sum(v for v in out.values() if v is not None), 4)
     print(json.dumps({
         "metric": "headline_queries_total", "value": total, "unit": "sec", "queries": out,
         "sf": sf, "cpus": CPUS, "repeat": REPEAT, "reference_shaped": base,
-        "speedup_vs_reference_shape": speedup, "stream_rows_per_sec": round(n / stream_sec, 1),
+        "speedup_vs_reference_shape": speedup, "stream_rows_per_sec": rate,
+        "errors": ERRORS,
     }))
     spark.stop()
 
