@@ -58,3 +58,25 @@ def test_train_val_test_cover_features_disjointly(spark):
     keys = ["symbol", "timestamp"]
     assert train.select(keys).intersect(test.select(keys)).count() == 0
     assert train.filter("isVal").count() > 0 and train.filter("not isVal").count() > 0
+
+
+def _formatted(spark, df):
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def test_time_filters_reach_the_parquet_scan(spark):
+    from __spark_entry__ import queries
+    plan = _formatted(spark, queries()["date_range"](spark, SF01))
+    assert "GreaterThanOrEqual(ts,2024-01-06T01:00)" in plan
+    plan = _formatted(spark, queries()["filter_year_ge"](spark, SF01))
+    assert "GreaterThanOrEqual(o_orderdate,1999-01-01T00:00)" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate" in plan
+
+
+def test_year_folders_are_pruned(spark):
+    o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey", "o_orderdate")
+    path = FS.write_year_csvs(o, "o_orderdate", scratch_path(spark, "pruned"))
+    r = FS.read_year_csvs(spark, path, o.schema).filter(F.col("year") == 1999)
+    assert "PartitionFilters: [isnotnull(year" in _formatted(spark, r)
+    assert r.count() == o.filter(F.year("o_orderdate") == 1999).count()
