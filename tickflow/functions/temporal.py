@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column
@@ -86,3 +87,11 @@ def bucket_end(ts: Column, width: str) -> Column:
 def minus(ts: Column, duration: str) -> Column:
     """SCL-7: interval subtraction, e.g. ``minus(ts, '24 hours')``."""
     return ts - F.expr(f"INTERVAL {duration_seconds(duration)} SECONDS")
+
+
+def epoch_seconds_of(text: str) -> float:
+    """UTC epoch seconds of an ISO date/time text (no zone means UTC)."""
+    d = dt.datetime.fromisoformat(text)
+    if d.tzinfo is None:
+        d = d.replace(tzinfo=dt.timezone.utc)
+    return d.timestamp()

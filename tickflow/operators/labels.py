@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.functions.change import direction, pct_change
-from tickflow.functions.temporal import duration_label, duration_seconds
+from tickflow.functions.temporal import duration_label, duration_seconds, epoch_seconds_of
 from tickflow.operators.lags import (PART_COL, REFERENCE_HORIZONS, drop_incomplete,
                                      pct_change_features, row_shifts)
 
@@ -62,3 +62,33 @@ def feature_table(bars: DataFrame, width: str = "5 minutes",
     out = direction_label(f, label_horizon, width, keys=keys, ts=ts, price=price,
                           partition=partition, unlabeled=unlabeled, keep_partition=True)
     return out.drop(PART_COL) if PART_COL in out.columns else out
+
+
+def feature_table_between(ticks: DataFrame, start: str, end: str, width: str = "5 minutes",
+                          horizons: Sequence[str | int] = tuple(REFERENCE_HORIZONS), *,
+                          label_horizon: str = "15 minutes", keys=("symbol",),
+                          ts: str = "ts", partition: str = "1 week", **bar_kw) -> DataFrame:
+    """Feature table rows with bar time in [start, end), computed from only
+    the ticks that can influence them (FLT-1 with pushdown).
+
+    A time filter on the feature table stays above its windows, so the scan
+    would read all history. Lags and the forward label never cross a
+    ``partition`` boundary, so it is exact to keep only the ticks whose bars
+    fall in the partitions overlapping [start, end) (bar = window end, hence
+    the one-width shift), compute, then cut to [start, end). The tick filter
+    is a plain range on the event time and reaches the parquet scan."""
+    from tickflow.operators.bars import bars as make_bars
+    p = duration_seconds(partition)
+    w = duration_seconds(width)
+    t0 = int(epoch_seconds_of(start))
+    t1 = int(epoch_seconds_of(end))
+    lo, hi = (t0 // p) * p, -(-t1 // p) * p
+    ttype = ticks.schema[ts].dataType
+    bound = lambda sec: F.timestamp_seconds(F.lit(sec)).cast(ttype)
+    sel = ticks.filter((F.col(ts) >= bound(lo - w)) & (F.col(ts) < bound(hi - w)))
+    f = feature_table(make_bars(sel, width, keys=keys, ts=ts, **bar_kw), width, horizons,
+                      label_horizon=label_horizon, keys=keys, partition=partition)
+    btype = f.schema["timestamp"].dataType
+    return f.filter((F.col("timestamp") >= F.lit(start).cast(btype))
+                    & (F.col("timestamp") < F.lit(end).cast(btype)))
+

@@ -171,6 +171,19 @@ def label_up(spark, sf_dir):
     return L.feature_table(_bars(spark, sf_dir), "5 minutes", REF)
 
 
+RANGE = ("2024-01-13 00:00:00", "2024-01-20 12:00:00")
+
+
+@query("label_up_range", ("FLT-1", "WIN-1", "WIN-3", "FLT-3"), oracle=f"""
+SELECT * FROM ({_label_oracle("5 minutes", REF, 3, "15m")}) x
+WHERE timestamp >= TIMESTAMP '{RANGE[0]}' AND timestamp < TIMESTAMP '{RANGE[1]}'""")
+def label_up_range(spark, sf_dir):
+    """label_up rows for one time range, computed from only the ticks of the
+    week partitions that overlap it (the range filter reaches the scan)."""
+    return L.feature_table_between(read_ticks(spark, sf_dir), RANGE[0], RANGE[1], "5 minutes",
+                                   REF)
+
+
 @query("label_up_drop_tail", ("WIN-3", "Q5"),
        oracle=_label_oracle("5 minutes", REF, 3, "15m", drop_tail=True))
 def label_up_drop_tail(spark, sf_dir):
