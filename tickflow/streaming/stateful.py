@@ -31,19 +31,6 @@ STATE = StructType([StructField("ts", ArrayType(LongType())),
                     StructField("price", ArrayType(DoubleType()))])
 
 
-def _changes(price: np.ndarray, k: int) -> np.ndarray:
-    """(p - p[-k]) / p[-k]; NaN where there is no earlier row or it is 0."""
-    out = np.full(len(price), np.nan)
-    if len(price) > k:
-        prev = price[:-k]
-        cur = price[k:]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            r = (cur - prev) / prev
-        r[prev == 0] = np.nan
-        out[k:] = r
-    return out
-
-
 def stream_lag_features(bars: DataFrame, horizons: Sequence[str], width: str = "5 minutes", *,
                         keys=("symbol",), ts: str = "timestamp", price: str = "price",
                         partition: str = "1 week", delay: str = "1 hour") -> DataFrame:
@@ -65,6 +52,19 @@ def stream_lag_features(bars: DataFrame, horizons: Sequence[str], width: str = "
     cols = [f.name for f in in_fields]
     names = [n for n, _ in specs]
 
+    # Everything the step uses is defined here, so the function is shipped to
+    # the Python workers by value: they need numpy and pandas, not this package.
+    def changes(price: np.ndarray, lag: int) -> np.ndarray:
+        """(p - p[-lag]) / p[-lag]; NaN where there is no earlier row or it is 0."""
+        out = np.full(len(price), np.nan)
+        if len(price) > lag:
+            prev, cur = price[:-lag], price[lag:]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                r = (cur - prev) / prev
+            r[prev == 0] = np.nan
+            out[lag:] = r
+        return out
+
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         # Arrow batching in the worker concatenates frames whose feature
         # columns may be all null (first rows of a week); pandas warns.
@@ -86,7 +86,7 @@ def stream_lag_features(bars: DataFrame, horizons: Sequence[str], width: str = "
         start = len(hist_p)
         out_ok = ok[cols].copy()
         for n, lag in specs:
-            out_ok[n] = pd.array(_changes(comb_p, lag)[start:], dtype="Float64")
+            out_ok[n] = pd.array(changes(comb_p, lag)[start:], dtype="Float64")
         out_ok["late"] = False
         out_late = new[late][cols].copy()
         for n in names:
