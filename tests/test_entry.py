@@ -22,3 +22,25 @@ def test_every_oracle_has_a_query():
 def test_queries_run_on_smallest_scale(spark, name):
     df = E.queries()[name](spark, SF001)
     assert df.count() >= 0 and len(df.columns) > 0
+
+
+def test_python_workers_need_no_package_import(tmp_path):
+    """The driver may import the entry file from anywhere; Python workers
+    (stateful stream step) must not need to import the package."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import importlib.util\n"
+        f"spec = importlib.util.spec_from_file_location('e', {os.path.join(repo, '__spark_entry__.py')!r})\n"
+        "E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
+        "print('ROWS', E.queries()['stream_lags'](s, '/root/testdata/sf0.001').count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    r = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env,
+                       capture_output=True, text=True, timeout=600)
+    assert "ROWS" in r.stdout, r.stderr[-2000:]
+    assert int(r.stdout.split("ROWS")[1].split()[0]) > 0
