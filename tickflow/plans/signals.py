@@ -81,6 +81,19 @@ def moving_avg_20(spark, sf_dir):
     return G.moving_average(_bars(spark, sf_dir), "price", 20, out="ma_20")
 
 
+@query("moving_avg_20_halo", ("WIN-7", "WIN-8"), oracle=f"""
+SELECT *, CASE WHEN count(price) OVER w = 20
+          THEN {_DEC.format(c='price', o='OVER w')} / 20.0 END AS ma_20
+FROM ({_B5}) b
+WINDOW w AS (PARTITION BY symbol ORDER BY timestamp ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""")
+def moving_avg_20_halo(spark, sf_dir):
+    """moving_avg_20 always through the large-series plan: dense index by
+    quantile slices, chunks of 1024 bars each extended by the 19 bars before
+    it, one window per chunk."""
+    return G.moving_average(_bars(spark, sf_dir), "price", 20, out="ma_20", chunk_rows=1024,
+                            max_group_rows=None)
+
+
 # --------------------------------------------------------------------------- predictions
 def rule_predictions(spark, sf_dir, bars=None):
     """Prediction-shaped rows (F5 + symbol) from a transparent momentum rule
