@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickflow import schemas as SC
 from tickflow.plans.registry import query
 from tickflow.plans.signals import _PREDS_SQL, rule_predictions
 from tickflow.session import scratch_path
@@ -35,10 +36,11 @@ def predictions_csv(spark, sf_dir):
 
 
 @query("minute_csv_roundtrip", ("SRC-2", "PRJ-8", "PRJ-9", "PRJ-11", "SCL-2", "FLT-4", "SNK-4",
-                                "SRC-1"), oracle="""
-SELECT DISTINCT CAST(floor(epoch(ts)) AS BIGINT) AS unix, ts AS date, 'BTC/USD' AS symbol,
-       value AS open, value AS high, value AS low, value AS close,
-       value AS "Volume BTC", value AS "Volume USD", CAST(year(ts) AS INTEGER) AS year
+                                "SRC-1"), oracle=f"""
+SELECT DISTINCT CAST(floor(epoch(ts)) AS BIGINT) AS unix, ts AS date,
+       '{SC.MINUTE_SYMBOL}' AS symbol, value AS open, value AS high, value AS low,
+       value AS close, value AS "{SC.VOLUME_BASE_COL}", value AS "{SC.VOLUME_QUOTE_COL}",
+       CAST(year(ts) AS INTEGER) AS year
 FROM events""")
 def minute_csv_roundtrip(spark, sf_dir):
     """The historical-file preparation end to end: raw minute rows land as a
@@ -55,11 +57,10 @@ def minute_csv_roundtrip(spark, sf_dir):
                                           "quote_asset_volume")])
     raw_path = FS.write_csv(raw, scratch_path(spark, "raw_minutes_csv"))
     r = FS.read_raw_csv(spark, raw_path, S.RAW_MINUTE_CSV)
-    d = C.rename(r, {"timestamp": "date", "volume": "Volume BTC",
-                     "quote_asset_volume": "Volume USD"})
+    d = C.rename(r, {"timestamp": "date", "volume": S.VOLUME_BASE_COL,
+                     "quote_asset_volume": S.VOLUME_QUOTE_COL})
     d = d.withColumn("unix", T.ts_to_seconds(F.col("date")))
-    d = C.dedup(C.subset(C.with_literal(d, "symbol", "BTC/USD"),
-                         ["unix", "date", "symbol", "open", "high", "low", "close",
-                          "Volume BTC", "Volume USD"]))
+    d = C.dedup(C.subset(C.with_literal(d, "symbol", S.MINUTE_SYMBOL),
+                         [f.name for f in S.MINUTE_CSV.fields]))
     year_path = FS.write_year_csvs(d, "date", scratch_path(spark, "minutes_by_year"))
     return FS.read_year_csvs(spark, year_path, S.MINUTE_CSV)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickflow import schemas as SC
 from tickflow.functions.jsoncols import parse_exact
 from tickflow.plans.registry import query
 from tickflow.sources import events as E
@@ -64,10 +65,10 @@ def ticker_flatten(spark, sf_dir):
                     F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
 
 
-@query("explode_structs", ("FLT-8", "PRJ-4", "PRJ-5", "Q17", "Q18"), oracle="""
+@query("explode_structs", ("FLT-8", "PRJ-4", "PRJ-5", "Q17", "Q18"), oracle=f"""
 SELECT event_id, CAST(value AS REAL) AS price, value AS volume_24h, user_id AS market_cap,
-       event_type AS BTC FROM events""")
+       event_type AS {SC.ARRAY_SYMBOL_FIELD} FROM events""")
 def explode_structs(spark, sf_dir):
     """Array-of-struct payloads -> one row per element, flattened."""
     e = K.explode_payload(E.array_payloads(_events(spark, sf_dir)), keep=["event_id"])
-    return e.select("event_id", "price", "volume_24h", "market_cap", "BTC")
+    return e.select("event_id", "price", "volume_24h", "market_cap", SC.ARRAY_SYMBOL_FIELD)

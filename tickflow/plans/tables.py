@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickflow import schemas as SC
 from tickflow.functions import temporal as T
 from tickflow.operators import columns as C
 from tickflow.operators import split as S
@@ -77,15 +78,14 @@ def regex_columns(spark, sf_dir):
     return C.select_matching(li, r"price|discount|tax", keep=["l_orderkey", "l_linenumber"])
 
 
-_MINUTE_COLS = ["unix", "date", "symbol", "open", "high", "low", "close", "Volume BTC",
-                "Volume USD"]
+_MINUTE_COLS = [f.name for f in SC.MINUTE_CSV.fields]
 
 
 @query("normalise_minutes", ("SRC-2", "PRJ-8", "PRJ-9", "PRJ-11", "SCL-2", "FLT-4", "FLT-2"),
-       oracle="""
-SELECT DISTINCT CAST(floor(epoch(ts)) AS BIGINT) AS unix, ts AS date, 'BTC/USD' AS symbol,
-       value AS open, value AS high, value AS low, value AS close,
-       value AS "Volume BTC", value AS "Volume USD"
+       oracle=f"""
+SELECT DISTINCT CAST(floor(epoch(ts)) AS BIGINT) AS unix, ts AS date,
+       '{SC.MINUTE_SYMBOL}' AS symbol, value AS open, value AS high, value AS low,
+       value AS close, value AS "{SC.VOLUME_BASE_COL}", value AS "{SC.VOLUME_QUOTE_COL}"
 FROM events WHERE year(ts) >= 2024""")
 def normalise_minutes(spark, sf_dir):
     """Raw minute rows -> the per-year file layout: renamed volumes, unix
@@ -94,10 +94,10 @@ def normalise_minutes(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events", ["ts", "value"])
     raw = ev.select(F.col("ts").alias("timestamp"), *[F.col("value").alias(c) for c in (
         "open", "high", "low", "close", "volume", "quote_asset_volume")])
-    d = C.rename(raw, {"timestamp": "date", "volume": "Volume BTC",
-                       "quote_asset_volume": "Volume USD"})
+    d = C.rename(raw, {"timestamp": "date", "volume": SC.VOLUME_BASE_COL,
+                       "quote_asset_volume": SC.VOLUME_QUOTE_COL})
     d = d.withColumn("unix", T.ts_to_seconds(F.col("date")))
-    d = C.with_literal(d, "symbol", "BTC/USD")
+    d = C.with_literal(d, "symbol", SC.MINUTE_SYMBOL)
     d = C.dedup(C.subset(d, _MINUTE_COLS))
     return d.filter(S.year_at_least(F.col("date"), 2024))
 

@@ -18,6 +18,13 @@ QUOTE_NUMERIC_FIELDS = [
 # Quote fields the flattened tick drops.
 ATH_FIELDS = ["ath_price", "ath_date", "percent_from_price_ath"]
 
+# Names in the historical minute files and the feed formats.
+VOLUME_BASE_COL = "Volume BTC"      # minute files: volume in the base asset
+VOLUME_QUOTE_COL = "Volume USD"     # minute files: volume in the quote currency
+MINUTE_SYMBOL = "BTC/USD"           # symbol literal written into minute files
+ARRAY_SYMBOL_FIELD = "BTC"          # symbol field of the array payload items
+DEFAULT_TOPIC = "bitcoin"           # topic the feed publishes to
+
 
 def _num(name: str):
     return StructField(name, LongType() if name == "market_cap" else DoubleType(), True)
@@ -60,7 +67,7 @@ ARRAY_ITEM = StructType(
      StructField("market_cap", LongType(), True),
      StructField("market_cap_change_24h", FloatType(), True)]
     + [StructField(n, FloatType(), True) for n in QUOTE_NUMERIC_FIELDS[5:]]
-    + [StructField("BTC", StringType(), True),
+    + [StructField(ARRAY_SYMBOL_FIELD, StringType(), True),
        StructField("beta_value", FloatType(), True)])
 ARRAY_PAYLOAD = StructType([StructField("data", ArrayType(ARRAY_ITEM), True)])
 
@@ -84,8 +91,8 @@ MINUTE_CSV = StructType([
     StructField("high", DoubleType(), True),
     StructField("low", DoubleType(), True),
     StructField("close", DoubleType(), True),
-    StructField("Volume BTC", DoubleType(), True),
-    StructField("Volume USD", DoubleType(), True),
+    StructField(VOLUME_BASE_COL, DoubleType(), True),
+    StructField(VOLUME_QUOTE_COL, DoubleType(), True),
 ])
 
 # stored predictions (label, P(class 1), price, time). Times are UTC

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickflow import schemas as S
 from tickflow.sources.tables import read_table
 
 SINGLE_SYMBOL = "ALL"
@@ -68,5 +69,6 @@ def ticker_documents(events: DataFrame, out: str = "json_string") -> DataFrame:
 def array_payloads(events: DataFrame, out: str = "json_string") -> DataFrame:
     """events -> (event_id, F4b ``{"data": [...]}`` JSON text, one element)."""
     item = F.struct(F.col("value").alias("price"), F.col("value").alias("volume_24h"),
-                    F.col("user_id").alias("market_cap"), F.col("event_type").alias("BTC"))
+                    F.col("user_id").alias("market_cap"),
+                    F.col("event_type").alias(S.ARRAY_SYMBOL_FIELD))
     return events.select("event_id", F.to_json(F.struct(F.array(item).alias("data"))).alias(out))

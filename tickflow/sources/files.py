@@ -30,7 +30,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 def read_year_csvs(spark: SparkSession, directory: str, schema: StructType = S.MINUTE_CSV,
                    header: bool = True) -> DataFrame:
     """SRC-1: every CSV in ``directory`` whose name contains a year, read as
-    one table. Works for flat files (``BTC-2022min.csv``) and for the
+    one table. Works for flat files (``PAIR-2022min.csv``) and for the
     ``year=2022/`` folders ``write_year_csvs`` produces (the year then comes
     back as a partition column)."""
     base = directory.rstrip("/")

@@ -71,7 +71,7 @@ def flatten_ticker(df: DataFrame, text: str = "json_string", keep: Sequence[str]
 
 def explode_payload(df: DataFrame, text: str = "json_string", keep: Sequence[str] = ()) -> DataFrame:
     """PRJ-4 + FLT-8 + PRJ-5: ``{"data": [...]}`` -> one row per element,
-    flattened with aliases (the ``BTC`` field is the symbol)."""
+    flattened with aliases (``schemas.ARRAY_SYMBOL_FIELD`` is the symbol)."""
     d = df.select(*keep, parse(F.col(text), S.ARRAY_PAYLOAD).alias("value")).select(
         *keep, "value.*")
     e = d.select(*keep, F.explode("data").alias("data"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickflow.operators.bars import bars
+from tickflow.schemas import DEFAULT_TOPIC
 from tickflow.session import scratch_path
 
 
@@ -48,7 +49,7 @@ def kafka_package(spark: SparkSession) -> str:
     return f"org.apache.spark:spark-sql-kafka-0-10_{'.'.join(scala.split('.')[:2])}:{ver}"
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str = "bitcoin",
+def kafka_stream(spark: SparkSession, servers: str, topic: str = DEFAULT_TOPIC,
                  starting_offsets: str = "earliest") -> DataFrame:
     """SRC-4 / SRC-5: topic records (binary key/value). Needs the Kafka
     connector on the classpath (``kafka_package``)."""
