@@ -106,7 +106,6 @@ def ref_global_window_lags(spark, sf_dir):
     from pyspark.sql import Window
     from pyspark.sql import functions as F
     from tickflow.plans.series import _bars
-    from tickflow.operators.lags import GLOBAL_HORIZONS  # noqa: F401
     b = _bars(spark, sf_dir, single=True)
     w = Window.orderBy("timestamp")
     cols = [F.round(F.try_divide(F.col("price") - F.lag("price", k).over(w),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import T, bars_df, rows
+from conftest import bars_df, rows
 from tickflow.operators import lags as G
 from tickflow.operators.index import dense_index
 

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tickflow import schemas as S
 from tickflow.sources import ticks as K

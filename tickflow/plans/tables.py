@@ -11,7 +11,6 @@ from tickflow.operators import columns as C
 from tickflow.operators import split as S
 from tickflow.operators.lags import REFERENCE_HORIZONS
 from tickflow.operators.labels import feature_table
-from tickflow.plans import oracle_sql as O
 from tickflow.plans.registry import query
 from tickflow.plans.series import _bars
 from tickflow.session import stage
