@@ -92,3 +92,15 @@ def stream_lags(spark, sf_dir):
     out = SF.stream_lag_features(s, REF, "5 minutes")
     out = out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     return ST.run_available(out, spark, "stream_lags")
+
+
+@query("stream_dedup", ("FLT-4", "STR-2", "EXT"), oracle="""
+SELECT event_id, ts, event_type, value FROM events""")
+def stream_dedup(spark, sf_dir):
+    """Every event delivered twice (the stream unioned with itself, as an
+    at-least-once producer would), deduplicated on the stream by event id
+    within a 10-minute watermark."""
+    s = event_stream(spark, sf_dir).select("event_id", "ts", "event_type", "value")
+    d = ST.dedup_within_watermark(s.unionByName(s), ["event_id"], "ts", DELAY)
+    out = d.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return ST.run_available(out, spark, "stream_dedup")

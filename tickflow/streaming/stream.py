@@ -71,6 +71,14 @@ def streaming_bars(ticks: DataFrame, width: str = "1 hour", delay: str = "10 min
     return bars(t, width, **kw)
 
 
+def dedup_within_watermark(df: DataFrame, keys, ts: str = "ts",
+                           delay: str = "10 minutes") -> DataFrame:
+    """FLT-4 on streams (EXT): drop repeated deliveries of the same keys that
+    arrive within the watermark delay of each other; state per key is
+    released once the watermark passes."""
+    return event_time(df, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
 # --------------------------------------------------------------------------- sinks
 def console(df: DataFrame, mode: str = "append", available_now: bool = False):
     """SNK-1 (debugging): print each micro-batch."""
