@@ -104,3 +104,17 @@ def stream_dedup(spark, sf_dir):
     d = ST.dedup_within_watermark(s.unionByName(s), ["event_id"], "ts", DELAY)
     out = d.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     return ST.run_available(out, spark, "stream_dedup")
+
+
+@query("stream_quarantine", ("STR-1", "SNK-2", "Q16"), oracle="""
+SELECT event_id, CASE WHEN event_type IN ('error', 'signup') THEN 'no_timestamp' END AS reason,
+       event_type = 'error' AS text_is_null
+FROM events WHERE event_type IN ('error', 'signup')""")
+def stream_quarantine(spark, sf_dir):
+    """Tick messages parsed on a stream; each micro-batch splits into a valid
+    sink and a quarantine sink holding the raw text and the reason. Returns
+    the quarantine (raw text reduced to whether it was the literal null)."""
+    docs = E.tick_documents(event_stream(spark, sf_dir))
+    _, bad = ST.run_split_available(K.parse_ticks(docs, keep=["event_id"]), spark,
+                                    "stream_quarantine")
+    return bad.select("event_id", "reason", (F.col("json_string") == "null").alias("text_is_null"))

@@ -80,6 +80,40 @@ def dedup_within_watermark(df: DataFrame, keys, ts: str = "ts",
 
 
 # --------------------------------------------------------------------------- sinks
+def run_split_available(parsed: DataFrame, spark: SparkSession, name: str,
+                        valid: str = "valid") -> tuple[DataFrame, DataFrame]:
+    """Q16 quarantine sink: each micro-batch of parsed ticks is written as
+    two outputs, valid rows and rejected rows (raw text and reason kept).
+    Writes go to per-epoch folders in overwrite mode, so a retried epoch
+    replaces its own output (exactly once per epoch). Returns the two tables
+    read back."""
+    from tickflow.sources.ticks import split_valid
+    root = scratch_path(spark, name)
+    good_out, bad_out, ckpt = f"{root}/valid", f"{root}/quarantine", f"{root}/checkpoint"
+    good_schema = parsed.drop(valid).schema
+    bad_schema = split_valid(parsed)[1].schema
+
+    def write(batch: DataFrame, epoch: int):
+        good, bad = split_valid(batch.persist())
+        good.write.mode("overwrite").parquet(f"{good_out}/epoch={epoch}")
+        bad.write.mode("overwrite").parquet(f"{bad_out}/epoch={epoch}")
+        batch.unpersist()
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        q = (parsed.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
+             .foreachBatch(write).start())
+    finally:
+        spark.conf.set(key, before)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    read = lambda path, schema: spark.read.schema(schema).parquet(path)
+    return read(good_out, good_schema), read(bad_out, bad_schema)
+
+
 def console(df: DataFrame, mode: str = "append", available_now: bool = False):
     """SNK-1 (debugging): print each micro-batch."""
     w = df.writeStream.outputMode(mode).format("console")
