@@ -54,3 +54,20 @@ def test_year_split_is_partition_of_rows(spark):
     assert test.filter(F.year("o_orderdate") != 2000).count() == 0
     early, _ = S.split_by_year(o, "o_orderdate", 2000, train_before=True)
     assert early.filter(F.year("o_orderdate") >= 2000).count() == 0
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("start,end", [("2024-01-11 00:00:00", "2024-01-18 00:00:00"),
+                                       ("2024-01-09 07:35:00", "2024-01-12 00:05:00"),
+                                       ("2024-01-01 00:00:00", "2024-01-31 00:00:00")])
+def test_range_feature_table_equals_full_then_cut(spark, start, end):
+    from tickflow.operators.labels import feature_table_between
+    from tickflow.sources.events import read_ticks
+    full = feature_table(_bars(spark, SF01), "5 minutes").filter(
+        (F.col("timestamp") >= F.lit(start).cast("timestamp_ntz"))
+        & (F.col("timestamp") < F.lit(end).cast("timestamp_ntz")))
+    part = feature_table_between(read_ticks(spark, SF01), start, end, "5 minutes")
+    assert part.count() == full.count() > 0
+    assert part.exceptAll(full).count() == 0 and full.exceptAll(part).count() == 0
