@@ -58,3 +58,44 @@ def test_closed_frame_includes_exact_boundary(spark):
     right = {r["timestamp"].day: r["v"] for r in
              rolling_sum(df, "volume", out="v", closed="right").collect()}
     assert both[2] == 3.0 and right[2] == 2.0
+
+
+def _skewed(spark):
+    """One hot series with many rows and repeated timestamps, plus small ones,
+    and a null-key series."""
+    rnd = random.Random(21)
+    base = dt.datetime(2024, 1, 1)
+    data = []
+    for _ in range(1500):
+        data.append(("HOT", base + dt.timedelta(minutes=rnd.randint(0, 3 * 1440)),
+                     1.0, round(rnd.uniform(0, 9), 2)))
+    for s in ("a", "b", None):
+        for _ in range(60):
+            data.append((s, base + dt.timedelta(minutes=rnd.randint(0, 3 * 1440)), 1.0,
+                         round(rnd.uniform(0, 9), 2)))
+    return data, spark.createDataFrame(
+        data, "symbol string, timestamp timestamp_ntz, price double, volume double")
+
+
+@pytest.mark.parametrize("closed", ["both", "right"])
+@pytest.mark.parametrize("parts", [1, 7])
+def test_sliced_rolling_sum_handles_skew_and_ties(spark, closed, parts):
+    data, df = _skewed(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = rolling_sum(df, "volume", "24 hours", out="v", closed=closed, method="slices")
+        halo = rolling_sum(df, "volume", "24 hours", out="v", closed=closed, method="halo")
+        assert got.count() == len(data)
+        assert got.exceptAll(halo).count() == 0 and halo.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    exp = _brute(data, closed)
+    for r in got.collect():
+        assert r["v"] == pytest.approx(exp[(r["symbol"], r["timestamp"])], abs=1e-9)
+
+
+def test_auto_picks_sliced_plan_when_groups_are_large(spark):
+    data, df = _skewed(spark)
+    small = rolling_sum(df, "volume", out="v", max_group_rows=100)   # forces slices
+    big = rolling_sum(df, "volume", out="v")                          # halo
+    assert small.exceptAll(big).count() == 0 and small.count() == len(data)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.temporal import duration_seconds, epoch_micros
+from tickflow.operators.index import MAX_GROUP_ROWS, fits_one_task, with_slice
 from tickflow.session import stage
 
 
@@ -52,17 +53,36 @@ def _with_halo(df: DataFrame, ts: str, width_us: int, copies: int = 1) -> DataFr
 
 def rolling_sum(df: DataFrame, value: str, span: str = "24 hours", *, keys=("symbol",),
                 ts: str = "timestamp", out: str | None = None,
-                closed: str = "both") -> DataFrame:
+                closed: str = "both", method: str = "auto",
+                max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """WIN-4: sum of ``value`` over the trailing ``span`` of each row.
 
-    Computed as the difference of two running totals inside each
-    (series, bucket) partition: all rows up to t, minus all rows before the
-    frame's lower edge. Both are incremental (O(n)) frames, and decimal
-    arithmetic makes the difference exact. A sliding RANGE frame would
-    re-add the whole frame for every row (O(n * frame))."""
+    ``method="halo"``: (series, time bucket) partitions with a one-bucket
+    halo; the frame sum is the difference of two running totals inside the
+    partition (both incremental, O(n)); a sliding RANGE frame would re-add
+    the whole frame for every row. One shuffle, but a partition holds two
+    buckets of one series, so it suits bars (bounded by span/width).
+
+    ``method="slices"``: skew-proof for raw ticks, where one series may hold
+    a large share of all rows in a day. See ``_rolling_sum_sliced``.
+
+    ``method="auto"`` measures the largest (series, bucket) group with one
+    aggregate job and uses the halo plan when two buckets fit
+    ``max_group_rows``, else the sliced plan. All give the same exact
+    (decimal) result."""
     k = _keys(keys)
     span_us = duration_seconds(span) * 1_000_000
     lo = _lower(span_us, closed)
+    if method not in ("auto", "halo", "slices"):
+        raise ValueError("method must be 'auto', 'halo' or 'slices'")
+    if method == "auto":
+        df = stage(df)
+        bucket = F.floor(epoch_micros(F.col(ts)) / F.lit(span_us))
+        limit = None if max_group_rows is None else max_group_rows // 2
+        method = "halo" if fits_one_task(df.withColumn("_bk", bucket), [*k, "_bk"],
+                                         limit) else "slices"
+    if method == "slices":
+        return _rolling_sum_sliced(df, value, lo, k, ts, out or f"{value}_sum")
     u = _with_halo(df, ts, span_us)
     w = Window.partitionBy(*k, "_b").orderBy("_us")
     v = F.col(value).cast("decimal(28,8)")
@@ -73,6 +93,61 @@ def rolling_sum(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sym
             .filter(~F.col("_halo")).drop("_us", "_b", "_halo"))
 
 
+def _rolling_sum_sliced(df: DataFrame, value: str, lo: int, k: list[str], ts: str,
+                        out: str) -> DataFrame:
+    """Rolling sum without any per-series partition.
+
+    1. Rows are summed per (series, time) (duplicates collapse map-side).
+    2. For each such point at time t a lookup key t + lo is added: the frame
+       excludes exactly the points before it.
+    3. Points and lookups are cut into quantile time slices; inside a
+       (slice, series) partition a running sum over (time, points after
+       lookups) gives each point its local running total and each lookup the
+       local total of the points before it; per-slice totals (one row per
+       slice and series) give each partition its offset. So every point gets
+       C(t) and every lookup C(before t + lo).
+    4. frame sum = C(t) - C(before t + lo), joined back to the rows.
+    A slice holds about 1/n of all points whatever the series skew."""
+    dec = "decimal(38,8)"
+    base = stage(df.withColumn("_us", epoch_micros(F.col(ts))))
+    pts = base.groupBy(*k, "_us").agg(F.sum(F.col(value).cast("decimal(28,8)")).cast(dec)
+                                      .alias("_w"))
+    marks = (pts.select(*k, F.col("_us").alias("_t"), F.lit(1).alias("_kind"), "_w",
+                        F.col("_us").alias("_at"))
+             .unionByName(pts.select(*k, (F.col("_us") + F.lit(lo)).alias("_t"),
+                                     F.lit(0).alias("_kind"), F.lit(None).cast(dec).alias("_w"),
+                                     F.col("_us").alias("_at"))))
+    marks = stage(marks)
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    series = F.struct(*[F.col(c) for c in k]) if k else F.lit(0)
+    r = with_slice(marks, "_t", n).withColumn("_series", series)
+    w = (Window.partitionBy("_pid", "_series").orderBy("_t", "_kind")
+         .rowsBetween(Window.unboundedPreceding, 0))
+    local = r.withColumn("_lc", F.sum(F.coalesce(F.col("_w"), F.lit(0).cast(dec))).over(w))
+    totals = local.groupBy("_pid", "_series").agg(
+        F.sum(F.coalesce(F.col("_w"), F.lit(0).cast(dec))).alias("_tot"))
+    prior = Window.partitionBy("_series").orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", "_series", F.coalesce(
+        F.sum("_tot").over(prior), F.lit(0).cast(dec)).alias("_off"))
+    c = local.join(offsets, ["_pid", "_series"]).withColumn("_c", F.col("_lc") + F.col("_off"))
+    upto = c.filter(F.col("_kind") == 1).select(*k, F.col("_at").alias("_us"), "_c")
+    before = c.filter(F.col("_kind") == 0).select(*k, F.col("_at").alias("_us"),
+                                                   F.col("_c").alias("_cb"))
+    frame = _join_null_safe(upto, before, [*k, "_us"]).select(
+        *k, "_us", (F.col("_c") - F.col("_cb")).cast("double").alias(out))
+    return _join_null_safe(base, frame, [*k, "_us"]).drop("_us")
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on ``on`` where null keys match null keys; keeps the left
+    key columns once."""
+    r = right.select(*[F.col(c).alias(f"_r{c}") for c in on],
+                     *[c for c in right.columns if c not in on])
+    cond = [left[c].eqNullSafe(r[f"_r{c}"]) for c in on]
+    return left.join(r, cond).drop(*[f"_r{c}" for c in on])
+
+
 def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("symbol",),
                  ts: str = "timestamp", carry=("price",), out: str | None = None,
                  closed: str = "right", buckets_per_span: int = 8,

@@ -41,12 +41,21 @@ FROM ({_B5}) b"""
 
 @query("rolling_24h_range", ("WIN-4",), oracle=_RANGE_SQL)
 def rolling_24h_range(spark, sf_dir):
-    """Per bar, volume over the closed frame [t - 24h, t]: time-bucket halo
-    partitions, the difference of two running RANGE-frame totals on epoch
-    micros."""
+    """Per bar, volume over the closed frame [t - 24h, t]. One job measures
+    the largest (series, day) group; bounded groups use time-bucket halo
+    partitions and the difference of two running RANGE-frame totals."""
     return R.rolling_sum(_bars(spark, sf_dir), "volume", "24 hours", out="volume_24h")
 
 
+@query("rolling_24h_range_sliced", ("WIN-4",), oracle=_RANGE_SQL)
+def rolling_24h_range_sliced(spark, sf_dir):
+    """rolling_24h_range through the skew-proof plan: per-(series, time)
+    sums, running totals over quantile time slices with per-slice offsets,
+    and an as-of lookup of the total before each frame's lower edge."""
+    return R.rolling_sum(_bars(spark, sf_dir), "volume", "24 hours", out="volume_24h",
+                         method="slices")
+
+
 @query("volume_change_rolling", ("WIN-5", "SCL-8", "SCL-14", "Q11"), oracle=f"""
 SELECT symbol, timestamp, price, volume_24h,
        CAST(((volume_24h - lag(volume_24h) OVER w) / NULLIF(lag(volume_24h) OVER w, 0)) * 100 AS DOUBLE)
