@@ -155,7 +155,7 @@ def main() -> None:
     # Large-series plans forced on (not in the total): quantile-slice index
     # and chunk-with-halo windows, as used when a series exceeds one task.
     extra: dict[str, float] = {}
-    for name in ("pct_change_global_halo",):
+    for name in ("pct_change_global_halo", "rolling_24h_range_sliced", "auc_roc_sliced"):
         fn = QUERIES[name].fn
         extra[name] = _time(lambda fn=fn: _run(fn(spark, SF_DIR)), REPEAT, name)
 
