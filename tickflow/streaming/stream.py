@@ -99,14 +99,9 @@ def run_split_available(parsed: DataFrame, spark: SparkSession, name: str,
         bad.write.mode("overwrite").parquet(f"{bad_out}/epoch={epoch}")
         batch.unpersist()
 
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
-    try:
+    with _TempConf(spark, _start_conf(spark, None, None)):
         q = (parsed.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
              .foreachBatch(write).start())
-    finally:
-        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -127,23 +122,53 @@ def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str, cols=None
             .option("topic", topic).option("checkpointLocation", checkpoint).start())
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _start_conf(spark: SparkSession, state_partitions: int | None, state_store: str | None):
+    """Settings a streaming query fixes when it first starts: state-store
+    partitions (default: the cluster's parallelism) and the state-store
+    provider (RocksDB keeps large state off the JVM heap)."""
+    conf = {"spark.sql.shuffle.partitions":
+            str(state_partitions or spark.sparkContext.defaultParallelism)}
+    if state_store:
+        conf["spark.sql.streaming.stateStore.providerClass"] = state_store
+    return conf
+
+
+class _TempConf:
+    def __init__(self, spark: SparkSession, conf: dict):
+        self.spark, self.conf, self.before = spark, conf, {}
+
+    def __enter__(self):
+        for k, v in self.conf.items():
+            self.before[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+
+    def __exit__(self, *exc):
+        for k, v in self.before.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+
+
 def run_available(df: DataFrame, spark: SparkSession, name: str, mode: str = "append",
-                  state_partitions: int | None = None) -> DataFrame:
+                  state_partitions: int | None = None,
+                  state_store: str | None = ROCKSDB) -> DataFrame:
     """STR-2 / STR-3 / STR-4 / SNK-2: process everything available now with a
     checkpoint under the shared checkpoint root, then read the result back.
 
     Append mode writes a Parquet file sink (exactly once via its log);
     complete mode rewrites the whole result table per micro-batch.
-    A stateful query fixes its state-store partition count when it first
-    starts; it is set to ``state_partitions`` (default: the cluster's
-    parallelism) rather than inherited from the batch shuffle setting."""
+    A stateful query fixes its state-store partition count and provider
+    when it first starts: ``state_partitions`` (default: the cluster's
+    parallelism, not the batch shuffle setting) and ``state_store``
+    (default: RocksDB)."""
     root = scratch_path(spark, name)
     out, ckpt = f"{root}/out", f"{root}/checkpoint"
     w = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
-    try:
+    with _TempConf(spark, _start_conf(spark, state_partitions, state_store)):
         if mode == "append":
             q = w.format("parquet").option("path", out).outputMode("append").start()
         elif mode == "complete":
@@ -152,8 +177,6 @@ def run_available(df: DataFrame, spark: SparkSession, name: str, mode: str = "ap
             q = w.outputMode("complete").foreachBatch(write).start()
         else:
             raise ValueError("mode must be 'append' or 'complete'")
-    finally:
-        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
