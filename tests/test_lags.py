@@ -126,3 +126,21 @@ def test_dense_index_with_many_slices_uses_bucketizer(spark):
         assert exp.filter("idx != rn").count() == 0 and got.count() == b.count()
     finally:
         I.CASE_LIMIT = old
+
+
+def test_week_lags_on_untagged_input_with_big_groups_use_halo_plan(spark):
+    b = _random_bars(spark, n=500)          # untagged: no bar width metadata
+    plain = G.pct_change_features(b, [1, 3, 12], "5 minutes", max_group_rows=10_000)
+    halo = G.pct_change_features(b, [1, 3, 12], "5 minutes", max_group_rows=5, chunk_rows=16)
+    assert plain.count() == halo.count() == b.count()
+    assert plain.exceptAll(halo).count() == 0 and halo.exceptAll(plain).count() == 0
+
+
+def test_bar_width_metadata_proves_week_bound(spark):
+    from conftest import SF001
+    from tickflow.operators.bars import bar_width_of
+    from tickflow.plans.series import _bars
+    b = _bars(spark, SF001)
+    assert bar_width_of(b, "timestamp") == 300
+    f = G.pct_change_features(b, ["15 minutes"], "5 minutes", keep_partition=True)
+    assert bar_width_of(f, "timestamp") == 300

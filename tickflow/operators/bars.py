@@ -65,7 +65,23 @@ def bars(ticks: DataFrame, width: str = "5 minutes", *, keys=("symbol",),
     agg = (ticks.groupBy(*k, F.window(F.col(ts), width).alias("_w"))
            .agg(last_by_time(price, ts, tiebreak, integral).alias("price"),
                 vol.alias(volume_name)))
-    return agg.select(*k, F.col("_w.end").alias("timestamp"), "price", volume_name)
+    return agg.select(*k, F.col("_w.end").alias("timestamp", metadata=bar_metadata(width)),
+                      "price", volume_name)
+
+
+# Column metadata carried by bar timestamps: the bar width in seconds. One bar
+# per (series, width slot) means a time partition of P seconds holds at most
+# P / width rows per series, a bound later windows can rely on without a job.
+BAR_WIDTH_KEY = "tickflow.bar_width_seconds"
+
+
+def bar_metadata(width: str) -> dict:
+    return {BAR_WIDTH_KEY: duration_seconds(width)}
+
+
+def bar_width_of(df: DataFrame, ts: str) -> int | None:
+    """Bar width recorded on ``ts`` by ``bars`` (None for other input)."""
+    return df.schema[ts].metadata.get(BAR_WIDTH_KEY) if ts in df.columns else None
 
 
 def slot_grid(bars_df: DataFrame, width: str, *, keys=("symbol",),
@@ -91,7 +107,7 @@ def slot_grid(bars_df: DataFrame, width: str, *, keys=("symbol",),
         F.least(F.col("_hi"), F.col("_lo") + F.col("_c") * c + (c - w)),
         F.lit(w).cast("long"))).alias("_s"))
     return slots.select(*k, F.timestamp_seconds("_s").cast(
-        bars_df.schema[ts].dataType).alias(ts))
+        bars_df.schema[ts].dataType).alias(ts, metadata=bar_metadata(width)))
 
 
 def gap_fill(bars_df: DataFrame, width: str, *, keys=("symbol",),

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tickflow.functions.change import pct_change
 from tickflow.functions.temporal import duration_label, duration_seconds, epoch_micros
+from tickflow.operators.bars import bar_width_of
 from tickflow.operators.index import MAX_GROUP_ROWS, dense_index, fits_one_task
 from tickflow.session import stage
 
@@ -54,6 +55,17 @@ def with_partition_key(df: DataFrame, ts: str, partition: str, name: str = PART_
     return df.withColumn(name, F.window(F.col(ts), partition).start)
 
 
+def _partition_bounded(df: DataFrame, keys: list[str], ts: str, partition: str,
+                       max_group_rows: int | None) -> bool:
+    """Whether every (series, partition) group fits one window task: proven
+    from the bar width when the input is tagged bars, else measured."""
+    limit = max_group_rows if max_group_rows is not None else MAX_GROUP_ROWS
+    width = bar_width_of(df, ts)
+    if width:
+        return duration_seconds(partition) // width + 1 <= limit
+    return fits_one_task(df, [*keys, PART_COL], limit)
+
+
 def halo_chunks(df: DataFrame, *, back: int, fwd: int = 0, keys=("symbol",),
                 order: Sequence[str] = ("timestamp",), chunk_rows: int = 100_000,
                 max_group_rows: int | None = MAX_GROUP_ROWS, stage_input: bool = True):
@@ -99,10 +111,20 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("symb
                chunk_rows: int = 100_000, keep_partition: bool = False,
                tiebreak: Sequence[str] = (),
                max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Add ``out = value of src k rows earlier`` (k > 0) or later (k < 0)."""
+    """Add ``out = value of src k rows earlier`` (k > 0) or later (k < 0).
+
+    With ``partition``, shifts stay inside (series, partition) groups. For
+    bars (timestamps tagged with their width) a group is known to hold at
+    most partition/width rows; other input is measured with one job, and a
+    group above ``max_group_rows`` sends the shifts through the dense-index
+    halo plan keyed by (series, partition), with the same result."""
     k = _keys(keys)
     if partition is not None:
         d = with_partition_key(df, ts, partition)
+        if not _partition_bounded(d, k, ts, partition, max_group_rows):
+            out = row_shifts(d, shifts, keys=[*k, PART_COL], ts=ts, partition=None,
+                             chunk_rows=chunk_rows, tiebreak=tiebreak, max_group_rows=None)
+            return out if keep_partition else out.drop(PART_COL)
         w = Window.partitionBy(*k, PART_COL).orderBy(ts, *tiebreak)
         cols = [(F.lag(src, n) if n > 0 else F.lead(src, -n)).over(w).alias(out)
                 for out, (src, n) in shifts.items()]
