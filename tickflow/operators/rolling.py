@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.temporal import duration_seconds, epoch_micros
+from tickflow.operators.bars import bar_width_of
 from tickflow.operators.index import MAX_GROUP_ROWS, fits_one_task, with_slice
 from tickflow.session import stage
 
@@ -66,21 +67,25 @@ def rolling_sum(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sym
     ``method="slices"``: skew-proof for raw ticks, where one series may hold
     a large share of all rows in a day. See ``_rolling_sum_sliced``.
 
-    ``method="auto"`` measures the largest (series, bucket) group with one
-    aggregate job and uses the halo plan when two buckets fit
-    ``max_group_rows``, else the sliced plan. All give the same exact
-    (decimal) result."""
+    ``method="auto"`` uses the halo plan when two buckets are known to fit
+    ``max_group_rows``: proven from the bar width for tagged bars, else
+    measured with one aggregate job; otherwise the sliced plan. All give the
+    same exact (decimal) result."""
     k = _keys(keys)
     span_us = duration_seconds(span) * 1_000_000
     lo = _lower(span_us, closed)
     if method not in ("auto", "halo", "slices"):
         raise ValueError("method must be 'auto', 'halo' or 'slices'")
     if method == "auto":
-        df = stage(df)
-        bucket = F.floor(epoch_micros(F.col(ts)) / F.lit(span_us))
         limit = None if max_group_rows is None else max_group_rows // 2
-        method = "halo" if fits_one_task(df.withColumn("_bk", bucket), [*k, "_bk"],
-                                         limit) else "slices"
+        width = bar_width_of(df, ts)
+        if width and limit is not None and span_us // 1_000_000 // width + 1 <= limit:
+            method = "halo"          # bars: a bucket holds at most span/width rows
+        else:
+            df = stage(df)
+            bucket = F.floor(epoch_micros(F.col(ts)) / F.lit(span_us))
+            method = "halo" if fits_one_task(df.withColumn("_bk", bucket), [*k, "_bk"],
+                                             limit) else "slices"
     if method == "slices":
         return _rolling_sum_sliced(df, value, lo, k, ts, out or f"{value}_sum")
     u = _with_halo(df, ts, span_us)

@@ -41,9 +41,9 @@ FROM ({_B5}) b"""
 
 @query("rolling_24h_range", ("WIN-4",), oracle=_RANGE_SQL)
 def rolling_24h_range(spark, sf_dir):
-    """Per bar, volume over the closed frame [t - 24h, t]. One job measures
-    the largest (series, day) group; bounded groups use time-bucket halo
-    partitions and the difference of two running RANGE-frame totals."""
+    """Per bar, volume over the closed frame [t - 24h, t]: the bar width
+    bounds each (series, day) group, so time-bucket halo partitions and the
+    difference of two running RANGE-frame totals are used."""
     return R.rolling_sum(_bars(spark, sf_dir), "volume", "24 hours", out="volume_24h")
 
 
