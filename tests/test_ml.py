@@ -44,3 +44,10 @@ def test_report_row(spark, fitted):
     assert 0.0 <= r["test_auc"] <= 1.0 and "maxIter" in r["params"]
     imp = ML.feature_importances(spark, model, names).collect()
     assert len(imp) == 6 and abs(sum(x["importance"] for x in imp) - 1.0) < 1e-6
+
+
+def test_empty_training_set_fails_clearly(spark):
+    from conftest import SF001
+    train, _ = training_sets(spark, SF001)   # 24h lag inside weeks leaves no rows here
+    with pytest.raises(ValueError, match="no training rows"):
+        ML.training_frame(train)

@@ -77,6 +77,10 @@ def training_frame(train: DataFrame) -> DataFrame:
     from pyspark import StorageLevel
     data = train.persist(StorageLevel.MEMORY_AND_DISK)
     n = data.count()
+    if n == 0:
+        data.unpersist()
+        raise ValueError("no training rows: the feature table is empty for this input "
+                         "(e.g. too few bars per week for the longest lag)")
     sc = train.sparkSession.sparkContext
     parts = max(1, min(sc.defaultParallelism, -(-n // ROWS_PER_FIT_PARTITION)))
     if parts < data.rdd.getNumPartitions():
