@@ -11,7 +11,8 @@ CLASS_COLOURS = {0: "red", 1: "green"}
 
 
 def pct_change(cur: Column, prev: Column) -> Column:
-    """SCL-9: (cur - prev) / prev; null when prev is null or zero."""
+    """SCL-9: (cur - prev) / prev; null when prev is null or zero (Q22:
+    ``try_divide``, since ANSI mode raises on a plain division by zero)."""
     return F.try_divide(cur - prev, prev)
 
 

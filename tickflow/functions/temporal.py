@@ -44,7 +44,7 @@ def as_utc(ts: Column) -> Column:
 
 
 def seconds_to_ts(unix: Column) -> Column:
-    """SCL-1: unix seconds -> timestamp without a text round-trip."""
+    """SCL-1: unix seconds -> timestamp without a text round-trip (Q14)."""
     return F.timestamp_seconds(unix).cast("timestamp_ntz")
 
 

@@ -206,5 +206,6 @@ def save_model(model: PipelineModel | None, path: str, stamp: bool = True) -> st
 
 
 def load_model(path: str) -> PipelineModel:
-    """SNK-6: load a saved pipeline (the session stays up)."""
+    """SNK-6: load a saved pipeline (Q20: the session stays up; scoring is
+    whole-batch ``transform``, never one row per call)."""
     return PipelineModel.load(path)

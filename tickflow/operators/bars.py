@@ -46,7 +46,7 @@ def time_order_key(ts: str, tiebreak: str | None, integral_tiebreak: bool = True
 
 def last_by_time(value: str, ts: str, tiebreak: str | None,
                  integral_tiebreak: bool = True) -> Column:
-    """Deterministic 'last' value: the value of the latest row, ties broken by
+    """Q1: deterministic 'last' value: the value of the latest row, ties broken by
     a unique column (replaces ``last()`` after a sort, which depends on the
     order rows reach the aggregate)."""
     return F.max_by(F.col(value), time_order_key(ts, tiebreak, integral_tiebreak))
@@ -57,7 +57,7 @@ def bars(ticks: DataFrame, width: str = "5 minutes", *, keys=("symbol",),
          tiebreak: str | None = "tiebreak", volume_name: str = "volume",
          exact: bool = True) -> DataFrame:
     """AGG-1: last price and summed volume per window, stamped with the window
-    end (so the 23:55 bar of 31 Dec belongs to the next year, as in the
+    end (Q2: so the 23:55 bar of 31 Dec belongs to the next year, as in the
     reference). Output: keys, timestamp, price, <volume_name>."""
     k = _keys(keys)
     vol = exact_sum(F.col(volume)) if exact else F.sum(volume)

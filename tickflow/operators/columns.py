@@ -53,5 +53,6 @@ def first_rows(df: DataFrame, order: Sequence, n: int) -> DataFrame:
 
 
 def append(history: DataFrame, new: DataFrame) -> DataFrame:
-    """SET-2: append new records to history (by column name)."""
+    """SET-2: append new records to history (by column name; Q23: rows are
+    appended, not columns)."""
     return history.unionByName(new, allowMissingColumns=True)

@@ -15,7 +15,7 @@ def daily_signal(preds: DataFrame, *, keys=(), time: str = "time", label: str =
                  prob: str = "prob", price: str = "price", period: str = "1 day",
                  tiebreak: str | None = None) -> DataFrame:
     """AGG-3 + FLT-6: per day the number of buy predictions, the number of
-    scored rows, the last price and ``buy_ratio`` = buys / scored. Only days
+    scored rows, the last price and ``buy_ratio`` = buys / scored (Q21). Only days
     with scored rows appear (the reference drops count-0 days)."""
     k = list(keys)
     g = preds.groupBy(*k, F.window(F.col(time), period).alias("_d")).agg(

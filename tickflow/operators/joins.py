@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def keyed_outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """JON-2 / JON-3: full outer join on the carried keys.
+    """JON-2 / JON-3 (Q19): full outer join on the carried keys.
 
     The reference aligned predictions with their rows by
     ``monotonically_increasing_id`` on both sides, which only lines up when

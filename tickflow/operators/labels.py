@@ -51,7 +51,8 @@ def feature_table(bars: DataFrame, width: str = "5 minutes",
                   label_horizon: str = "15 minutes", keys=("symbol",), ts: str = "timestamp",
                   price: str = "price", partition: str | None = "1 week", drop: bool = True,
                   unlabeled: str = "zero") -> DataFrame:
-    """Bars -> lagged changes -> null drop -> forward label.
+    """Bars -> lagged changes -> null drop -> forward label. Q6: ``drop=False``
+    keeps incomplete rows; Q7: the table is always returned.
 
     With ``partition`` set, the partition key is computed once and both
     windows share one exchange and one sort."""

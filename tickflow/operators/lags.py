@@ -2,7 +2,7 @@
 
 Three partitioning regimes, all without a window over a whole series:
 
-* ``partition="1 week"`` (reference default): the window partition is
+* ``partition="1 week"`` (reference default, Q3): the window partition is
   (series, epoch-aligned week). Partitions are bounded by one week of bars.
   The week key is computed once and kept, so every window that follows
   (lags, lead label) reuses one exchange and one sort.
@@ -181,7 +181,7 @@ def pct_change_features(bars: DataFrame, horizons: Sequence[str | int] = tuple(R
                         keep_partition: bool = False,
                         max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """WIN-1 / WIN-2: ``(p - p_h) / p_h`` per horizon, named by duration
-    (``percent_change_15m`` ...). ``scale=100`` and ``round_to=2`` give the
+    (``percent_change_15m`` ...; Q12: row counts come from duration / width). ``scale=100`` and ``round_to=2`` give the
     exploratory percent form. Horizons are durations (converted to rows with
     the bar width) or plain row counts."""
     wsec = duration_seconds(width)
@@ -218,7 +218,8 @@ def lag_change(df: DataFrame, value: str, *, rows: int = 1, keys=("symbol",),
                round_to: int | None = None,
                max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """WIN-5 / WIN-6: change of ``value`` against ``rows`` rows earlier, in
-    percent by default (``(v - prev) / prev * 100``)."""
+    percent by default (``(v - prev) / prev * 100``). Q11: the lag is an
+    explicit parameter (the notebooks' "24h change" is one bar)."""
     prev = prev_name or f"prev_{value}"
     d = row_shifts(df, {prev: (value, rows)}, keys=keys, ts=ts, partition=partition,
                    max_group_rows=max_group_rows)

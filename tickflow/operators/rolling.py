@@ -12,7 +12,7 @@ Two exact forms, both bounded per partition:
   exploded into its own and the next bucket, plus the range predicate, then
   a group-by. Used when the per-row partner rows are needed explicitly.
 
-``closed="right"`` gives the half-open ``(t - span, t]`` of the join form;
+Q13: ``closed="right"`` gives the half-open ``(t - span, t]`` of the join form;
 ``closed="both"`` the closed ``[t - span, t]`` of the RANGE form. Sums are
 exact decimals, so both forms and any partitioning agree bit for bit.
 """

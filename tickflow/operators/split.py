@@ -42,7 +42,7 @@ def label_by_year(df: DataFrame, ts: str, test_year: int = 2023, out: str = "spl
 
 
 def hash_bucket(key: Column, buckets: int = 5) -> Column:
-    """Stable bucket 0..buckets-1 from the first 32 bits of md5(key)."""
+    """Q9: stable bucket 0..buckets-1 from the first 32 bits of md5(key)."""
     h = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
     return h % F.lit(buckets)
 

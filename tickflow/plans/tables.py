@@ -30,7 +30,7 @@ def split_year(spark, sf_dir):
     return S.label_by_year(o, "o_orderdate", TEST_YEAR)
 
 
-@query("year_counts", ("AGG-5", "SCL-4", "SRT-2"), oracle="""
+@query("year_counts", ("AGG-5", "SCL-4", "SRT-2", "Q24"), oracle="""
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS n
 FROM orders GROUP BY 1 ORDER BY n DESC""")
 def year_counts(spark, sf_dir):

@@ -59,7 +59,7 @@ TICKER_DOC = StructType([
     StructField("quotes", StructType([StructField("USD", QUOTE_USD, True)]), True),
 ])
 
-# F4b: array payload ``{"data": [ {...}, ... ]}``; market_cap widened to long.
+# F4b: array payload ``{"data": [ {...}, ... ]}``; market_cap widened to long (Q17).
 ARRAY_ITEM = StructType(
     [StructField("price", FloatType(), True),
      StructField("volume_24h", DoubleType(), True),
