@@ -1,20 +1,22 @@
 """Rolling time-window sums (JON-1 + AGG-2, WIN-4).
 
-Two exact forms, both bounded per partition:
-
-* ``rolling_sum`` (WIN-4): time is cut into buckets as wide as the span; every
-  row is also copied into the next bucket as a halo row. A RANGE frame over
-  (series, bucket) ordered by epoch micros then sees the whole span behind
-  each row; halo rows are dropped afterwards. One shuffle, 2x rows, frames
-  never cross a partition.
-* ``rolling_join`` (JON-1 / AGG-2, the reference's self-join form): a range
-  self-join made an equi-join on (series, bucket) with the right side
-  exploded into its own and the next bucket, plus the range predicate, then
-  a group-by. Used when the per-row partner rows are needed explicitly.
+* ``rolling_sum`` (WIN-4), two exact plans:
+  - halo: time cut into buckets as wide as the span, every row also copied
+    into the next bucket; inside each (series, bucket) partition the frame
+    sum is the difference of two running RANGE-frame totals. One shuffle;
+    a partition holds two buckets of one series (bounded for bars).
+  - slices: skew-proof for raw ticks; running totals over quantile time
+    slices and an as-of lookup of the total before each frame's lower edge.
+  ``method="auto"`` picks the halo plan when its partitions are proven (bar
+  width) or measured to be bounded.
+* ``rolling_join`` (JON-1 / AGG-2, the reference's self-join form): an
+  equi-join on (series, bucket): buckets wholly inside a row's frame join as
+  pre-summed rows, the two boundary buckets row by row with the range
+  predicate; then one group per left row. Never a nested-loop join.
 
 Q13: ``closed="right"`` gives the half-open ``(t - span, t]`` of the join form;
 ``closed="both"`` the closed ``[t - span, t]`` of the RANGE form. Sums are
-exact decimals, so both forms and any partitioning agree bit for bit.
+exact decimals, so all plans and any partitioning agree bit for bit.
 """
 
 from __future__ import annotations
