@@ -99,3 +99,12 @@ def test_auto_picks_sliced_plan_when_groups_are_large(spark):
     small = rolling_sum(df, "volume", out="v", max_group_rows=100)   # forces slices
     big = rolling_sum(df, "volume", out="v")                          # halo
     assert small.exceptAll(big).count() == 0 and small.count() == len(data)
+
+
+@pytest.mark.parametrize("closed", ["both", "right"])
+@pytest.mark.parametrize("bps", [1, 3, 8])
+def test_bucket_sum_join_matches_brute_force(spark, closed, bps):
+    data, df = _bars(spark, 150)
+    got = {(r["symbol"], r["timestamp"]): r["v"] for r in rolling_join(
+        df, "volume", "24 hours", out="v", closed=closed, buckets_per_span=bps).collect()}
+    assert got == _brute(data, closed)
