@@ -144,3 +144,14 @@ def test_bar_width_metadata_proves_week_bound(spark):
     assert bar_width_of(b, "timestamp") == 300
     f = G.pct_change_features(b, ["15 minutes"], "5 minutes", keep_partition=True)
     assert bar_width_of(f, "timestamp") == 300
+
+
+def test_dense_index_keeps_null_key_rows(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(s, base + dt.timedelta(minutes=i), float(i)) for s in ("A", None) for i in range(50)]
+    df = spark.createDataFrame(rows, "symbol string, timestamp timestamp_ntz, price double")
+    got = dense_index(df, ["timestamp"], keys=["symbol"], partitions=7, max_group_rows=None)
+    assert got.count() == 100
+    for s in ("A", None):
+        part = got.filter(F.col("symbol").eqNullSafe(F.lit(s))).orderBy("timestamp")
+        assert [r["idx"] for r in part.collect()] == list(range(50))
