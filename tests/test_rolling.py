@@ -108,3 +108,14 @@ def test_bucket_sum_join_matches_brute_force(spark, closed, bps):
     got = {(r["symbol"], r["timestamp"]): r["v"] for r in rolling_join(
         df, "volume", "24 hours", out="v", closed=closed, buckets_per_span=bps).collect()}
     assert got == _brute(data, closed)
+
+
+def test_range_join_null_key_series(spark):
+    base = dt.datetime(2024, 1, 1)
+    data = [(s, base + dt.timedelta(hours=3 * i), 1.0, float(i)) for s in ("A", None)
+            for i in range(20)]
+    df = spark.createDataFrame(data, "symbol string, timestamp timestamp_ntz, price double, "
+                                     "volume double")
+    got = {(r["symbol"], r["timestamp"]): r["v"] for r in
+           rolling_join(df, "volume", "24 hours", out="v").collect()}
+    assert got == _brute(data, "right")

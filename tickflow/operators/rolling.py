@@ -193,15 +193,16 @@ def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sy
     inner = left.select(*row_keys, F.explode(F.sequence(
         F.col("_blo") + 1, F.greatest(F.col("_bhi") - 1, F.col("_blo") + 1))).alias("_b"),
         "_blo", "_bhi").filter(F.col("_b") < F.col("_bhi"))
-    full = inner.join(sums, [*k, "_b"]).select(*row_keys, F.col("_bs").alias("_part"))
+    full = _join_null_safe(inner, sums, [*k, "_b"]).select(*row_keys,
+                                                           F.col("_bs").alias("_part"))
 
     # The two boundary buckets, row by row with the range predicate. An
     # explicit partition count keeps AQE from coalescing the small input into
     # a few tasks that would then carry the whole join.
     edge = left.select(*row_keys, "_us", F.explode(F.array_distinct(F.array(
         F.col("_blo"), F.col("_bhi")))).alias("_b")).repartition(n, *k, "_b")
-    cond = [edge[c] == right[c] for c in [*k, "_b"]] + [
-        right["_rus"] <= edge["_us"], right["_rus"] >= edge["_us"] + F.lit(lo)]
+    cond = [edge[c].eqNullSafe(right[c]) for c in k] + [edge["_b"] == right["_b"],
+            right["_rus"] <= edge["_us"], right["_rus"] >= edge["_us"] + F.lit(lo)]
     rows = edge.join(right, cond, "left").select(*[edge[c] for c in row_keys],
                                                  F.col("_rv").alias("_part"))
 
