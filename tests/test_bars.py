@@ -51,3 +51,10 @@ def test_gap_fill_spans_many_chunks(spark):
     start = dt.datetime(2024, 1, 1)
     b = bars_df(spark, [("A", str(start), 1), ("A", str(start + dt.timedelta(days=3)), 2)])
     assert gap_fill(b, "5 minutes").count() == 3 * 288 + 1
+
+
+def test_gap_fill_null_key_series(spark):
+    b = bars_df(spark, [(None, "2024-01-01 01:00:00", 1), (None, "2024-01-01 03:00:00", 3)])
+    g = gap_fill(b, "1 hour").orderBy("timestamp").collect()
+    assert [(r["symbol"], r["timestamp"].hour, r["price"]) for r in g] == [
+        (None, 1, 1.0), (None, 2, None), (None, 3, 3.0)]

@@ -118,5 +118,6 @@ def gap_fill(bars_df: DataFrame, width: str, *, keys=("symbol",),
     k = _keys(keys)
     if stage_input:
         bars_df = stage(bars_df)
-    out = slot_grid(bars_df, width, keys=k, ts=ts).join(bars_df, [*k, ts], "left")
+    from tickflow.operators.joins import join_null_safe
+    out = join_null_safe(slot_grid(bars_df, width, keys=k, ts=ts), bars_df, [*k, ts], "left")
     return out.fillna(fill) if fill else out

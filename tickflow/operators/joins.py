@@ -8,6 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str],
+                   how: str = "inner") -> DataFrame:
+    """Join on ``on`` where a null key matches a null key (a series with a
+    null symbol is still one series); the key columns appear once, taken
+    from the left side."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on],
+                     *[c for c in right.columns if c not in on])
+    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in on]
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in on])
+
+
 def keyed_outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """JON-2 / JON-3 (Q19): full outer join on the carried keys.
 
@@ -17,7 +28,7 @@ def keyed_outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
     joining on them is exact for any plan. Key columns are coalesced so each
     appears once."""
     l, r = left.alias("_l"), right.alias("_r")
-    cond = [F.col(f"_l.{k}") == F.col(f"_r.{k}") for k in keys]
+    cond = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys]
     j = l.join(r, cond, "full_outer")
     key_cols = [F.coalesce(F.col(f"_l.{k}"), F.col(f"_r.{k}")).alias(k) for k in keys]
     rest_l = [F.col(f"_l.{c}") for c in left.columns if c not in keys]

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tickflow.functions.temporal import duration_seconds, epoch_micros
 from tickflow.operators.bars import bar_width_of
 from tickflow.operators.index import MAX_GROUP_ROWS, fits_one_task, with_slice
+from tickflow.operators.joins import join_null_safe
 from tickflow.session import stage
 
 
@@ -141,19 +142,11 @@ def _rolling_sum_sliced(df: DataFrame, value: str, lo: int, k: list[str], ts: st
     upto = c.filter(F.col("_kind") == 1).select(*k, F.col("_at").alias("_us"), "_c")
     before = c.filter(F.col("_kind") == 0).select(*k, F.col("_at").alias("_us"),
                                                    F.col("_c").alias("_cb"))
-    frame = _join_null_safe(upto, before, [*k, "_us"]).select(
+    frame = join_null_safe(upto, before, [*k, "_us"]).select(
         *k, "_us", (F.col("_c") - F.col("_cb")).cast("double").alias(out))
-    return _join_null_safe(base, frame, [*k, "_us"]).drop("_us")
+    return join_null_safe(base, frame, [*k, "_us"]).drop("_us")
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Inner join on ``on`` where null keys match null keys; keeps the left
-    key columns once."""
-    r = right.select(*[F.col(c).alias(f"_r{c}") for c in on],
-                     *[c for c in right.columns if c not in on])
-    cond = [left[c].eqNullSafe(r[f"_r{c}"]) for c in on]
-    return left.join(r, cond).drop(*[f"_r{c}" for c in on])
-
 
 def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("symbol",),
                  ts: str = "timestamp", carry=("price",), out: str | None = None,
@@ -193,7 +186,7 @@ def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sy
     inner = left.select(*row_keys, F.explode(F.sequence(
         F.col("_blo") + 1, F.greatest(F.col("_bhi") - 1, F.col("_blo") + 1))).alias("_b"),
         "_blo", "_bhi").filter(F.col("_b") < F.col("_bhi"))
-    full = _join_null_safe(inner, sums, [*k, "_b"]).select(*row_keys,
+    full = join_null_safe(inner, sums, [*k, "_b"]).select(*row_keys,
                                                            F.col("_bs").alias("_part"))
 
     # The two boundary buckets, row by row with the range predicate. An
