@@ -44,3 +44,12 @@ def test_python_workers_need_no_package_import(tmp_path):
                        capture_output=True, text=True, timeout=600)
     assert "ROWS" in r.stdout, r.stderr[-2000:]
     assert int(r.stdout.split("ROWS")[1].split()[0]) > 0
+
+
+def test_every_query_is_documented_and_tagged():
+    import re
+    from tickflow.plans import QUERIES
+    pat = re.compile(r"^(SRC|SNK|PRJ|FLT|JON|AGG|WIN|SRT|SET|SCL|STR|ML)-\d+$|^Q\d+$|^EXT$")
+    for name, q in QUERIES.items():
+        assert q.doc, name
+        assert q.operators and all(pat.match(o) for o in q.operators), (name, q.operators)
