@@ -80,7 +80,7 @@ def regex_columns(spark, sf_dir):
 _MINUTE_COLS = [f.name for f in SC.MINUTE_CSV.fields]
 
 
-@query("normalise_minutes", ("SRC-2", "PRJ-8", "PRJ-9", "PRJ-11", "SCL-2", "FLT-4", "FLT-2"),
+@query("normalise_minutes", ("PRJ-8", "PRJ-9", "PRJ-11", "SCL-2", "FLT-4", "FLT-2"),
        oracle=f"""
 SELECT DISTINCT CAST(floor(epoch(ts)) AS BIGINT) AS unix, ts AS date,
        '{SC.MINUTE_SYMBOL}' AS symbol, value AS open, value AS high, value AS low,
