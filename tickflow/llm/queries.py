@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickflow.llm import pieces, quality
+from tickflow.llm.html_text import extract_text
+from tickflow.llm.personal_data import personal_data
 from tickflow.llm.sharding import shard_documents
 from tickflow.llm.token_counts import token_counts
 from tickflow.session import table_path
@@ -24,12 +27,36 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded into pieces and decoded again."""
+    return pieces.round_trip(read(spark, sf_dir, "documents"))
+
+
+@query("op4_quality_rules", quality.oracle())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the adaptive verdict on every document."""
+    return quality.quality(read(spark, sf_dir, "documents"))
+
+
+@query("op5_personal_data")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document: base patterns and the field's."""
+    return personal_data(read(spark, sf_dir, "documents"))
+
+
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the whole-token shortcut."""
     return token_counts(read(spark, sf_dir, "documents"))
 
 
+@query("op9_html_text")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by line-block distribution."""
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
 @query("op10_sharding")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards of near-equal bytes; equal texts together."""
