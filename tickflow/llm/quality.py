@@ -23,8 +23,8 @@ SKETCH_BITS = 5
 SPREAD = 3
 LEAST_DOCS = 30
 # rate -> (least slack beyond the quartiles, is there a lower fence), all in thousandths
-RATES = {"word_length": (1000, True), "symbols": (50, False), "dup_lines": (300, False),
-         "repeats": (300, False)}
+RATES = {"word_length": (1500, True), "symbols": (50, False), "dup_lines": (400, False),
+         "repeats": (400, False)}
 
 
 def _let(value: Column, use) -> Column:
@@ -188,9 +188,10 @@ def oracle() -> str:
         f"SELECT lang, source, '{r}' AS rate, {_bucket_sql(f'({e})')} AS bucket FROM ok"
         for r, e in rates.items())
     tests = " AND ".join(
-        f"({e}) <= max(CASE WHEN rate = '{r}' THEN high END)" + (
-            f" AND ({e}) >= max(CASE WHEN rate = '{r}' THEN low END)" if RATES[r][1] else "")
+        f"({e}) <= high_{r}" + (f" AND ({e}) >= low_{r}" if RATES[r][1] else "")
         for r, e in rates.items())
+    wide = ", ".join(f"max(CASE WHEN rate = '{r}' THEN {x} END) AS {x}_{r}"
+                     for r in rates for x in ("low", "high"))
     cols = "doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed"
     return rf"""
 WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
@@ -221,8 +222,8 @@ f AS (SELECT f0.lang, f0.source, f0.rate,
            ELSE f2.high END AS high
       FROM f0 JOIN f1 ON f0.lang IS NOT DISTINCT FROM f1.lang AND f0.rate = f1.rate
       JOIN f2 ON f0.rate = f2.rate),
-v AS (SELECT {cols}, n_lines, ok.lang, ok.source, {tests} AS verdict FROM ok
-      JOIN f ON ok.lang IS NOT DISTINCT FROM f.lang AND ok.source IS NOT DISTINCT FROM f.source
-      GROUP BY ALL)
+p AS (SELECT lang, source, {wide} FROM f GROUP BY ALL),
+v AS (SELECT doc_id, {tests} AS verdict FROM ok JOIN p
+      ON ok.lang IS NOT DISTINCT FROM p.lang AND ok.source IS NOT DISTINCT FROM p.source)
 SELECT {cols}, coalesce(v.verdict, false) AS kept, b.lang, b.source
 FROM b LEFT JOIN (SELECT doc_id AS _id, verdict FROM v) v ON b.doc_id = v._id"""
