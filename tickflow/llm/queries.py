@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm import pieces, quality
 from tickflow.llm.html_text import extract_text
+from tickflow.llm.near_dup import near_duplicates
 from tickflow.llm.personal_data import personal_data
 from tickflow.llm.sharding import shard_documents
 from tickflow.llm.token_counts import token_counts
@@ -45,6 +46,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read(spark, sf_dir, "documents"))
 
 
+@query("op6_near_duplicates")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 2-word shingle sets reach 0.8."""
+    return near_duplicates(read(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the whole-token shortcut."""
