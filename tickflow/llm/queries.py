@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm import pieces, quality
 from tickflow.llm.html_text import extract_text
+from tickflow.llm.language_model import language_model_scores
 from tickflow.llm.near_dup import near_duplicates
 from tickflow.llm.personal_data import personal_data
 from tickflow.llm.sharding import shard_documents
@@ -58,6 +59,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"))
 
 
+@query("op8_lm_scores")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney bigram scores of every document."""
+    return language_model_scores(read(spark, sf_dir, "documents"))
+
+
 @query("op9_html_text")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page by line-block distribution."""
