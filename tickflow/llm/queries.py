@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm import pieces, quality
+from tickflow.llm.decontaminate import leaks
 from tickflow.llm.html_text import extract_text
 from tickflow.llm.language_model import language_model_scores
 from tickflow.llm.near_dup import near_duplicates
@@ -35,6 +36,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"))
 
 
+@query("op2_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it contains."""
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query("op4_quality_rules", quality.oracle())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the adaptive verdict on every document."""
