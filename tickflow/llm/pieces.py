@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tickflow.llm.common import process_cache, slices
 
 SPACE = "▁"
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 CACHED_LENGTH = 64
 UNKNOWN_BELOW = 10.0     # fixed value: an unknown character scores this far below the worst piece
 CHUNKS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -54,13 +54,14 @@ class PieceModel:
         # No piece continues past a space sign that follows other characters,
         # so the best path over a text is the best paths over its chunks.
         self.chunked = not any(SPACE in self.pieces[i].lstrip(SPACE) for i in self.normal)
-        self.raw = [p.replace(SPACE, " ").encode() for p in self.pieces]
+        raw = [b"" if sp.is_control(i) else p.replace(SPACE, " ").encode()
+               for i, p in enumerate(self.pieces)]
         for b, i in self.bytes.items():
-            self.raw[i] = bytes([b])
-        for i in range(len(self.pieces)):
-            if sp.is_control(i):
-                self.raw[i] = b""
-        self.cache: dict[str, bytes] = {}
+            raw[i] = bytes([b])
+        self.raw_size = np.array([len(x) for x in raw])
+        self.raw_start = np.cumsum(self.raw_size) - self.raw_size
+        self.raw_bytes = np.frombuffer(b"".join(raw), np.uint8)
+        self.words: dict[str, bytes] = {}
 
     def viterbi(self, chunk: str) -> list[int]:
         """Best ids of a normalized text; on equal scores the longest last piece."""
@@ -68,6 +69,18 @@ class PieceModel:
         best, back = [float("-inf")] * (n + 1), [(0, -1)] * (n + 1)
         best[0], at = 0.0, 0      # at: ends up to here are final
         single = self.single
+        if single.issuperset(chunk):
+            for end, (size, score, piece) in self.automaton.iter(chunk):
+                end += 1
+                score += best[end - size]
+                if score > best[end]:
+                    best[end] = score
+                    back[end] = (end - size, piece)
+            ids, end = [], n
+            while end:
+                end, piece = back[end]
+                ids.append(piece)
+            return ids[::-1]
 
         def close(upto: int) -> None:
             nonlocal at
@@ -96,29 +109,36 @@ class PieceModel:
             end = start
         return ids[::-1]
 
-    def chunk_ids(self, chunk: str) -> bytes:
-        ids = self.cache.get(chunk)
-        if ids is None:
-            ids = np.array(self.viterbi(chunk), np.int32).tobytes()
-            if len(chunk) <= CACHED_LENGTH:
-                if len(self.cache) >= CACHE_WORDS:
-                    self.cache.clear()
-                self.cache[chunk] = ids
+    def word_ids(self, word: str) -> bytes:
+        ids = np.array(self.viterbi(SPACE + word), np.int32).tobytes()
+        if len(word) <= CACHED_LENGTH:
+            if len(self.words) >= CACHE_WORDS:
+                self.words.clear()
+            self.words[word] = ids
         return ids
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
+        words = text.split(" ")
+        if self.chunked and "" not in words and SPACE not in text:
+            known = self.words        # ids of a space sign and the word
+            found = list(map(known.get, words))
+            if None in found:
+                found = [known.get(w) or self.word_ids(w) for w in words]
+            return np.frombuffer(b"".join(found), np.int32)
         norm = SPACE + text.replace(" ", SPACE)
         chunks = CHUNKS.findall(norm) if self.chunked else [norm]
-        get = self.cache.get
-        found = list(map(get, chunks))
-        if None in found:
-            found = list(map(self.chunk_ids, chunks))
-        return np.frombuffer(b"".join(found), np.int32)
-
-    def decode(self, ids) -> str:
-        text = b"".join(map(self.raw.__getitem__, ids)).decode(errors="replace")
+        return np.concatenate([self.viterbi(c) for c in chunks]).astype(np.int32)
+
+    def decode(self, ids: np.ndarray) -> str:
+        """Bytes of all pieces are gathered at once from one table."""
+        size = self.raw_size[ids]
+        ends = np.cumsum(size)
+        if not len(ends):
+            return ""
+        at = np.repeat(self.raw_start[ids] - (ends - size), size) + np.arange(ends[-1])
+        text = self.raw_bytes[at].tobytes().decode(errors="replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -157,7 +177,11 @@ def decode(df: DataFrame, *, path: str | None = None, ids: str = "ids",
     def run(batches):
         model = process_cache(("pieces", path), lambda: PieceModel(path))
         for batch in slices(batches):
-            texts = [model.decode(x or ()) for x in batch.column("_ids").to_pylist()]
+            column = batch.column("_ids")
+            ends = np.cumsum([0 if n is None else n for n in
+                              pa.compute.list_value_length(column).to_pylist()])
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            texts = [model.decode(x) for x in np.split(flat, ends[:-1])] if len(ends) else []
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())],
                                              names=[*carry, out])
 
@@ -166,13 +190,13 @@ def decode(df: DataFrame, *, path: str | None = None, ids: str = "ids",
 
 
 def round_trip(df: DataFrame, *, path: str | None = None) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_tokens, ids_sha256 (of the ids joined
-    by commas), round_trip (decoding gives the text back)."""
-    both = decode(encode(df.select("doc_id", "text"), path=path), path=path,
-                  carry=("doc_id", "text", "ids"))
-    body = F.coalesce("text", F.lit(""))
-    return both.select(
-        "doc_id", F.octet_length(body).cast("long").alias("n_bytes"),
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        (F.col("decoded") == F.translate(body, SPACE, " ")).alias("round_trip"))
+    """Per document: doc_id, n_bytes, n_tokens, ids_xxhash64 (of the ids),
+    round_trip (decoding gives the text back, by its 64-bit hash)."""
+    body = F.translate(F.coalesce("text", F.lit("")), SPACE, " ")
+    coded = encode(df.select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit("")))
+                             .cast("long").alias("n_bytes"), F.xxhash64(body).alias("_text_hash")),
+                   path=path, carry=("doc_id", "n_bytes", "_text_hash"))
+    both = decode(coded, path=path, carry=("doc_id", "n_bytes", "_text_hash", "ids"))
+    return both.select("doc_id", "n_bytes", F.size("ids").cast("long").alias("n_tokens"),
+                       F.xxhash64("ids").alias("ids_xxhash64"),
+                       (F.xxhash64("decoded") == F.col("_text_hash")).alias("round_trip"))

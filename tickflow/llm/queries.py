@@ -12,6 +12,7 @@ from tickflow.llm.near_dup import near_duplicates
 from tickflow.llm.personal_data import personal_data
 from tickflow.llm.sharding import shard_documents
 from tickflow.llm.token_counts import token_counts
+from tickflow.llm.toxicity import toxicity
 from tickflow.session import table_path
 
 QUERIES, ORACLES = {}, {}
@@ -42,6 +43,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labelled rows."""
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query("op4_quality_rules", quality.oracle())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the adaptive verdict on every document."""
