@@ -62,6 +62,11 @@ class PieceModel:
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
         self.raw_bytes = np.frombuffer(b"".join(raw), np.uint8)
         self.words: dict[str, bytes] = {}
+        self.line_words: dict[str, bytes] = {}
+        # Nor does a piece join a line end to anything: lines are chunks too.
+        self.newline = b""
+        if not any("\n" in self.pieces[i] and len(self.pieces[i]) > 1 for i in self.normal):
+            self.newline = np.array(self.viterbi("\n"), np.int32).tobytes()
 
     def viterbi(self, chunk: str) -> list[int]:
         """Best ids of a normalized text; on equal scores the longest last piece."""
@@ -109,14 +114,23 @@ class PieceModel:
             end = start
         return ids[::-1]
 
-    def word_ids(self, word: str) -> bytes:
-        ids = np.array(self.viterbi(SPACE + word), np.int32).tobytes()
+    def word_ids(self, word: str, lead: str = SPACE) -> bytes:
+        """Ids of a word after a space sign, or of a line's first word."""
+        if self.newline and "\n" in word:
+            first, *rest = word.split("\n")
+            return self.known(first) + b"".join(
+                [self.newline + (self.known(w, "") if w else b"") for w in rest])
+        ids = np.array(self.viterbi(lead + word), np.int32).tobytes()
         if len(word) <= CACHED_LENGTH:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            self.words[word] = ids
+            table = self.words if lead else self.line_words
+            if len(table) >= CACHE_WORDS:
+                table.clear()
+            table[word] = ids
         return ids
 
+    def known(self, word: str, lead: str = SPACE) -> bytes:
+        return (self.words if lead else self.line_words).get(word) or self.word_ids(word, lead)
+
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
