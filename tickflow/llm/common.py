@@ -20,14 +20,15 @@ WHITE = " \t\n\x0b\x0c\r"
 ROWS_PER_SLICE = 512
 
 
-def process_cache(key, build: Callable):
-    """``build()`` once per Python worker process. Functions travel by value,
-    so their own module globals last one task only; a module registered in
-    ``sys.modules`` lasts as long as the worker."""
+def process_cache(key, build: Callable, version=None):
+    """``build()`` once per Python worker process and version; the last version
+    of a key is kept. Functions travel by value, so their own module globals
+    last one task only; a module registered in ``sys.modules`` lasts as long as
+    the worker."""
     store = sys.modules.setdefault("_text_operator_cache", types.ModuleType("_text_operator_cache"))
-    if key not in store.__dict__:
-        store.__dict__[key] = build()
-    return store.__dict__[key]
+    if store.__dict__.get(key, (store,))[0] != version:
+        store.__dict__[key] = (version, build())
+    return store.__dict__[key][1]
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

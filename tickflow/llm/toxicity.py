@@ -10,6 +10,8 @@ through the highest window.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -361,10 +363,10 @@ def toxicity(df: DataFrame, labels: DataFrame | None = None, params: dict | None
     if params is None:
         params = train(*sample(df, labels, id_col=id_col, text=text))
     shared = df.sparkSession.sparkContext.broadcast(params)
-    kind = df.schema[id_col].dataType.simpleString()
+    kind, version = df.schema[id_col].dataType.simpleString(), uuid.uuid4().hex
 
     def run(batches):
-        scorer = process_cache(("toxicity", shared.id), lambda: Scorer(shared.value))
+        scorer = process_cache("toxicity", lambda: Scorer(shared.value), version)
         for batch in slices(batches):
             s = scorer.score(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
