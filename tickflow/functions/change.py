@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Class names and colours used by the reports.
+# Class names used by the reports.
 CLASS_NAMES = {0: "sell", 1: "buy"}
-CLASS_COLOURS = {0: "red", 1: "green"}
 
 
 def pct_change(cur: Column, prev: Column) -> Column:
@@ -16,11 +15,6 @@ def pct_change(cur: Column, prev: Column) -> Column:
     return F.try_divide(cur - prev, prev)
 
 
-def pct_change_100(cur: Column, prev: Column) -> Column:
-    """SCL-8: percent change in percent units."""
-    return pct_change(cur, prev) * F.lit(100.0)
-
-
 def prior_from_change(cur: Column, change: Column) -> Column:
     """SCL-10: recover the earlier price from a fractional change."""
     return F.try_divide(cur, F.lit(1.0) + change)
@@ -37,18 +31,31 @@ def class_name(label: Column) -> Column:
             .when(label == 1, F.lit(CLASS_NAMES[1])))
 
 
-def class_colour(label: Column) -> Column:
-    return F.when(label == 0, F.lit(CLASS_COLOURS[0])).otherwise(F.lit(CLASS_COLOURS[1]))
+# Values below LIMIT in magnitude are summed as decimals with 18 places; a
+# double sum would depend on the order rows arrive in. 19 integer digits leave
+# room for 10^7 values at the limit. Others (NaN, infinite, larger) are `odd`.
+EXACT = "decimal(37,18)"
+LIMIT = 1e12
+
+
+def exact(value: Column) -> Column:
+    """The value as a decimal; 0 for an odd value, null for null."""
+    fits = F.abs(value) < F.lit(LIMIT)
+    return F.when(value.isNull(), F.lit(None)).when(fits, value).otherwise(F.lit(0)).cast(EXACT)
 
 
-def exact_sum(value: Column, scale: int = 8) -> Column:
-    """Sum a double column exactly at ``10**-scale`` resolution.
+def odd(value: Column) -> Column:
+    """1 for a value that ``exact`` cannot hold, else 0."""
+    return F.when(value.isNotNull() & ~(F.abs(value) < F.lit(LIMIT)), F.lit(1)).otherwise(F.lit(0))
 
-    A double sum depends on the order rows arrive in, so its last bits change
-    with partitioning. Summing in decimal makes bars and rolling volumes
-    identical for any partitioning (8 places = the smallest crypto unit).
-    Values must stay below 10^20 in magnitude."""
-    return F.sum(value.cast(f"decimal({38 - 10},{scale})")).cast("double")
+
+def exact_sum(value: Column) -> Column:
+    """Sum of a double column, the same for any partitioning. Odd values are
+    added as doubles, so NaN and infinities show in the result, and a decimal
+    total out of range falls back to the double sum."""
+    rest = F.sum(F.when(odd(value) == 1, value).otherwise(F.lit(0.0)))
+    total = F.try_sum(exact(value)).cast("double")
+    return F.coalesce(F.when(rest == 0, total).otherwise(total + rest), F.sum(value))
 
 
 def clip_below(value: Column, threshold: float = 0.5) -> Column:
@@ -59,8 +66,3 @@ def clip_below(value: Column, threshold: float = 0.5) -> Column:
 def whole_units(value: Column) -> Column:
     """SCL-17: round to the whole currency unit (half away from zero)."""
     return F.round(value, 0)
-
-
-def element(arr: Column, i: int) -> Column:
-    """SCL-15: 0-based array element."""
-    return arr[i]

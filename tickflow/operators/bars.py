@@ -40,7 +40,8 @@ def time_order_key(ts: str, tiebreak: str | None, integral_tiebreak: bool = True
     if not integral_tiebreak:
         return F.struct(F.col(ts), F.col(tiebreak))
     micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(38,0)")
-    tb = F.col(tiebreak).cast("decimal(20,0)") + F.expr(_OFFSET)
+    # A null tiebreak comes before every other one.
+    tb = F.coalesce(F.col(tiebreak).cast("decimal(20,0)") + F.expr(_OFFSET), F.lit(-1))
     return (micros * F.expr(_SHIFT) + tb).cast("decimal(38,0)")
 
 

@@ -54,10 +54,17 @@ def fits_one_task(df: DataFrame, keys: Sequence[str], limit: int | None) -> bool
     return limit is not None and limit > 0 and largest_group(df, keys) <= limit
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
+# Rows a slice should hold; the slice count follows the measured row count.
+SLICE_ROWS = 1_000_000
+
+
+def slice_count(df: DataFrame, partitions: int | None = None) -> int:
+    """Slices of at most about SLICE_ROWS rows, at least one per shuffle
+    partition (one count job unless ``partitions`` is given)."""
     if partitions:
         return partitions
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    return max(n, -(-df.count() // SLICE_ROWS))
 
 
 def _numeric(df: DataFrame, col: str) -> Column:
@@ -85,7 +92,7 @@ CASE_LIMIT = 512
 
 
 def with_slice(df: DataFrame, col: str, n: int, out: str = "_pid",
-               rel_err: float = 0.001) -> DataFrame:
+               rel_err: float | None = None) -> DataFrame:
     """Adds a deterministic slice id (0..n-1, nulls -1) from quantile bounds
     of ``col``. Runs one approximate-quantile job now; the bounds are at most
     ``n - 1`` numbers."""
@@ -93,7 +100,8 @@ def with_slice(df: DataFrame, col: str, n: int, out: str = "_pid",
     if n <= 1:
         return df.withColumn(out, F.when(num.isNull(), F.lit(-1)).otherwise(F.lit(0)))
     probe = df.select(num.alias("_o"))
-    bounds = sorted(set(probe.approxQuantile("_o", [i / n for i in range(1, n)], rel_err)))
+    bounds = sorted(set(probe.approxQuantile("_o", [i / n for i in range(1, n)],
+                                              rel_err or min(0.001, 0.25 / n))))
     if len(bounds) <= CASE_LIMIT:
         return df.withColumn(out, F.when(num.isNull(), F.lit(-1)).otherwise(
             _search(num, bounds, 0)))
@@ -134,7 +142,7 @@ def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx
     if fits_one_task(df, k, max_group_rows):
         w = Window.partitionBy(*k).orderBy(*o)
         return df.withColumn(out, (F.row_number().over(w) - F.lit(1)).cast("long"))
-    n = _partitions(df, partitions)
+    n = slice_count(df, partitions)
     series = F.struct(*[F.col(c) for c in k]) if k else F.lit(0)
     r = with_slice(df, o[0], n).withColumn("_series", series)
     local = r.withColumn("_local", F.row_number().over(
@@ -165,7 +173,7 @@ def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str], *
     if fits_one_task(df, [], max_group_rows):
         w = Window.orderBy(*o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.select(*df.columns, *[F.sum(c).over(w).alias(f"{c}{suffix}") for c in v])
-    n = _partitions(df, partitions)
+    n = slice_count(df, partitions)
     r = with_slice(df, o[0], n)
     w = Window.partitionBy("_pid").orderBy(*o).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickflow.functions.change import pct_change
+from tickflow.functions.change import exact, odd, pct_change
 from tickflow.functions.temporal import duration_label, duration_seconds, epoch_micros
 from tickflow.operators.bars import bar_width_of
 from tickflow.operators.index import MAX_GROUP_ROWS, dense_index, fits_one_task
@@ -151,8 +151,9 @@ def moving_average(df: DataFrame, value: str, rows: int = 20, *, keys=("symbol",
                        max_group_rows=max_group_rows)
     f = w.rowsBetween(-(rows - 1), 0)
     mean = F.when(F.count(F.col(value)).over(f) == rows,
-                  F.sum(F.col(value).cast("decimal(28,8)")).over(f).cast("double")
-                  / F.lit(float(rows)))
+                  F.when(F.sum(odd(F.col(value))).over(f) > 0, F.avg(value).over(f))
+                  .otherwise(F.sum(exact(F.col(value))).over(f).cast("double")
+                             / F.lit(float(rows))))
     return drop_halo(u.select("*", mean.alias(out or f"ma_{rows}")))
 
 

@@ -45,7 +45,7 @@ def binary_metrics(df: DataFrame, label: str = "target", prediction: str = "pred
 def score_counts(df: DataFrame, label: str = "target", score: str = "score") -> DataFrame:
     """Positives and negatives per distinct score (partial + final aggregate)."""
     y = F.col(label).cast("int")
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    return df.filter(y.isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(y == 1, 0).otherwise(1)).cast("long").alias("neg"))
 
@@ -62,11 +62,14 @@ def auc_roc(df: DataFrame, label: str = "target", score: str = "score",
     result is exact. Null when one class is absent."""
     cum = running_totals(score_counts(df, label, score), ["score"], ["neg"],
                          max_group_rows=max_group_rows)
-    twice = F.col("pos") * (2 * (F.col("neg_cum") - F.col("neg")) + F.col("neg"))
-    agg = cum.agg(F.sum(twice).cast("long").alias("_u2"), F.sum("pos").cast("long").alias("n_pos"),
+    wide = "decimal(19,0)"       # products of counts, beyond the range of long
+    twice = F.col("pos").cast(wide) * (2 * (F.col("neg_cum") - F.col("neg"))
+                                       + F.col("neg")).cast(wide)
+    agg = cum.agg(F.sum(twice.cast("decimal(38,0)")).alias("_u2"), F.sum("pos").cast("long").alias("n_pos"),
                   F.sum("neg").cast("long").alias("n_neg"))
     return agg.select(F.try_divide(F.col("_u2").cast("double"),
-                                   (F.lit(2) * F.col("n_pos") * F.col("n_neg")).cast("double"))
+                                   F.lit(2.0) * F.col("n_pos").cast("double")
+                                   * F.col("n_neg").cast("double"))
                       .alias("auc"), "n_pos", "n_neg")
 
 
@@ -82,32 +85,47 @@ def log_loss(df: DataFrame, label: str = "target", prob: str = "score",
 def _binned(df: DataFrame, label: str, score: str, bins: int) -> DataFrame:
     """Scores cut into ``bins`` equal-width bins on [0, 1]: the curve tables
     have at most bins + 1 rows, whatever the number of predictions."""
-    thr = (F.floor(F.col(score).cast("double") * bins) / F.lit(float(bins))).alias("threshold")
+    clipped = F.least(F.greatest(F.col(score).cast("double"), F.lit(0.0)), F.lit(1.0))
+    thr = (F.floor(clipped * bins) / F.lit(float(bins))).alias("threshold")
     y = F.col(label).cast("int")
-    return df.groupBy(thr).agg(F.sum(F.when(y == 1, 1).otherwise(0)).cast("long").alias("pos"),
+    return df.filter(y.isNotNull()).groupBy(thr).agg(F.sum(F.when(y == 1, 1).otherwise(0)).cast("long").alias("pos"),
                                F.sum(F.when(y == 1, 0).otherwise(1)).cast("long").alias("neg"))
 
 
-def _cumulated(df: DataFrame, label: str, score: str, bins: int) -> DataFrame:
+def _cumulated(df: DataFrame, label: str, score: str, bins: int | None,
+               max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """(threshold, tp, fp, pos, neg, p, n) per bin, or per distinct score with
+    ``bins=None`` (global running totals, two totals read by the driver)."""
+    if bins is None:
+        counts = score_counts(df, label, score).filter(F.col("score").isNotNull())
+        cum = running_totals(counts, ["score"], ["pos", "neg"], max_group_rows=max_group_rows)
+        p, n = cum.agg(F.sum("pos"), F.sum("neg")).first()
+        p, n = F.lit(p).cast("long"), F.lit(n).cast("long")
+        return cum.select(F.col("score").alias("threshold"),
+                          (p - F.col("pos_cum") + F.col("pos")).alias("tp"),
+                          (n - F.col("neg_cum") + F.col("neg")).alias("fp"), "pos", "neg",
+                          p.alias("p"), n.alias("n"))
     b = _binned(df, label, score, bins)
     down = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
     alls = Window.partitionBy(F.lit(1))
     return b.select("threshold", F.sum("pos").over(down).alias("tp"),
-                    F.sum("neg").over(down).alias("fp"),
+                    F.sum("neg").over(down).alias("fp"), "pos", "neg",
                     F.sum("pos").over(alls).alias("p"), F.sum("neg").over(alls).alias("n"))
 
 
 def roc_points(df: DataFrame, label: str = "target", score: str = "score",
-               bins: int = 100) -> DataFrame:
-    """AGG-11: (threshold, fpr, tpr) for 'predict 1 when score >= threshold'."""
+               bins: int | None = 100) -> DataFrame:
+    """AGG-11: (threshold, fpr, tpr) for 'predict 1 when score >= threshold';
+    one point per distinct score with ``bins=None``."""
     c = _cumulated(df, label, score, bins)
     return c.select("threshold", F.try_divide(F.col("fp").cast("double"), F.col("n")).alias("fpr"),
                     F.try_divide(F.col("tp").cast("double"), F.col("p")).alias("tpr"))
 
 
 def pr_points(df: DataFrame, label: str = "target", score: str = "score",
-              bins: int = 100) -> DataFrame:
-    """AGG-11: (threshold, precision, recall)."""
+              bins: int | None = 100) -> DataFrame:
+    """AGG-11: (threshold, precision, recall); one point per distinct score
+    with ``bins=None``."""
     c = _cumulated(df, label, score, bins)
     return c.select("threshold",
                     F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fp"))
@@ -115,6 +133,20 @@ def pr_points(df: DataFrame, label: str = "target", score: str = "score",
                     F.try_divide(F.col("tp").cast("double"), F.col("p")).alias("recall"))
 
 
+def auc_pr(df: DataFrame, label: str = "target", score: str = "score",
+           max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """AGG-10, exact: area under the precision-recall points of all distinct
+    scores, by trapezoids from recall 0 and precision 1. A point's
+    predecessor follows from its own counts, so no ordered pass is needed."""
+    c = _cumulated(df, label, score, None, max_group_rows)
+    tp, fp = F.col("tp"), F.col("fp")
+    here = F.try_divide(tp.cast("double"), tp + fp)
+    was = F.coalesce(F.try_divide((tp - F.col("pos")).cast("double"),
+                                  tp - F.col("pos") + fp - F.col("neg")), F.lit(1.0))
+    part = F.try_divide(F.col("pos").cast("double"), F.col("p")) * (here + was) / 2
+    return c.agg(F.sum(part).alias("area"))
+
+
 def auc_from_curve(points: DataFrame, x: str = "fpr", y: str = "tpr",
                    start: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
     """Trapezoid area under a curve table of at most bins + 1 points (binned

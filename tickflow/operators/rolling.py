@@ -16,7 +16,9 @@
 
 Q13: ``closed="right"`` gives the half-open ``(t - span, t]`` of the join form;
 ``closed="both"`` the closed ``[t - span, t]`` of the RANGE form. Sums are
-exact decimals, so all plans and any partitioning agree bit for bit.
+decimals of 18 places in every plan and step, so all plans and any
+partitioning agree bit for bit. A frame with a value that such a decimal
+cannot hold (NaN, infinite, 10^12 or more) sums to NaN.
 """
 
 from __future__ import annotations
@@ -24,13 +26,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickflow.functions.change import EXACT, exact, odd
 from tickflow.functions.temporal import duration_seconds, epoch_micros
 from tickflow.operators.bars import bar_width_of
-from tickflow.operators.index import MAX_GROUP_ROWS, fits_one_task, with_slice
+from tickflow.operators.index import MAX_GROUP_ROWS, fits_one_task, slice_count, with_slice
 from tickflow.operators.joins import join_null_safe
 from tickflow.session import stage
 
 
+MAX_BUCKET_ROWS = 20_000      # rows of a series that may meet row by row in a bucket
+
+
 def _keys(keys) -> list[str]:
     if keys is None:
         return []
@@ -45,6 +51,11 @@ def _lower(span_us: int, closed: str) -> int:
     raise ValueError("closed must be 'right' or 'both'")
 
 
+def _total(total, n_odd):
+    """A frame's sum as a double; NaN where the frame holds an odd value."""
+    return F.when(n_odd > 0, F.lit(float("nan"))).otherwise(total.cast("double"))
+
+
 def _with_halo(df: DataFrame, ts: str, width_us: int, copies: int = 1) -> DataFrame:
     """Each row in its own time bucket plus ``copies`` later buckets (halo)."""
     us = epoch_micros(F.col(ts))
@@ -93,10 +104,12 @@ def rolling_sum(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sym
         return _rolling_sum_sliced(df, value, lo, k, ts, out or f"{value}_sum")
     u = _with_halo(df, ts, span_us)
     w = Window.partitionBy(*k, "_b").orderBy("_us")
-    v = F.col(value).cast("decimal(28,8)")
-    upto = F.sum(v).over(w.rangeBetween(Window.unboundedPreceding, 0))
-    before = F.sum(v).over(w.rangeBetween(Window.unboundedPreceding, lo - 1))
-    total = (upto - F.coalesce(before, F.lit(0).cast("decimal(28,8)"))).cast("double")
+    def framed(v, zero):
+        upto = F.sum(v).over(w.rangeBetween(Window.unboundedPreceding, 0)).cast(zero)
+        before = F.sum(v).over(w.rangeBetween(Window.unboundedPreceding, lo - 1)).cast(zero)
+        return upto - F.coalesce(before, F.lit(0).cast(zero))
+
+    total = _total(framed(exact(F.col(value)), EXACT), framed(odd(F.col(value)), "long"))
     return (u.select("*", total.alias(out or f"{value}_sum"))
             .filter(~F.col("_halo")).drop("_us", "_b", "_halo"))
 
@@ -116,34 +129,39 @@ def _rolling_sum_sliced(df: DataFrame, value: str, lo: int, k: list[str], ts: st
        C(t) and every lookup C(before t + lo).
     4. frame sum = C(t) - C(before t + lo), joined back to the rows.
     A slice holds about 1/n of all points whatever the series skew."""
-    dec = "decimal(38,8)"
+    dec = EXACT
     base = stage(df.withColumn("_us", epoch_micros(F.col(ts))))
-    pts = base.groupBy(*k, "_us").agg(F.sum(F.col(value).cast("decimal(28,8)")).cast(dec)
-                                      .alias("_w"))
-    marks = (pts.select(*k, F.col("_us").alias("_t"), F.lit(1).alias("_kind"), "_w",
+    pts = base.groupBy(*k, "_us").agg(F.sum(exact(F.col(value))).cast(dec).alias("_w"),
+                                      F.sum(odd(F.col(value))).alias("_o"))
+    marks = (pts.select(*k, F.col("_us").alias("_t"), F.lit(1).alias("_kind"), "_w", "_o",
                         F.col("_us").alias("_at"))
              .unionByName(pts.select(*k, (F.col("_us") + F.lit(lo)).alias("_t"),
                                      F.lit(0).alias("_kind"), F.lit(None).cast(dec).alias("_w"),
+                                     F.lit(0).cast("long").alias("_o"),
                                      F.col("_us").alias("_at"))))
     marks = stage(marks)
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    n = slice_count(marks)
     series = F.struct(*[F.col(c) for c in k]) if k else F.lit(0)
     r = with_slice(marks, "_t", n).withColumn("_series", series)
     w = (Window.partitionBy("_pid", "_series").orderBy("_t", "_kind")
          .rowsBetween(Window.unboundedPreceding, 0))
-    local = r.withColumn("_lc", F.sum(F.coalesce(F.col("_w"), F.lit(0).cast(dec))).over(w))
-    totals = local.groupBy("_pid", "_series").agg(
-        F.sum(F.coalesce(F.col("_w"), F.lit(0).cast(dec))).alias("_tot"))
+    some = F.coalesce(F.col("_w"), F.lit(0).cast(dec))
+    local = r.withColumns({"_lc": F.sum(some).over(w).cast(dec), "_lo": F.sum("_o").over(w)})
+    totals = local.groupBy("_pid", "_series").agg(F.sum(some).cast(dec).alias("_tot"),
+                                                  F.sum("_o").alias("_otot"))
     prior = Window.partitionBy("_series").orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", "_series", F.coalesce(
-        F.sum("_tot").over(prior), F.lit(0).cast(dec)).alias("_off"))
-    c = local.join(offsets, ["_pid", "_series"]).withColumn("_c", F.col("_lc") + F.col("_off"))
-    upto = c.filter(F.col("_kind") == 1).select(*k, F.col("_at").alias("_us"), "_c")
+        F.sum("_tot").over(prior).cast(dec), F.lit(0).cast(dec)).alias("_off"),
+        F.coalesce(F.sum("_otot").over(prior), F.lit(0)).alias("_ooff"))
+    c = local.join(offsets, ["_pid", "_series"]).withColumns({
+        "_c": (F.col("_lc") + F.col("_off")).cast(dec), "_co": F.col("_lo") + F.col("_ooff")})
+    upto = c.filter(F.col("_kind") == 1).select(*k, F.col("_at").alias("_us"), "_c", "_co")
     before = c.filter(F.col("_kind") == 0).select(*k, F.col("_at").alias("_us"),
-                                                   F.col("_c").alias("_cb"))
+                                                   F.col("_c").alias("_cb"),
+                                                   F.col("_co").alias("_cbo"))
     frame = join_null_safe(upto, before, [*k, "_us"]).select(
-        *k, "_us", (F.col("_c") - F.col("_cb")).cast("double").alias(out))
+        *k, "_us", _total(F.col("_c") - F.col("_cb"), F.col("_co") - F.col("_cbo")).alias(out))
     return join_null_safe(base, frame, [*k, "_us"]).drop("_us")
 
 
@@ -163,31 +181,40 @@ def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sy
     are exact decimals, so the split does not change the result.
     Meant for bars (a bucket holds at most bucket/width rows per series); for
     raw ticks use ``rolling_sum``. Both join sides read the input, so it is
-    staged first (``stage_input``).
+    staged first (``stage_input``). Input whose time column carries no bar width
+    is measured first: buckets of more than ``MAX_BUCKET_ROWS`` rows of a series
+    would meet row by row, so they raise and ask for ``rolling_sum``.
     Output: keys, ts, carried left columns, the summed right ``value``."""
     k = _keys(keys)
     if stage_input:
         df = stage(df)
     span_us = duration_seconds(span) * 1_000_000
     width = max(span_us // buckets_per_span, 1)
+    if not bar_width_of(df, ts) and not fits_one_task(
+            df.withColumn("_bk", F.floor(epoch_micros(F.col(ts)) / F.lit(width))), [*k, "_bk"],
+            MAX_BUCKET_ROWS):
+        raise ValueError(f"a time bucket of one series holds more than {MAX_BUCKET_ROWS} rows; "
+                         "use rolling_sum for raw ticks")
     lo = _lower(span_us, closed)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dec = "decimal(28,8)"
     us = epoch_micros(F.col(ts))
     left = df.select(*k, ts, *carry, us.alias("_us")).withColumns({
         "_bhi": F.floor(F.col("_us") / F.lit(width)),
         "_blo": F.floor((F.col("_us") + F.lit(lo)) / F.lit(width))})
-    right = df.select(*k, us.alias("_rus"), F.col(value).cast(dec).alias("_rv")).withColumn(
+    right = df.select(*k, us.alias("_rus"), exact(F.col(value)).alias("_rv"),
+                      odd(F.col(value)).alias("_ro")).withColumn(
         "_b", F.floor(F.col("_rus") / F.lit(width)))
     row_keys = [*k, ts, *carry]
 
     # Buckets wholly inside the frame: one pre-summed row per (series, bucket).
-    sums = right.groupBy(*k, "_b").agg(F.sum("_rv").alias("_bs"))
+    sums = right.groupBy(*k, "_b").agg(F.sum("_rv").cast(EXACT).alias("_bs"),
+                                         F.sum("_ro").alias("_bo"))
     inner = left.select(*row_keys, F.explode(F.sequence(
         F.col("_blo") + 1, F.greatest(F.col("_bhi") - 1, F.col("_blo") + 1))).alias("_b"),
         "_blo", "_bhi").filter(F.col("_b") < F.col("_bhi"))
     full = join_null_safe(inner, sums, [*k, "_b"]).select(*row_keys,
-                                                           F.col("_bs").alias("_part"))
+                                                           F.col("_bs").alias("_part"),
+                                                           F.col("_bo").alias("_podd"))
 
     # The two boundary buckets, row by row with the range predicate. An
     # explicit partition count keeps AQE from coalescing the small input into
@@ -197,7 +224,8 @@ def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sy
     cond = [edge[c].eqNullSafe(right[c]) for c in k] + [edge["_b"] == right["_b"],
             right["_rus"] <= edge["_us"], right["_rus"] >= edge["_us"] + F.lit(lo)]
     rows = edge.join(right, cond, "left").select(*[edge[c] for c in row_keys],
-                                                 F.col("_rv").alias("_part"))
+                                                 F.col("_rv").alias("_part"),
+                                                 F.col("_ro").cast("long").alias("_podd"))
 
-    total = F.sum("_part").cast("double")
+    total = _total(F.sum("_part"), F.coalesce(F.sum("_podd"), F.lit(0)))
     return full.unionByName(rows).groupBy(*row_keys).agg(total.alias(out or f"{value}_sum"))

@@ -62,8 +62,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared scratch root: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (local tests) a private temporary
-    directory is created and registered as the checkpoint directory.
+    Only a local master without one gets a private temporary directory; on a
+    cluster a folder of the driver's own machine would be no use to executors,
+    so an unset setting raises there.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -72,6 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="tickflow-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -79,9 +82,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
+    """A fresh, unique folder under the shared checkpoint root, deleted when
+    the driver's JVM ends."""
     root = checkpoint_dir(spark).rstrip("/")
-    return f"{root}/tickflow/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/tickflow/{name}-{uuid.uuid4().hex[:12]}"
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return path
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tickflow import schemas as S
 
 # Fixed value: a year-file is any entry whose name holds four consecutive digits.
-YEAR_GLOB = "*[0-9][0-9][0-9][0-9]*"
+# So is a year= folder: rows of years before 1000 or without a time are there.
+YEAR_GLOB = "{*[0-9][0-9][0-9][0-9]*,year=*}"
 # Microsecond timestamp layouts for writing (the CSV writer's
 # defaults keep milliseconds only). Reads keep Spark's lenient default
 # parser, which accepts these as well as plain 'yyyy-MM-dd HH:mm:ss' text.
@@ -19,7 +20,8 @@ CSV_WRITE_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-CSV_READ_OPTIONS = {"header": "true"}
+# A file whose header differs from the columns asked for fails the read.
+CSV_READ_OPTIONS = {"header": "true", "enforceSchema": "false"}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -34,13 +36,32 @@ def read_year_csvs(spark: SparkSession, directory: str, schema: StructType = S.M
     ``year=2022/`` folders ``write_year_csvs`` produces (the year then comes
     back as a partition column)."""
     base = directory.rstrip("/")
-    return (spark.read.schema(schema).options(**CSV_READ_OPTIONS).option("header", header)
-            .option("basePath", base).csv(f"{base}/{YEAR_GLOB}"))
+    reader = spark.read.options(**CSV_READ_OPTIONS).option("header", header).option(
+        "basePath", base)
+    return _by_name(reader, f"{base}/{YEAR_GLOB}", schema, header)
+
+
+def _by_name(reader, path: str, schema: StructType, header: bool = True) -> DataFrame:
+    """Columns by header name, whatever their order in the file; the first
+    file's header decides, and files that deviate from it fail. Names are
+    compared as Spark does, without case."""
+    if header:
+        names = {f.name.lower(): f for f in schema}
+        found = [c.lower() for c in reader.csv(path).columns]
+        order = [names[c] for c in found if c in names]
+        if len(order) != len(schema):
+            raise ValueError(f"{path}: the header lacks {sorted(set(names) - set(found))}")
+        asked = StructType([names[c] if c in names else StructField(c, StringType())
+                            for c in found if c in names or c != "year"])
+        df = reader.schema(asked).csv(path)
+        return df.select(*[f.name for f in schema], *(
+            ["year"] if "year" in df.columns and "year" not in names else []))
+    return reader.schema(schema).csv(path)
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: StructType = S.RAW_MINUTE_CSV) -> DataFrame:
     """SRC-2: the raw historical minute file."""
-    return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
+    return _by_name(spark.read.options(**CSV_READ_OPTIONS), path, schema)
 
 
 def write_year_csvs(df: DataFrame, ts: str, path: str, mode: str = "overwrite") -> str:

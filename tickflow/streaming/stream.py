@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickflow.functions.jsoncols import encode
 from tickflow.operators.bars import bars
 from tickflow.schemas import DEFAULT_TOPIC
 from tickflow.session import scratch_path
@@ -117,7 +118,7 @@ def console(df: DataFrame, mode: str = "append", available_now: bool = False):
 
 def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str, cols=None):
     """SNK-3: rows -> JSON text value -> topic."""
-    payload = df.select(F.to_json(F.struct(*(cols or df.columns))).alias("value"))
+    payload = df.select(encode(*(cols or df.columns)).alias("value"))
     return (payload.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("topic", topic).option("checkpointLocation", checkpoint).start())
 
