@@ -33,8 +33,9 @@ def feature_columns(df: DataFrame, pattern: str = FEATURE_PATTERN) -> list[str]:
     return matching(df, pattern)
 
 
-def assembler(features: list[str], handle_invalid: str = "skip") -> VectorAssembler:
-    """PRJ-12: feature columns -> one vector (rows with nulls skipped)."""
+def assembler(features: list[str], handle_invalid: str = "keep") -> VectorAssembler:
+    """PRJ-12: feature columns -> one vector. Every row stays: ``training_frame``
+    leaves rows with nulls out of the fit, ``predict`` gives them no prediction."""
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid=handle_invalid)
 
 
@@ -75,6 +76,8 @@ def training_frame(train: DataFrame) -> DataFrame:
     times) in about ``ROWS_PER_FIT_PARTITION`` rows per partition, at most the
     cluster's parallelism. Lost blocks are recomputed from lineage."""
     from pyspark import StorageLevel
+    train = train.dropna(subset=[c for c in train.columns
+                                 if c in feature_columns(train) or c == "target"])
     data = train.persist(StorageLevel.MEMORY_AND_DISK)
     n = data.count()
     if n == 0:
@@ -95,17 +98,25 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """ML-4 + PRJ-13 + PRJ-14 + SCL-15: adds prediction, probability,
     rawPrediction and the class probabilities as plain doubles ``prob_0`` /
-    ``prob_1`` (array elements of the probability vector)."""
+    ``prob_1`` (array elements of the probability vector). One row out per row
+    in: a row with a null feature has null prediction and probabilities."""
     out = model.transform(df)
     arr = vector_to_array(F.col("probability"))
-    return out.withColumn("prob_0", arr[0]).withColumn("prob_1", arr[1])
+    whole = F.lit(True)
+    for c in model.stages[0].getInputCols():
+        whole = whole & F.col(c).isNotNull()
+    return out.withColumns({"prediction": F.when(whole, F.col("prediction")),
+                            "prob_0": F.when(whole, arr[0]), "prob_1": F.when(whole, arr[1])})
 
 
-def auc(pred: DataFrame, label: str = "target", metric: str = "areaUnderROC") -> float:
-    """AGG-9 / AGG-10 via MLlib's evaluator (one distributed job)."""
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                       metricName=metric)
-    return float(ev.evaluate(pred))
+def auc(pred: DataFrame, label: str = "target", metric: str = "areaUnderROC") -> float | None:
+    """AGG-9 / AGG-10 over all distinct scores (no binning); null when a class
+    is absent."""
+    from tickflow.operators import metrics as M
+    scored = pred.filter(F.col("prob_1").isNotNull())
+    if metric == "areaUnderPR":
+        return M.auc_pr(scored, label, "prob_1").first()["area"]
+    return M.auc_roc(scored, label, "prob_1").first()["auc"]
 
 
 def week_folds(df: DataFrame, ts: str, k: int = 3, out: str = "fold") -> DataFrame:
@@ -120,14 +131,15 @@ def gbt_of(pipeline: Pipeline) -> GBTClassifier:
 
 
 def reference_grid(gbt: GBTClassifier) -> list:
-    """ML-5: the tuning script's grid mapped to MLlib parameters (the
-    grow-policy and L1/L2 axes have no tree counterpart)."""
+    """ML-5: the tuning axes as MLlib parameters. minInfoGain is a gain in Gini
+    impurity (at most 0.5), so its values are chosen on that scale; grow policy
+    and L1/L2 have no tree counterpart."""
     return (ParamGridBuilder()
             .addGrid(gbt.maxDepth, [3, 5])
             .addGrid(gbt.stepSize, [0.05, 0.01])
             .addGrid(gbt.maxIter, [150, 200, 250])
             .addGrid(gbt.minWeightFractionPerNode, [0.0, 0.05, 0.1])
-            .addGrid(gbt.minInfoGain, [1.0, 3.0, 5.0])
+            .addGrid(gbt.minInfoGain, [0.0, 0.001, 0.01])
             .build())
 
 
@@ -146,16 +158,23 @@ def tune(pipeline: Pipeline, grid: list, train: DataFrame, *, label: str = "targ
     return cv.fit(train)
 
 
-def cv_table(spark: SparkSession, cv_model, grid: list) -> DataFrame:
-    """Mean validation AUC per grid point (grid-sized table)."""
+def cv_table(spark: SparkSession, cv_model, grid: list, test: DataFrame | None = None
+             ) -> DataFrame:
+    """Mean validation AUC per grid point (grid-sized table) with every tuned
+    parameter, and, with ``test``, the best model's AUC there."""
     rows = []
     best = max(range(len(grid)), key=lambda i: cv_model.avgMetrics[i])
+    fixed = cv_model.bestModel.stages[-1]
+    test_auc = auc(predict(cv_model.bestModel, test)) if test is not None else None
     for i, pm in enumerate(grid):
         params = {p.name: v for p, v in pm.items()}
-        rows.append((int(params.get("maxDepth", -1)), float(params.get("stepSize", float("nan"))),
-                     float(cv_model.avgMetrics[i]), i == best))
-    return spark.createDataFrame(rows, "max_depth int, step_size double, mean_auc double, "
-                                       "is_best boolean")
+        got = [params.get(n, fixed.getOrDefault(n)) for n in (
+            "maxDepth", "stepSize", "maxIter", "minWeightFractionPerNode", "minInfoGain")]
+        rows.append((int(got[0]), float(got[1]), int(got[2]), float(got[3]), float(got[4]),
+                     float(cv_model.avgMetrics[i]), i == best, test_auc if i == best else None))
+    return spark.createDataFrame(
+        rows, "max_depth int, step_size double, max_iter int, min_weight double, "
+              "min_info_gain double, mean_auc double, is_best boolean, test_auc double")
 
 
 def feature_importances(spark: SparkSession, model: PipelineModel, names: list[str]) -> DataFrame:
@@ -182,6 +201,10 @@ def score_report(spark: SparkSession, model: PipelineModel, train_pred: DataFram
     precision, recall, F1 and the fitted parameters. Counts come from one
     distributed aggregate."""
     from tickflow.operators.metrics import binary_metrics
+    from tickflow.session import stage
+    # Each metric reads the predictions again: score them once.
+    train_pred, test_pred = (stage(p.select(label, "prediction", "prob_1"))
+                             for p in (train_pred, test_pred))
     m = binary_metrics(test_pred, label=label, prediction="prediction")
     params = F.create_map(*[x for k, v in sorted(fitted_params(model).items())
                             for x in (F.lit(k), F.lit(v))])
@@ -199,7 +222,7 @@ def stamped(path: str, now: dt.datetime | None = None) -> str:
 def save_model(model: PipelineModel | None, path: str, stamp: bool = True) -> str:
     """SNK-5: persist with MLlib's writer; error when there is no model."""
     if model is None:
-        raise ValueError("No model found. Train the model before saving.")
+        raise ValueError("there is no fitted model to save")
     target = stamped(path) if stamp else path
     model.write().overwrite().save(target)
     return target

@@ -139,3 +139,40 @@ def auc_pr_binned(spark, sf_dir):
     pts = M.pr_points(scored_rows(spark, sf_dir), bins=BINS)
     area = M.auc_from_curve(pts, x="recall", y="precision", start=(0.0, 1.0))
     return area.select(F.round("area", 12).alias("area"))
+
+
+_EXACT = f"""
+WITH k AS (SELECT score AS threshold, SUM(CASE WHEN target = 1 THEN 1 ELSE 0 END) AS pos,
+                  SUM(CASE WHEN target = 1 THEN 0 ELSE 1 END) AS neg FROM {_S} GROUP BY 1),
+c AS (SELECT threshold,
+             SUM(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS tp,
+             SUM(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS fp,
+             SUM(pos) OVER () AS p, SUM(neg) OVER () AS n FROM k)"""
+
+
+@query("roc_points_exact", ("AGG-11",), oracle=_EXACT + """
+SELECT threshold, CAST(fp AS DOUBLE) / NULLIF(n, 0) AS fpr, CAST(tp AS DOUBLE) / NULLIF(p, 0) AS tpr
+FROM c""")
+def roc_points_exact(spark, sf_dir):
+    """ROC curve with a point per distinct score."""
+    return M.roc_points(scored_rows(spark, sf_dir), bins=None)
+
+
+@query("pr_points_exact", ("AGG-11", "AGG-10"), oracle=_EXACT + """
+SELECT threshold, CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0) AS precision,
+       CAST(tp AS DOUBLE) / NULLIF(p, 0) AS recall
+FROM c""")
+def pr_points_exact(spark, sf_dir):
+    """Precision-recall curve with a point per distinct score."""
+    return M.pr_points(scored_rows(spark, sf_dir), bins=None)
+
+
+@query("auc_pr_exact", ("AGG-10", "AGG-11"), oracle=_EXACT + """,
+s AS (SELECT (CAST(tp AS DOUBLE) / p - lag(CAST(tp AS DOUBLE) / p, 1, 0.0) OVER w)
+             * (CAST(tp AS DOUBLE) / (tp + fp) + lag(CAST(tp AS DOUBLE) / (tp + fp), 1, 1.0) OVER w)
+             / 2 AS a
+      FROM c WINDOW w AS (ORDER BY threshold DESC))
+SELECT round(SUM(a), 9) AS area FROM s""")
+def auc_pr_exact(spark, sf_dir):
+    """Exact area under the precision-recall curve, to 9 decimals."""
+    return M.auc_pr(scored_rows(spark, sf_dir)).select(F.round("area", 9).alias("area"))

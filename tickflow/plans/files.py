@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickflow import schemas as SC
+from tickflow.operators import bars as B
+from tickflow.operators import lags as G
+from tickflow.plans import oracle_sql as O
 from tickflow.plans.registry import query
+from tickflow.plans.series import REF
 from tickflow.plans.signals import _PREDS_SQL, rule_predictions
 from tickflow.session import scratch_path
 from tickflow.sources import files as FS
@@ -48,6 +52,10 @@ def minute_csv_roundtrip(spark, sf_dir):
     the raw schema, normalised (renamed volumes, unix seconds, literal
     symbol, nine columns, duplicates dropped), written one CSV folder per
     year and read back through the year-file scan."""
+    return minute_rows(spark, sf_dir)
+
+
+def minute_rows(spark, sf_dir):
     from tickflow.operators import columns as C
     from tickflow.functions import temporal as T
     from tickflow import schemas as S
@@ -64,3 +72,22 @@ def minute_csv_roundtrip(spark, sf_dir):
                          [f.name for f in S.MINUTE_CSV.fields]))
     year_path = FS.write_year_csvs(d, "date", scratch_path(spark, "minutes_by_year"))
     return FS.read_year_csvs(spark, year_path, S.MINUTE_CSV)
+
+
+_CSV_BARS = f"""SELECT '{SC.MINUTE_SYMBOL}' AS symbol, time_bucket(INTERVAL '5 minutes', sec,
+         TIMESTAMP '1970-01-01') + INTERVAL '5 minutes' AS timestamp,
+       arg_max(value, (sec, value)) AS price,
+       CAST(SUM(CAST(value AS DECIMAL(28,8))) AS DOUBLE) AS volume
+FROM (SELECT DISTINCT ts, value, date_trunc('second', ts) AS sec FROM events) GROUP BY 1, 2"""
+
+
+@query("csv_features", ("SRC-1", "SCL-1", "AGG-1", "WIN-1", "SCL-9"), oracle=f"""
+SELECT * EXCLUDE (wk) FROM ({O.week_lags(_CSV_BARS, REF, '5 minutes')}) x""")
+def csv_features(spark, sf_dir):
+    """The batch path from year files: minute rows read from CSV, unix seconds
+    to timestamps, 5-minute bars of close and quote volume, lagged changes."""
+    from tickflow.functions.temporal import seconds_to_ts
+    rows = minute_rows(spark, sf_dir).withColumns({
+        "ts": seconds_to_ts(F.col("unix")).cast("timestamp_ntz")})
+    b = B.bars(rows, "5 minutes", price="close", volume=SC.VOLUME_QUOTE_COL, tiebreak="close")
+    return G.pct_change_features(b, REF, "5 minutes")

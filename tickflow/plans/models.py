@@ -1,4 +1,5 @@
-"""Model queries (rows-only checks: tree ensembles are not SQL-expressible).
+"""Model queries. Tree ensembles are not SQL-expressible: what SQL can state
+(rows, keys, labels, counts) has an oracle.
 
 Training rows: the 5-minute feature table per symbol; out-of-time split
 (the last days are the test set, Q8), 80/20 hash validation flag (ML-1),
@@ -9,83 +10,111 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickflow.ml import model as ML
+from tickflow.operators import metrics as M
 from tickflow.operators import split as S
 from tickflow.operators.joins import keyed_outer_join
 from tickflow.operators.lags import REFERENCE_HORIZONS
 from tickflow.operators.labels import feature_table
 from tickflow.plans.registry import query
-from tickflow.plans.series import _bars
+from tickflow.plans.series import _bars, _label_oracle
 from tickflow.session import scratch_path, stage
 
-TEST_FROM = "2024-01-25 00:00:00"
+TRAIN_SHARE = 0.8          # the first 80% of the time extent trains, the rest tests
 GBT_ITER = 15
-_CACHE: dict = {}
 
 
-def training_sets(spark, sf_dir):
+def training_sets(spark, sf_dir, share: float = TRAIN_SHARE):
     """(train, test) from one staged feature table: fitting, scoring and the
-    evaluators all read it, so it is computed once."""
+    evaluators all read it, so it is computed once. The cut lies at ``share``
+    of the table's own time extent."""
     f = stage(feature_table(_bars(spark, sf_dir), "5 minutes", REFERENCE_HORIZONS))
     f = S.with_validation_flag(f, ML.ts_to_seconds(F.col("timestamp")))
     f = ML.week_folds(f, "timestamp", 3)
-    cut = F.lit(TEST_FROM).cast("timestamp_ntz")
+    lo, hi = f.agg(F.min("timestamp"), F.max("timestamp")).first()
+    if lo is None:
+        return f, f
+    cut = F.lit(lo + (hi - lo) * share).cast("timestamp_ntz")
     return f.filter(F.col("timestamp") < cut), f.filter(F.col("timestamp") >= cut)
 
 
-def fitted(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _CACHE:
-        train, test = training_sets(spark, sf_dir)
-        names = ML.feature_columns(train)
-        data = ML.training_frame(train)
-        try:
-            model = ML.fit(ML.gbt_pipeline(names, max_iter=GBT_ITER, max_depth=4), data)
-        finally:
-            train.unpersist()
-        _CACHE.clear()
-        _CACHE[key] = (model, names)
-    return _CACHE[key]
+def fitted(spark, sf_dir, max_iter: int = GBT_ITER, max_depth: int = 4):
+    """(model, feature names, train, test), all from one staged table."""
+    train, test = training_sets(spark, sf_dir)
+    names = ML.feature_columns(train)
+    data = ML.training_frame(train)
+    try:
+        model = ML.fit(ML.gbt_pipeline(names, max_iter=max_iter, max_depth=max_depth), data)
+    finally:
+        data.unpersist()
+    return model, names, train, test
 
 
 @query("gbt_predictions", ("ML-2", "ML-3", "ML-4", "PRJ-12", "PRJ-13", "PRJ-14", "FLT-1"))
 def gbt_predictions(spark, sf_dir):
     """Boosted trees fit on the train period (early stopping on the hash
     validation rows), test period scored; keys carried through."""
-    model, _ = fitted(spark, sf_dir)
-    _, test = training_sets(spark, sf_dir)
+    model, _, _, test = fitted(spark, sf_dir)
     p = ML.predict(model, test)
     return p.select("symbol", "timestamp", "price", "target", "prediction", "prob_1")
 
 
+_LABELLED = _label_oracle("5 minutes", REFERENCE_HORIZONS, 3, "15m")
+TEST_ROWS_SQL = f"""
+WITH l AS ({_LABELLED}),
+c AS (SELECT min(timestamp) + to_microseconds(CAST(round((epoch_us(max(timestamp))
+       - epoch_us(min(timestamp))) * {TRAIN_SHARE}) AS BIGINT)) AS cut FROM l)"""
+
+
+@query("gbt_scored_rows", ("ML-4", "PRJ-13", "PRJ-14", "FLT-1"), oracle=TEST_ROWS_SQL + """
+SELECT symbol, timestamp, price, target, true AS scored FROM l, c WHERE timestamp >= cut""")
+def gbt_scored_rows(spark, sf_dir):
+    """Every test row comes back from scoring with its keys, price and label,
+    and with a class and probabilities that sum to one."""
+    model, _, _, test = fitted(spark, sf_dir)
+    p = ML.predict(model, test)
+    scored = F.col("prediction").isin(0.0, 1.0) & (
+        F.abs(F.col("prob_0") + F.col("prob_1") - 1) < 1e-9)
+    return p.select("symbol", "timestamp", "price", "target", scored.alias("scored"))
+
+
+@query("gbt_confusion", ("AGG-7", "ML-8"), oracle=TEST_ROWS_SQL + """
+SELECT CAST(target AS INTEGER) AS actual, COUNT(*) AS n FROM l, c WHERE timestamp >= cut
+GROUP BY 1""")
+def gbt_confusion(spark, sf_dir):
+    """The model's confusion matrix on the test rows, summed by actual class."""
+    model, _, _, test = fitted(spark, sf_dir)
+    cells = M.confusion_matrix(ML.predict(model, test))
+    return cells.groupBy("actual").agg(F.sum("n").cast("long").alias("n"))
+
+
 @query("cv_best", ("ML-5", "ML-6"))
-def cv_best(spark, sf_dir):
-    """3-fold (by week) cross-validation over a 2x2 grid (4 fits at a time);
-    mean AUC per point."""
-    train, _ = training_sets(spark, sf_dir)
+def cv_best(spark, sf_dir, max_iter: int = 6, grid=ML.small_grid):
+    """3-fold (by week) cross-validation over ``grid`` (4 fits at a time), by
+    default 2x2 points of 6 trees: mean AUC per point, and the best model's
+    AUC on the test period."""
+    train, test = training_sets(spark, sf_dir)
     names = ML.feature_columns(train)
-    pipe = ML.gbt_pipeline(names, max_iter=6, validation_col=None)
-    grid = ML.small_grid(ML.gbt_of(pipe))
-    base = train.drop("isVal")
-    data = ML.training_frame(base)
+    pipe = ML.gbt_pipeline(names, max_iter=max_iter, validation_col=None)
+    points = grid(ML.gbt_of(pipe))
+    data = ML.training_frame(train.drop("isVal"))
     try:
-        cv = ML.tune(pipe, grid, data, fold_col="fold", parallelism=4)
+        cv = ML.tune(pipe, points, data, fold_col="fold", parallelism=4)
     finally:
-        base.unpersist()
-    return ML.cv_table(spark, cv, grid)
+        data.unpersist()
+    return ML.cv_table(spark, cv, points, test)
 
 
 @query("feature_importance", ("ML-7",))
 def feature_importance(spark, sf_dir):
     """Importance of each of the six change features."""
-    model, names = fitted(spark, sf_dir)
+    model, names, _, _ = fitted(spark, sf_dir)
     return ML.feature_importances(spark, model, names)
 
 
 @query("score_report", ("ML-8", "AGG-8", "AGG-9"))
 def score_report(spark, sf_dir):
     """Train/test AUC, test accuracy/precision/recall/F1 and fitted params."""
-    model, _ = fitted(spark, sf_dir)
-    train, test = training_sets(spark, sf_dir)
+    model, _, train, test = fitted(spark, sf_dir)
     return ML.score_report(spark, model, ML.predict(model, train), ML.predict(model, test))
 
 
@@ -93,10 +122,9 @@ def score_report(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     """Save the fitted pipeline (time-stamped path), load it back, score the
     test period, and align with the original model's predictions by key."""
-    model, _ = fitted(spark, sf_dir)
+    model, _, _, test = fitted(spark, sf_dir)
     path = ML.save_model(model, scratch_path(spark, "model"))
     again = ML.load_model(path)
-    _, test = training_sets(spark, sf_dir)
     a = ML.predict(model, test).select("symbol", "timestamp", F.col("prob_1").alias("prob_a"))
     b = ML.predict(again, test).select("symbol", "timestamp", F.col("prob_1").alias("prob_b"))
     return keyed_outer_join(a, b, ["symbol", "timestamp"]).withColumn(

@@ -19,7 +19,7 @@ def _events(spark, sf_dir):
     return read_table(spark, sf_dir, "events", _EV)
 
 
-@query("json_fields", ("PRJ-1", "PRJ-2", "PRJ-3", "Q15", "Q16"), oracle="""
+@query("json_fields", ("PRJ-2", "PRJ-3", "Q15", "Q16"), oracle="""
 SELECT event_id,
        CASE WHEN event_type = 'error' THEN NULL ELSE value END AS price,
        CASE WHEN event_type IN ('error', 'click') THEN NULL ELSE user_id END AS market_cap,

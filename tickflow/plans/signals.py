@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickflow.functions.change import direction
+from tickflow.operators import bars as B
 from tickflow.operators import daily as D
 from tickflow.operators import lags as G
 from tickflow.operators import rolling as R
@@ -14,6 +15,7 @@ from tickflow.plans import oracle_sql as O
 from tickflow.plans.registry import query
 from tickflow.plans.series import REF, _bars
 from tickflow.session import stage
+from tickflow.sources.events import read_ticks
 from tickflow.sources.tables import read_table
 
 _B5 = O.bars("5 minutes")
@@ -56,6 +58,48 @@ def rolling_24h_range_sliced(spark, sf_dir):
                          method="slices")
 
 
+# Volumes with eight decimals: every plan must keep them all.
+_FINE_BARS = f"""SELECT symbol, time_bucket(INTERVAL '5 minutes', ts, TIMESTAMP '1970-01-01')
+         + INTERVAL '5 minutes' AS timestamp, arg_max(close, (ts, tiebreak)) AS price,
+       CAST(SUM(CAST(volume + 0.00000013 AS DECIMAL(38,10))) AS DOUBLE) AS volume
+FROM ({O.ticks()}) t GROUP BY 1, 2"""
+
+
+def _fine_sql(first: str) -> str:
+    return f"""
+WITH b AS ({_FINE_BARS})
+SELECT a.symbol, a.timestamp, a.price,
+       CAST(SUM(CAST(c.volume AS DECIMAL(38,10))) AS DOUBLE) AS volume_24h
+FROM b a JOIN b c ON c.symbol = a.symbol AND c.timestamp <= a.timestamp
+     AND c.timestamp {first} a.timestamp - INTERVAL '24 hours' GROUP BY 1, 2, 3"""
+
+
+def _fine_bars(spark, sf_dir):
+    ticks = read_ticks(spark, sf_dir).withColumn("volume", F.col("volume") + F.lit(0.00000013))
+    return B.bars(ticks, "5 minutes")
+
+
+@query("rolling_24h_fine", ("WIN-4",), oracle=_fine_sql(">="))
+def rolling_24h_fine(spark, sf_dir):
+    """Rolling volume of eight-decimal volumes through the halo plan."""
+    r = R.rolling_sum(_fine_bars(spark, sf_dir), "volume", "24 hours", out="volume_24h")
+    return r.drop("volume")
+
+
+@query("rolling_24h_fine_sliced", ("WIN-4",), oracle=_fine_sql(">="))
+def rolling_24h_fine_sliced(spark, sf_dir):
+    """rolling_24h_fine through the slices plan."""
+    r = R.rolling_sum(_fine_bars(spark, sf_dir), "volume", "24 hours", out="volume_24h",
+                      method="slices")
+    return r.drop("volume")
+
+
+@query("rolling_24h_fine_join", ("JON-1", "AGG-2"), oracle=_fine_sql(">"))
+def rolling_24h_fine_join(spark, sf_dir):
+    """Rolling volume of eight-decimal volumes through the range join."""
+    return R.rolling_join(_fine_bars(spark, sf_dir), "volume", "24 hours", out="volume_24h")
+
+
 @query("volume_change_rolling", ("WIN-5", "SCL-8", "SCL-14", "Q11"), oracle=f"""
 SELECT symbol, timestamp, price, volume_24h,
        CAST(((volume_24h - lag(volume_24h) OVER w) / NULLIF(lag(volume_24h) OVER w, 0)) * 100 AS DOUBLE)
@@ -156,7 +200,7 @@ def clip_threshold(spark, sf_dir):
     return D.clip_ratio(D.daily_signal(rule_predictions(spark, sf_dir), keys=["symbol"]))
 
 
-@query("keyed_outer_join", ("JON-2", "JON-3", "PRJ-14"), oracle=f"""
+@query("keyed_outer_join", ("JON-2", "JON-3"), oracle=f"""
 SELECT coalesce(b.symbol, p.symbol) AS symbol, coalesce(b.timestamp, p.time) AS timestamp,
        b.price, p.label AS prediction, p.prob
 FROM ({_B5}) b FULL OUTER JOIN ({_PREDS_SQL}) p ON b.symbol = p.symbol AND b.timestamp = p.time""")

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tickflow.ml import model as ML
 from tickflow.plans import oracle_sql as O
-from tickflow.plans.models import fitted, training_sets
+from tickflow.plans.models import TEST_ROWS_SQL, fitted
 from tickflow.plans.registry import query
-from tickflow.session import scratch_path, table_path
+from tickflow.session import scratch_path, stage, table_path
 from tickflow.sources import events as E
 from tickflow.sources import ticks as K
 from tickflow.plans.series import REF, _bars
@@ -24,7 +24,7 @@ def event_stream(spark, sf_dir):
     return ST.file_stream(spark, path, spark.read.parquet(path).schema)
 
 
-@query("stream_parse", ("STR-1", "STR-2", "STR-4", "SNK-2", "PRJ-1", "PRJ-2", "PRJ-3"), oracle="""
+@query("stream_parse", ("STR-1", "STR-2", "STR-4", "SNK-2", "PRJ-2", "PRJ-3"), oracle="""
 SELECT event_id, value AS price, CASE WHEN event_type = 'click' THEN NULL ELSE user_id END AS market_cap,
        event_type AS symbol, ts AS timestamp
 FROM events WHERE event_type NOT IN ('error', 'signup')""")
@@ -58,16 +58,37 @@ def stream_bars_complete(spark, sf_dir):
     return ST.run_available(out, spark, "stream_bars_complete", mode="complete")
 
 
-@query("stream_score", ("STR-5", "ML-4", "PRJ-14"))
+def tick_messages(features):
+    """Stand-in feed: one binary message per feature row, changes in percent."""
+    from tickflow.functions.jsoncols import encode
+    body = encode("price", "symbol", F.date_format(
+        "timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        *[(F.col(c) * 100).alias(c) for c in ML.feature_columns(features)])
+    return features.select(F.col("symbol").cast("binary").alias("key"),
+                           body.cast("binary").alias("value"))
+
+
+def scored_ticks(messages, model):
+    """Binary tick messages -> text -> fields -> fractions -> scored ticks."""
+    parsed = K.parse_ticks(K.as_text(messages, key="key"), keep=["key"])
+    good, _ = K.split_valid(parsed)
+    return ML.predict(model, K.percent_to_fraction(good))
+
+
+@query("stream_score", ("STR-5", "ML-4", "PRJ-1", "PRJ-14", "Q10"), oracle=TEST_ROWS_SQL + """
+SELECT symbol, timestamp, price, true AS scored FROM l, c WHERE timestamp >= cut""")
 def stream_score(spark, sf_dir):
-    """The persisted test-period feature table replayed as a stream and
-    scored by the fitted pipeline (stateless, whole micro-batches)."""
-    model, _ = fitted(spark, sf_dir)
-    _, test = training_sets(spark, sf_dir)
-    landing = scratch_path(spark, "features")
-    test.write.mode("overwrite").parquet(landing)
+    """Tick messages of the test period (key and value bytes, changes in
+    percent) read as a stream, parsed, turned into fractions and scored by
+    the saved and reloaded model, whole micro-batches at a time."""
+    model, _, _, test = fitted(spark, sf_dir)
+    model = ML.load_model(ML.save_model(model, scratch_path(spark, "model")))
+    landing = scratch_path(spark, "messages")
+    tick_messages(test).write.mode("overwrite").parquet(landing)
     s = ST.file_stream(spark, landing, spark.read.parquet(landing).schema)
-    scored = ML.predict(model, s).select("symbol", "timestamp", "price", "prediction", "prob_1")
+    scored = scored_ticks(s, model).select(
+        "symbol", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "price",
+        F.col("prediction").isin(0.0, 1.0).alias("scored"))
     return ST.run_available(scored, spark, "stream_score")
 
 
@@ -75,23 +96,33 @@ def stream_score(spark, sf_dir):
 SELECT * EXCLUDE (wk), false AS late FROM ({O.week_lags(O.bars('5 minutes'), REF, '5 minutes')}) x""")
 def stream_lags(spark, sf_dir):
     """Week-partitioned lagged changes computed on a stream: 5-minute bars
-    land as six files in time order (the first through 6 January, then
-    five-day drops), one file per micro-batch, lags carried across batches
-    in per-(symbol, week) state."""
-    bars = _bars(spark, sf_dir)
-    landing = scratch_path(spark, "bars_landing")
-    edges = ["2023-12-27", "2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21",
-             "2024-01-26", "2024-02-01"]
-    lo = F.col("timestamp")
-    for a, b in zip(edges[:-1], edges[1:]):
-        part = bars.filter((lo > F.lit(a).cast("timestamp_ntz")) & (lo <= F.lit(b).cast("timestamp_ntz")))
-        part.coalesce(1).write.mode("append").parquet(landing)
-    schema = spark.read.parquet(landing).schema
-    s = ST.file_stream(spark, landing, schema, max_files_per_trigger=1)
-    s = s.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    out = SF.stream_lag_features(s, REF, "5 minutes")
-    out = out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
-    return ST.run_available(out, spark, "stream_lags")
+    arrive in ``LAG_DROPS`` parts of equal length of their own time extent,
+    each part a run of the same stream, with lags carried across runs in
+    per-(symbol, week) state."""
+    return stream_lags_of(spark, _bars(spark, sf_dir))
+
+
+LAG_DROPS = 6
+
+
+def stream_lags_of(spark, bars, drops: int = LAG_DROPS):
+    bars = stage(bars)
+    landing, root = scratch_path(spark, "bars_landing"), scratch_path(spark, "stream_lags")
+    lo, hi = bars.agg(F.min("timestamp"), F.max("timestamp")).first()
+    edges = [None if lo is None else lo + (hi - lo) * i / drops for i in range(1, drops)]
+    at = F.col("timestamp")
+    part = F.lit(0)
+    for e in edges if lo is not None else []:
+        part = part + F.when(at > F.lit(e).cast("timestamp_ntz"), 1).otherwise(0)
+    numbered, out = bars.withColumn("_part", part), None
+    for i in range(drops):
+        numbered.filter(F.col("_part") == i).drop("_part").write.mode("append").parquet(landing)
+        s = ST.file_stream(spark, landing, bars.schema)
+        s = s.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        rows = SF.stream_lag_features(s, REF, "5 minutes").withColumn(
+            "timestamp", F.col("timestamp").cast("timestamp_ntz"))
+        out = ST.run_available(rows, spark, "stream_lags", root=root)
+    return out
 
 
 @query("stream_dedup", ("FLT-4", "STR-2", "EXT"), oracle="""

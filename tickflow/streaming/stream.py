@@ -156,7 +156,7 @@ class _TempConf:
 
 def run_available(df: DataFrame, spark: SparkSession, name: str, mode: str = "append",
                   state_partitions: int | None = None,
-                  state_store: str | None = ROCKSDB) -> DataFrame:
+                  state_store: str | None = ROCKSDB, root: str | None = None) -> DataFrame:
     """STR-2 / STR-3 / STR-4 / SNK-2: process everything available now with a
     checkpoint under the shared checkpoint root, then read the result back.
 
@@ -165,8 +165,8 @@ def run_available(df: DataFrame, spark: SparkSession, name: str, mode: str = "ap
     A stateful query fixes its state-store partition count and provider
     when it first starts: ``state_partitions`` (default: the cluster's
     parallelism, not the batch shuffle setting) and ``state_store``
-    (default: RocksDB)."""
-    root = scratch_path(spark, name)
+    (default: RocksDB). A ``root`` given again goes on from its checkpoint."""
+    root = root or scratch_path(spark, name)
     out, ckpt = f"{root}/out", f"{root}/checkpoint"
     w = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
     with _TempConf(spark, _start_conf(spark, state_partitions, state_store)):
