@@ -69,7 +69,9 @@ def ref_chained_lags(spark, sf_dir):
          .agg(F.last("close").alias("price"), F.sum("vol").alias("v")).orderBy(F.col("w.end"))
          .select("symbol", F.col("w.end").alias("timestamp"), "price", "v"))
     spec = Window.partitionBy("symbol", F.window("timestamp", "1 week")).orderBy("timestamp")
-    for name, k in (("p15", 3), ("p30", 6), ("p1h", 12), ("p6h", 72), ("p12h", 144), ("p24h", 288)):
+    from tickflow.functions.temporal import duration_seconds
+    from tickflow.operators.lags import REFERENCE_HORIZONS
+    for name, k in ((f"p{i}", duration_seconds(h) // 300) for i, h in enumerate(REFERENCE_HORIZONS)):
         # try_divide: plain division raises on a zero price under ANSI (Q22)
         b = b.withColumn(name, F.try_divide(F.col("price") - F.lag("price", k).over(spec),
                                             F.lag("price", k).over(spec)))
@@ -79,7 +81,8 @@ def ref_chained_lags(spark, sf_dir):
 
 
 def ref_nested_loop_rolling(spark, sf_dir):
-    """Reference plan shape: range self-join without an equality key."""
+    """Range self-join on the series key: Spark joins by hash, unlike the
+    reference's key-less form below."""
     from pyspark.sql import functions as F
     from tickflow.plans.series import _bars
     b = _bars(spark, sf_dir)

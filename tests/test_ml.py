@@ -51,3 +51,27 @@ def test_empty_training_set_fails_clearly(spark):
     train, _ = training_sets(spark, SF001)   # 24h lag inside weeks leaves no rows here
     with pytest.raises(ValueError, match="no training rows"):
         ML.training_frame(train)
+
+
+def test_rows_with_nulls_are_scored_without_a_prediction(spark, fitted):
+    model, names, _, test = fitted
+    two = test.limit(1).unionByName(test.limit(1).withColumn(names[0], F.lit(None).cast("double")))
+    got = ML.predict(model, two).select("prediction", "prob_1").collect()
+    assert len(got) == 2
+    assert sorted(r["prediction"] is None for r in got) == [False, True]
+
+
+def test_batch_and_stream_messages_score_alike(spark, fitted):
+    from tickflow.plans.streams import scored_ticks, tick_messages
+    model, _, _, test = fitted
+    a = ML.predict(model, test).select("symbol", "timestamp", F.round("prob_1", 6).alias("a"))
+    b = scored_ticks(tick_messages(test), model).select(
+        "symbol", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        F.round("prob_1", 6).alias("b"))
+    both = a.join(b, ["symbol", "timestamp"], "full_outer")
+    assert both.count() == test.count() and both.filter("not (a <=> b)").count() <= 0.01 * both.count()
+
+
+def test_default_grid_grows_trees_of_more_than_one_leaf():
+    grid = ML.reference_grid(ML.gbt_of(ML.gbt_pipeline(["percent_change_1h"])))
+    assert max(v for g in grid for p, v in g.items() if p.name == "minInfoGain") < 0.5

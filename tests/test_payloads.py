@@ -4,13 +4,12 @@ import datetime as dt
 from tickflow import schemas as S
 from tickflow.sources import ticks as K
 
-SAMPLE = ('{"price": 67232.6000817046, "volume_24h": 33908878129.99016, '
-          '"volume_24h_change_24h": -28.86, "market_cap": 1329111992916, '
-          '"market_cap_change_24h": -0.54, "percent_change_15m": 0, "percent_change_30m": -0.08, '
-          '"percent_change_1h": -0.22, "percent_change_6h": -0.4, "percent_change_12h": -0.63, '
-          '"percent_change_24h": -0.54, "percent_change_7d": 10.16, "percent_change_30d": 12.42, '
-          '"percent_change_1y": 136.29, "symbol": "BTC", "beta_value": 0.976775, '
-          '"timestamp": "2024-10-17T10:07:35Z"}')
+SAMPLE = ('{"price": 100.5, "volume_24h": 1200.25, "volume_24h_change_24h": -1.5, '
+          '"market_cap": 5000000, "market_cap_change_24h": 0.25, "percent_change_15m": 0, '
+          '"percent_change_30m": 0.5, "percent_change_1h": -0.75, "percent_change_6h": 1.25, '
+          '"percent_change_12h": -2.5, "percent_change_24h": -4.0, "percent_change_7d": 8.0, '
+          '"percent_change_30d": 16.0, "percent_change_1y": 32.0, "symbol": "XYZ", '
+          '"beta_value": 1.5, "timestamp": "2024-03-04T05:06:07Z"}')
 
 
 def _texts(spark, texts):
@@ -19,10 +18,10 @@ def _texts(spark, texts):
 
 def test_sample_tick_parses_completely(spark):
     p = K.parse_ticks(_texts(spark, [SAMPLE]), keep=["id"]).first()
-    assert p["valid"] and p["market_cap"] == 1329111992916
-    assert p["timestamp"] == dt.datetime(2024, 10, 17, 10, 7, 35)
+    assert p["valid"] and p["market_cap"] == 5000000
+    assert p["timestamp"] == dt.datetime(2024, 3, 4, 5, 6, 7)
     f = K.percent_to_fraction(K.parse_ticks(_texts(spark, [SAMPLE]))).first()
-    assert f["percent_change_24h"] == -0.0054
+    assert f["percent_change_24h"] == -0.04
 
 
 def test_bad_records_are_quarantined(spark):
@@ -38,20 +37,20 @@ def test_bad_records_are_quarantined(spark):
 
 
 def test_ticker_document_flatten(spark):
-    doc = ('{"symbol": "BTC", "beta_value": 0.9, "last_updated": "2024-10-17T10:07:35Z", '
+    doc = ('{"symbol": "XYZ", "beta_value": 0.9, "last_updated": "2024-03-04T05:06:07Z", '
            '"quotes": {"USD": {"price": 5.0, "market_cap": 7, "ath_price": 9.0, '
-           '"ath_date": "2021-11-10T16:51:15Z", "percent_from_price_ath": -10.0}}}')
+           '"ath_date": "2020-01-02T03:04:05Z", "percent_from_price_ath": -10.0}}}')
     f = K.flatten_ticker(_texts(spark, [doc, "not json"]), keep=["id"]).orderBy("id").collect()
-    assert f[0]["price"] == 5.0 and f[0]["symbol"] == "BTC" and "ath_price" not in f[0]
-    assert f[0]["timestamp"] == dt.datetime(2024, 10, 17, 10, 7, 35)
+    assert f[0]["price"] == 5.0 and f[0]["symbol"] == "XYZ" and "ath_price" not in f[0]
+    assert f[0]["timestamp"] == dt.datetime(2024, 3, 4, 5, 6, 7)
     assert f[1]["price"] is None
 
 
 def test_array_payload_explodes(spark):
-    t = '{"data": [{"price": 1.5, "market_cap": 1329111992916, "BTC": "x"}, {"price": 2.5, "BTC": "y"}]}'
+    t = '{"data": [{"price": 1.5, "market_cap": 5000000, "BTC": "x"}, {"price": 2.5, "BTC": "y"}]}'
     e = K.explode_payload(_texts(spark, [t]), keep=["id"]).collect()
     assert [(r["price"], r["BTC"]) for r in e] == [(1.5, "x"), (2.5, "y")]
-    assert e[0]["market_cap"] == 1329111992916
+    assert e[0]["market_cap"] == 5000000
     assert [f.name for f in S.ARRAY_ITEM.fields] == [c for c in e[0].asDict() if c != "id"]
 
 

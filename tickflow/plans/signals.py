@@ -61,7 +61,7 @@ def rolling_24h_range_sliced(spark, sf_dir):
 # Volumes with eight decimals: every plan must keep them all.
 _FINE_BARS = f"""SELECT symbol, time_bucket(INTERVAL '5 minutes', ts, TIMESTAMP '1970-01-01')
          + INTERVAL '5 minutes' AS timestamp, arg_max(close, (ts, tiebreak)) AS price,
-       CAST(SUM(CAST(volume + 0.00000013 AS DECIMAL(38,10))) AS DOUBLE) AS volume
+       CAST(SUM(CAST(round(volume + 0.00000013, 8) AS DECIMAL(38,10))) AS DOUBLE) AS volume
 FROM ({O.ticks()}) t GROUP BY 1, 2"""
 
 
@@ -75,7 +75,8 @@ FROM b a JOIN b c ON c.symbol = a.symbol AND c.timestamp <= a.timestamp
 
 
 def _fine_bars(spark, sf_dir):
-    ticks = read_ticks(spark, sf_dir).withColumn("volume", F.col("volume") + F.lit(0.00000013))
+    ticks = read_ticks(spark, sf_dir).withColumn(
+        "volume", F.round(F.col("volume") + F.lit(0.00000013), 8))
     return B.bars(ticks, "5 minutes")
 
 
