@@ -66,7 +66,7 @@ def bars(ticks: DataFrame, width: str = "5 minutes", *, keys=("symbol",),
     agg = (ticks.groupBy(*k, F.window(F.col(ts), width).alias("_w"))
            .agg(last_by_time(price, ts, tiebreak, integral).alias("price"),
                 vol.alias(volume_name)))
-    return agg.select(*k, F.col("_w.end").alias("timestamp", metadata=bar_metadata(width)),
+    return agg.select(*k, F.col("_w.end").alias("timestamp", metadata=bar_metadata(width, k)),
                       "price", volume_name)
 
 
@@ -74,15 +74,20 @@ def bars(ticks: DataFrame, width: str = "5 minutes", *, keys=("symbol",),
 # per (series, width slot) means a time partition of P seconds holds at most
 # P / width rows per series, a bound later windows can rely on without a job.
 BAR_WIDTH_KEY = "tickflow.bar_width_seconds"
+BAR_SERIES_KEY = "tickflow.bar_series"      # the keys that make a series of the bars
 
 
-def bar_metadata(width: str) -> dict:
-    return {BAR_WIDTH_KEY: duration_seconds(width)}
+def bar_metadata(width: str, keys=()) -> dict:
+    return {BAR_WIDTH_KEY: duration_seconds(width), BAR_SERIES_KEY: list(keys)}
 
 
-def bar_width_of(df: DataFrame, ts: str) -> int | None:
-    """Bar width recorded on ``ts`` by ``bars`` (None for other input)."""
-    return df.schema[ts].metadata.get(BAR_WIDTH_KEY) if ts in df.columns else None
+def bar_width_of(df: DataFrame, ts: str, keys=None) -> int | None:
+    """Bar width recorded on ``ts`` by ``bars``; None for other input, and when
+    ``keys`` lack one of the bars' keys, so that a slot may hold several rows."""
+    meta = df.schema[ts].metadata if ts in df.columns else {}
+    if keys is not None and not set(meta.get(BAR_SERIES_KEY, ())) <= set(_keys(keys)):
+        return None
+    return meta.get(BAR_WIDTH_KEY)
 
 
 def slot_grid(bars_df: DataFrame, width: str, *, keys=("symbol",),
@@ -108,7 +113,7 @@ def slot_grid(bars_df: DataFrame, width: str, *, keys=("symbol",),
         F.least(F.col("_hi"), F.col("_lo") + F.col("_c") * c + (c - w)),
         F.lit(w).cast("long"))).alias("_s"))
     return slots.select(*k, F.timestamp_seconds("_s").cast(
-        bars_df.schema[ts].dataType).alias(ts, metadata=bar_metadata(width)))
+        bars_df.schema[ts].dataType).alias(ts, metadata=bar_metadata(width, k)))
 
 
 def gap_fill(bars_df: DataFrame, width: str, *, keys=("symbol",),

@@ -60,12 +60,24 @@ def _partition_bounded(df: DataFrame, keys: list[str], ts: str, partition: str,
     """Whether every (series, partition) group fits one window task: proven
     from the bar width when the input is tagged bars, else measured."""
     limit = max_group_rows if max_group_rows is not None else MAX_GROUP_ROWS
-    width = bar_width_of(df, ts)
+    width = bar_width_of(df, ts, keys)
     if width:
         return duration_seconds(partition) // width + 1 <= limit
     return fits_one_task(df, [*keys, PART_COL], limit)
 
 
+def _slots_fit(df: DataFrame, keys: list[str], ts: str, limit: int | None) -> bool:
+    """Whether the longest series of tagged bars has slots for at most ``limit``
+    rows: one aggregate of the times, which prunes all other columns."""
+    width = bar_width_of(df, ts, keys)
+    if not width or limit is None:
+        return False
+    seconds = F.unix_seconds(F.max(ts).cast("timestamp")) - F.unix_seconds(
+        F.min(ts).cast("timestamp"))
+    longest = df.groupBy(*keys).agg(seconds.alias("_s")).agg(F.max("_s")).first()[0]
+    return (longest or 0) // width + 1 <= limit
+
+
 def halo_chunks(df: DataFrame, *, back: int, fwd: int = 0, keys=("symbol",),
                 order: Sequence[str] = ("timestamp",), chunk_rows: int = 100_000,
                 max_group_rows: int | None = MAX_GROUP_ROWS, stage_input: bool = True):
@@ -76,12 +88,14 @@ def halo_chunks(df: DataFrame, *, back: int, fwd: int = 0, keys=("symbol",),
     one partition never holds more than ``chunk_rows + back + fwd`` rows.
     Returns (frame, window spec). When every series is measured to fit one
     task (``max_group_rows``), the frame is the input and the spec a plain
-    per-series window. The input is checkpointed first (``stage_input``):
-    the size check and the indexing jobs all read it."""
+    per-series window. Series of tagged bars are measured by their extents
+    alone; other input is checkpointed first (``stage_input``): the size check
+    and the indexing jobs all read it."""
     k = _keys(keys)
-    if stage_input:
+    fits = _slots_fit(df, k, order[0], max_group_rows)
+    if stage_input and not fits:
         df = stage(df)
-    if fits_one_task(df, k, max_group_rows):
+    if fits or fits_one_task(df, k, max_group_rows):
         plain = (df.withColumn("_idx", F.lit(None).cast("long"))
                  .withColumn("_chunk", F.lit(0).cast("long")).withColumn("_halo", F.lit(False)))
         return plain, Window.partitionBy(*k).orderBy(*order)

@@ -92,7 +92,7 @@ def rolling_sum(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sym
         raise ValueError("method must be 'auto', 'halo' or 'slices'")
     if method == "auto":
         limit = None if max_group_rows is None else max_group_rows // 2
-        width = bar_width_of(df, ts)
+        width = bar_width_of(df, ts, k)
         if width and limit is not None and span_us // 1_000_000 // width + 1 <= limit:
             method = "halo"          # bars: a bucket holds at most span/width rows
         else:
@@ -190,7 +190,7 @@ def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sy
         df = stage(df)
     span_us = duration_seconds(span) * 1_000_000
     width = max(span_us // buckets_per_span, 1)
-    if not bar_width_of(df, ts) and not fits_one_task(
+    if not bar_width_of(df, ts, k) and not fits_one_task(
             df.withColumn("_bk", F.floor(epoch_micros(F.col(ts)) / F.lit(width))), [*k, "_bk"],
             MAX_BUCKET_ROWS):
         raise ValueError(f"a time bucket of one series holds more than {MAX_BUCKET_ROWS} rows; "
