@@ -1,13 +1,14 @@
 """Near duplicates by MinHash with sequential Bayesian verification.
 
 Documents with equal shingle sets are one node. Nodes that share a band of
-their signatures meet in a bucket. No bucket is expanded into all its pairs:
-each round compares its members with one pivot, members already known to be
-in the pivot's component excepted; after ``STAR_ROUNDS`` such rounds only
-pairs between different components of a bucket are left, and these are all
-compared. A pair is compared signature batch by signature batch and dropped
-once its similarity is unlikely to reach the threshold given the matches so
-far; survivors are verified on their full shingle sets.
+their signatures meet in a bucket. First each member is compared with its
+bucket's most central node, so copies of one text link to it. What may be left
+are links between different components of a bucket: buckets of one pivot make
+a cluster, cut into chunks of about ``CHUNK`` nodes, and each pair of chunks is
+compared in one task, so a cluster's pairs never become rows. A pair is
+compared signature batch by signature batch and dropped once its similarity is
+unlikely to reach the threshold given the matches so far; survivors are
+verified on their full shingle sets.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ HASHES = 240
 BAND = 6                 # hashes a band: a pair at 0.8 misses all 40 bands with 5 in a million
 BATCH = 24               # signature hashes compared at a time
 MISS = 1e-6              # a pair whose posterior chance of reaching the threshold is less goes
-STAR_ROUNDS = 4
+CHUNK = 256              # nodes of a cluster in a chunk, on average
 COLUMNS = 2048           # shingles hashed at a time
 SETS = 64                # shingle sets remembered by a verifying task
 
@@ -134,28 +135,96 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, n: int) -> DataF
     return rows.mapInArrow(run, "a long, b long")
 
 
+def common_counts(left: list, right: list, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of left[p] and right[q] (sorted sets)."""
+    if len(p) < 200:
+        return np.array([len(np.intersect1d(left[i], right[j], assume_unique=True))
+                         for i, j in zip(p, q, strict=True)], np.int64)
+    rows = [*left, *right]
+    values = np.concatenate(rows)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    _, col, seen = np.unique(values, return_inverse=True, return_counts=True)
+    shared = seen > 1
+    keep = shared[col]
+    col, owner = (np.cumsum(shared) - 1)[col[keep]], owner[keep]
+    order = np.argsort(col, kind="stable")
+    col, owner = col[order], owner[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, int(shared.sum()), COLUMNS):      # some shared shingles at a time
+        lo, hi = np.searchsorted(col, (at, at + COLUMNS))
+        dense = np.zeros((len(rows), COLUMNS), np.float32)
+        dense[owner[lo:hi], col[lo:hi] - at] = 1
+        both += dense[:len(left)] @ dense[len(left):].T
+    return both[p, q].astype(np.int64)
+
+
+def _between_chunks(rows: DataFrame, percent: int, n: int) -> DataFrame:
+    """Links between nodes of different components, by block of two chunks of
+    a cluster (i = j: within one chunk)."""
+    need = least_matches(percent)
+
+    def run(table: pa.Table) -> pa.Table:
+        cols = {c: table.column(c).to_pylist() for c in ("node", "n", "comp", "chunk", "sig", "text")}
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        part = np.array(cols["chunk"])
+        a, b = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        size, comp, node = (np.array(cols[c], np.int64) for c in ("n", "comp", "node"))
+        sig = np.frombuffer(b"".join(cols["sig"]), np.uint16).reshape(-1, HASHES)
+        small = 100 * np.minimum(size[a][:, None], size[b][None, :])
+        ask = (comp[a][:, None] != comp[b][None, :]) & (
+            small >= percent * np.maximum(size[a][:, None], size[b][None, :]))
+        if i == j:
+            ask &= np.arange(len(a))[:, None] < np.arange(len(b))[None, :]
+        p, q = np.nonzero(ask)
+        found = [np.empty((0, 2), np.int64)]
+        for at in range(0, len(p), 1 << 16):
+            x, y = a[p[at:at + (1 << 16)]], b[q[at:at + (1 << 16)]]
+            matches = np.zeros(len(x), np.int64)
+            for k, least in enumerate(need):
+                cut = slice(k * BATCH, (k + 1) * BATCH)
+                matches += (sig[x, cut] == sig[y, cut]).sum(axis=1)
+                alive = matches >= least
+                x, y, matches = x[alive], y[alive], matches[alive]
+            found.append(np.stack([x, y], axis=1))
+        pairs = np.concatenate(found)
+        if len(pairs):
+            left, p = np.unique(pairs[:, 0], return_inverse=True)
+            right, q = np.unique(pairs[:, 1], return_inverse=True)
+            sets = {k: shingles(cols["text"][k], n) for k in {*left.tolist(), *right.tolist()}}
+            both = common_counts([sets[k] for k in left.tolist()],
+                                 [sets[k] for k in right.tolist()], p, q)
+            total = size[pairs[:, 0]] + size[pairs[:, 1]] - both
+            pairs = pairs[100 * both >= percent * total]
+        ends = np.sort(node[pairs], axis=1)
+        return pa.table({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+
+    return rows.groupBy("pivot", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node in ``edges`` (a, b), root the least node of
-    its component: large-star and small-star steps until nothing changes."""
+    """(node, root) of every node in ``edges`` (a, b) but the roots, root the
+    least node of its component: large-star and small-star steps until the
+    edges form stars, that is until no node has two parents or is both a
+    parent and a child."""
     now = written(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
                   .filter("v <> u").distinct(), "cc")
-
-    def mark(e):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-
-    seen = mark(now)
     while True:
+        roles = now.select(F.col("v").alias("node"), F.lit(1).alias("child"), "u").unionByName(
+            now.select(F.col("u").alias("node"), F.lit(0).alias("child"),
+                       F.lit(None).cast("long").alias("u")))
+        tangled = roles.groupBy("node").agg(
+            F.min("child").alias("lo"), F.max("child").alias("hi"), F.min("u").alias("first"),
+            F.max("u").alias("last")).filter("lo <> hi or first <> last")
+        if tangled.isEmpty():
+            return now.select(F.col("v").alias("node"), F.col("u").alias("root"))
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
         large = both.filter("u > v").join(least, "v").select(
-            F.col("u").alias("v"), F.col("m").alias("u")).distinct()
+            F.col("u").alias("v"), F.col("m").alias("u"))
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(
-            low.select("v", F.col("m").alias("u"))).filter("v <> u").distinct()
-        now = written(small, "cc")
-        was, seen = seen, mark(now)
-        if was == seen:
-            return now.select(F.col("v").alias("node"), F.col("u").alias("root"))
+            low.select("v", F.col("m").alias("u")))
+        now = written(small.filter("v <> u").distinct(), "cc")
 
 
 def near_duplicates(df: DataFrame, *, words: int = 2, percent: int = 80,
@@ -185,47 +254,53 @@ def near_duplicates(df: DataFrame, *, words: int = 2, percent: int = 80,
         lambda k: F.xxhash64(F.substring(F.col("sig"), k * (2 * BAND) + 1, F.lit(2 * BAND)), k)
     )).alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    members = bands.join(shared.select("bucket"), "bucket")
+    members = written(bands.join(shared, "bucket"), "neardup-members")
+    # The copy that the others were made from shares the most buckets with them:
+    # as the pivot it links those that are no pairs among themselves.
+    central = members.groupBy("node").agg(F.sum("c").alias("ties"))
+    members = members.drop("c").join(central, "node")
     texts = df.select(F.col(id_col).cast("long").alias("node"),
                       F.col(text).cast("string").alias("text"))
-    tested = None
-    for round_no in range(STAR_ROUNDS + 1):
-        now = members.withColumn("root", F.lit(None).cast("long")) if labels is None else \
-            members.join(labels, "node", "left")
-        now = written(now.select("bucket", "node", "n", F.coalesce("root", "node").alias("comp")),
-                      "neardup-members")
-        # Pivot: the least node, later the least by a hash that changes by round.
-        order = F.col("node") if not round_no else F.xxhash64("node", F.lit(round_no))
+
+    def buckets(members: DataFrame) -> DataFrame:
+        """Members of buckets that hold several components, with the pivot."""
+        now = members.withColumn("comp", F.col("node")) if labels is None else members.join(
+            labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+        now = written(now, "neardup-members")
         mixed_buckets = now.groupBy("bucket").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-            F.min(F.struct(order.alias("o"), F.col("node").alias("node2"),
-                           F.col("comp").alias("comp2"), F.col("n").alias("n2"))).alias("p")
-        ).filter("lo <> hi").select("bucket", "p.node2", "p.comp2", "p.n2")
-        members = now.join(mixed_buckets, "bucket")
-        if round_no == STAR_ROUNDS:     # what is left: pairs between components
-            rest = written(members.drop("node2", "comp2", "n2"), "neardup-members")
-            members = rest.join(rest.select("bucket", F.col("node").alias("node2"), F.col("comp")
-                                            .alias("comp2"), F.col("n").alias("n2")), "bucket")
-        else:
-            members = written(members, "neardup-members")
-        pairs = members.filter("comp <> comp2").filter(
-            100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).select(
-                F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "neardup-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if not pairs.isEmpty():
-            likely = written(_likely(pairs, nodes, percent), "neardup-likely")
-            ids = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-            wanted = written(texts.join(ids, "node", "left_semi"), "neardup-texts")
-            links = written(links.unionByName(_verified(likely, wanted, percent, words)),
-                            "neardup-links")
-            labels = None if links.isEmpty() else components(links)
-        elif members.isEmpty():
-            break
-        if round_no < STAR_ROUNDS:
-            members = members.select("bucket", "node", "n")
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(
+                -F.col("ties"), F.col("node").alias("pivot"), F.col("comp").alias("comp2"),
+                F.col("n").alias("n2"))).alias("p")).filter("lo <> hi")
+        return now.join(mixed_buckets.select("bucket", "p.pivot", "p.comp2", "p.n2"), "bucket")
+
+    # Every member against its pivot.
+    members = written(buckets(members), "neardup-members")
+    pairs = written(members.filter("comp <> comp2").filter(
+        100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).select(
+            F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(),
+        "neardup-pairs")
+    likely = written(_likely(pairs, nodes, percent), "neardup-likely")
+    ids = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    wanted = written(texts.join(ids, "node", "left_semi"), "neardup-texts")
+    links = written(links.unionByName(_verified(likely, wanted, percent, words)), "neardup-links")
+    labels = None if links.isEmpty() else components(links)
+    # What is left: clusters of several components, block by block.
+    cluster = written(buckets(members.select("bucket", "node", "n", "ties")).select(
+        "pivot", "node", "n", "comp").distinct(), "neardup-clusters")
+    size = cluster.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).withColumn(
+        "k", F.ceil(F.col("m") / CHUNK))
+    if not cluster.isEmpty():
+        ids = cluster.select("node").distinct()
+        wanted = written(nodes.select("node", "sig").join(ids, "node").join(
+            texts.join(ids, "node", "left_semi"), "node"), "neardup-texts")
+        blocks = cluster.join(size, "pivot").withColumn(
+            "chunk", F.pmod(F.xxhash64("node"), F.col("k"))).withColumn(
+                "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))).select(
+                    "pivot", F.least("chunk", "other").alias("i"),
+                    F.greatest("chunk", "other").alias("j"), "chunk", "node", "n", "comp")
+        links = written(links.unionByName(_between_chunks(
+            blocks.join(wanted, "node"), percent, words)), "neardup-links")
+        labels = None if links.isEmpty() else components(links)
     rows = docs.join(nodes.select("digest", "node"), "digest", "left")
     if labels is not None:
         rows = rows.join(labels, "node", "left")
