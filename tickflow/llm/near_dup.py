@@ -258,9 +258,12 @@ def near_duplicates(df: DataFrame, *, words: int = 2, percent: int = 80,
     # The copy that the others were made from shares the most buckets with them:
     # as the pivot it links those that are no pairs among themselves.
     central = members.groupBy("node").agg(F.sum("c").alias("ties"))
+    some = members.select("node").distinct().hint("merge")
     members = members.drop("c").join(central, "node")
+    # Texts that may have to be verified, shuffled once, at every size alike.
     texts = df.select(F.col(id_col).cast("long").alias("node"),
                       F.col(text).cast("string").alias("text"))
+    texts = written(texts.join(some, "node", "left_semi"), "neardup-texts")
 
     def buckets(members: DataFrame) -> DataFrame:
         """Members of buckets that hold several components, with the pivot."""
@@ -280,9 +283,7 @@ def near_duplicates(df: DataFrame, *, words: int = 2, percent: int = 80,
             F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(),
         "neardup-pairs")
     likely = written(_likely(pairs, nodes, percent), "neardup-likely")
-    ids = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    wanted = written(texts.join(ids, "node", "left_semi"), "neardup-texts")
-    links = written(links.unionByName(_verified(likely, wanted, percent, words)), "neardup-links")
+    links = written(links.unionByName(_verified(likely, texts, percent, words)), "neardup-links")
     labels = None if links.isEmpty() else components(links)
     # What is left: clusters of several components, block by block.
     cluster = written(buckets(members.select("bucket", "node", "n", "ties")).select(
@@ -291,8 +292,8 @@ def near_duplicates(df: DataFrame, *, words: int = 2, percent: int = 80,
         "k", F.ceil(F.col("m") / CHUNK))
     if not cluster.isEmpty():
         ids = cluster.select("node").distinct()
-        wanted = written(nodes.select("node", "sig").join(ids, "node").join(
-            texts.join(ids, "node", "left_semi"), "node"), "neardup-texts")
+        wanted = written(texts.join(ids, "node", "left_semi").join(
+            nodes.select("node", "sig"), "node"), "neardup-compared")
         blocks = cluster.join(size, "pivot").withColumn(
             "chunk", F.pmod(F.xxhash64("node"), F.col("k"))).withColumn(
                 "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))).select(
