@@ -20,11 +20,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not predicted toxic. Rows of one id go together when
-    one of them is toxic; so do rows without an id."""
-    scored = toxicity.toxicity(docs, _table(spark, sf_dir, "labels"))
-    bad = scored.filter("predicted = 1").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    """Documents that are not predicted toxic."""
+    return toxicity.without_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -245,15 +245,11 @@ def leaks(df: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text: str
     are indexed in parts of at most PART_CHARS characters (or one item), so
     what a task holds has a bound; each part meets all documents."""
     spark = df.sparkSession
-    rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string").alias("text"))
-    rows = rows.filter(F.length("text") > 0).distinct()
     kind = df.schema[id_col].dataType.simpleString()
     schema = (f"`{id_col}` {kind}, item_id long, score double, question_overlap double, "
               "answer_overlap double")
 
-    def search(part: list[tuple[int, str]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(Index(part))
-
+    def search(shared) -> DataFrame:
         def run(batches):
             finder = Finder(shared.value)
             for batch in slices(batches):
@@ -267,32 +263,48 @@ def leaks(df: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text: str
 
         return df.select(id_col, F.col(text).cast("string")).mapInArrow(run, schema)
 
-    out, part, chars = None, [], 0
+    found = None
+    for shared, more in _indexes(items):
+        part = search(shared)
+        if more or found is not None:       # several parts: keep each one's result
+            part = written(part, "leaks")
+        found = part if found is None else found.unionByName(part)
+    return found if found is not None else spark.createDataFrame([], schema)
 
-    def add(part):
-        nonlocal out
-        found = search(part)
-        if out is not None or more:       # several parts: keep each part's result
-            found = written(found, "leaks")
-        out = found if out is None else out.unionByName(found)
 
-    more = False
-    for r in rows.orderBy("item_id", "text").toLocalIterator():
+def _indexes(items: DataFrame):
+    """(broadcast index, are there more) for parts of the items of at most
+    PART_CHARS characters, or of one item."""
+    rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string").alias("text"))
+    rows = rows.filter(F.length("text") > 0).distinct().orderBy("item_id", "text")
+    send = items.sparkSession.sparkContext.broadcast
+    part, chars = [], 0
+    for r in rows.toLocalIterator():
         if part and chars + len(r["text"]) > PART_CHARS:
-            more = True
-            add(part)
+            yield send(Index(part)), True
             part, chars = [], 0
         part.append((r["item_id"], r["text"]))
         chars += len(r["text"])
     if part:
-        add(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+        yield send(Index(part)), False
 
 
-def clean(df: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text: str = "text"
-          ) -> DataFrame:
-    """The rows of ``df`` whose id has no leak; rows without an id are judged
-    together."""
-    bad = leaks(df, items, id_col=id_col, text=text).select(
-        F.col(id_col).alias("_leaked")).distinct()
-    return df.join(bad, df[id_col].eqNullSafe(F.col("_leaked")), "left_anti")
+def clean(df: DataFrame, items: DataFrame, *, text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text holds no test item, with all their columns,
+    in a pass for each part of the items and without a shuffle."""
+    def keep(rows: DataFrame, shared) -> DataFrame:
+        def run(batches):
+            finder = Finder(shared.value)
+            for batch in slices(batches):
+                at = batch.schema.get_field_index(text)
+                bad = {f[0] for f in finder.find(batch.column(at).to_pylist())}
+                yield batch.filter(pa.array([k not in bad for k in range(batch.num_rows)],
+                                            pa.bool_()))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    for shared, more in _indexes(items):
+        df = keep(df, shared)
+        if more:
+            df = written(df, "clean")
+    return df

@@ -27,7 +27,8 @@ WORD_ROWS, CHAR_ROWS = 1 << 13, 1 << 14
 GRAMS = (3, 4, 5)
 SAMPLE_TEXTS = 1000               # labelled texts a class at most, before the length bound
 SAMPLE_CHARS = 6000               # longer texts are not learned from (all are scored)
-EPOCHS, BATCH, RATE = 8, 32, 0.02
+EPOCHS, BATCH, RATE = 5, 32, 0.02
+LEAST_STEPS = 300                 # a small sample is gone through more often
 THRESHOLD = 0.3
 CACHE_WORDS = 150_000
 TOKENS = 24_000                  # words scored at a time
@@ -171,12 +172,14 @@ def grid(start, size):
     return np.where(mask, start[None, :] + t, 0), mask.astype(np.float32)
 
 
-def train(texts: list[str], labels: list[int], *, epochs: int = EPOCHS, seed: int = 3) -> dict:
+def train(texts: list[str], labels: list[int], *, epochs: int | None = None, seed: int = 3) -> dict:
     """Parameters fitted by Adam on texts of either label. Without both labels
     nothing can be learned and the initial parameters come back."""
     p = init(seed)
     if len(set(labels)) < 2:
         return p
+    if epochs is None:
+        epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(texts)))
     empty = max(1, len(texts) // 100)          # a text without words is clean
     texts, labels = [*texts, *[""] * empty], [*labels, *[0] * empty]
     vocab: dict[str, int] = {}
@@ -351,6 +354,15 @@ def sample(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: st
     return [r["_text"] for r in rows], [r["_toxic"] for r in rows]
 
 
+def _scorer(df: DataFrame, labels, params, id_col, text):
+    """``make()`` for tasks: the scorer of given parameters, or of ones trained
+    on a bounded sample of labelled rows of the same table."""
+    if params is None:
+        params = train(*sample(df, labels, id_col=id_col, text=text))
+    shared, version = df.sparkSession.sparkContext.broadcast(params), uuid.uuid4().hex
+    return lambda: process_cache("toxicity", lambda: Scorer(shared.value), version)
+
+
 def toxicity(df: DataFrame, labels: DataFrame | None = None, params: dict | None = None, *,
              id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, held_out, score (0 to 1), predicted (1 if
@@ -360,13 +372,11 @@ def toxicity(df: DataFrame, labels: DataFrame | None = None, params: dict | None
     never learned from and is scored; repeated rows score alike; an empty table
     gives none; other columns are ignored. Parameters are trained on a bounded
     sample of labelled rows of the same table unless given."""
-    if params is None:
-        params = train(*sample(df, labels, id_col=id_col, text=text))
-    shared = df.sparkSession.sparkContext.broadcast(params)
-    kind, version = df.schema[id_col].dataType.simpleString(), uuid.uuid4().hex
+    make = _scorer(df, labels, params, id_col, text)
+    kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        scorer = process_cache("toxicity", lambda: Scorer(shared.value), version)
+        scorer = make()
         for batch in slices(batches):
             s = scorer.score(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -377,3 +387,18 @@ def toxicity(df: DataFrame, labels: DataFrame | None = None, params: dict | None
     return df.select(id_col, held_out(id_col).alias("held_out"),
                      F.col(text).cast("string")).mapInArrow(
         run, f"`{id_col}` {kind}, held_out boolean, score double, predicted int")
+
+
+def without_toxic(df: DataFrame, labels: DataFrame | None = None, params: dict | None = None, *,
+                  id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` that ``toxicity`` does not predict toxic, with all
+    their columns, in one pass and without a shuffle."""
+    make = _scorer(df, labels, params, id_col, text)
+
+    def run(batches):
+        scorer = make()
+        for batch in slices(batches):
+            at = batch.schema.get_field_index(text)
+            yield batch.filter(pa.array(scorer.score(batch.column(at).to_pylist()) < THRESHOLD))
+
+    return df.mapInArrow(run, df.schema)
