@@ -31,7 +31,7 @@ from tickflow.llm.words import word_hashes
 END = 0x9D5F_31C7_A0E4_26B3       # hash of the end token
 BLOCK_TOKENS = 1_500_000          # tokens counted at a time in a task
 BUCKET_TOKENS = 4_000_000         # training tokens a bucket may gather at most, on average
-ROWS = 768
+ROWS = 512
 BLOB = "bucket int, kind string, size long, keys binary, counts binary"
 U64 = np.uint64
 M1, M2 = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53       # odd, so that they have inverses
