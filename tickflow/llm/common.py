@@ -21,14 +21,17 @@ ROWS_PER_SLICE = 512
 
 
 def process_cache(key, build: Callable, version=None):
-    """``build()`` once per Python worker process and version; the last version
-    of a key is kept. Functions travel by value, so their own module globals
+    """``build()`` once per Python worker process, key and version. Only the
+    last key's value is kept, as a worker may serve stage after stage. Functions
+    travel by value, so their own module globals
     last one task only; a module registered in ``sys.modules`` lasts as long as
     the worker."""
     store = sys.modules.setdefault("_text_operator_cache", types.ModuleType("_text_operator_cache"))
-    if store.__dict__.get(key, (store,))[0] != version:
-        store.__dict__[key] = (version, build())
-    return store.__dict__[key][1]
+    if getattr(store, "key", None) != (key, version):
+        store.key = store.value = None      # let go of the old value first
+        store.value = build()
+        store.key = (key, version)
+    return store.value
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -59,6 +62,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_PER_SLICE
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def map_rows(df: DataFrame, inputs: list, schema: str, make: Callable) -> DataFrame:

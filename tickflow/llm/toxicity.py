@@ -30,7 +30,7 @@ SAMPLE_CHARS = 6000               # longer texts are not learned from (all are s
 EPOCHS, BATCH, RATE = 5, 32, 0.02
 LEAST_STEPS = 300                 # a small sample is gone through more often
 THRESHOLD = 0.3
-CACHE_WORDS = 150_000
+CACHE_WORDS = 100_000
 TOKENS = 24_000                  # words scored at a time
 
 
