@@ -145,6 +145,23 @@ def test_text_between_surge_and_dive_without_an_article_mark():
     assert html_text.main_text(page) == want
 
 
+MENU = "<ul>" + "<li><a href='/x'>Section</a></li>" * 5 + "</ul>"
+
+
+def paragraphs(*sizes):
+    texts = [f"{i} " + "w" * (n - 2) for i, n in enumerate(sizes)]
+    return "".join(f"<p>{t}</p>" for t in texts), " ".join(texts)
+
+
+def test_text_outside_a_marked_part_is_kept_where_it_surges():
+    body, text = paragraphs(*[70] * 8)
+    for name in ("article", "main"):
+        page = f"<body><{name}><p>Teaser.</p></{name}>{MENU}<div>{body}</div>{MENU}<p>x</p></body>"
+        assert html_text.main_text(page) == "Teaser. " + text
+    page = f"<body>{MENU}<p>x</p>{MENU}<article>{body}</article>{MENU}<p>y</p></body>"
+    assert html_text.main_text(page) == text
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<a href='x", "<script>x", "</p>" * 50,
                                   "<div class='a\"b'>" * 200, "<" * 5000, "&amp" * 100])
 def test_broken_markup_gives_a_defined_text(page):

@@ -3,8 +3,9 @@
 Markup is stripped into lines (one per block). The text lengths of ``WINDOW``
 successive lines are summed; where the sums surge above a threshold the text
 begins, where they dive to zero it ends, and the lines between are kept. Lines
-of menus, notices, adverts, forms and the like weigh nothing, and neither do
-lines outside the article where a page marks one.
+of menus, notices, adverts, forms and the like weigh nothing. A line of a marked
+article weighs the surge threshold on top, so that it is a surge by itself; what
+lies outside the mark is kept where its own sums surge.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tickflow.llm.common import map_rows
 
 WINDOW = 3
-SURGE_SHARE = 0.25       # of the page's largest window sum, where no article is marked
+SURGE_SHARE = 0.25       # of the page's largest window sum
 LINK_SHARE = 0.5         # more link text than this makes a line a menu line
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|"
@@ -135,16 +136,17 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
+def _sums(weights: list) -> list:
+    return [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
+
+
 def main_text(page: str | None) -> str:
     """Blocks of the main text in page order, joined by one space."""
     lines = lines_of(page) if page else []
-    marked = any(inside and not off for _, _, off, inside in lines)
-    weights = []
-    for text, linked, off, inside in lines:
-        keep = not off and (inside if marked else linked <= LINK_SHARE * len(text))
-        weights.append(len(text) if keep else 0)
-    sums = [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
-    surge = 1 if marked else max(1, SURGE_SHARE * max(sums, default=0))
+    weights = [len(text) if not off and (inside or linked <= LINK_SHARE * len(text)) else 0
+               for text, linked, off, inside in lines]
+    surge = max(1, SURGE_SHARE * max(_sums(weights), default=0))
+    sums = _sums([w + surge * (w > 0 and x[3]) for w, x in zip(weights, lines)])
     kept: list[str] = []
     i = 0
     while i < len(lines):
