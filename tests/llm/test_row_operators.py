@@ -162,6 +162,16 @@ def test_text_outside_a_marked_part_is_kept_where_it_surges():
     assert html_text.main_text(page) == text
 
 
+def test_uneven_paragraphs_and_short_sections_are_kept():
+    for sizes in ((50, 100, 100, 100, 5000), (5000, 100, 100, 50), (40, 9000, 30, 60), (30, 7000)):
+        body, text = paragraphs(*sizes)
+        assert html_text.main_text(f"<body>{MENU}<div>{body}</div>{MENU}</body>") == text
+        assert html_text.main_text(f"<body>{body}</body>") == text
+    lead, body, end = paragraphs(120), paragraphs(*[900] * 6), paragraphs(90)
+    page = f"<body>{lead[0]}{MENU}{body[0]}{MENU}{end[0]}{MENU}<p>x</p></body>"
+    assert html_text.main_text(page) == " ".join((lead[1], body[1], end[1]))
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<a href='x", "<script>x", "</p>" * 50,
                                   "<div class='a\"b'>" * 200, "<" * 5000, "&amp" * 100])
 def test_broken_markup_gives_a_defined_text(page):

@@ -1,8 +1,9 @@
 """Main text of HTML pages by line-block distribution.
 
 Markup is stripped into lines (one per block). The text lengths of ``WINDOW``
-successive lines are summed; where the sums surge above a threshold the text
-begins, where they dive to zero it ends, and the lines between are kept. Lines
+successive lines are summed; where the sums surge above a threshold there is
+text, which reaches back to the last dive to zero and on to the next, and the
+lines between are kept. Lines
 of menus, notices, adverts, forms and the like weigh nothing. A line of a marked
 article weighs the surge threshold on top, so that it is a surge by itself; what
 lies outside the mark is kept where its own sums surge.
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from tickflow.llm.common import map_rows
 
 WINDOW = 3
-SURGE_SHARE = 0.25       # of the page's largest window sum
+SURGE_SHARE = 0.25       # of the middle line's length
+SURGE_CHARS = 80         # a sentence: a higher surge is asked of no page
 LINK_SHARE = 0.5         # more link text than this makes a line a menu line
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|"
@@ -136,8 +138,11 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
-def _sums(weights: list) -> list:
-    return [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
+def _surge(weights: list[int]) -> float:
+    """The threshold: a share of the middle line's length, which no single line
+    can raise, and never more than a sentence."""
+    some = sorted(w for w in weights if w)
+    return max(1, min(SURGE_CHARS, SURGE_SHARE * some[(len(some) - 1) // 2])) if some else 1
 
 
 def main_text(page: str | None) -> str:
@@ -145,18 +150,18 @@ def main_text(page: str | None) -> str:
     lines = lines_of(page) if page else []
     weights = [len(text) if not off and (inside or linked <= LINK_SHARE * len(text)) else 0
                for text, linked, off, inside in lines]
-    surge = max(1, SURGE_SHARE * max(_sums(weights), default=0))
-    sums = _sums([w + surge * (w > 0 and x[3]) for w, x in zip(weights, lines)])
+    surge = _surge(weights)
+    bonus = [w + surge * (w > 0 and x[3]) for w, x in zip(weights, lines)]
+    sums = [sum(bonus[i:i + WINDOW]) for i in range(len(bonus))]
     kept: list[str] = []
     i = 0
     while i < len(lines):
-        if sums[i] < surge:
-            i += 1
-            continue
-        while i < len(lines) and sums[i]:            # until the dive
-            if weights[i]:
-                kept.append(lines[i][0])
+        start = i
+        while i < len(lines) and sums[i]:            # from dive to dive
             i += 1
+        if max(sums[start:i], default=0) >= surge:
+            kept += [lines[k][0] for k in range(start, i) if weights[k]]
+        i += 1
     return " ".join(kept)
 
 
