@@ -172,6 +172,45 @@ def test_uneven_paragraphs_and_short_sections_are_kept():
     assert html_text.main_text(page) == " ".join((lead[1], body[1], end[1]))
 
 
+STORY = "<article><h1>Head</h1><p>First paragraph.</p></article>"
+
+
+@pytest.mark.parametrize("around", [
+    "<form>", "<form class='search'>", "<div class='layout has-sidebar'>", "<div id='no-sidebar'>",
+    "<section class='widget-area main'>", "<div class='page header-fixed'>", "<div class='search'>"])
+def test_noise_around_an_article_does_not_hide_it(around):
+    assert html_text.main_text(f"<body>{around}{STORY}") == "Head First paragraph."
+    body, text = paragraphs(*[70] * 6)
+    assert html_text.main_text(f"<body>{around}<div>{body}</div><nav>Menu</nav>") == text
+
+
+@pytest.mark.parametrize("attrs", ["class='comments-open'", "data-comment-count='3'",
+                                   "id='commentary-7'", "class=post data-id='comment'"])
+def test_articles_that_only_mention_comments_are_kept(attrs):
+    page = STORY.replace("<article", f"<article {attrs}")
+    assert html_text.main_text(f"<body>{page}") == "Head First paragraph."
+    assert html_text.main_text(f"<body><main>{page}</main>") == "Head First paragraph."
+
+
+def test_paragraphs_of_an_article_keep_soft_roles_and_lose_whole_noise():
+    for word in "notice reply search related share social social-history search-results".split():
+        page = f"<article><p>One.</p><p class='{word}'>A real one.</p></article>"
+        assert html_text.main_text(page) == "One. A real one.", word
+    for noise in ("<article class='comment-body'><p>Nice!</p></article>",
+                  "<article id='comment-9'><p>Nice!</p></article>",
+                  "<div class='share-buttons'><a href='/x'>Post this</a></div>",
+                  "<div class='site-newsletter'>Mail us</div>", "<form>Mail</form>",
+                  "<div class='ad-slot-3'>Buy</div>", "<aside><article>More</article></aside>"):
+        page = STORY.replace("</article>", noise + "</article>")
+        assert html_text.main_text(f"<body>{page}") == "Head First paragraph.", noise
+        assert html_text.main_text(f"<body>{STORY}{noise}") == "Head First paragraph.", noise
+    page = f"<body><div class='ad'>{'Buy now. ' * 20}</div>{STORY}"
+    assert html_text.main_text(page) == "Head First paragraph."
+    page = f"<body>{STORY}<div class='related'><article><p>Teaser.</p></article></div>"
+    assert html_text.main_text(page) == "Head First paragraph."
+    assert html_text.main_text(f"<body><form>{page}</form>") == "Head First paragraph."
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<a href='x", "<script>x", "</p>" * 50,
                                   "<div class='a\"b'>" * 200, "<" * 5000, "&amp" * 100])
 def test_broken_markup_gives_a_defined_text(page):
