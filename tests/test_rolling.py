@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 from decimal import Decimal
 
@@ -119,3 +120,30 @@ def test_range_join_null_key_series(spark):
     got = {(r["symbol"], r["timestamp"]): r["v"] for r in
            rolling_join(df, "volume", "24 hours", out="v").collect()}
     assert got == _brute(data, "right")
+
+
+@pytest.mark.parametrize("closed", ["both", "right"])
+def test_large_finite_values_sum_in_every_plan(spark, closed):
+    rnd, base = random.Random(5), dt.datetime(2024, 1, 1)
+    data = [(s, base + dt.timedelta(hours=5 * i), 1.0,
+             rnd.choice([round(rnd.uniform(0, 50), 2), -3.25, 1e12, 2.5e13, 1e15, 1e18, 7e24]
+                        + ([1e30, -1e30, 3e200] if s == "HUGE" else [])))
+            for s in ("A", "B", "HUGE") for i in range(60)]
+    data += [("I", base + dt.timedelta(hours=5 * i), 1.0, v)
+             for i, v in enumerate([1.0, float("inf"), float("nan"), *[1e13] * 12])]
+    df = spark.createDataFrame(
+        data, "symbol string, timestamp timestamp_ntz, price double, volume double")
+    want, span = {}, dt.timedelta(hours=24)
+    for s, t, _, _ in data:
+        frame = [v for s2, t2, _, v in data if s2 == s and (
+            t - span <= t2 <= t if closed == "both" else t - span < t2 <= t)]
+        odd = any(v != v or abs(v) == float("inf") for v in frame)
+        want[s, t] = float("nan") if odd else math.fsum(frame)
+    plans = [rolling_sum(df, "volume", out="v", closed=closed, method=m)
+             for m in ("auto", "halo", "slices")]
+    plans.append(rolling_join(df, "volume", out="v", closed=closed))
+    got = [{(r["symbol"], r["timestamp"]): r["v"] for r in p.collect()} for p in plans]
+    for g in got:
+        assert g == pytest.approx(want, rel=1e-15, nan_ok=True)
+        assert {x: v for x, v in g.items() if v == v} == {x: v for x, v in got[0].items() if v == v}
+    assert 0 < sum(v != v for v in want.values()) < 10

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,6 +51,37 @@ def odd(value: Column) -> Column:
     return F.when(value.isNotNull() & ~(F.abs(value) < F.lit(LIMIT)), F.lit(1)).otherwise(F.lit(0))
 
 
+def unbounded(value: Column) -> Column:
+    """1 for NaN and infinities, else 0."""
+    return F.when(value.isNotNull() & ~(F.abs(value) < F.lit(float("inf"))),
+                  F.lit(1)).otherwise(F.lit(0))
+
+
+# Finite values from LIMIT on are cut into tiers of ten decades. A power of two
+# (which changes no digit) brings each tier down to about LIMIT, where 6 places
+# hold a double's digits and 32 integer digits leave room for 10^10 values.
+TIER = "decimal(38,6)"
+TIER_DECADES = 10
+
+
+def tier(value: Column) -> Column:
+    """1, 2, ... for a finite value from ``LIMIT`` on, else 0."""
+    size = F.abs(value.cast("double"))
+    large = (size >= F.lit(LIMIT)) & (size < F.lit(float("inf")))
+    steps = (F.log10(size) - F.lit(math.log10(LIMIT))) / F.lit(float(TIER_DECADES))
+    return F.when(large, F.floor(steps).cast("int") + 1).otherwise(F.lit(0))
+
+
+def tier_scale(n: int) -> float:
+    return 2.0 ** round(TIER_DECADES * (n - 1) * math.log2(10))
+
+
+def in_tier(value: Column, n: int) -> Column:
+    """The value over ``tier_scale(n)`` as a decimal; 0 outside the tier."""
+    scaled = value if n == 1 else value.cast("double") / F.lit(tier_scale(n))
+    return F.when(tier(value) == n, scaled).otherwise(F.lit(0)).cast(TIER)
+
+
 def exact_sum(value: Column) -> Column:
     """Sum of a double column, the same for any partitioning. Odd values are
     added as doubles, so NaN and infinities show in the result, and a decimal

@@ -17,8 +17,9 @@
 Q13: ``closed="right"`` gives the half-open ``(t - span, t]`` of the join form;
 ``closed="both"`` the closed ``[t - span, t]`` of the RANGE form. Sums are
 decimals of 18 places in every plan and step, so all plans and any
-partitioning agree bit for bit. A frame with a value that such a decimal
-cannot hold (NaN, infinite, 10^12 or more) sums to NaN.
+partitioning agree bit for bit. Finite values of 10^12 or more are summed in
+further decimals, one per tier of ten decades that the input holds (found by
+one job). Only a frame that holds NaN or an infinity sums to NaN.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickflow.functions.change import EXACT, exact, odd
+from tickflow.functions.change import (EXACT, TIER, exact, in_tier, tier, tier_scale,
+                                       unbounded)
 from tickflow.functions.temporal import duration_seconds, epoch_micros
 from tickflow.operators.bars import bar_width_of
 from tickflow.operators.index import MAX_GROUP_ROWS, fits_one_task, slice_count, with_slice
@@ -51,9 +53,26 @@ def _lower(span_us: int, closed: str) -> int:
     raise ValueError("closed must be 'right' or 'both'")
 
 
-def _total(total, n_odd):
-    """A frame's sum as a double; NaN where the frame holds an odd value."""
-    return F.when(n_odd > 0, F.lit(float("nan"))).otherwise(total.cast("double"))
+def _tiers(df: DataFrame, value: str) -> list[int]:
+    """The tiers of large finite values that the input holds, mostly none."""
+    n = tier(F.col(value))
+    return sorted(r[0] for r in df.filter(n > 0).select(n.alias("n")).distinct().collect())
+
+
+def _parts(value: str, tiers: list[int]) -> list[tuple]:
+    """(name, column, type) of all that a frame sums: the exact decimal, one
+    decimal per tier, and the count of NaN and infinite values."""
+    v = F.col(value)
+    return [("_w0", exact(v), EXACT), *((f"_w{n}", in_tier(v, n), TIER) for n in tiers),
+            ("_odd", unbounded(v), "long")]
+
+
+def _total(sums: dict, tiers: list[int]):
+    """A frame's sum as a double; NaN where the frame holds NaN or an infinity."""
+    total = sums["_w0"].cast("double")
+    for n in tiers:
+        total = total + sums[f"_w{n}"].cast("double") * F.lit(tier_scale(n))
+    return F.when(sums["_odd"] > 0, F.lit(float("nan"))).otherwise(total)
 
 
 def _with_halo(df: DataFrame, ts: str, width_us: int, copies: int = 1) -> DataFrame:
@@ -90,18 +109,22 @@ def rolling_sum(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sym
     lo = _lower(span_us, closed)
     if method not in ("auto", "halo", "slices"):
         raise ValueError("method must be 'auto', 'halo' or 'slices'")
+    staged = method == "auto"
     if method == "auto":
         limit = None if max_group_rows is None else max_group_rows // 2
         width = bar_width_of(df, ts, k)
+        df = stage(df)
         if width and limit is not None and span_us // 1_000_000 // width + 1 <= limit:
             method = "halo"          # bars: a bucket holds at most span/width rows
         else:
-            df = stage(df)
             bucket = F.floor(epoch_micros(F.col(ts)) / F.lit(span_us))
             method = "halo" if fits_one_task(df.withColumn("_bk", bucket), [*k, "_bk"],
                                              limit) else "slices"
     if method == "slices":
         return _rolling_sum_sliced(df, value, lo, k, ts, out or f"{value}_sum")
+    if not staged:
+        df = stage(df)
+    tiers = _tiers(df, value)
     u = _with_halo(df, ts, span_us)
     w = Window.partitionBy(*k, "_b").orderBy("_us")
     def framed(v, zero):
@@ -109,7 +132,7 @@ def rolling_sum(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sym
         before = F.sum(v).over(w.rangeBetween(Window.unboundedPreceding, lo - 1)).cast(zero)
         return upto - F.coalesce(before, F.lit(0).cast(zero))
 
-    total = _total(framed(exact(F.col(value)), EXACT), framed(odd(F.col(value)), "long"))
+    total = _total({name: framed(v, kind) for name, v, kind in _parts(value, tiers)}, tiers)
     return (u.select("*", total.alias(out or f"{value}_sum"))
             .filter(~F.col("_halo")).drop("_us", "_b", "_halo"))
 
@@ -129,15 +152,18 @@ def _rolling_sum_sliced(df: DataFrame, value: str, lo: int, k: list[str], ts: st
        C(t) and every lookup C(before t + lo).
     4. frame sum = C(t) - C(before t + lo), joined back to the rows.
     A slice holds about 1/n of all points whatever the series skew."""
-    dec = EXACT
     base = stage(df.withColumn("_us", epoch_micros(F.col(ts))))
-    pts = base.groupBy(*k, "_us").agg(F.sum(exact(F.col(value))).cast(dec).alias("_w"),
-                                      F.sum(odd(F.col(value))).alias("_o"))
-    marks = (pts.select(*k, F.col("_us").alias("_t"), F.lit(1).alias("_kind"), "_w", "_o",
+    tiers = _tiers(base, value)
+    parts = _parts(value, tiers)
+    names = [name for name, _, _ in parts]
+    kinds = {name: kind for name, _, kind in parts}
+    pts = base.groupBy(*k, "_us").agg(*[F.sum(v).cast(kind).alias(name)
+                                        for name, v, kind in parts])
+    marks = (pts.select(*k, F.col("_us").alias("_t"), F.lit(1).alias("_kind"), *names,
                         F.col("_us").alias("_at"))
              .unionByName(pts.select(*k, (F.col("_us") + F.lit(lo)).alias("_t"),
-                                     F.lit(0).alias("_kind"), F.lit(None).cast(dec).alias("_w"),
-                                     F.lit(0).cast("long").alias("_o"),
+                                     F.lit(0).alias("_kind"),
+                                     *[F.lit(0).cast(kinds[c]).alias(c) for c in names],
                                      F.col("_us").alias("_at"))))
     marks = stage(marks)
     n = slice_count(marks)
@@ -145,23 +171,29 @@ def _rolling_sum_sliced(df: DataFrame, value: str, lo: int, k: list[str], ts: st
     r = with_slice(marks, "_t", n).withColumn("_series", series)
     w = (Window.partitionBy("_pid", "_series").orderBy("_t", "_kind")
          .rowsBetween(Window.unboundedPreceding, 0))
-    some = F.coalesce(F.col("_w"), F.lit(0).cast(dec))
-    local = r.withColumns({"_lc": F.sum(some).over(w).cast(dec), "_lo": F.sum("_o").over(w)})
-    totals = local.groupBy("_pid", "_series").agg(F.sum(some).cast(dec).alias("_tot"),
-                                                  F.sum("_o").alias("_otot"))
+
+    def zero(c):
+        return F.lit(0).cast(kinds[c])
+
+    some = {c: F.coalesce(F.col(c), zero(c)) for c in names}
+    local = r.withColumns({f"_l{c}": F.sum(some[c]).over(w).cast(kinds[c]) for c in names})
+    totals = local.groupBy("_pid", "_series").agg(*[
+        F.sum(some[c]).cast(kinds[c]).alias(f"_t{c}") for c in names])
     prior = Window.partitionBy("_series").orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", "_series", F.coalesce(
-        F.sum("_tot").over(prior).cast(dec), F.lit(0).cast(dec)).alias("_off"),
-        F.coalesce(F.sum("_otot").over(prior), F.lit(0)).alias("_ooff"))
+    offsets = totals.select("_pid", "_series", *[
+        F.coalesce(F.sum(f"_t{c}").over(prior).cast(kinds[c]), zero(c)).alias(f"_f{c}")
+        for c in names])
     c = local.join(offsets, ["_pid", "_series"]).withColumns({
-        "_c": (F.col("_lc") + F.col("_off")).cast(dec), "_co": F.col("_lo") + F.col("_ooff")})
-    upto = c.filter(F.col("_kind") == 1).select(*k, F.col("_at").alias("_us"), "_c", "_co")
+        f"_c{x}": (F.col(f"_l{x}") + F.col(f"_f{x}")).cast(kinds[x]) for x in names})
+    upto = c.filter(F.col("_kind") == 1).select(*k, F.col("_at").alias("_us"),
+                                                *[f"_c{x}" for x in names])
     before = c.filter(F.col("_kind") == 0).select(*k, F.col("_at").alias("_us"),
-                                                   F.col("_c").alias("_cb"),
-                                                   F.col("_co").alias("_cbo"))
+                                                   *[F.col(f"_c{x}").alias(f"_b{x}")
+                                                     for x in names])
     frame = join_null_safe(upto, before, [*k, "_us"]).select(
-        *k, "_us", _total(F.col("_c") - F.col("_cb"), F.col("_co") - F.col("_cbo")).alias(out))
+        *k, "_us", _total({x: F.col(f"_c{x}") - F.col(f"_b{x}") for x in names},
+                          tiers).alias(out))
     return join_null_safe(base, frame, [*k, "_us"]).drop("_us")
 
 
@@ -201,20 +233,21 @@ def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sy
     left = df.select(*k, ts, *carry, us.alias("_us")).withColumns({
         "_bhi": F.floor(F.col("_us") / F.lit(width)),
         "_blo": F.floor((F.col("_us") + F.lit(lo)) / F.lit(width))})
-    right = df.select(*k, us.alias("_rus"), exact(F.col(value)).alias("_rv"),
-                      odd(F.col(value)).alias("_ro")).withColumn(
+    tiers = _tiers(df, value)
+    parts = _parts(value, tiers)
+    names = [name for name, _, _ in parts]
+    right = df.select(*k, us.alias("_rus"), *[v.cast(kind).alias(name)
+                                              for name, v, kind in parts]).withColumn(
         "_b", F.floor(F.col("_rus") / F.lit(width)))
     row_keys = [*k, ts, *carry]
 
     # Buckets wholly inside the frame: one pre-summed row per (series, bucket).
-    sums = right.groupBy(*k, "_b").agg(F.sum("_rv").cast(EXACT).alias("_bs"),
-                                         F.sum("_ro").alias("_bo"))
+    sums = right.groupBy(*k, "_b").agg(*[F.sum(name).cast(kind).alias(name)
+                                         for name, _, kind in parts])
     inner = left.select(*row_keys, F.explode(F.sequence(
         F.col("_blo") + 1, F.greatest(F.col("_bhi") - 1, F.col("_blo") + 1))).alias("_b"),
         "_blo", "_bhi").filter(F.col("_b") < F.col("_bhi"))
-    full = join_null_safe(inner, sums, [*k, "_b"]).select(*row_keys,
-                                                           F.col("_bs").alias("_part"),
-                                                           F.col("_bo").alias("_podd"))
+    full = join_null_safe(inner, sums, [*k, "_b"]).select(*row_keys, *names)
 
     # The two boundary buckets, row by row with the range predicate. An
     # explicit partition count keeps AQE from coalescing the small input into
@@ -223,9 +256,8 @@ def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sy
         F.col("_blo"), F.col("_bhi")))).alias("_b")).repartition(n, *k, "_b")
     cond = [edge[c].eqNullSafe(right[c]) for c in k] + [edge["_b"] == right["_b"],
             right["_rus"] <= edge["_us"], right["_rus"] >= edge["_us"] + F.lit(lo)]
-    rows = edge.join(right, cond, "left").select(*[edge[c] for c in row_keys],
-                                                 F.col("_rv").alias("_part"),
-                                                 F.col("_ro").cast("long").alias("_podd"))
+    rows = edge.join(right, cond, "left").select(*[edge[c] for c in row_keys], *names)
 
-    total = _total(F.sum("_part"), F.coalesce(F.sum("_podd"), F.lit(0)))
+    total = _total({"_w0": F.sum("_w0"), **{c: F.coalesce(F.sum(c), F.lit(0))
+                                            for c in names[1:]}}, tiers)
     return full.unionByName(rows).groupBy(*row_keys).agg(total.alias(out or f"{value}_sum"))
