@@ -24,20 +24,41 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
+def _units(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_unit``: the id, one row of each text of an id. Where an id
+    has several texts, one of them keeps the id and the others get new ids
+    above all others, so that each text is judged by itself."""
+    with_id = docs.filter(F.col("doc_id").isNotNull())
+    twice = written(with_id.groupBy("doc_id").count().filter("count > 1").select(
+        F.col("doc_id").alias("_twice")), "pipeline-twice")
+    plain = docs.withColumn("_unit", F.col("doc_id").cast("long"))
+    if twice.isEmpty():
+        return plain
+    again = docs.join(twice, F.col("doc_id") == F.col("_twice"), "left_semi").withColumn(
+        "_digest", F.coalesce(F.sha2("text", 256), F.lit("")))
+    top = with_id.agg(F.max(F.col("doc_id").cast("long"))).first()[0]
+    pairs = again.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_of")).distinct()
+    first = pairs.groupBy(F.col("_id").alias("_id1")).agg(F.min("_of").alias("_first"))
+    pairs = written(pairs.join(first, F.col("_id") == F.col("_id1")).select(
+        "_id", "_of", F.when(F.col("_of") == F.col("_first"), F.col("_id").cast("long"))
+        .otherwise(F.monotonically_increasing_id() + F.lit(top + 1)).alias("_unit")),
+        "pipeline-units")
+    rows = again.dropDuplicates(["doc_id", "_digest"])
+    rows = rows.join(pairs, (rows["doc_id"] == pairs["_id"]) & (rows["_digest"] == pairs["_of"]))
+    return plain.join(twice, F.col("doc_id") == F.col("_twice"), "left_anti").unionByName(
+        rows.select(*docs.columns, "_unit"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8): that of
-    the least id, and one row of it where its row repeats. Rows without an id
-    link with nothing and stay."""
-    found = written(near_dup.near_duplicates(docs, words=5, percent=80), "pipeline-groups")
+    the least id, and one row of it where its row repeats. Different texts of
+    one id are documents of their own. Rows without an id link with nothing and
+    stay."""
+    units = _units(docs)
+    found = written(near_dup.near_duplicates(units.select(F.col("_unit").alias("doc_id"), "text"),
+                                             words=5, percent=80), "pipeline-groups")
     gone = found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    twice = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter(
-        "count > 1").select(F.col("doc_id").alias("_twice"))
-    if twice.isEmpty():
-        return left
-    again = left["doc_id"] == F.col("_twice")
-    one = left.join(twice, again, "left_semi").dropDuplicates(["doc_id"])
-    return left.join(twice, again, "left_anti").unionByName(one)
+    return units.join(gone, units["_unit"] == F.col("_gone"), "left_anti").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,17 @@ def odd_rows(spark):
         "node long, predicted int")
 
 
+def test_different_texts_of_one_id_are_judged_by_themselves(spark):
+    same, near, other = "a b c d e f g h", "q r s t u v w x", "one two three four five six"
+    rows = [(1, same), (2, same), (2, other), (3, near), (3, near), (3, near.upper() + " y"),
+            (4, "k l m n o p"), (4, None), (4, ""), (None, same)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, df, SF001).collect()]
+    assert len(got) == len(set(got))
+    assert {(1, same), (2, other), (4, "k l m n o p"), (4, None), (4, ""), (None, same)} <= set(got)
+    assert (2, same) not in got and {i for i, _ in got} == {None, 1, 2, 3, 4}
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages_on_odd_rows_and_empty_tables(spark, name, stage):
     df = odd_rows(spark)
