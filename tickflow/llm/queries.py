@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import pieces, quality
+from tickflow.llm import lexical_search, pieces, quality
 from tickflow.llm.decontaminate import leaks
 from tickflow.llm.html_text import extract_text
 from tickflow.llm.language_model import language_model_scores
 from tickflow.llm.near_dup import near_duplicates
 from tickflow.llm.personal_data import personal_data
 from tickflow.llm.sharding import shard_documents
+from tickflow.llm.suffix_dedup import without_repeats
 from tickflow.llm.token_counts import token_counts
 from tickflow.llm.toxicity import toxicity
+from tickflow.llm.whitening import whiten
 from tickflow.session import table_path
 
 QUERIES, ORACLES = {}, {}
@@ -89,3 +91,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards of near-equal bytes; equal texts together."""
     return shard_documents(read(spark, sf_dir, "documents"), 8)
+
+
+@query("op11_lexical_search", lexical_search.oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring documents of every benchmark item."""
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding."""
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_suffix_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that repeat."""
+    return without_repeats(read(spark, sf_dir, "documents"))
