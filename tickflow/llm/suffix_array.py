@@ -2,8 +2,8 @@
 
 Suffixes are classified by whether they are smaller than their right
 neighbour; the leftmost-smaller substrings are sorted by inducing from their
-first symbols, named, and sorted as a shorter text by the same method; two
-linear scans then induce the whole array from their order. A scan goes by
+first symbols, named, and sorted as a shorter text by the same method, down to
+a size that is sorted directly; two linear scans then induce the whole array from their order. A scan goes by
 blocks: all entries of a block place their left neighbours at once, and a block
 ends before the first of its own places that it fills.
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 import numpy as np
 
 SMALL, LARGE = 64, 1 << 16       # entries of a scan block
+SHORT = 1 << 18                  # named texts of fewer symbols end the recursion
 CELLS = 1 << 21                  # symbols compared at a time
 
 
@@ -50,44 +51,51 @@ def smaller_than_next(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ranks(ch: np.ndarray) -> np.ndarray:
-    """How many equal symbols stand before each one."""
-    order = np.argsort(ch, kind="stable")
-    sorted_ = ch[order]
-    first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-    rank = np.empty(len(ch), np.int64)
-    rank[order] = np.arange(len(ch)) - np.repeat(first, np.diff(np.append(first, len(ch))))
-    return rank
-
-
 def _scan(sa: np.ndarray, s: np.ndarray, wanted: np.ndarray, free: np.ndarray, step: int) -> None:
     """From the left (step 1) or right (-1) end, each entry places its left
     neighbour, if that is of the ``wanted`` type, on its symbol's next free place."""
-    n, size = len(sa), 4096
-    i = 0                          # entries scanned
+    n, size, i = len(sa), 4096, 0                          # i entries are scanned
     view = sa if step == 1 else sa[::-1]
+    count = np.arange(LARGE)
+    fresh = np.ones(LARGE, bool)                           # the first of its symbol
     while i < n:
         entries = view[i:i + size]
         end = i + len(entries)
         before = entries - 1
-        at = np.flatnonzero((entries > 0) & wanted[before])
-        if not at.size:
+        hit = wanted.take(before, mode="wrap")
+        hit &= entries > 0
+        at = hit.nonzero()[0]
+        m = len(at)
+        if not m:
             i, size = end, min(size * 2, LARGE)
             continue
         src = before[at]
         ch = s[src]
-        place = free[ch] + step * _ranks(ch)
-        scan = place if step == 1 else n - 1 - place       # when the scan reaches it
-        cut = int(scan.min())
+        order = ch.argsort(kind="stable")
+        ch = ch[order]
+        np.not_equal(ch[1:], ch[:-1], out=fresh[1:m])
+        first = fresh[:m].nonzero()[0]
+        groups = ch[first]
+        # equal symbols take places in the order of the scan
+        size_of = np.empty(len(first), np.int64)
+        np.subtract(first[1:], first[:-1], out=size_of[:-1])
+        size_of[-1] = m - first[-1]
+        start = free[groups]
+        cut = int(start.min() if step == 1 else n - 1 - start.max())
         if cut < end:              # those after the cut wait for what lands there
-            keep = int(np.searchsorted(at, cut - i))
-            src, ch, place = src[:keep], ch[:keep], place[:keep]
-            size = max(SMALL, 2 * (cut - i))
+            keep = at[order] < cut - i
+            rank = count[:m] - first.repeat(size_of)
+            ch, order, rank = ch[keep], order[keep], rank[keep]
+            place = free[ch] + step * rank
+            size = min(max(SMALL, 3 * (cut - i) // 2), LARGE)
             end = cut
+            sa[place] = src[order]
+            free[ch] = place + step                        # the last of equals stays
         else:
             size = min(size * 2, LARGE)
-        sa[place] = src
-        free[ch] = place + step    # the last of equal symbols is written last
+            place = (start - step * first).repeat(size_of) + step * count[:m]
+            sa[place] = src[order]
+            free[groups] = start + step * size_of
         i = end
 
 
@@ -106,6 +114,23 @@ def _induce(s: np.ndarray, small: np.ndarray, ordered: np.ndarray, ends: np.ndar
     return sa
 
 
+def doubled(s: np.ndarray) -> np.ndarray:
+    """The array by doubling the compared length: ends the recursion, where the
+    many symbols of a short named text make scan blocks tiny."""
+    n, k = len(s), 1
+    rank = np.unique(s, return_inverse=True)[1].astype(np.int64)
+    while True:
+        key = rank * (n + 1)
+        key[:-k] += rank[k:] + 1
+        order = key.argsort(kind="stable")
+        key = key[order]
+        place = np.append(0, np.cumsum(key[1:] != key[:-1]))
+        if place[-1] == n - 1:
+            return order
+        rank[order] = place
+        k *= 2
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Starts of the suffixes of ``s`` in order; s holds fewer than 2^31 whole
     numbers from 0 and ends in its only 0."""
@@ -130,7 +155,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     if names[-1] + 1 < len(lms):
         name = np.empty(n, np.int32)
         name[by_string] = names
-        by_string = lms[suffix_array(name[lms])]
+        named = name[lms]
+        by_string = lms[suffix_array(named) if len(named) > SHORT else doubled(named)]
     return _induce(s, small, by_string, ends)
 
 
