@@ -208,6 +208,7 @@ def test_suffix_arrays_and_prefixes_match_sorting(monkeypatch):
     rng = np.random.default_rng(6)
     for t in range(300):
         monkeypatch.setattr(suffix_array, "SMALL", int(rng.integers(1, 6)))
+        monkeypatch.setattr(suffix_array, "SHORT", t % 2 * 100)      # recursion to the end, too
         s = symbols(rng, int(rng.integers(0, 80)), int(rng.integers(1, 5)))
         if t % 3 == 0:
             s = np.append(np.repeat(s[:-1], rng.integers(1, 9, len(s) - 1)), 0)

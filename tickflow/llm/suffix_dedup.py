@@ -36,6 +36,7 @@ FILTER_BITS = 1 << 25     # of the key filter that is sent to all tasks, whateve
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
 LOC = "k1 long, k2 int, pos int"
+HEAVY = 2000              # a key in more than one of so many rows is joined by broadcast
 UNIT_BITS = 24            # of a pivot: its place in units of 1024 bytes, below its text
 
 
@@ -369,6 +370,18 @@ def _hot_spans(rows: DataFrame, hot: DataFrame, length: int, k: int) -> DataFram
 
 # ------------------------------------------------------------ the operator
 
+def _with_counts(many: DataFrame, few: DataFrame, key: list[str]) -> DataFrame:
+    """``many`` joined with its keys' rows ``few``, which hold the count ``n`` of
+    their rows in ``many``. At most ``HEAVY`` keys can hold one of ``HEAVY`` rows
+    each; they are sent to all tasks, so that no key's rows meet in one."""
+    limit = -(-many.count() // HEAVY)
+    few = written(few, "suffix-keys")
+    heavy, light = F.broadcast(few.filter(F.col("n") > limit)), few.filter(F.col("n") <= limit)
+    return many.join(heavy, key).unionByName(
+        many.join(heavy.select(*key), key, "left_anti").join(light, key)).drop("n")
+
+
+
 def repeated_starts(rows: DataFrame, length: int, k: int, *, hot_kinds: int = HOT_KINDS
                     ) -> DataFrame:
     """k1, k2, and array<struct<lo, hi>> of the starts whose string of ``length``
@@ -379,12 +392,14 @@ def repeated_starts(rows: DataFrame, length: int, k: int, *, hot_kinds: int = HO
     unit = F.least(F.shiftright("pos", 10).cast("long"), F.lit((1 << UNIT_BITS) - 1))
     pivot = F.shiftleft(F.shiftright("k1", UNIT_BITS), UNIT_BITS).bitwiseOR(unit)
     shared = found.groupBy("h").agg(F.min(loc).alias("a"), F.max(loc).alias("b"),
-                                    F.min(pivot).alias("pivot")).filter("a != b")
-    shared = written(found.join(shared.select("h", "pivot"), "h"), "suffix-shared")
-    kinds = shared.groupBy("h", "c").agg(F.min(loc).alias("a"), F.max(loc).alias("b"))
+                                    F.min(pivot).alias("pivot"), F.count("*").alias("n"))
+    shared = written(_with_counts(found, shared.filter("a != b").select("h", "pivot", "n"), ["h"]),
+                     "suffix-shared")
+    kinds = shared.groupBy("h", "c").agg(F.min(loc).alias("a"), F.max(loc).alias("b"),
+                                         F.count("*").alias("n"))
     kinds = written(kinds, "suffix-kinds")
     many = kinds.groupBy("h").agg(F.count("*").alias("kinds"))
-    classes = written(shared.join(kinds.join(many, "h"), ["h", "c"]).select(
+    classes = written(_with_counts(shared, kinds.join(many, "h"), ["h", "c"]).select(
         "h", "k1", "k2", "pos", "pivot", "kinds", (F.col("a") != F.col("b")).alias("twice"),
         (loc == F.col("a")).alias("stands")), "suffix-classes")
 
