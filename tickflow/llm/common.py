@@ -6,6 +6,7 @@ separates, nothing else does). On UTF-8 bytes that is ``bytes.split()``.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -65,6 +66,41 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_PER_SLICE
     pa.default_memory_pool().release_unused()
 
 
+def give_back() -> None:
+    """Memory that is free in this process goes back to the machine: a worker
+    lives through many stages, and its neighbours need what it had."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library keeps what it has
+        pass
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], size: int, rows: int = ROWS_PER_SLICE
+                ) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into parts of at most ``rows`` rows and about ``size``
+    bytes, but for a single row that is larger."""
+    give_back()
+    for batch in batches:
+        left = [batch.slice(at, rows) for at in range(0, batch.num_rows, rows)][::-1]
+        while left:
+            part = left.pop()
+            if part.nbytes > size and part.num_rows > 1:
+                half = part.num_rows // 2
+                left += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
+    give_back()
+
+
+def fresh(name: str, taken) -> str:
+    """``name``, with underscores added until no column has it."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_rows(df: DataFrame, inputs: list, schema: str, make: Callable) -> DataFrame:
     """One output row per input row. ``make()`` runs once per task and returns
     ``fn(columns) -> columns``, lists per slice in the order of ``inputs`` and

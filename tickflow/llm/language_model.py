@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import process_cache, shared_dir, shuffle_partitions, slices
+from tickflow.llm.common import byte_slices, give_back, shared_dir, shuffle_partitions
 from tickflow.llm.words import word_hashes
 
 END = 0x9D5F_31C7_A0E4_26B3       # hash of the end token
-BLOCK_TOKENS = 1_500_000          # tokens counted at a time in a task
-BUCKET_TOKENS = 4_000_000         # training tokens a bucket may gather at most, on average
+BLOCK_TOKENS = 1_000_000          # tokens counted at a time in a task
+BUCKET_TOKENS = 2_000_000         # training tokens a bucket may gather at most, on average
+SLICE_BYTES = 1 << 20             # of a batch turned into Python texts at a time
+BLOB_BYTES = 1 << 22              # of blobs handed over at a time
 ROWS = 512
 BLOB = "bucket int, kind string, size long, keys binary, counts binary"
 U64 = np.uint64
@@ -87,6 +89,18 @@ def blobs(kind: str, keys: np.ndarray, counts: np.ndarray, which: np.ndarray) ->
                b"".join(pack(np.ascontiguousarray(c)) for c in counts[a:b].T))
 
 
+def blob_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[3]) + len(row[4])
+        if size >= BLOB_BYTES:
+            yield blob_batch(held)
+            held, size = [], 0
+    if held:
+        yield blob_batch(held)
+
+
 def blob_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), (
@@ -95,13 +109,25 @@ def blob_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def merged(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
-    keys = [unsteps(k) for k in table.column("keys").to_pylist()]
-    counts = [np.stack([unpack(c[i * 8 * n:(i + 1) * 8 * n]) for i in range(width)], axis=1)
-              for c, n in zip(table.column("counts").to_pylist(),
-                              table.column("size").to_pylist(), strict=True)]
-    if not keys:
-        return np.empty(0, U64), np.empty((0, width), U64)
-    return summed(np.concatenate(keys), np.concatenate(counts))
+    """Keys and summed counts of a bucket's blobs, unpacked one by one and merged
+    with those of like size, so that few are whole at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for k, c, n in zip(table.column("keys"), table.column("counts"), table.column("size"),
+                       strict=True):
+        raw, n = c.as_buffer(), n.as_py()
+        part = (unsteps(k.as_buffer()), np.stack([unpack(raw[i * 8 * n:(i + 1) * 8 * n])
+                                                  for i in range(width)], axis=1))
+        while held and len(held[-1][0]) <= 2 * len(part[0]):
+            part = _sum_of(held.pop(), part)
+        held.append(part)
+    total = held.pop() if held else (np.empty(0, U64), np.empty((0, width), U64))
+    while held:
+        total = _sum_of(held.pop(), total)
+    return total
+
+
+def _sum_of(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
+    return summed(np.concatenate((a[0], b[0])), np.concatenate((a[1], b[1])))
 
 
 def local_path(uri: str) -> str:
@@ -188,7 +214,7 @@ def tokens(texts: list) -> tuple[np.ndarray, np.ndarray]:
 
 def _blocks(batches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     texts, chars = [], 0
-    for batch in slices(batches, ROWS):
+    for batch in byte_slices(batches, SLICE_BYTES):
         for t in batch.column(0).to_pylist():
             texts.append(t)
             chars += len(t or "")
@@ -228,8 +254,8 @@ def train(df: DataFrame, text: str = "text") -> dict:
     def count_words(batches):
         for flat, _ in _blocks(batches):
             keys, n = np.unique(flat, return_counts=True)
-            yield blob_batch(list(blobs("word", keys, n.astype(U64)[:, None],
-                                        bucket_of(keys, buckets))))
+            yield from blob_batches(blobs("word", keys, n.astype(U64)[:, None],
+                                          bucket_of(keys, buckets)))
 
     def save_words(key, table):
         b = key[0].as_py()
@@ -258,8 +284,8 @@ def train(df: DataFrame, text: str = "text") -> dict:
         for flat, ends in _blocks(batches):
             keys, n = np.unique(spread(_pair_keys(_numbered(flat, words), ends, n_words)),
                                 return_counts=True)
-            yield blob_batch(list(blobs("pair", keys, n.astype(U64)[:, None],
-                                        bucket_of(keys, pair_buckets))))
+            yield from blob_batches(blobs("pair", keys, n.astype(U64)[:, None],
+                                          bucket_of(keys, pair_buckets)))
 
     def save_pairs(key, table):
         b = key[0].as_py()
@@ -278,6 +304,7 @@ def train(df: DataFrame, text: str = "text") -> dict:
             rows += blobs(kind, ids, sums, np.searchsorted(bounds, ids.astype(np.int64), "right"))
         n = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
         rows.append((-1, "ones", 0, b"", json.dumps(n).encode()))
+        give_back()
         return pa.Table.from_batches([blob_batch(rows)])
 
     stats = texts.mapInArrow(count_pairs, BLOB).groupBy("bucket").applyInArrow(save_pairs, BLOB)
@@ -418,7 +445,7 @@ def score(df: DataFrame, spec: dict, *, id_col: str = "doc_id", text: str = "tex
 
     def run(batches):
         model = Model(spec)
-        for batch in slices(batches, ROWS):
+        for batch in byte_slices(batches, 2 * SLICE_BYTES, ROWS):
             n, known, base, own = model.score(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()),
