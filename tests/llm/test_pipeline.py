@@ -49,6 +49,26 @@ def odd_rows(spark):
         "node long, predicted int")
 
 
+RESERVED = ("text_", "ids", "decoded", "n_tokens", "source_", "unit", "gone", "digest", "_text", "_ids",
+            "_unit", "_twice", "twice_id", "pair_id", "pair_digest", "kept", "component_id", "spans",
+            "leaks", "id", "first", "rows")
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_keep_columns_of_any_name(spark, name, stage):
+    rows = [(1, "a b c d e f g"), (1, "another text of one id"), (2, "a b c d e f g"), (3, None),
+            (None, "mail x@y.com")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for i, c in enumerate(RESERVED):
+        df = df.withColumn(c, F.lit(i))
+    out = stage(spark, df, SF001)
+    assert out.columns[:len(df.columns)] == df.columns
+    for r in out.collect():
+        assert [r[c] for c in RESERVED] == list(range(len(RESERVED)))
+    if name == "sentencepiece":
+        assert out.columns[len(df.columns):] == ["ids_", "decoded_", "n_tokens_"]
+
+
 def test_different_texts_of_one_id_are_judged_by_themselves(spark):
     same, near, other = "a b c d e f g h", "q r s t u v w x", "one two three four five six"
     rows = [(1, same), (2, same), (2, other), (3, near), (3, near), (3, near.upper() + " y"),
@@ -83,7 +103,7 @@ def test_every_operator_and_the_pipeline_are_registered():
     names = set(entry.queries())
     assert "pipeline" in names
     assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == \
-        set(range(1, 11))
+        set(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 

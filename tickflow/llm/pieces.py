@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import process_cache, slices
+from tickflow.llm.common import byte_slices, fresh, process_cache
 
 SPACE = "▁"
 CACHE_WORDS = 200_000
 CACHED_LENGTH = 64
+SLICE_BYTES = 1 << 20    # of a batch turned into Python texts at a time
 UNKNOWN_BELOW = 10.0     # fixed value: an unknown character scores this far below the worst piece
 CHUNKS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
@@ -160,25 +161,40 @@ def _kept(df: DataFrame, carry) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in carry)
 
 
+def _listed(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.zeros(len(ids) + 1, np.int32)
+    np.cumsum([len(x) for x in ids], out=ends[1:])
+    return pa.ListArray.from_arrays(
+        pa.array(ends), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
+
+
+def _coded(df: DataFrame, path: str | None, source, carry: list[str], schema: str, work) -> DataFrame:
+    """The ``carry`` columns and what ``work(model, column)`` makes of ``source``,
+    the last column of each slice. Columns are met by their places, so no name of
+    the table can clash with one used here."""
+    path, names = path or model_file(), [*carry, *[c.split()[0].strip("`") for c in schema.split(", ")]]
+
+    def run(batches):
+        model = process_cache(("pieces", path), lambda: PieceModel(path))
+        for batch in byte_slices(batches, SLICE_BYTES):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *work(model, batch.columns[-1])],
+                                             names=names)
+
+    kept = ", ".join([_kept(df, carry)] if carry else [])
+    return df.select(*[F.col(f"`{c}`") for c in carry], source.alias(
+        fresh("source", carry))).mapInArrow(run, f"{kept}, {schema}" if kept else schema)
+
+
 def encode(df: DataFrame, *, path: str | None = None, text: str = "text",
            carry=("doc_id", "text"), out: str = "ids") -> DataFrame:
     """The ``carry`` columns and ``out`` array<int>, one row per input row.
     Null and empty texts give no ids. Whole texts of any length are encoded;
     other columns are dropped; repeated rows stay; empty tables stay empty."""
-    path, carry = path or model_file(), list(carry)
+    def work(model, column):
+        return [_listed([model.encode(t) for t in column.to_pylist()])]
 
-    def run(batches):
-        model = process_cache(("pieces", path), lambda: PieceModel(path))
-        for batch in slices(batches):
-            ids = [model.encode(t) for t in batch.column("_text").to_pylist()]
-            ends = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) for x in ids], out=ends[1:])
-            values = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            array = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], array], names=[*carry, out])
-
-    return df.select(*carry, F.col(text).cast("string").alias("_text")).mapInArrow(
-        run, f"{_kept(df, carry)}, `{out}` array<int>")
+    return _coded(df, path, F.col(f"`{text}`").cast("string"), list(carry), f"`{out}` array<int>",
+                  work)
 
 
 def decode(df: DataFrame, *, path: str | None = None, ids: str = "ids",
@@ -186,31 +202,36 @@ def decode(df: DataFrame, *, path: str | None = None, ids: str = "ids",
     """The ``carry`` columns and the text of the ids (null ids: empty text).
     Decoding an encoded text gives it back, with each space sign U+2581 of the
     text as a space, since the model cannot tell the two apart."""
-    path, carry = path or model_file(), list(carry)
+    def work(model, column):
+        ends = np.cumsum([0 if n is None else n for n in
+                          pa.compute.list_value_length(column).to_pylist()])
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+        texts = [model.decode(x) for x in np.split(flat, ends[:-1])] if len(ends) else []
+        return [pa.array(texts, pa.string())]
 
-    def run(batches):
-        model = process_cache(("pieces", path), lambda: PieceModel(path))
-        for batch in slices(batches):
-            column = batch.column("_ids")
-            ends = np.cumsum([0 if n is None else n for n in
-                              pa.compute.list_value_length(column).to_pylist()])
-            flat = column.flatten().to_numpy(zero_copy_only=False)
-            texts = [model.decode(x) for x in np.split(flat, ends[:-1])] if len(ends) else []
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())],
-                                             names=[*carry, out])
+    return _coded(df, path, F.col(f"`{ids}`"), list(carry), f"`{out}` string", work)
+
+
+def encode_and_decode(df: DataFrame, *, path: str | None = None, text: str = "text",
+                      carry=("doc_id", "text"), ids: str = "ids", decoded: str = "decoded"
+                      ) -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass, one worker a task; null
+    and empty texts give no ids and an empty text."""
+    def work(model, column):
+        coded = [model.encode(t) for t in column.to_pylist()]
+        return [_listed(coded), pa.array([model.decode(x) for x in coded], pa.string())]
 
-    return df.select(*carry, F.col(ids).alias("_ids")).mapInArrow(
-        run, f"{_kept(df, carry)}, `{out}` string")
+    return _coded(df, path, F.col(f"`{text}`").cast("string"), list(carry),
+                  f"`{ids}` array<int>, `{decoded}` string", work)
 
 
 def round_trip(df: DataFrame, *, path: str | None = None) -> DataFrame:
     """Per document: doc_id, n_bytes, n_tokens, ids_xxhash64 (of the ids),
     round_trip (decoding gives the text back, by its 64-bit hash)."""
-    body = F.translate(F.coalesce("text", F.lit("")), SPACE, " ")
-    coded = encode(df.select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit("")))
-                             .cast("long").alias("n_bytes"), F.xxhash64(body).alias("_text_hash")),
-                   path=path, carry=("doc_id", "n_bytes", "_text_hash"))
-    both = decode(coded, path=path, carry=("doc_id", "n_bytes", "_text_hash", "ids"))
+    text = F.coalesce("text", F.lit(""))
+    rows = df.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"),
+                     F.xxhash64(F.translate(text, SPACE, " ")).alias("text_hash"), "text")
+    both = encode_and_decode(rows, path=path, carry=("doc_id", "n_bytes", "text_hash"))
     return both.select("doc_id", "n_bytes", F.size("ids").cast("long").alias("n_tokens"),
                        F.xxhash64("ids").alias("ids_xxhash64"),
-                       (F.xxhash64("decoded") == F.col("_text_hash")).alias("round_trip"))
+                       (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"))
