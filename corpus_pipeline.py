@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow.llm import decontaminate, near_dup, personal_data, pieces, toxicity
-from tickflow.llm.common import written
+from tickflow.llm.common import fresh, written
 from tickflow.session import table_path
 
 
@@ -20,55 +20,62 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not predicted toxic."""
+    """Documents that are not predicted toxic; null and empty texts, rows without
+    an id and repeated rows are judged like others; all columns stay, whatever
+    their names; an empty table stays empty."""
     return toxicity.without_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
-def _units(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_unit``: the id, one row of each text of an id. Where an id
-    has several texts, one of them keeps the id and the others get new ids
-    above all others, so that each text is judged by itself."""
-    with_id = docs.filter(F.col("doc_id").isNotNull())
-    twice = written(with_id.groupBy("doc_id").count().filter("count > 1").select(
-        F.col("doc_id").alias("_twice")), "pipeline-twice")
-    plain = docs.withColumn("_unit", F.col("doc_id").cast("long"))
+def _units(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` and the name of a new column, the unit: the id, one row of each
+    text of an id. Where an id has several texts, one of them keeps the id and the
+    others get new ids above all others, so that each text is judged by itself."""
+    unit, twice_id, digest, pair_id, pair_digest = (
+        fresh(c, docs.columns) for c in ("unit", "twice_id", "digest", "pair_id", "pair_digest"))
+    with_id = docs.select("doc_id").filter(F.col("doc_id").isNotNull())
+    twice = written(with_id.groupBy("doc_id").agg(F.count("*").alias("rows")).filter(
+        "rows > 1").select(F.col("doc_id").alias(twice_id)), "pipeline-twice")
+    plain = docs.withColumn(unit, F.col("doc_id").cast("long"))
     if twice.isEmpty():
-        return plain
-    again = docs.join(twice, F.col("doc_id") == F.col("_twice"), "left_semi").withColumn(
-        "_digest", F.coalesce(F.sha2("text", 256), F.lit("")))
+        return plain, unit
+    again = docs.join(twice, F.col("doc_id") == F.col(twice_id), "left_semi").withColumn(
+        digest, F.coalesce(F.sha2("text", 256), F.lit("")))
     top = with_id.agg(F.max(F.col("doc_id").cast("long"))).first()[0]
-    pairs = again.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_of")).distinct()
-    first = pairs.groupBy(F.col("_id").alias("_id1")).agg(F.min("_of").alias("_first"))
-    pairs = written(pairs.join(first, F.col("_id") == F.col("_id1")).select(
-        "_id", "_of", F.when(F.col("_of") == F.col("_first"), F.col("_id").cast("long"))
-        .otherwise(F.monotonically_increasing_id() + F.lit(top + 1)).alias("_unit")),
+    pairs = again.select(F.col("doc_id").alias(pair_id), F.col(digest).alias(pair_digest)).distinct()
+    first = pairs.groupBy(F.col(pair_id).alias("id1")).agg(F.min(pair_digest).alias("first"))
+    pairs = written(pairs.join(first, F.col(pair_id) == F.col("id1")).select(
+        pair_id, pair_digest, F.when(F.col(pair_digest) == F.col("first"), F.col(pair_id).cast("long"))
+        .otherwise(F.monotonically_increasing_id() + F.lit(top + 1)).alias(unit)),
         "pipeline-units")
-    rows = again.dropDuplicates(["doc_id", "_digest"])
-    rows = rows.join(pairs, (rows["doc_id"] == pairs["_id"]) & (rows["_digest"] == pairs["_of"]))
-    return plain.join(twice, F.col("doc_id") == F.col("_twice"), "left_anti").unionByName(
-        rows.select(*docs.columns, "_unit"))
+    rows = again.dropDuplicates(["doc_id", digest])
+    rows = rows.join(pairs, (F.col("doc_id") == F.col(pair_id)) & (F.col(digest) == F.col(pair_digest)))
+    return plain.join(twice, F.col("doc_id") == F.col(twice_id), "left_anti").unionByName(
+        rows.select(*plain.columns)), unit
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8): that of
     the least id, and one row of it where its row repeats. Different texts of
     one id are documents of their own. Rows without an id link with nothing and
-    stay."""
-    units = _units(docs)
-    found = written(near_dup.near_duplicates(units.select(F.col("_unit").alias("doc_id"), "text"),
+    stay; so do null and empty texts; all columns stay, whatever their names."""
+    units, unit = _units(docs)
+    found = written(near_dup.near_duplicates(units.select(F.col(unit).alias("doc_id"), "text"),
                                              words=5, percent=80), "pipeline-groups")
-    gone = found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return units.join(gone, units["_unit"] == F.col("_gone"), "left_anti").select(*docs.columns)
+    gone = fresh("gone", units.columns)
+    ids = found.filter("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return units.join(ids, F.col(unit) == F.col(gone), "left_anti").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null and empty texts hold none;
+    repeated rows and rows without an id are judged like others; all columns
+    stay, whatever their names; an empty table stays empty."""
     return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each span of personal data replaced by its kind's mark;
-    n_chars is the length of the new text."""
+    n_chars is the length of the new text. Null texts stay null."""
     out = personal_data.redact(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -78,12 +85,12 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with the ids of their pieces, their number, and the text
-    that these ids decode to."""
-    coded = pieces.encode(docs.drop("ids", "decoded", "n_tokens"),
-                          carry=[c for c in docs.columns
-                                 if c not in ("ids", "decoded", "n_tokens")])
-    both = pieces.decode(coded, carry=coded.columns)
-    return both.withColumn("n_tokens", F.size("ids").cast("long"))
+    that these ids decode to (columns ids, n_tokens, decoded; where the table has
+    one of these names, its column stays and the new one ends in underscores).
+    Null and empty texts have no ids and decode to an empty text."""
+    ids, n_tokens, decoded = (fresh(c, docs.columns) for c in ("ids", "n_tokens", "decoded"))
+    both = pieces.encode_and_decode(docs, carry=docs.columns, ids=ids, decoded=decoded)
+    return both.withColumn(n_tokens, F.size(ids).cast("long"))
 
 
 STAGES = [
