@@ -320,3 +320,17 @@ def test_removal_on_odd_rows(spark):
     with pytest.raises(ValueError):
         suffix_dedup.without_repeats(df, length=2)
     assert got.filter(F.col("doc_id") == 3).first()["kept_sha256"] == hashlib.sha256(b"short").hexdigest()
+
+
+def test_key_filters_pass_all_their_keys_and_few_others(spark):
+    from tickflow.llm.common import key_filter
+    far = 2**62 + 1
+    keys = spark.range(0, 2000, 2).withColumnRenamed("id", "key").unionByName(
+        spark.sql(f"select explode(array(cast(null as long), {far})) as key"))
+    maybe = key_filter(keys, "key")
+    ends = spark.sql(f"select explode(array(null, {far})) as id").coalesce(1)
+    assert {r["id"] for r in ends.filter(maybe("id")).collect()} == {far}
+    rows = spark.range(4000).select(maybe("id").alias("m"), "id").unionByName(
+        spark.sql("select cast(null as long) as id").select(maybe("id").alias("m"), "id")).collect()
+    assert all(r["m"] for r in rows if r["id"] is not None and r["id"] < 2000 and r["id"] % 2 == 0)
+    assert sum(r["m"] for r in rows) < 1010 and not any(r["m"] for r in rows if r["id"] is None)

@@ -11,6 +11,7 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from tickflow.session import scratch_path
 
 WHITE = " \t\n\x0b\x0c\r"
 ROWS_PER_SLICE = 512
+FILTER_BITS = 1 << 25     # of a key filter, whatever the input
+U64 = np.uint64
 
 
 def process_cache(key, build: Callable, version=None):
@@ -123,3 +126,57 @@ def map_rows(df: DataFrame, inputs: list, schema: str, make: Callable) -> DataFr
 
 def text_or_empty(text: str = "text"):
     return F.coalesce(F.col(text), F.lit(""))
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit numbers, well mixed."""
+    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
+    return x ^ (x >> U64(31))
+
+
+def _filter_places(keys: np.ndarray) -> Iterator[np.ndarray]:
+    x = keys.astype(np.int64).view(U64)
+    for salt in (1, 2, 3):
+        yield (mixed(x + U64(salt * 0x9E3779B97F4A7C15 % 2**64)) % U64(FILTER_BITS)).astype(np.int64)
+
+
+def _either(parts: list) -> bytes:
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for p in parts:
+        bits |= np.frombuffer(p, np.uint8)
+    return bits.tobytes()
+
+
+def key_filter(keys: DataFrame, key: str) -> Callable:
+    """A function of a long column's name, of fixed size for all tasks: true for every
+    ``key`` of ``keys``, rarely for others (at very large inputs for most), null
+    never. It only spares shuffles and never decides a result."""
+    def build(batches):
+        bits = np.zeros(FILTER_BITS // 8, np.uint8)
+        for batch in batches:
+            for at in _filter_places(batch.column(0).to_numpy()):
+                np.bitwise_or.at(bits, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()])], names=["bits"])
+
+    def join(_, group):
+        return pa.table({"bits": pa.array([_either(group.column("bits").to_pylist())])})
+
+    spark = keys.sparkSession
+    parts = keys.select(F.col(key).cast("long").alias("key")).filter("key is not null").coalesce(
+        max(shuffle_partitions(spark) // 4, 1)).mapInArrow(build, "bits binary")
+    if parts.rdd.getNumPartitions() > 16:
+        parts = parts.groupBy((F.spark_partition_id() % 4).alias("g")).applyInArrow(
+            join, "bits binary")
+    held = spark.sparkContext.broadcast(_either([r[0] for r in parts.collect()]))
+
+    @F.pandas_udf("boolean")
+    def maybe(values):
+        import pandas as pd
+        bits, out = np.frombuffer(held.value, np.uint8), True
+        for at in _filter_places(values.to_numpy()):
+            out = out & ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+        return pd.Series(out)
+
+    # Nulls would turn a batch of longs into doubles.
+    return lambda name: F.col(name).isNotNull() & maybe(F.coalesce(F.col(name), F.lit(0)).cast("long"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import map_rows, slices, written
+from tickflow.llm.common import key_filter, map_rows, slices, written
 from tickflow.llm.words import mixed, shingles
 
 HASHES = 240
@@ -109,8 +109,11 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame:
-    """Pairs whose full shingle sets reach the threshold."""
-    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
+    """Pairs whose full shingle sets reach the threshold. Texts meet their pairs
+    by the same plan at every size; the fewer texts of the pairs' ``a`` go last."""
+    side = lambda x: texts.join(pairs.select(F.col(x).alias("node")).distinct().hint("merge"),
+                                "node", "left_semi").select(
+        F.col("node").alias(x), F.col("text").alias(f"text_{x}")).hint("merge")
     rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
 
     def run(batches):
@@ -260,9 +263,11 @@ def near_duplicates(df: DataFrame, *, words: int = 2, percent: int = 80,
     central = members.groupBy("node").agg(F.sum("c").alias("ties"))
     some = members.select("node").distinct().hint("merge")
     members = members.drop("c").join(central, "node")
-    # Texts that may have to be verified, shuffled once, at every size alike.
+    # Texts that may have to be verified, shuffled once, at every size alike; the
+    # filter spares the others their shuffle.
+    maybe = key_filter(some, "node")
     texts = df.select(F.col(id_col).cast("long").alias("node"),
-                      F.col(text).cast("string").alias("text"))
+                      F.col(text).cast("string").alias("text")).filter(maybe("node"))
     texts = written(texts.join(some, "node", "left_semi"), "neardup-texts")
 
     def buckets(members: DataFrame) -> DataFrame:
@@ -292,8 +297,8 @@ def near_duplicates(df: DataFrame, *, words: int = 2, percent: int = 80,
         "k", F.ceil(F.col("m") / CHUNK))
     if not cluster.isEmpty():
         ids = cluster.select("node").distinct()
-        wanted = written(texts.join(ids, "node", "left_semi").join(
-            nodes.select("node", "sig"), "node"), "neardup-compared")
+        wanted = written(texts.join(ids.hint("merge"), "node", "left_semi").join(
+            nodes.select("node", "sig").hint("merge"), "node"), "neardup-compared")
         blocks = cluster.join(size, "pivot").withColumn(
             "chunk", F.pmod(F.xxhash64("node"), F.col("k"))).withColumn(
                 "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))).select(

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import shuffle_partitions, slices, written
+from tickflow.llm.common import key_filter, mixed, shuffle_partitions, slices, written
 from tickflow.llm.suffix_array import longest_repeats
 
 LENGTH = 400
@@ -32,7 +32,6 @@ SPANS = ((256, 4096), (1024, 1024))   # kinds of context at most, bytes of a tex
 HOT_KINDS = 8192          # kinds of context of one anchor that a shard may hold
 RANGES = 17               # ranges of starts that a hot anchor's strings are first counted by
 BATCH_BYTES = 3 << 20     # segments of whole shards put into one suffix array
-FILTER_BITS = 1 << 25     # of the key filter that is sent to all tasks, whatever the input
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
 LOC = "k1 long, k2 int, pos int"
@@ -40,12 +39,6 @@ HEAVY = 2000              # a key in more than one of so many rows is joined by
 UNIT_BITS = 24            # of a pivot: its place in units of 1024 bytes, below its text
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
-
-
 class Hashes:
     """Hashes of byte ranges from running sums; powers grow with the longest text."""
 
@@ -137,50 +130,6 @@ def _anchor_rows(rows: DataFrame, length: int, k: int) -> DataFrame:
     return rows.select("k1", "k2", "raw").mapInArrow(run, f"h long, c long, {LOC}")
 
 
-def _key_filter(keys: DataFrame):
-    """A fixed-size filter on k1: true for all of ``keys``, rarely for others. Full
-    at very large inputs, where it lets all through; it never decides a result."""
-    def build(batches):
-        bits = np.zeros(FILTER_BITS // 8, np.uint8)
-        for batch in batches:
-            for at in _filter_places(batch.column(0).to_numpy()):
-                np.bitwise_or.at(bits, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()])], names=["bits"])
-
-    def join(key, group):
-        return pa.table({"bits": pa.array([_either(group.column("bits").to_pylist())])})
-
-    parts = keys.select("k1").distinct().coalesce(max(shuffle_partitions(keys.sparkSession) // 4, 1)
-                                                  ).mapInArrow(build, "bits binary")
-    if parts.rdd.getNumPartitions() > 16:
-        parts = parts.groupBy((F.spark_partition_id() % 4).alias("g")).applyInArrow(
-            join, "bits binary")
-    held = keys.sparkSession.sparkContext.broadcast(_either([r[0] for r in parts.collect()]))
-
-    @F.pandas_udf("boolean")
-    def maybe(k1):
-        import pandas as pd
-        bits, out = np.frombuffer(held.value, np.uint8), True
-        for at in _filter_places(k1.to_numpy()):
-            out = out & ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
-        return pd.Series(out)
-
-    return maybe
-
-
-def _either(parts: list) -> bytes:
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for p in parts:
-        bits |= np.frombuffer(p, np.uint8)
-    return bits.tobytes()
-
-
-def _filter_places(k1: np.ndarray) -> Iterator[np.ndarray]:
-    x = k1.astype(np.int64).view(U64)
-    for salt in (1, 2, 3):
-        yield (mixed(x + U64(salt * BASE % 2**64)) % U64(FILTER_BITS)).astype(np.int64)
-
-
 # ------------------------------------------------------------ shards
 
 def joined(places: list[tuple[int, int, int]], size: int, length: int, k: int
@@ -205,7 +154,7 @@ def _segments(rows: DataFrame, places: DataFrame, length: int, k: int) -> DataFr
     pos). Only texts that hold one are shuffled, but for the key filter's errors."""
     wanted = written(places.groupBy("k1", "k2").agg(F.collect_set(
         F.struct("s1", "s2", "pos")).alias("places")), "suffix-places")
-    maybe = _key_filter(wanted)
+    maybe = key_filter(wanted, "k1")
 
     def run(batches):
         seen = set()
@@ -462,7 +411,7 @@ def without_repeats(df: DataFrame, *, id_col: str = "doc_id", text: str = "text"
         "id", *text_keys("raw"), "raw")
     long_rows = rows.filter(F.octet_length("raw") >= length)
     spans = repeated_starts(long_rows, length, k, hot_kinds=hot_kinds)
-    maybe = _key_filter(spans)
+    maybe = key_filter(spans, "k1")
     flagged = rows.withColumn("maybe", maybe("k1") & (F.octet_length("raw") >= length))
     kind = df.schema[id_col].dataType.simpleString()
     body = ", kept binary" if keep_text else ""
