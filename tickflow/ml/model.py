@@ -9,13 +9,13 @@ included), so they join back to their rows exactly (Q19)."""
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +34,7 @@ def feature_columns(df: DataFrame, pattern: str = FEATURE_PATTERN) -> list[str]:
 
 
 def assembler(features: list[str], handle_invalid: str = "keep") -> VectorAssembler:
-    """PRJ-12: feature columns -> one vector. Every row stays: ``training_frame``
+    """PRJ-12: feature columns -> one vector. Every row stays: ``training_rows``
     leaves rows with nulls out of the fit, ``predict`` gives them no prediction."""
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid=handle_invalid)
 
@@ -71,24 +71,26 @@ def logistic_pipeline(features: list[str], *, label: str = "target", reg: float
 ROWS_PER_FIT_PARTITION = 20_000
 
 
-def training_frame(train: DataFrame) -> DataFrame:
-    """Persist the training rows (boosting and cross-validation read them many
-    times) in about ``ROWS_PER_FIT_PARTITION`` rows per partition, at most the
-    cluster's parallelism. Lost blocks are recomputed from lineage."""
+@contextmanager
+def training_rows(train: DataFrame):
+    """The training rows without nulls, persisted while the block runs (boosting
+    and cross-validation read them many times) in about ``ROWS_PER_FIT_PARTITION``
+    rows per partition, at most the cluster's parallelism. Lost blocks are
+    recomputed from lineage."""
     from pyspark import StorageLevel
-    train = train.dropna(subset=[c for c in train.columns
-                                 if c in feature_columns(train) or c == "target"])
-    data = train.persist(StorageLevel.MEMORY_AND_DISK)
-    n = data.count()
-    if n == 0:
-        data.unpersist()
-        raise ValueError("no training rows: the feature table is empty for this input "
-                         "(e.g. too few bars per week for the longest lag)")
-    sc = train.sparkSession.sparkContext
-    parts = max(1, min(sc.defaultParallelism, -(-n // ROWS_PER_FIT_PARTITION)))
-    if parts < data.rdd.getNumPartitions():
-        data = data.coalesce(parts)
-    return data
+    held = train.dropna(subset=[c for c in train.columns
+                                if c in feature_columns(train) or c == "target"])
+    held = held.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = held.count()
+        if n == 0:
+            raise ValueError("no training rows: the feature table is empty for this input "
+                             "(e.g. too few bars per week for the longest lag)")
+        sc = train.sparkSession.sparkContext
+        parts = max(1, min(sc.defaultParallelism, -(-n // ROWS_PER_FIT_PARTITION)))
+        yield held.coalesce(parts) if parts < held.rdd.getNumPartitions() else held
+    finally:
+        held.unpersist()
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
@@ -130,14 +132,17 @@ def gbt_of(pipeline: Pipeline) -> GBTClassifier:
     return [s for s in pipeline.getStages() if isinstance(s, GBTClassifier)][0]
 
 
+REFERENCE_ROUNDS = [150, 200, 250]      # fixed values of the tuned numbers of trees
+
+
 def reference_grid(gbt: GBTClassifier) -> list:
-    """ML-5: the tuning axes as MLlib parameters. minInfoGain is a gain in Gini
-    impurity (at most 0.5), so its values are chosen on that scale; grow policy
-    and L1/L2 have no tree counterpart."""
+    """ML-5: the tuning axes but for the number of trees (``REFERENCE_ROUNDS``) as
+    MLlib parameters. minInfoGain is a gain in Gini impurity (at most 0.5), so its
+    values are chosen on that scale; grow policy and L1/L2 have no tree
+    counterpart."""
     return (ParamGridBuilder()
             .addGrid(gbt.maxDepth, [3, 5])
             .addGrid(gbt.stepSize, [0.05, 0.01])
-            .addGrid(gbt.maxIter, [150, 200, 250])
             .addGrid(gbt.minWeightFractionPerNode, [0.0, 0.05, 0.1])
             .addGrid(gbt.minInfoGain, [0.0, 0.001, 0.01])
             .build())
@@ -148,30 +153,19 @@ def small_grid(gbt: GBTClassifier, depths=(3, 5), steps=(0.1, 0.05)) -> list:
         gbt.stepSize, list(steps)).build()
 
 
-def tune(pipeline: Pipeline, grid: list, train: DataFrame, *, label: str = "target",
-         fold_col: str = "fold", parallelism: int = 2):
-    """ML-6: k-fold cross-validation over the grid, best model by AUC."""
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC")
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev,
-                        foldCol=fold_col, parallelism=parallelism, seed=42)
-    return cv.fit(train)
-
-
-def cv_table(spark: SparkSession, cv_model, grid: list, test: DataFrame | None = None
-             ) -> DataFrame:
-    """Mean validation AUC per grid point (grid-sized table) with every tuned
+def cv_table(spark: SparkSession, pipeline: Pipeline, points: list, best: PipelineModel,
+             test: DataFrame | None = None) -> DataFrame:
+    """Mean validation AUC per (parameters, rounds, AUC) point with every tuned
     parameter, and, with ``test``, the best model's AUC there."""
     rows = []
-    best = max(range(len(grid)), key=lambda i: cv_model.avgMetrics[i])
-    fixed = cv_model.bestModel.stages[-1]
-    test_auc = auc(predict(cv_model.bestModel, test)) if test is not None else None
-    for i, pm in enumerate(grid):
-        params = {p.name: v for p, v in pm.items()}
+    top = max(range(len(points)), key=lambda i: points[i][2])
+    fixed = gbt_of(pipeline)
+    test_auc = auc(predict(best, test)) if test is not None else None
+    for i, (params, rounds, mean) in enumerate(points):
         got = [params.get(n, fixed.getOrDefault(n)) for n in (
-            "maxDepth", "stepSize", "maxIter", "minWeightFractionPerNode", "minInfoGain")]
-        rows.append((int(got[0]), float(got[1]), int(got[2]), float(got[3]), float(got[4]),
-                     float(cv_model.avgMetrics[i]), i == best, test_auc if i == best else None))
+            "maxDepth", "stepSize", "minWeightFractionPerNode", "minInfoGain")]
+        rows.append((int(got[0]), float(got[1]), rounds, float(got[2]), float(got[3]), float(mean),
+                     i == top, test_auc if i == top else None))
     return spark.createDataFrame(
         rows, "max_depth int, step_size double, max_iter int, min_weight double, "
               "min_info_gain double, mean_auc double, is_best boolean, test_auc double")
