@@ -68,22 +68,6 @@ def year_of(ts: Column) -> Column:
     return F.year(ts)
 
 
-def bucket(ts: Column, width: str) -> Column:
-    """SCL-5: epoch-aligned tumbling bucket struct {start, end}.
-
-    Weeks therefore start on Thursday 00:00 UTC, as in the reference."""
-    return F.window(ts, width)
-
-
-def bucket_start(ts: Column, width: str) -> Column:
-    return F.window(ts, width).start
-
-
-def bucket_end(ts: Column, width: str) -> Column:
-    """SCL-6: the bar label is the window *end*."""
-    return F.window(ts, width).end
-
-
 def minus(ts: Column, duration: str) -> Column:
     """SCL-7: interval subtraction, e.g. ``minus(ts, '24 hours')``."""
     return ts - F.expr(f"INTERVAL {duration_seconds(duration)} SECONDS")

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from tickflow.operators.names import any_names
 from tickflow.session import stage
 
 
@@ -116,6 +117,7 @@ def with_slice(df: DataFrame, col: str, n: int, out: str = "_pid",
             .drop("_num", "_bkt"))
 
 
+@any_names
 def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx",
                 partitions: int | None = None,
                 max_group_rows: int | None = MAX_GROUP_ROWS,
@@ -158,6 +160,7 @@ def dense_index(df: DataFrame, order: Sequence[str], *, keys=(), out: str = "idx
             .select(*df.columns, (F.col("_local") + F.col("_off")).cast("long").alias(out)))
 
 
+@any_names
 def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str], *,
                    suffix: str = "_cum", partitions: int | None = None,
                    max_group_rows: int | None = MAX_GROUP_ROWS,

@@ -12,8 +12,10 @@ from tickflow.functions.change import direction, pct_change
 from tickflow.functions.temporal import duration_label, duration_seconds, epoch_seconds_of
 from tickflow.operators.lags import (PART_COL, REFERENCE_HORIZONS, drop_incomplete,
                                      pct_change_features, row_shifts)
+from tickflow.operators.names import any_names
 
 
+@any_names(handed_on=(PART_COL,))
 def direction_label(df: DataFrame, horizon: str = "15 minutes", width: str = "5 minutes", *,
                     keys=("symbol",), ts: str = "timestamp", price: str = "price",
                     partition: str | None = "1 week", unlabeled: str = "zero",
@@ -46,6 +48,7 @@ def past_direction(df: DataFrame, change_col: str = "percent_change_15m",
     return d.drop(change_col) if drop_source else d
 
 
+@any_names
 def feature_table(bars: DataFrame, width: str = "5 minutes",
                   horizons: Sequence[str | int] = tuple(REFERENCE_HORIZONS), *,
                   label_horizon: str = "15 minutes", keys=("symbol",), ts: str = "timestamp",

@@ -29,6 +29,8 @@ from tickflow.functions.change import exact, odd, pct_change
 from tickflow.functions.temporal import duration_label, duration_seconds, epoch_micros
 from tickflow.operators.bars import bar_width_of
 from tickflow.operators.index import MAX_GROUP_ROWS, dense_index, fits_one_task
+from tickflow.operators.joins import join_null_safe
+from tickflow.operators.names import any_names
 from tickflow.session import stage
 
 # The reference's six training horizons over 5-minute bars
@@ -120,6 +122,7 @@ def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("_halo")).drop("_idx", "_chunk", "_halo")
 
 
+@any_names(handed_on=(PART_COL,))
 def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("symbol",),
                ts: str = "timestamp", partition: str | None = "1 week",
                chunk_rows: int = 100_000, keep_partition: bool = False,
@@ -153,6 +156,7 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("symb
     return drop_halo(u.select("*", *cols))
 
 
+@any_names
 def moving_average(df: DataFrame, value: str, rows: int = 20, *, keys=("symbol",),
                    ts: str = "timestamp", out: str | None = None,
                    chunk_rows: int = 100_000,
@@ -171,13 +175,25 @@ def moving_average(df: DataFrame, value: str, rows: int = 20, *, keys=("symbol",
     return drop_halo(u.select("*", mean.alias(out or f"ma_{rows}")))
 
 
+@any_names
 def time_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("symbol",),
-                ts: str = "timestamp") -> DataFrame:
-    """Add ``out = value of src exactly s seconds earlier`` (Q4 time mode)."""
+                ts: str = "timestamp", max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Add ``out = value of src exactly s seconds earlier`` (Q4 time mode); of rows
+    with equal times the largest value counts.
+
+    Two time buckets of a series as wide as the longest shift share a partition,
+    if the bar width proves or one job measures that they fit; else each shift is
+    a join on (series, time) with one row per time, split where it is skewed."""
     k = _keys(keys)
     span = max(s for _, s in shifts.values())
     micros = epoch_micros(F.col(ts))
     b = F.floor(micros / F.lit(span * 1_000_000))
+    limit = None if max_group_rows is None else max_group_rows // 2
+    width = bar_width_of(df, ts, k)
+    if not (width and limit is not None and span // width + 1 <= limit):
+        df = stage(df)
+        if not fits_one_task(df.withColumn("_b", b), [*k, "_b"], limit):
+            return _time_joins(df, shifts, k, ts)
     u = df.select("*", micros.alias("_us"), F.explode(F.array(
         F.struct(b.alias("b"), F.lit(False).alias("h")),
         F.struct((b + 1).alias("b"), F.lit(True).alias("h")))).alias("_x"))
@@ -188,6 +204,21 @@ def time_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], *, keys=("sym
     return u.select("*", *cols).filter(~F.col("_halo")).drop("_us", "_b", "_halo")
 
 
+def _time_joins(df: DataFrame, shifts: dict[str, tuple[str, int]], k: list[str], ts: str
+                ) -> DataFrame:
+    us = epoch_micros(F.col(ts))
+    sources = sorted({src for src, _ in shifts.values()})
+    points = stage(df.groupBy(*k, us.alias("_at")).agg(*[
+        F.max(src).alias(f"_v{i}") for i, src in enumerate(sources)]))
+    out = df
+    for name, (src, s) in shifts.items():
+        earlier = points.select(*k, (F.col("_at") + s * 1_000_000).alias("_us"),
+                                F.col(f"_v{sources.index(src)}").alias(name))
+        out = join_null_safe(out.withColumn("_us", us), earlier, [*k, "_us"], "left").drop("_us")
+    return out
+
+
+@any_names
 def pct_change_features(bars: DataFrame, horizons: Sequence[str | int] = tuple(REFERENCE_HORIZONS),
                         width: str = "5 minutes", *, keys=("symbol",), ts: str = "timestamp",
                         price: str = "price", partition: str | None = "1 week",
@@ -212,7 +243,7 @@ def pct_change_features(bars: DataFrame, horizons: Sequence[str | int] = tuple(R
         lag_of = {name: f"_lag_{sec // wsec}" for name, sec in specs}
     elif mode == "time":
         shifts = {f"_lag_{sec}s": (price, sec) for _, sec in specs}
-        out = time_shifts(bars, shifts, keys=keys, ts=ts)
+        out = time_shifts(bars, shifts, keys=keys, ts=ts, max_group_rows=max_group_rows)
         lag_of = {name: f"_lag_{sec}s" for name, sec in specs}
     else:
         raise ValueError(f"mode must be 'rows' or 'time', not {mode!r}")
@@ -227,6 +258,7 @@ def pct_change_features(bars: DataFrame, horizons: Sequence[str | int] = tuple(R
     return out.select(*[c for c in out.columns if not c.startswith("_lag_")], *feats)
 
 
+@any_names
 def lag_change(df: DataFrame, value: str, *, rows: int = 1, keys=("symbol",),
                ts: str = "timestamp", partition: str | None = None, out: str | None = None,
                prev_name: str | None = None, scale: float = 100.0,

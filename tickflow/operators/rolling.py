@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 
 from tickflow.functions.change import (EXACT, TIER, exact, in_tier, tier, tier_scale,
                                        unbounded)
-from tickflow.functions.temporal import duration_seconds, epoch_micros
+from tickflow.functions.temporal import duration_seconds, epoch_micros, minus
 from tickflow.operators.bars import bar_width_of
 from tickflow.operators.index import MAX_GROUP_ROWS, fits_one_task, slice_count, with_slice
 from tickflow.operators.joins import join_null_safe
+from tickflow.operators.names import any_names
 from tickflow.session import stage
 
 
@@ -85,6 +86,7 @@ def _with_halo(df: DataFrame, ts: str, width_us: int, copies: int = 1) -> DataFr
     return out.select("*", F.col("_x.b").alias("_b"), F.col("_x.h").alias("_halo")).drop("_x")
 
 
+@any_names
 def rolling_sum(df: DataFrame, value: str, span: str = "24 hours", *, keys=("symbol",),
                 ts: str = "timestamp", out: str | None = None,
                 closed: str = "both", method: str = "auto",
@@ -198,6 +200,7 @@ def _rolling_sum_sliced(df: DataFrame, value: str, lo: int, k: list[str], ts: st
 
 
 
+@any_names
 def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("symbol",),
                  ts: str = "timestamp", carry=("price",), out: str | None = None,
                  closed: str = "right", buckets_per_span: int = 8,
@@ -230,9 +233,11 @@ def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sy
     lo = _lower(span_us, closed)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     us = epoch_micros(F.col(ts))
-    left = df.select(*k, ts, *carry, us.alias("_us")).withColumns({
+    # The frame's first microsecond: the span before the row, or just after it.
+    first = epoch_micros(minus(F.col(ts), span)) + F.lit(lo + span_us)
+    left = df.select(*k, ts, *carry, us.alias("_us"), first.alias("_first")).withColumns({
         "_bhi": F.floor(F.col("_us") / F.lit(width)),
-        "_blo": F.floor((F.col("_us") + F.lit(lo)) / F.lit(width))})
+        "_blo": F.floor(F.col("_first") / F.lit(width))})
     tiers = _tiers(df, value)
     parts = _parts(value, tiers)
     names = [name for name, _, _ in parts]
@@ -252,10 +257,10 @@ def rolling_join(df: DataFrame, value: str, span: str = "24 hours", *, keys=("sy
     # The two boundary buckets, row by row with the range predicate. An
     # explicit partition count keeps AQE from coalescing the small input into
     # a few tasks that would then carry the whole join.
-    edge = left.select(*row_keys, "_us", F.explode(F.array_distinct(F.array(
+    edge = left.select(*row_keys, "_us", "_first", F.explode(F.array_distinct(F.array(
         F.col("_blo"), F.col("_bhi")))).alias("_b")).repartition(n, *k, "_b")
     cond = [edge[c].eqNullSafe(right[c]) for c in k] + [edge["_b"] == right["_b"],
-            right["_rus"] <= edge["_us"], right["_rus"] >= edge["_us"] + F.lit(lo)]
+            right["_rus"] <= edge["_us"], right["_rus"] >= edge["_first"]]
     rows = edge.join(right, cond, "left").select(*[edge[c] for c in row_keys], *names)
 
     total = _total({"_w0": F.sum("_w0"), **{c: F.coalesce(F.sum(c), F.lit(0))
