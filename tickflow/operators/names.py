@@ -43,3 +43,11 @@ def any_names(fn=None, *, handed_on: tuple[str, ...] = ()):
         out = out.drop(*[o for c, o in aside.items() if c.lower() in made])
         return out.withColumnsRenamed({o: c for c, o in aside.items()})
     return run
+
+
+def private(columns, name: str) -> str:
+    """``name``, lengthened until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -12,9 +12,14 @@ from tickflow.plans.registry import query
 from tickflow.session import scratch_path, stage, table_path
 from tickflow.sources import events as E
 from tickflow.sources import ticks as K
+from tickflow.functions.change import direction
+from tickflow.operators import lags as G
 from tickflow.plans.series import REF, _bars
+from tickflow.streaming import corrections as CO
+from tickflow.streaming import frames as FR
 from tickflow.streaming import stateful as SF
 from tickflow.streaming import stream as ST
+from tickflow.streaming import upsert as UP
 
 DELAY = "10 minutes"
 
@@ -149,3 +154,115 @@ def stream_quarantine(spark, sf_dir):
     _, bad = ST.run_split_available(K.parse_ticks(docs, keep=["event_id"]), spark,
                                     "stream_quarantine")
     return bad.select("event_id", "reason", (F.col("json_string") == "null").alias("text_is_null"))
+
+
+def by_time(df, drops: int, at: str = "timestamp", part: str = "_part"):
+    """``part``: 0 to drops - 1, equal lengths of the data's own time extent."""
+    lo, hi = df.agg(F.min(at), F.max(at)).first()
+    if lo is None or hi == lo:
+        return df.withColumn(part, F.lit(0)), 0
+    seconds = (hi - lo).total_seconds()
+    since = F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(
+        F.lit(lo).cast("timestamp"))
+    n = F.floor(since * F.lit(drops) / F.lit(seconds * 1e6)).cast("int")
+    return df.withColumn(part, F.least(n, F.lit(drops - 1))), seconds
+
+
+def land(df, path: str):
+    """One drop: its rows become new files of a landing folder."""
+    df.write.mode("append").parquet(path)
+
+
+def as_stream(spark, path: str, schema, at: str = "timestamp"):
+    return ST.file_stream(spark, path, schema).withColumn(at, F.col(at).cast("timestamp"))
+
+
+HELD_BACK = 5           # one bar in five is sent a drop late
+CORRECTED_DROPS = 3
+
+
+@query("stream_lags_corrected", ("WIN-1", "STR-2", "EXT"), oracle=f"""
+SELECT * EXCLUDE (wk, volume) FROM ({O.week_lags(O.bars('5 minutes'), REF, '5 minutes')}) x""")
+def stream_lags_corrected(spark, sf_dir):
+    """Lagged changes on a stream whose late bars correct later ones: bars
+    arrive in ``CORRECTED_DROPS`` runs, one in ``HELD_BACK`` of them a run late; the
+    upserted rows end in the batch answer."""
+    bars = stage(_bars(spark, sf_dir))
+    numbered, seconds = by_time(bars, CORRECTED_DROPS)
+    late = F.pmod(F.xxhash64("symbol", "timestamp"), F.lit(HELD_BACK)) == 0
+    numbered = numbered.withColumn("_part", F.col("_part") + F.when(late, 1).otherwise(0))
+    delay = f"{int(2 * seconds / CORRECTED_DROPS) + 600} seconds"
+    landing, root = scratch_path(spark, "late_landing"), scratch_path(spark, "late_lags")
+    table = None
+    for i in range(CORRECTED_DROPS + 1):
+        land(numbered.filter(F.col("_part") == i).drop("_part"), landing)
+        rows = CO.corrected_lag_features(as_stream(spark, landing, bars.schema), REF, "5 minutes",
+                                         delay=delay)
+        table = UP.run_upsert(rows, spark, root, ["symbol", "timestamp"], mode="update")
+    return table.read().withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@query("stream_rolling", ("WIN-4", "AGG-2", "AGG-1", "STR-2", "EXT"), oracle=f"""
+WITH b AS ({O.bars('5 minutes')})
+SELECT a.symbol, a.timestamp, a.price,
+       CAST(SUM(CAST(c.volume AS DECIMAL(28,8))) AS DOUBLE) AS volume_24h
+FROM b a LEFT JOIN b c ON c.symbol = a.symbol AND c.timestamp <= a.timestamp
+     AND c.timestamp > a.timestamp - INTERVAL '24 hours'
+WHERE a.timestamp <= (SELECT max(ts) FROM events) - INTERVAL '{DELAY}'
+GROUP BY 1, 2, 3""")
+def stream_rolling(spark, sf_dir):
+    """Rolling 24-hour volume of 5-minute bars on a stream of ticks: panes, then
+    frames over panes, under one watermark; equals ``rolling_24h_join`` for
+    every bar the watermark has passed."""
+    ticks = E.ticks_from_events(event_stream(spark, sf_dir))
+    out = FR.streaming_rolling(ticks, "5 minutes", "24 hours", DELAY)
+    out = out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return ST.run_available(out, spark, "stream_rolling")
+
+
+LATER, LATER_DELAY, LATER_DROPS = "15 minutes", "12 minutes", 3
+
+
+@query("stream_join_later", ("JON-2", "JON-3", "STR-2", "EXT"), oracle=f"""
+WITH b AS ({O.bars('5 minutes')}),
+l AS (SELECT symbol, timestamp, price, CASE WHEN percent_change_15m > 0 THEN 1 ELSE 0 END AS prediction
+      FROM ({O.week_lags(O.bars('5 minutes'), ['15 minutes'], '5 minutes')}) k)
+SELECT l.*, b.price AS later_price FROM l LEFT JOIN b
+  ON b.symbol = l.symbol AND b.timestamp = l.timestamp + INTERVAL '{LATER}'
+WHERE b.price IS NOT NULL OR l.timestamp + INTERVAL '{LATER}'
+      < (SELECT max(timestamp) FROM b) - INTERVAL '{LATER_DELAY}'""")
+def stream_join_later(spark, sf_dir):
+    """Predictions of a rule joined on a stream to the bar 15 minutes later;
+    bars and predictions arrive in ``LATER_DROPS`` runs. A prediction without
+    such a bar appears once, when the watermark has passed its time."""
+    bars = stage(_bars(spark, sf_dir))
+    lagged = G.pct_change_features(bars, ["15 minutes"], "5 minutes")
+    preds = stage(lagged.select("symbol", "timestamp", "price", direction(
+        F.col("percent_change_15m")).alias("prediction")))
+    root, out = scratch_path(spark, "stream_join"), None
+    landed = {"bars": bars, "preds": preds}
+    for i in range(LATER_DROPS):
+        for name, df in landed.items():
+            part = by_time(df, LATER_DROPS)[0].filter(F.col("_part") == i).drop("_part")
+            land(part, f"{root}/{name}")
+        j = FR.join_later(as_stream(spark, f"{root}/preds", preds.schema),
+                          as_stream(spark, f"{root}/bars", bars.schema), LATER, delay=LATER_DELAY)
+        out = ST.run_available(
+            j.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), spark,
+            "stream_join", root=f"{root}/run")
+    return out
+
+
+@query("stream_append", ("SET-2", "STR-4", "EXT"), oracle="""
+SELECT event_id, ts, event_type, value FROM events""")
+def stream_append(spark, sf_dir):
+    """Idempotent append: the events table as a stream, written by event id;
+    the whole table is then sent once more as a later batch, and everything
+    is folded into one base. No event is there twice."""
+    root = scratch_path(spark, "stream_append")
+    s = event_stream(spark, sf_dir).select("event_id", "ts", "event_type", "value")
+    table = UP.run_upsert(s, spark, root, ["event_id"])
+    again = 1 + max(table.parts()[1], default=0)
+    table.write(spark.read.parquet(table_path(sf_dir, "events")), again)
+    table.compact()
+    return table.read()
