@@ -81,3 +81,35 @@ def test_year_folders_are_pruned(spark):
     r = FS.read_year_csvs(spark, path, o.schema).filter(F.col("year") == 1999)
     assert "PartitionFilters: [isnotnull(year" in _formatted(spark, r)
     assert r.count() == o.filter(F.year("o_orderdate") == 1999).count()
+
+
+def test_one_year_is_rewritten_alone(spark):
+    """The files of other years stay as they are, and a year filter opens one folder."""
+    import glob
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tickflow.session import scratch_path
+    from tickflow.sources import files as FS
+    rows = [(i, f"{y}-03-0{1 + i % 9} 10:00:00") for i, y in enumerate([2021, 2022, 2022, 2023])]
+    df = spark.createDataFrame(rows + [(9, None)], "k long, t string").select(
+        "k", F.col("t").cast("timestamp_ntz").alias("ts"))
+    path = FS.write_year_parquet(df, "ts", scratch_path(spark, "years"))
+    local = path.removeprefix("file:")
+    files = lambda y: {f: os.stat(f).st_mtime_ns
+                       for f in glob.glob(f"{local}/year={y}/*.parquet")}
+    before = {y: files(y) for y in (2021, 2022, 2023, "__HIVE_DEFAULT_PARTITION__")}
+    assert all(before.values())
+    FS.write_year_parquet(df.withColumn("k", F.col("k") + 100), "ts", path, years=[2022])
+    for y, was in before.items():
+        assert (files(y) == was) == (y != 2022)
+    back = FS.read_year_parquet(spark, path, df.schema)
+    assert sorted((r["k"], r["year"]) for r in back.collect() if r["year"]) == [
+        (0, 2021), (3, 2023), (101, 2022), (102, 2022)]
+    assert back.filter("year IS NULL").collect()[0]["k"] == 9
+    one = FS.read_year_parquet(spark, path, df.schema, years=[2023])
+    assert one.inputFiles() and [r["k"] for r in one.collect()] == [3]
+    plan = one._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [isnotnull(year" in plan

@@ -91,3 +91,17 @@ def csv_features(spark, sf_dir):
         "ts": seconds_to_ts(F.col("unix")).cast("timestamp_ntz")})
     b = B.bars(rows, "5 minutes", price="close", volume=SC.VOLUME_QUOTE_COL, tiebreak="close")
     return G.pct_change_features(b, REF, "5 minutes")
+
+
+@query("parquet_year_rewrite", ("SNK-4", "SNK-2", "FLT-1"), oracle="""
+SELECT o_orderkey, o_orderdate, CASE WHEN year(o_orderdate) = 1995 THEN o_totalprice * 2
+       ELSE o_totalprice END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year
+FROM orders""")
+def parquet_year_rewrite(spark, sf_dir):
+    """Orders written as one Parquet folder per year, then the rows of 1995
+    written again with other prices: that folder alone is replaced."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_totalprice"])
+    path = FS.write_year_parquet(o, "o_orderdate", scratch_path(spark, "orders_years"))
+    again = o.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    FS.write_year_parquet(again, "o_orderdate", path, years=[1995])
+    return FS.read_year_parquet(spark, path, StructType(o.schema.fields))

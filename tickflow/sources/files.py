@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tickflow import schemas as S
 
@@ -72,6 +72,33 @@ def write_year_csvs(df: DataFrame, ts: str, path: str, mode: str = "overwrite")
     return path
 
 
+def write_year_parquet(df: DataFrame, ts: str, path: str, years=None) -> str:
+    """SNK-4 as Parquet, one folder per year. Only the folders of years that
+    occur in ``df`` are replaced (dynamic partition overwrite); files of other
+    years are not touched, and a failed write leaves all as it was. ``years``
+    keeps rows of those years alone. A row without a time is in no year: it goes
+    to the folder of nulls. One shuffle brings a year's rows together; AQE splits
+    large years and joins small ones, so neither tasks nor files grow with a year."""
+    year = "year"
+    if year in df.columns:
+        raise ValueError("the table has a column 'year'; the folders are named so")
+    d = df.withColumn(year, F.year(F.col(ts)))
+    if years is not None:
+        d = d.filter(F.col(year).isin(*years))
+    (d.hint("rebalance", F.col(year)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path))
+    return path
+
+
+def read_year_parquet(spark: SparkSession, path: str, schema: StructType,
+                      years=None) -> DataFrame:
+    """The folders of ``write_year_parquet``; a filter on ``year`` opens only
+    the folders it names."""
+    df = spark.read.schema(StructType([*schema.fields, StructField("year", IntegerType())])
+                           ).parquet(path)
+    return df if years is None else df.filter(F.col("year").isin(*years))
+
+
 PREDICTIONS_FILE = StructType([StructField("index", LongType(), True)] + [
     StructField(str(i), f.dataType, True) for i, f in enumerate(S.PREDICTIONS_CSV.fields)])
 
