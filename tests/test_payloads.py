@@ -57,3 +57,22 @@ def test_array_payload_explodes(spark):
 def test_binary_value_to_text(spark):
     df = spark.createDataFrame([(bytearray(SAMPLE, "utf-8"),)], "value binary")
     assert K.as_text(df).first()["json_string"] == SAMPLE
+
+
+def test_number_types_that_drift_are_widened(spark):
+    from decimal import Decimal
+
+    from tickflow.sources.ticks import parse_ticks_any
+    at = '"timestamp": "2024-01-02T03:04:05Z"'
+    caps = ["12", "12.25", '"12.5"', '{"usd": 1}', '"many"', "1e3", "null", "9e40"]
+    rows = [(i, f'{{"price": 1, "market_cap": {c}, {at}}}') for i, c in enumerate(caps)]
+    rows += [(90, "null"), (91, "{broken"), (92, None), (93, f'{{"price": "2.5", {at}}}'),
+             (94, '{"price": 2, "timestamp": "no time"}'), (95, "[1, 2]")]
+    df = spark.createDataFrame(rows, "_v long, json_string string")
+    got = {r["_v"]: r for r in parse_ticks_any(df, keep=["_v"]).collect()}
+    assert len(got) == len(rows)
+    assert [got[i]["market_cap"] for i in range(8)] == [
+        Decimal(12), Decimal("12.25"), Decimal("12.5"), None, None, Decimal(1000), None, None]
+    assert [got[i]["valid"] for i in range(8)] == [True] * 8
+    assert [got[i]["valid"] for i in (90, 91, 92, 93, 94, 95)] == [False] * 3 + [True] + [False] * 2
+    assert got[93]["price"] == 2.5

@@ -34,6 +34,24 @@ def json_fields(spark, sf_dir):
                     F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "valid")
 
 
+@query("json_drifting_types", ("PRJ-2", "PRJ-3", "Q16", "Q17"), oracle="""
+SELECT event_id,
+       CASE WHEN event_type = 'error' THEN NULL ELSE value END AS price,
+       CASE WHEN event_type IN ('error', 'view') THEN NULL
+            WHEN event_type = 'click' THEN CAST(user_id + 0.25 AS DECIMAL(28,9))
+            ELSE CAST(user_id AS DECIMAL(28,9)) END AS market_cap,
+       CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS symbol,
+       CASE WHEN event_type = 'error' THEN NULL ELSE ts END AS timestamp,
+       event_type <> 'error' AS valid
+FROM events""")
+def json_drifting_types(spark, sf_dir):
+    """Tick messages whose number types change from row to row, read as
+    VARIANT: fractions and quoted numbers are widened, not nulled."""
+    p = K.parse_ticks_any(E.drifting_documents(_events(spark, sf_dir)), keep=["event_id"])
+    return p.select("event_id", "price", "market_cap", "symbol",
+                    F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "valid")
+
+
 @query("json_quarantine", ("Q16",), oracle="""
 SELECT event_id, CASE WHEN event_type IN ('error', 'signup') THEN 'no_timestamp' END AS reason
 FROM events WHERE event_type IN ('error', 'signup')""")

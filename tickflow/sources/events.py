@@ -55,6 +55,24 @@ def tick_documents(events: DataFrame, out: str = "json_string") -> DataFrame:
     return events.select("event_id", text.alias(out))
 
 
+def drifting_documents(events: DataFrame, out: str = "json_string") -> DataFrame:
+    """``tick_documents`` of a feed that changes its number types: the market cap
+    is a fraction in 'click' events, text in 'purchase' events, an object in
+    'view' events and a whole number else; the price of 'purchase' is text too."""
+    et, uid = F.col("event_type"), F.col("user_id")
+    time = _iso().alias("timestamp")
+    sym = et.alias("symbol")
+
+    def doc(cap, price=F.col("value")):
+        return F.to_json(F.struct(price.alias("price"), cap.alias("market_cap"), sym, time))
+
+    text = (F.when(et == "error", F.lit("null"))
+            .when(et == "click", doc(uid.cast("decimal(20,0)") + F.lit(0.25).cast("decimal(3,2)")))
+            .when(et == "purchase", doc(uid.cast("string"), F.col("value").cast("string")))
+            .when(et == "view", doc(F.struct(uid.alias("usd")))).otherwise(doc(uid)))
+    return events.select("event_id", text.alias(out))
+
+
 def ticker_documents(events: DataFrame, out: str = "json_string") -> DataFrame:
     """events -> (event_id, F4 raw ticker document JSON text)."""
     usd = F.struct(F.col("value").alias("price"), F.col("value").alias("volume_24h"),

@@ -5,13 +5,16 @@ on a batch frame or a streaming frame (files, Kafka)."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, TimestampType
 
 from tickflow import schemas as S
 from tickflow.functions.jsoncols import binary_to_text, encode, parse
+from tickflow.operators.names import private
 
 PERCENT_FIELDS = [f for f in S.QUOTE_NUMERIC_FIELDS if f.startswith("percent_change_")]
 
@@ -44,6 +47,34 @@ def parse_ticks(df: DataFrame, text: str = "json_string", schema=S.TICK,
     return out.withColumn("valid", valid)
 
 
+# A number of the feed as one type: 19 integer digits and 9 places.
+WIDE = "decimal(28,9)"
+
+
+def parse_ticks_any(df: DataFrame, text: str = "json_string", fields: Sequence[str] = S.TICK.names,
+                    keep: Sequence[str] = ()) -> DataFrame:
+    """PRJ-2 under type drift (Q16, Q17): the text is parsed once as VARIANT, and
+    each field is read by what it holds. Integer fields of the schema become
+    ``WIDE``, so a whole number, a fraction and a number in quotes are all kept;
+    double fields take the same three. Whatever cannot be read (an object, a
+    word, a number out of range) is null, and so are all fields of malformed text
+    and of the text ``null``. ``valid`` as in ``parse_ticks``."""
+    v = private([*keep, *fields, text], "_v")
+    d = df.select(*keep, text, F.try_parse_json(F.col(text)).alias(v))
+
+    def lift(name):
+        path, kind = f"$.{name}", S.TICK[name].dataType
+        if isinstance(kind, (LongType, IntegerType)):
+            return F.try_variant_get(F.col(v), path, WIDE)
+        if isinstance(kind, TimestampType):
+            return F.try_to_timestamp(F.try_variant_get(F.col(v), path, "string"))
+        return F.try_variant_get(F.col(v), path, kind.simpleString())
+
+    out = d.select(*keep, text, *[lift(n).alias(n) for n in fields])
+    needed = [F.col(c).isNotNull() for c in ("timestamp", "price") if c in fields]
+    return out.withColumn("valid", functools.reduce(lambda a, b: a & b, needed, F.lit(True)))
+
+
 def split_valid(parsed: DataFrame, text: str = "json_string"):
     """Q16: (good ticks, quarantine rows with the raw text and a reason)."""
     reason = (F.when(F.col("timestamp").isNull(), F.lit("no_timestamp"))
