@@ -95,10 +95,13 @@ def run_split_available(parsed: DataFrame, spark: SparkSession, name: str,
     bad_schema = split_valid(parsed)[1].schema
 
     def write(batch: DataFrame, epoch: int):
-        good, bad = split_valid(batch.persist())
-        good.write.mode("overwrite").parquet(f"{good_out}/epoch={epoch}")
-        bad.write.mode("overwrite").parquet(f"{bad_out}/epoch={epoch}")
-        batch.unpersist()
+        batch.persist()
+        try:
+            good, bad = split_valid(batch)
+            good.write.mode("overwrite").parquet(f"{good_out}/epoch={epoch}")
+            bad.write.mode("overwrite").parquet(f"{bad_out}/epoch={epoch}")
+        finally:
+            batch.unpersist()
 
     with _TempConf(spark, _start_conf(spark, None, None)):
         q = (parsed.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
