@@ -145,6 +145,23 @@ def test_what_the_pivots_leave_is_compared_block_by_block(spark, monkeypatch, ch
         brute_components(rows, 2, 80)
 
 
+def test_long_texts_make_smaller_chunks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "CHUNK_SHINGLES", 150)
+    monkeypatch.setattr(near_dup, "_verified", lambda pairs, *_: pairs.limit(0))
+    rows = near_rows(random.Random(9))
+    got = near_dup.near_duplicates(docs(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == \
+        brute_components(rows, 2, 80)
+
+
+def test_a_document_of_two_texts_links_by_each_text_alone(spark):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(1, " ".join(words[:20])), (1, " ".join(words)), (2, " ".join(words[:21])),
+            (3, " ".join([*words[:399], "z"])), (4, " ".join(words[:200]))]
+    got = near_dup.near_duplicates(docs(spark, rows)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
 def test_common_counts_by_matrix_and_one_by_one(monkeypatch):
     rng = np.random.default_rng(4)
     monkeypatch.setattr(near_dup, "COLUMNS", 7)
@@ -173,6 +190,17 @@ def test_components_of_long_chains(spark):
     assert got == {**{i: 0 for i in range(1, 61)}, 101: 100}
 
 
+@pytest.mark.parametrize("heavy", [3, 1000])
+def test_components_with_heavy_nodes(spark, monkeypatch, heavy):
+    monkeypatch.setattr(near_dup, "HEAVY", heavy)
+    pairs = [(500, i) for i in range(1, 120)] + [(i, 900) for i in range(60, 200)] + [
+        (i, i + 1) for i in range(300, 310)] + [(1000, 1000 + i) for i in range(1, 50)]
+    got = {r["node"]: r["root"] for r in near_dup.components(
+        spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in [*range(2, 200), 500, 900]},
+                   **{i: 300 for i in range(301, 311)}, **{1000 + i: 1000 for i in range(1, 50)}}
+
+
 def test_posterior_bounds_keep_pairs_at_the_threshold():
     need = near_dup.least_matches(80)
     rng = np.random.default_rng(1)

@@ -8,7 +8,8 @@ a cluster, cut into chunks of about ``CHUNK`` nodes, and each pair of chunks is
 compared in one task, so a cluster's pairs never become rows. A pair is
 compared signature batch by signature batch and dropped once its similarity is
 unlikely to reach the threshold given the matches so far; survivors are
-verified on their full shingle sets.
+verified on their full shingle sets. Blocks are compared by signatures first:
+a text travels only to blocks in which a pair of it survived.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ BAND = 6                 # hashes a band: a pair at 0.8 misses all 40 bands with
 BATCH = 24               # signature hashes compared at a time
 MISS = 1e-6              # a pair whose posterior chance of reaching the threshold is less goes
 CHUNK = 256              # nodes of a cluster in a chunk, on average
+CHUNK_SHINGLES = 1 << 18  # and their shingles, on average: long texts make smaller chunks
+HEAVY = 1000             # a node of more edges may be heavy, see components()
 COLUMNS = 2048           # shingles hashed at a time
 SETS = 64                # shingle sets remembered by a verifying task
 
@@ -161,54 +164,83 @@ def common_counts(left: list, right: list, p: np.ndarray, q: np.ndarray) -> np.n
     return both[p, q].astype(np.int64)
 
 
+def _block_pairs(table: pa.Table, percent: int, need: list[int]) -> np.ndarray:
+    """Row numbers (x, y) of a block's pairs of different components whose sizes
+    allow the threshold and whose signatures survive."""
+    size, comp, part = (np.array(table.column(c).to_pylist(), np.int64)
+                        for c in ("n", "comp", "chunk"))
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    a, b = np.flatnonzero(part == i), np.flatnonzero(part == j)
+    small = 100 * np.minimum(size[a][:, None], size[b][None, :])
+    ask = (comp[a][:, None] != comp[b][None, :]) & (
+        small >= percent * np.maximum(size[a][:, None], size[b][None, :]))
+    if i == j:
+        ask &= np.arange(len(a))[:, None] < np.arange(len(b))[None, :]
+    p, q = np.nonzero(ask)
+    found = [np.empty((0, 2), np.int64)]
+    for at in range(0, len(p), 1 << 16):
+        x, y = a[p[at:at + (1 << 16)]], b[q[at:at + (1 << 16)]]
+        matches = np.zeros(len(x), np.int64)
+        for k, least in enumerate(need):
+            cut = slice(k * BATCH, (k + 1) * BATCH)
+            matches += (sig[x, cut] == sig[y, cut]).sum(axis=1)
+            alive = matches >= least
+            x, y, matches = x[alive], y[alive], matches[alive]
+        found.append(np.stack([x, y], axis=1))
+    return np.concatenate(found)
+
+
+def _alive_in_blocks(blocks: DataFrame, percent: int) -> DataFrame:
+    """The rows of each block of two chunks of a cluster (i = j: within one
+    chunk) that belong to a surviving pair."""
+    need = least_matches(percent)
+
+    def run(table: pa.Table) -> pa.Table:
+        return table.take(pa.array(np.unique(_block_pairs(table, percent, need))))
+
+    return blocks.groupBy("pivot", "i", "j").applyInArrow(run, blocks.schema)
+
+
 def _between_chunks(rows: DataFrame, percent: int, n: int) -> DataFrame:
-    """Links between nodes of different components, by block of two chunks of
-    a cluster (i = j: within one chunk)."""
+    """Links between nodes of different components, by block: the pairs of its
+    surviving rows, verified on their texts' shingle sets."""
     need = least_matches(percent)
 
     def run(table: pa.Table) -> pa.Table:
-        cols = {c: table.column(c).to_pylist() for c in ("node", "n", "comp", "chunk", "sig", "text")}
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        part = np.array(cols["chunk"])
-        a, b = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        size, comp, node = (np.array(cols[c], np.int64) for c in ("n", "comp", "node"))
-        sig = np.frombuffer(b"".join(cols["sig"]), np.uint16).reshape(-1, HASHES)
-        small = 100 * np.minimum(size[a][:, None], size[b][None, :])
-        ask = (comp[a][:, None] != comp[b][None, :]) & (
-            small >= percent * np.maximum(size[a][:, None], size[b][None, :]))
-        if i == j:
-            ask &= np.arange(len(a))[:, None] < np.arange(len(b))[None, :]
-        p, q = np.nonzero(ask)
-        found = [np.empty((0, 2), np.int64)]
-        for at in range(0, len(p), 1 << 16):
-            x, y = a[p[at:at + (1 << 16)]], b[q[at:at + (1 << 16)]]
-            matches = np.zeros(len(x), np.int64)
-            for k, least in enumerate(need):
-                cut = slice(k * BATCH, (k + 1) * BATCH)
-                matches += (sig[x, cut] == sig[y, cut]).sum(axis=1)
-                alive = matches >= least
-                x, y, matches = x[alive], y[alive], matches[alive]
-            found.append(np.stack([x, y], axis=1))
-        pairs = np.concatenate(found)
+        pairs = _block_pairs(table, percent, need)
         if len(pairs):
+            texts, node = table.column("text"), np.array(table.column("node").to_pylist(), np.int64)
             left, p = np.unique(pairs[:, 0], return_inverse=True)
             right, q = np.unique(pairs[:, 1], return_inverse=True)
-            sets = {k: shingles(cols["text"][k], n) for k in {*left.tolist(), *right.tolist()}}
-            both = common_counts([sets[k] for k in left.tolist()],
-                                 [sets[k] for k in right.tolist()], p, q)
-            total = size[pairs[:, 0]] + size[pairs[:, 1]] - both
-            pairs = pairs[100 * both >= percent * total]
-        ends = np.sort(node[pairs], axis=1)
-        return pa.table({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+            sets = {k: shingles(texts[k].as_py(), n) for k in {*left.tolist(), *right.tolist()}}
+            xs, ys = [sets[k] for k in left.tolist()], [sets[k] for k in right.tolist()]
+            both = common_counts(xs, ys, p, q)
+            total = np.array([len(x) for x in xs])[p] + np.array([len(y) for y in ys])[q] - both
+            pairs = np.sort(node[pairs[100 * both >= percent * total]], axis=1)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
     return rows.groupBy("pivot", "i", "j").applyInArrow(run, "a long, b long")
 
 
+def _beside(rows: DataFrame, least: DataFrame, heavy: int) -> DataFrame:
+    """``rows`` (v, u) with ``least`` (v, m, c) of their v. A v of more than
+    ``heavy`` rows is joined by broadcast, where its rows lie."""
+    few = F.broadcast(least.filter(F.col("c") > heavy).select("v", "m"))
+    return rows.join(few, "v").unionByName(
+        rows.join(few.select("v"), "v", "left_anti").join(
+            least.filter(F.col("c") <= heavy).select("v", "m"), "v"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in ``edges`` (a, b) but the roots, root the
     least node of its component: large-star and small-star steps until the
     edges form stars, that is until no node has two parents or is both a
-    parent and a child."""
+    parent and a child.
+
+    The neighbours of a node never meet in one task: least neighbours are
+    combined before the shuffle, and a node with more than 1/1000 of all edge
+    ends (1000 such nodes at most) gets its least neighbour by broadcast."""
     now = written(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
                   .filter("v <> u").distinct(), "cc")
     while True:
@@ -220,13 +252,17 @@ def components(edges: DataFrame) -> DataFrame:
             F.max("u").alias("last")).filter("lo <> hi or first <> last")
         if tangled.isEmpty():
             return now.select(F.col("v").alias("node"), F.col("u").alias("root"))
+        heavy = max(2 * now.count() // 1000, HEAVY)
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
-        large = both.filter("u > v").join(least, "v").select(
-            F.col("u").alias("v"), F.col("m").alias("u"))
-        low = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(
-            low.select("v", F.col("m").alias("u")))
+        least = written(both.groupBy("v").agg(
+            F.least(F.min("u"), F.col("v")).alias("m"), F.count(F.lit(1)).alias("c")), "cc-least")
+        large = written(_beside(both.filter("u > v"), least, heavy).select(
+            F.col("u").alias("v"), F.col("m").alias("u")), "cc-large")
+        low = written(large.groupBy("v").agg(
+            F.min("u").alias("m"), F.count(F.lit(1)).alias("c")), "cc-least")
+        small = _beside(large, low, heavy).select(
+            F.col("u").alias("v"), F.col("m").alias("u")).unionByName(
+                low.select("v", F.col("m").alias("u")))
         now = written(small.filter("v <> u").distinct(), "cc")
 
 
@@ -252,23 +288,26 @@ def near_duplicates(df: DataFrame, *, words: int = 2, percent: int = 80,
         nodes.select("digest", "node"), "digest").select(
             F.col("node").alias("a"), F.col("id").alias("b")), "neardup-links")
     labels = None if links.isEmpty() else components(links)
-    bands = nodes.select("node", "n", F.explode(F.transform(
+    bands = nodes.select("node", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(HASHES // BAND - 1)),
         lambda k: F.xxhash64(F.substring(F.col("sig"), k * (2 * BAND) + 1, F.lit(2 * BAND)), k)
-    )).alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    )).alias("bucket")).repartition("bucket")
+    # Both sides read all columns of one and the same exchange.
+    shared = bands.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("c"), F.min("node").alias("lo"), F.max("node").alias("hi")).filter(
+            "lo <> hi").select("bucket", "c")
     members = written(bands.join(shared, "bucket"), "neardup-members")
     # The copy that the others were made from shares the most buckets with them:
     # as the pivot it links those that are no pairs among themselves.
     central = members.groupBy("node").agg(F.sum("c").alias("ties"))
-    some = members.select("node").distinct().hint("merge")
-    members = members.drop("c").join(central, "node")
-    # Texts that may have to be verified, shuffled once, at every size alike; the
-    # filter spares the others their shuffle.
-    maybe = key_filter(some, "node")
-    texts = df.select(F.col(id_col).cast("long").alias("node"),
-                      F.col(text).cast("string").alias("text")).filter(maybe("node"))
-    texts = written(texts.join(some, "node", "left_semi"), "neardup-texts")
+    # Signatures and texts that may be needed; the filter spares the others all
+    # shuffles, and the joins below keep those that are needed.
+    maybe = key_filter(members.select("node").distinct(), "node")
+    nodes_left = written(nodes.filter(maybe("node")).select("node", "n", "sig"), "neardup-signatures")
+    texts = written(df.select(F.col(id_col).cast("long").alias("node"),
+                              F.col(text).cast("string").alias("text")).filter(maybe("node")),
+                    "neardup-texts")
+    members = members.drop("c").join(central, "node").join(nodes_left.select("node", "n"), "node")
 
     def buckets(members: DataFrame) -> DataFrame:
         """Members of buckets that hold several components, with the pivot."""
@@ -287,25 +326,24 @@ def near_duplicates(df: DataFrame, *, words: int = 2, percent: int = 80,
         100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).select(
             F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(),
         "neardup-pairs")
-    likely = written(_likely(pairs, nodes, percent), "neardup-likely")
+    likely = written(_likely(pairs, nodes_left, percent), "neardup-likely")
     links = written(links.unionByName(_verified(likely, texts, percent, words)), "neardup-links")
     labels = None if links.isEmpty() else components(links)
     # What is left: clusters of several components, block by block.
     cluster = written(buckets(members.select("bucket", "node", "n", "ties")).select(
         "pivot", "node", "n", "comp").distinct(), "neardup-clusters")
-    size = cluster.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).withColumn(
-        "k", F.ceil(F.col("m") / CHUNK))
+    size = cluster.groupBy("pivot").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("k"))
     if not cluster.isEmpty():
-        ids = cluster.select("node").distinct()
-        wanted = written(texts.join(ids.hint("merge"), "node", "left_semi").join(
-            nodes.select("node", "sig").hint("merge"), "node"), "neardup-compared")
         blocks = cluster.join(size, "pivot").withColumn(
             "chunk", F.pmod(F.xxhash64("node"), F.col("k"))).withColumn(
                 "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))).select(
                     "pivot", F.least("chunk", "other").alias("i"),
                     F.greatest("chunk", "other").alias("j"), "chunk", "node", "n", "comp")
+        blocks = written(_alive_in_blocks(
+            blocks.join(nodes_left.select("node", "sig"), "node"), percent), "neardup-blocks")
         links = written(links.unionByName(_between_chunks(
-            blocks.join(wanted, "node"), percent, words)), "neardup-links")
+            blocks.join(texts, "node"), percent, words)), "neardup-links")
         labels = None if links.isEmpty() else components(links)
     rows = docs.join(nodes.select("digest", "node"), "digest", "left")
     if labels is not None:
