@@ -32,7 +32,7 @@ BATCH = 24               # signature hashes compared at a time
 MISS = 1e-6              # a pair whose posterior chance of reaching the threshold is less goes
 CHUNK = 256              # nodes of a cluster in a chunk, on average
 CHUNK_SHINGLES = 1 << 18  # and their shingles, on average: long texts make smaller chunks
-HEAVY = 1000             # a node of more edges may be heavy, see components()
+HEAVY = 1000             # a key of more rows may be heavy, see components()
 COLUMNS = 2048           # shingles hashed at a time
 SETS = 64                # shingle sets remembered by a verifying task
 
@@ -223,13 +223,14 @@ def _between_chunks(rows: DataFrame, percent: int, n: int) -> DataFrame:
     return rows.groupBy("pivot", "i", "j").applyInArrow(run, "a long, b long")
 
 
-def _beside(rows: DataFrame, least: DataFrame, heavy: int) -> DataFrame:
-    """``rows`` (v, u) with ``least`` (v, m, c) of their v. A v of more than
-    ``heavy`` rows is joined by broadcast, where its rows lie."""
-    few = F.broadcast(least.filter(F.col("c") > heavy).select("v", "m"))
-    return rows.join(few, "v").unionByName(
-        rows.join(few.select("v"), "v", "left_anti").join(
-            least.filter(F.col("c") <= heavy).select("v", "m"), "v"))
+def _beside(rows: DataFrame, least: DataFrame, key: str, heavy: int) -> DataFrame:
+    """``rows`` with the columns of ``least``, one row per ``key`` that counts its
+    rows in c. A key of more than ``heavy`` rows is joined by broadcast, where its
+    rows lie."""
+    few = F.broadcast(least.filter(F.col("c") > heavy).drop("c"))
+    return rows.join(few, key).unionByName(
+        rows.join(few.select(key), key, "left_anti").join(
+            least.filter(F.col("c") <= heavy).drop("c"), key))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -256,11 +257,11 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = written(both.groupBy("v").agg(
             F.least(F.min("u"), F.col("v")).alias("m"), F.count(F.lit(1)).alias("c")), "cc-least")
-        large = written(_beside(both.filter("u > v"), least, heavy).select(
+        large = written(_beside(both.filter("u > v"), least, "v", heavy).select(
             F.col("u").alias("v"), F.col("m").alias("u")), "cc-large")
         low = written(large.groupBy("v").agg(
             F.min("u").alias("m"), F.count(F.lit(1)).alias("c")), "cc-least")
-        small = _beside(large, low, heavy).select(
+        small = _beside(large, low, "v", heavy).select(
             F.col("u").alias("v"), F.col("m").alias("u")).unionByName(
                 low.select("v", F.col("m").alias("u")))
         now = written(small.filter("v <> u").distinct(), "cc")
@@ -332,10 +333,12 @@ def near_duplicates(df: DataFrame, *, words: int = 2, percent: int = 80,
     # What is left: clusters of several components, block by block.
     cluster = written(buckets(members.select("bucket", "node", "n", "ties")).select(
         "pivot", "node", "n", "comp").distinct(), "neardup-clusters")
-    size = cluster.groupBy("pivot").agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("k"))
-    if not cluster.isEmpty():
-        blocks = cluster.join(size, "pivot").withColumn(
+    rows = cluster.count()
+    if rows:
+        size = written(cluster.groupBy("pivot").agg(F.greatest(
+            F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("k"),
+            F.count(F.lit(1)).alias("c")), "neardup-sizes")
+        blocks = _beside(cluster, size, "pivot", max(rows // 1000, HEAVY)).withColumn(
             "chunk", F.pmod(F.xxhash64("node"), F.col("k"))).withColumn(
                 "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))).select(
                     "pivot", F.least("chunk", "other").alias("i"),
