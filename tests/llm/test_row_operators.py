@@ -5,6 +5,7 @@ tables and columns with clashing names."""
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -305,3 +306,17 @@ def test_personal_data_frame_and_redaction(spark):
     assert {r["text"] for r in red.collect()} == {"mail [EMAIL]", None, ""}
     long = docs(spark, ["1" * 50_000, "1.1." * 20_000, "a" * 50_000 + "@", "+1" * 20_000])
     assert personal_data.personal_data(long.filter(F.lit(True))).count() == 4
+
+
+def test_fit_learns_from_the_stated_number_of_zones(spark):
+    rows = [(i, f"mail a{i}@b.org or call +1 (212) 555-01{i:02d} at 10.0.0.{i}") for i in range(30)]
+    sample = personal_data.sample_zones(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(sample) > 40
+    assert np.array_equal(personal_data.fit(sample, limit=0), personal_data.prior())
+    few = personal_data.fit(sample, per_shape=1)
+    assert not np.array_equal(few, personal_data.fit(sample, per_shape=30))
+    shapes = {}
+    for z in sample:
+        text, _, marks = z.rpartition("|")
+        shapes.setdefault((re.sub("[a-z]+", "a", re.sub("[0-9]", "9", text)), marks), z)
+    assert np.array_equal(few, personal_data.fit(list(shapes.values())))

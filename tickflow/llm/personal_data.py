@@ -24,6 +24,7 @@ KINDS = ("email", "ip", "card", "phone")          # fixed order of the output
 LABELS = (*KINDS, "other")
 MAX_ATOMS = 8
 SAMPLE_ZONES = 4000                                # bound of the fitting sample
+SHAPE_ZONES, FIT_ZONES = 3, 600                    # zones of a shape, and in all, to learn from
 SAMPLE_CHARS = 300                                 # longer zones are not sampled, but are searched
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -258,10 +259,14 @@ def sample_zones(df: DataFrame, text: str = "text", limit: int = SAMPLE_ZONES) -
     return [r["zone"] for r in found.select("zone").collect()]
 
 
-def fit(sample: list[str], steps: int = 60, rate: float = 2.0, shrink: float = 0.002) -> np.ndarray:
+def fit(sample: list[str], steps: int = 60, rate: float = 2.0, shrink: float = 0.002, *,
+        per_shape: int = SHAPE_ZONES, limit: int = FIT_ZONES) -> np.ndarray:
     """Weights by gradient ascent on the conditional log-likelihood, shrunk
-    towards the prior. Neighbouring sample zones are also joined by a space, so
-    that boundaries between entities are learned. No sample: the prior."""
+    towards the prior. Of the sample, the first ``per_shape`` zones of each
+    shape (digits and small letters alike) are learned from, the shapes in the
+    sample's order, ``limit`` zones in all. Neighbouring sample zones are also
+    joined by a space, so that boundaries between entities are learned. No
+    sample: the prior."""
     w = prior()
     cases = []
 
@@ -289,7 +294,7 @@ def fit(sample: list[str], steps: int = 60, rate: float = 2.0, shrink: float = 0
     for text, gold in parsed:      # a few zones of each shape say as much as all of them
         by_shape.setdefault((re.sub("[a-z]+", "a", re.sub("[0-9]", "9", text)), tuple(gold)),
                             []).append((text, gold))
-    parsed = [x for k in sorted(by_shape) for x in by_shape[k][:3]][:600]
+    parsed = [x for zones_of in by_shape.values() for x in zones_of[:per_shape]][:limit]
     for text, gold in parsed:
         add(text, gold)
     for (ta, ga), (tb, gb) in zip(parsed, parsed[1:] + parsed[:1], strict=True):
