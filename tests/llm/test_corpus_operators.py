@@ -480,3 +480,12 @@ def test_quality_has_no_python_in_its_plan_and_takes_empty_tables(spark):
     plan = quality.text_counts(df)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert F.lit(1) is not None
+
+
+def test_one_text_of_a_repeated_id_is_learned_from(spark):
+    rows = [(1, "b b"), (1, "a a"), (1, None), (1, ""), (3, "c"), (None, "d"), (1, "a a"), (5, "x" * 9000)]
+    labels = spark.createDataFrame([(1, 1), (3, 0), (5, 1), (None, 1)], "doc_id long, toxic int")
+    want = [(i, t, y) for i, t, y in ((1, "a a", 1), (3, "c", 0)) if zlib.crc32(b"%d" % i) % 4 != 2]
+    for parts in (1, 7):
+        assert toxicity.sample(docs(spark, rows).repartition(parts), labels) == (
+            [t for _, t, _ in want], [y for _, _, y in want])

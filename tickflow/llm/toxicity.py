@@ -341,7 +341,8 @@ def held_out(id_col: str = "doc_id"):
 def sample(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text"
            ) -> tuple[list[str], list[int]]:
     """Texts and labels to learn from: of each label the SAMPLE_TEXTS ids that
-    hash lowest among those not held out, without texts over SAMPLE_CHARS."""
+    hash lowest among those not held out, without texts over SAMPLE_CHARS. Of an
+    id's texts the least counts, so the sample depends on the rows alone."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic")
                           ).filter(F.col("_id").isNotNull() & ~held_out("_id")).distinct()
     parts = [known.filter(F.col("_toxic") == y).orderBy(F.xxhash64("_id"), "_id")
@@ -349,7 +350,7 @@ def sample(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: st
     ids = F.broadcast(parts[0].unionByName(parts[1]))       # 2 * SAMPLE_TEXTS rows at most
     rows = (df.select(F.col(id_col).alias("_id"), F.col(text).cast("string").alias("_text"))
             .join(ids, "_id").filter(F.length("_text").between(1, SAMPLE_CHARS))
-            .dropDuplicates(["_id", "_toxic"])
+            .groupBy("_id", "_toxic").agg(F.min("_text").alias("_text"))
             .orderBy("_id", "_toxic").limit(2 * SAMPLE_TEXTS).collect())
     return [r["_text"] for r in rows], [r["_toxic"] for r in rows]
 
