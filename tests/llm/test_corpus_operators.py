@@ -135,9 +135,10 @@ def test_components_match_brute_force(spark, n):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
-@pytest.mark.parametrize("chunk", [1, 3])
-def test_what_the_pivots_leave_is_compared_block_by_block(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk, heavy", [(1, 1000), (3, 4)])
+def test_what_the_pivots_leave_is_compared_block_by_block(spark, monkeypatch, chunk, heavy):
     monkeypatch.setattr(near_dup, "CHUNK", chunk)
+    monkeypatch.setattr(near_dup, "HEAVY", heavy)
     monkeypatch.setattr(near_dup, "_verified", lambda pairs, *_: pairs.limit(0))   # pivots find none
     rows = near_rows(random.Random(8))
     got = near_dup.near_duplicates(docs(spark, rows)).collect()
