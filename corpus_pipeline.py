@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow.llm import decontaminate, near_dup, personal_data, pieces, toxicity
-from tickflow.llm.common import fresh, written
+from tickflow.llm.common import fresh, key_filter, written
 from tickflow.session import table_path
 
 
@@ -26,6 +26,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
+def _without(rows: DataFrame, key: str, gone: DataFrame, gone_key: str) -> DataFrame:
+    """``rows`` whose ``key`` is not in ``gone``; those without a key stay. Texts of
+    rows that stay are not shuffled, but for the key filter's errors."""
+    maybe = key_filter(gone, gone_key)
+    return rows.filter(~maybe(key)).union(rows.filter(maybe(key)).join(
+        gone, F.col(key) == F.col(gone_key), "left_anti"))
+
+
 def _units(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` and the name of a new column, the unit: the id, one row of each
     text of an id. Where an id has several texts, one of them keeps the id and the
@@ -38,8 +46,10 @@ def _units(docs: DataFrame) -> tuple[DataFrame, str]:
     plain = docs.withColumn(unit, F.col("doc_id").cast("long"))
     if twice.isEmpty():
         return plain, unit
-    again = docs.join(twice, F.col("doc_id") == F.col(twice_id), "left_semi").withColumn(
-        digest, F.coalesce(F.sha2("text", 256), F.lit("")))
+    maybe = key_filter(twice, twice_id)
+    again = docs.filter(maybe("doc_id")).join(
+        twice, F.col("doc_id") == F.col(twice_id), "left_semi").withColumn(
+            digest, F.coalesce(F.sha2("text", 256), F.lit("")))
     top = with_id.agg(F.max(F.col("doc_id").cast("long"))).first()[0]
     pairs = again.select(F.col("doc_id").alias(pair_id), F.col(digest).alias(pair_digest)).distinct()
     first = pairs.groupBy(F.col(pair_id).alias("id1")).agg(F.min(pair_digest).alias("first"))
@@ -49,7 +59,7 @@ def _units(docs: DataFrame) -> tuple[DataFrame, str]:
         "pipeline-units")
     rows = again.dropDuplicates(["doc_id", digest])
     rows = rows.join(pairs, (F.col("doc_id") == F.col(pair_id)) & (F.col(digest) == F.col(pair_digest)))
-    return plain.join(twice, F.col("doc_id") == F.col(twice_id), "left_anti").unionByName(
+    return _without(plain, "doc_id", twice, twice_id).unionByName(
         rows.select(*plain.columns)), unit
 
 
@@ -63,7 +73,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
                                              words=5, percent=80), "pipeline-groups")
     gone = fresh("gone", units.columns)
     ids = found.filter("not kept").select(F.col("doc_id").alias(gone)).distinct()
-    return units.join(ids, F.col(unit) == F.col(gone), "left_anti").select(*docs.columns)
+    return _without(units, unit, ids, gone).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,6 +80,37 @@ def test_different_texts_of_one_id_are_judged_by_themselves(spark):
     assert (2, same) not in got and {i for i, _ in got} == {None, 1, 2, 3, 4}
 
 
+def rows_exchanged(node, column):
+    """Rows written by the exchanges of an executed plan that carry ``column``."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        return rows_exchanged(node.executedPlan(), column)
+    if node.nodeName().endswith("QueryStage"):
+        return rows_exchanged(node.plan(), column)
+    kids, out = node.children(), node.output()
+    found = sum(rows_exchanged(kids.apply(i), column) for i in range(kids.size()))
+    if node.nodeName() == "Exchange" and column in {out.apply(i).name() for i in range(out.size())}:
+        found += node.metrics().apply("shuffleRecordsWritten").value()
+    return found
+
+
+@pytest.mark.parametrize("more", [[], [(7, "another text of one id"), (8, None)]])
+def test_texts_that_stay_are_not_shuffled(spark, more):
+    """The copies travel, and the rows of repeated ids, but not the other 300."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(300)]
+    copies = [(1000 + i, rows[i][1]) for i in (3, 4, 5)]
+    df = spark.createDataFrame([*rows, *copies, *more, (None, rows[3][1])],
+                               "doc_id long, text string").repartition(4).localCheckpoint()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.drop_near_duplicates(spark, df, SF001)
+        got = {tuple(r) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == {*rows, *more, (None, rows[3][1])}
+    assert 0 < rows_exchanged(out._jdf.queryExecution().executedPlan(), "text") <= 40
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages_on_odd_rows_and_empty_tables(spark, name, stage):
     df = odd_rows(spark)
