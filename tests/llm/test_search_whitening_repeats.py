@@ -334,3 +334,28 @@ def test_key_filters_pass_all_their_keys_and_few_others(spark):
         spark.sql("select cast(null as long) as id").select(maybe("id").alias("m"), "id")).collect()
     assert all(r["m"] for r in rows if r["id"] is not None and r["id"] < 2000 and r["id"] % 2 == 0)
     assert sum(r["m"] for r in rows) < 1010 and not any(r["m"] for r in rows if r["id"] is None)
+
+
+def test_key_filters_send_the_driver_one_filter_from_many_tasks(spark, monkeypatch):
+    from tickflow.llm import common
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    keys, sent = spark.range(0, 64000, 2, 32), []
+    collect = type(keys).collect
+
+    def counted(df):
+        rows = collect(df)
+        sent.append(sum(len(v) for r in rows for v in r if isinstance(v, (bytes, bytearray))))
+        return rows
+
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "32")    # 8 tasks build the filter
+        with monkeypatch.context() as m:
+            m.setattr(type(keys), "collect", counted)
+            maybe = common.key_filter(keys, "id")
+            none = common.key_filter(keys.limit(0), "id")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert len(sent) == 2 and 0 < sent[0] <= common.FILTER_BITS // 8 and sent[1] == 0
+    passed = [r[0] for r in spark.range(64000).filter(maybe("id")).collect()]
+    assert {n for n in passed if n % 2 == 0} == set(range(0, 64000, 2)) and len(passed) < 32100
+    assert spark.range(64000).filter(none("id")).isEmpty()
